@@ -1,0 +1,28 @@
+"""Numeric helpers. ANSI mode raises on x/0, so every ratio goes through one of these."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, functions as F
+
+
+def _c(c):
+    return F.col(c) if isinstance(c, str) else c
+
+
+def safe_div(num, den) -> Column:
+    """num / den, NULL when den is 0 or NULL (the NULL stands for the float library's inf/NaN)."""
+    return F.try_divide(_c(num), _c(den))
+
+
+def eps_div(num, den, eps: float = 1e-8) -> Column:
+    """F18 num / (den + eps)."""
+    return F.try_divide(_c(num), _c(den) + F.lit(eps))
+
+
+def ratio_minus_one(num, den) -> Column:
+    """pct-change style num/den − 1 with a zero guard."""
+    return safe_div(num, den) - F.lit(1.0)
+
+
+def signed_flag(cond) -> Column:
+    return F.when(cond, F.lit(1)).otherwise(F.lit(0))
