@@ -52,4 +52,4 @@ def register(name: str, sql: str | None, doubles=(), ops: str = ""):
 
 
 # import the modules that register queries
-from marketframe.plans import q_market, q_features, q_trading  # noqa: E402,F401
+from marketframe.plans import q_market, q_features, q_trading, q_ops  # noqa: E402,F401
