@@ -38,6 +38,46 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
     return out.select(*lcols, *[F.col(f"__hit.{v}").alias(prefix + v) for v in values])
 
 
+def asof_join_offsets(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str,
+                      values: list[str], right_order: str, row_key: str, offsets: dict[str, float], *,
+                      block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+    """Several as-of lookups per left row in one scan, e.g. {"decision_": 0, "fill_": 1.0}: the price
+    at the decision and one second later (J1 + J2).
+
+    Each left row enters the union once per offset (only the first copy carries the left columns);
+    one blocked scan resolves all lookups, and a group-by on ``row_key`` (unique per left row)
+    folds the copies back into one row.
+    """
+    t = "__asof_t"
+    packed = F.struct(*[F.col(v).alias(v) for v in values])
+    r = right.select(*on, F.col(right_time).alias(t), F.lit(0).alias("__side"), F.lit(-1).alias("__tag"),
+                     F.col(right_order).cast("long").alias("__tb"), packed.alias("__val"))
+    vtype = r.schema["__val"].dataType
+    lcols = left.columns
+    parts = []
+    for i, (prefix, off) in enumerate(offsets.items()):
+        lt = F.col(left_time)
+        if off:
+            lt = lt + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(off)))
+        carry = F.struct(*[F.col(c) for c in lcols]) if i == 0 else F.lit(None)
+        parts.append(left.select(*on, lt.alias(t), F.lit(1).alias("__side"), F.lit(i).alias("__tag"),
+                                 F.lit(0).cast("long").alias("__tb"), F.lit(None).cast(vtype).alias("__val"),
+                                 F.col(row_key).alias("__key"), carry.alias("__left")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    u = u.unionByName(r, allowMissingColumns=True)
+    s = blocked_scan(u, on, [t, "__side", "__tb"], t, lasts={"__val": "__hit"}, block_seconds=block_seconds)
+    s = s.filter(F.col("__side") == 1)
+    aggs = [F.max("__left").alias("__left")]
+    for i, prefix in enumerate(offsets):
+        for v in values:
+            aggs.append(F.max(F.when(F.col("__tag") == i, F.col(f"__hit.{v}"))).alias(prefix + v))
+    g = s.groupBy("__key").agg(*aggs)
+    return g.select(*[F.col(f"__left.{c}").alias(c) for c in lcols],
+                    *[F.col(prefix + v) for prefix in offsets for v in values])
+
+
 def latest_per_symbol(ticks: DataFrame, symbols=None) -> DataFrame:
     """R4 batch form: last numeric price per symbol in arrival order (received_at, then seq).
 

@@ -54,7 +54,7 @@ def build_features(series: DataFrame, dropna: bool = True) -> DataFrame:
     df = df.withColumn("macd_diff", F.col("macd") - F.col("macd_signal"))
     df = W.ewm(df, "returns", "ema_return_10", KEYS, ORDER, span=10)
     df = df.withColumn("zscore_30", F.try_divide(F.col("returns") - W.rolling_mean("returns", w, 30),
-                                                 W.rolling_std("returns", w, 30)))
+                                                 F.col("volatility_30")))
     df = df.withColumn("dir_strength", F.try_divide(F.col("momentum_10"), F.col("volatility_30") + F.lit(C.EPS)))
     df = df.select("symbol", "minute", "price", *FEATURE_COLUMNS)
     return df.na.drop("any", subset=FEATURE_COLUMNS) if dropna else df

@@ -10,7 +10,8 @@ from marketframe.functions.text import raw_symbol
 from marketframe.operators import ledger as LG
 from marketframe.operators import risk as RK
 from marketframe.operators import signals as SG
-from marketframe.operators.asof import asof_join, missing_symbols
+from marketframe.operators.asof import asof_join_offsets, missing_symbols
+from marketframe.session import cut_lineage
 from marketframe.plans import reports as R
 from marketframe.plans.catalog import register
 from marketframe.plans.sql_views import with_views
@@ -103,15 +104,19 @@ def ticks(spark, sf_dir):
 
 
 def fills(spark, sf_dir):
+    """J1 + J2 in one scan: latest tick price at the decision and one second after it."""
     d = X.decisions(spark, sf_dir)
-    t = ticks(spark, sf_dir)
-    d = asof_join(d, t, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="decision_")
-    d = asof_join(d, t, ["symbol"], "time", "timestamp", ["price"], "seq", offset_seconds=1.0, prefix="fill_")
-    return d
+    return asof_join_offsets(d, ticks(spark, sf_dir), ["symbol"], "time", "timestamp", ["price"], "seq", "seq",
+                             {"decision_": 0.0, "fill_": 1.0})
+
+
+def state(spark, sf_dir):
+    """Pre-trade state per order, materialised: risk, streak and sizing queries all start here."""
+    return cut_lineage(RK.pre_trade_state(fills(spark, sf_dir)))
 
 
 def checked(spark, sf_dir):
-    return RK.risk_checks(RK.pre_trade_state(fills(spark, sf_dir)))
+    return RK.risk_checks(state(spark, sf_dir))
 
 
 def execution(spark, sf_dir):
@@ -119,7 +124,8 @@ def execution(spark, sf_dir):
 
 
 def ledger(spark, sf_dir):
-    return LG.ledger(execution(spark, sf_dir))
+    """Ledger rows, materialised: snapshots read them twice (spine bounds and as-of positions)."""
+    return cut_lineage(LG.ledger(execution(spark, sf_dir)))
 
 
 def snapshots(spark, sf_dir):
@@ -164,7 +170,7 @@ SELECT strategy_name, symbol, min(portfolio_value) AS min_val, max(portfolio_val
        arg_max(portfolio_value, {'t': time, 's': seq}) AS latest_val
 FROM state GROUP BY ALL""", "state"), ["min_val", "max_val", "latest_val"], "J4 A2")
 def drawdown_q(spark, sf_dir):
-    s = RK.pre_trade_state(fills(spark, sf_dir))
+    s = state(spark, sf_dir)
     return s.groupBy("strategy_name", "symbol").agg(
         F.min("portfolio_value").alias("min_val"), F.max("portfolio_value").alias("max_val"),
         F.max_by("portfolio_value", F.struct("time", "seq")).alias("latest_val"))
@@ -234,7 +240,7 @@ FROM (
 
 
 def streaks(spark, sf_dir):
-    s = RK.pre_trade_state(fills(spark, sf_dir)).filter(F.col("strategy_name") != C.LONG_ONLY)
+    s = state(spark, sf_dir).filter(F.col("strategy_name") != C.LONG_ONLY)
     s = SG.run_positions(s.withColumnRenamed("signal", "raw_signal"), "raw_signal")
     return SG.apply_streak(s)
 

@@ -23,6 +23,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -64,3 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` into the shared checkpoint folder and continue from the written copy.
+
+    Used where one result feeds several later scans: without it every downstream reference
+    re-plans (and may recompute) the whole chain above, and a lost executor would recompute it too.
+    A reliable checkpoint (never a local one) survives executor loss.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
