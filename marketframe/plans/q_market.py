@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketframe.operators import bars as B
 from marketframe.plans import reports as R
-from marketframe.plans.catalog import RANGE_FROM, RANGE_TO, register
+from marketframe.plans.registry import RANGE_FROM, RANGE_TO, register
 from marketframe.plans.sql_views import with_views
 from marketframe.sources import fixtures as X
 

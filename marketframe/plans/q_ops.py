@@ -10,7 +10,7 @@ from marketframe.operators import diagnostics as DG
 from marketframe.operators import metrics as MT
 from marketframe.operators.ledger import latest_per_key
 from marketframe.plans import reports as R
-from marketframe.plans.catalog import register
+from marketframe.plans.registry import register
 from marketframe.plans.q_market import BAR_COLS, BAR_DOUBLES, bars
 from marketframe.plans.q_trading import ORACLE_CTES, execution
 from marketframe.plans.sql_views import with_views

@@ -13,7 +13,7 @@ from marketframe.operators import signals as SG
 from marketframe.operators.asof import asof_join_offsets, missing_symbols
 from marketframe.session import cut_lineage
 from marketframe.plans import reports as R
-from marketframe.plans.catalog import register
+from marketframe.plans.registry import register
 from marketframe.plans.sql_views import with_views
 from marketframe.sources import fixtures as X
 

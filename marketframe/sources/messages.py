@@ -46,7 +46,10 @@ def parse_tick_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     m = raw.select(F.from_json(F.col(value), TICK_MESSAGE).alias("m"), F.col(value).alias("raw_value"))
     ts, rc = parse_iso_utc(F.col("m.timestamp")), parse_iso_utc(F.col("m.received_at"))
     price, volume = F.col("m.price").try_cast("double"), F.col("m.volume").try_cast("double")
-    err = (F.when(F.col("m").isNull(), F.lit("malformed json"))
+    # PERMISSIVE parsing turns unparseable text into a struct of NULLs
+    fields = ["timestamp", "timestamp_ms", "symbol", "price", "volume", "received_at"]
+    malformed = F.col("m").isNull() | F.coalesce(*[F.col(f"m.{f}").cast("string") for f in fields]).isNull()
+    err = (F.when(malformed, F.lit("malformed json"))
             .when(ts.isNull(), F.lit("bad timestamp")).when(F.col("m.timestamp_ms").isNull(), F.lit("bad timestamp_ms"))
             .when(F.col("m.symbol").isNull(), F.lit("missing symbol")).when(price.isNull(), F.lit("bad price"))
             .when(volume.isNull(), F.lit("bad volume")).when(rc.isNull(), F.lit("bad received_at")))

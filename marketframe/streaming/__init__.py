@@ -1,0 +1 @@
+"""Structured Streaming forms of the ingest and stateful operators."""
