@@ -13,7 +13,9 @@ in parallel over its time blocks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketframe import config as C
 from marketframe.operators.scan import blocked_scan
@@ -81,3 +83,49 @@ def close_orders(portfolio_key: DataFrame) -> DataFrame:
                                 F.lit("CLOSE").alias("signal"), (-F.col("quantity")).alias("quantity"),
                                 px.alias("model_price"), px.alias("executed_price"),
                                 F.lit("Y").alias("approval_status"), F.lit("Closing Position").alias("approval_comment"))
+
+
+def _neg_time(c) -> Column:
+    """A timestamp that sorts in the reverse order of ``c`` (used to scan forward in time)."""
+    return F.timestamp_micros(-F.unix_micros(c))
+
+
+def reset_points(times: DataFrame, keys: list[str], time_col: str = "time", interval_col: str = "reset_interval",
+                 block_seconds: int | None = None) -> DataFrame:
+    """L9 greedy reset schedule per key: start r0 = first time; each next reset is the first time
+    strictly later than (previous reset + interval seconds). Returns the resets after r0 with their
+    ordinal (r0 itself is the strategy start, not a reset).
+
+    Exact and distributed, with no per-key array:
+    1. next(t) = first time > t + interval, for every distinct time, by one blocked scan over
+       reversed time (a forward as-of lookup);
+    2. pointer doubling: next^(2^k) by k self-joins, each materialised in the checkpoint folder;
+    3. chain expansion from r0: S ← S ∪ next^(2^k)(S) for k = 0..K, which yields next^m(r0) for every
+       m < 2^(K+1), with K chosen from the longest possible chain, (span / min interval) + 1.
+    Work is O(n log L) for n distinct times and chain length L, spread over (key, time-block) tasks.
+    """
+    from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS
+    from marketframe.session import cut_lineage
+    bs = block_seconds or DEFAULT_BLOCK_SECONDS
+    T = times.select(*keys, F.col(time_col).alias("t"), F.col(interval_col).cast("double").alias("iv")).distinct()
+    thr = F.col("t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("iv"))
+    query = T.select(*keys, _neg_time(thr).alias("__nt"), F.lit(0).alias("__side"), "t")
+    data = T.select(*keys, _neg_time(F.col("t")).alias("__nt"), F.lit(1).alias("__side"), F.col("t").alias("__cand"))
+    u = query.unionByName(data, allowMissingColumns=True)
+    s = blocked_scan(u, keys, ["__nt", "__side"], "__nt", lasts={"__cand": "nxt"}, block_seconds=bs)
+    ptr = [cut_lineage(s.filter(F.col("__side") == 0).select(*keys, "t", "nxt"))]
+    bounds = T.groupBy(*keys).agg(((F.unix_seconds(F.max("t")) - F.unix_seconds(F.min("t"))) / F.min("iv")).alias("L"))
+    longest = bounds.agg(F.max("L")).first()[0] or 0.0      # one number
+    K = max(0, math.ceil(math.log2(longest + 2)))
+    for _ in range(K):
+        a, b = ptr[-1].alias("a"), ptr[-1].alias("b")
+        cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a.nxt") == F.col("b.t")]
+        ptr.append(cut_lineage(a.join(b, cond, "left").select(*[F.col(f"a.{k}") for k in keys], F.col("a.t"),
+                                                             F.col("b.nxt").alias("nxt"))))
+    chain = T.groupBy(*keys).agg(F.min("t").alias("t"))
+    for p in ptr:
+        step = chain.join(p, keys + ["t"]).filter(F.col("nxt").isNotNull()).select(*keys, F.col("nxt").alias("t"))
+        chain = cut_lineage(chain.unionByName(step).distinct())
+    w = Window.partitionBy(*keys).orderBy("t")
+    return (chain.withColumn("reset_no", F.row_number().over(w) - 1).filter(F.col("reset_no") > 0)
+                 .select(*keys, F.col("t").alias("reset_time"), "reset_no"))

@@ -313,3 +313,25 @@ FROM execution ORDER BY time DESC, strategy_name, symbol LIMIT 7""", "execution"
           "B9 T3 P13")
 def recent_trades_q(spark, sf_dir):
     return R.recent_trades(execution(spark, sf_dir))
+
+
+@register("reset_points", with_views("""
+SELECT strategy_name, symbol, t AS reset_time, CAST(n AS BIGINT) AS reset_no FROM (
+  WITH RECURSIVE dt AS (SELECT DISTINCT strategy_name, symbol, time AS t, CAST(reset_interval AS DOUBLE) AS iv
+                        FROM decisions),
+  r(strategy_name, symbol, t, n) AS (
+    SELECT strategy_name, symbol, min(t), 0 FROM dt GROUP BY ALL
+    UNION ALL
+    SELECT r.strategy_name, r.symbol,
+           (SELECT min(d.t) FROM dt d WHERE d.strategy_name = r.strategy_name AND d.symbol = r.symbol
+              AND d.t > r.t + to_microseconds(CAST((SELECT max(iv) FROM dt x WHERE x.strategy_name = r.strategy_name
+                                                    AND x.t = r.t AND x.symbol = r.symbol) * 1e6 AS BIGINT))),
+           r.n + 1
+    FROM r
+    WHERE (SELECT min(d.t) FROM dt d WHERE d.strategy_name = r.strategy_name AND d.symbol = r.symbol
+             AND d.t > r.t + to_microseconds(CAST((SELECT max(iv) FROM dt x WHERE x.strategy_name = r.strategy_name
+                                                   AND x.t = r.t AND x.symbol = r.symbol) * 1e6 AS BIGINT))) IS NOT NULL)
+  SELECT * FROM r) WHERE n > 0""", "decisions"), [], "L9")
+def reset_points_q(spark, sf_dir):
+    d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
+    return SG.reset_points(d, ["strategy_name", "symbol"])

@@ -27,6 +27,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # tiny shuffles (small inputs, per-symbol window stages) keep their parallelism; at scale every
+        # partition is far above this floor, so coalescing is unchanged there
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **UTC_CONF,
     }

@@ -112,3 +112,26 @@ def table_size_mb(df: DataFrame, name: str) -> DataFrame:
     files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
     return files.agg(F.round(F.sum("file_size") / F.lit(1024.0 * 1024.0), 2).alias("size_mb")) \
                 .select(F.lit(name).alias("table"), "size_mb")
+
+
+def write_feature_dataset(labelled: DataFrame, path: str) -> None:
+    """The labelled feature table per symbol, as Parquet partitioned by symbol."""
+    labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol").parquet(path)
+
+
+def read_feature_dataset(spark: SparkSession, path: str, columns: list[str] | None = None,
+                         symbols: list[str] | None = None) -> DataFrame:
+    """Read back with column pruning and partition pruning on symbol."""
+    df = spark.read.parquet(path)
+    if symbols:
+        df = df.filter(F.col("symbol").isin(list(symbols)))
+    return df.select(*columns) if columns else df
+
+
+def compact_partials(spark: SparkSession, partial_path: str, out_path: str) -> None:
+    """S17 compaction: merge all partial-state rows of each (symbol, minute) into one and write the
+    compacted table by day (a new path; readers switch over, then old batches can be dropped)."""
+    from marketframe.operators.bars import merge_partials
+    p = spark.read.parquet(partial_path)
+    p = p.drop(*[c for c in ("batch_id", "dt") if c in p.columns])
+    write_table(merge_partials(p), out_path, ts_col="minute", order=["symbol", "minute"], mode="overwrite")

@@ -124,3 +124,24 @@ def portfolio_positions(executions: DataFrame) -> DataFrame:
     return approved.groupBy("strategy_name", "symbol").transformWithStateInPandas(
         statefulProcessor=PositionProcessor(), outputStructType=POSITION_SCHEMA, outputMode="Update",
         timeMode="None")
+
+
+def snapshot_writer(ledger_path: str, ticks_path: str, out_path: str, period_s: int = C.SNAPSHOT_PERIOD_S):
+    """R7 stream form: a foreachBatch function run on a processing-time trigger of ``period_s``;
+    each run marks every key's latest ledger row at its symbol's latest tick price and appends one
+    ``portfolio_ts`` row per key, stamped with the batch's trigger time."""
+    from marketframe.operators.asof import latest_per_symbol
+    from marketframe.operators.ledger import latest_by_max
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        cur = latest_by_max(spark.read.parquet(ledger_path), ["strategy_name", "symbol"], ["time", "seq"],
+                            ["cash_balance", "quantity"])
+        px = latest_per_symbol(spark.read.parquet(ticks_path))
+        mv = F.col("quantity") * F.col("price")
+        snap = (cur.join(px.select("symbol", "price"), "symbol", "left")
+                   .select(F.current_timestamp().alias("time"), "cash_balance", "symbol", "quantity",
+                           mv.alias("market_value"), (F.col("cash_balance") + mv).alias("portfolio_value"),
+                           "strategy_name"))
+        snap.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+    return write
