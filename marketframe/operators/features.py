@@ -37,25 +37,33 @@ def build_features(series: DataFrame, dropna: bool = True) -> DataFrame:
     removes every row with any NULL feature, including the 59-row warm-up of sma_60.
     """
     w = W.series_window(KEYS, ORDER)
-    df = series.select("symbol", "minute", "price")
-    df = df.withColumn("returns", W.pct_change("price", w))
-    df = df.withColumn("sma_30", W.rolling_mean("price", w, 30)).withColumn("sma_60", W.rolling_mean("price", w, 60))
-    df = df.withColumn("momentum_10", W.pct_change("price", w, 10)).withColumn("momentum_30", W.pct_change("price", w, 30))
-    df = df.withColumn("volatility_30", W.rolling_std("returns", w, 30))
-    for k in (1, 2, 5):
-        df = df.withColumn(f"lag_return_{k}", W.lag("returns", w, k))
-    df = rsi(df)
-    df = W.ewm(df, "price", "__ema12", KEYS, ORDER, span=12)
-    df = W.ewm(df, "price", "__ema26", KEYS, ORDER, span=26)
-    df = df.withColumn("macd", F.col("__ema12") - F.col("__ema26"))
-    df = W.ewm(df, "macd", "macd_signal", KEYS, ORDER, span=9)
-    df = df.withColumn("price_change", W.diff("price", w))
-    df = df.withColumn("sma_ratio", F.try_divide(F.col("sma_30"), F.col("sma_60")) - F.lit(1.0))
-    df = df.withColumn("macd_diff", F.col("macd") - F.col("macd_signal"))
-    df = W.ewm(df, "returns", "ema_return_10", KEYS, ORDER, span=10)
-    df = df.withColumn("zscore_30", F.try_divide(F.col("returns") - W.rolling_mean("returns", w, 30),
-                                                 F.col("volatility_30")))
-    df = df.withColumn("dir_strength", F.try_divide(F.col("momentum_10"), F.col("volatility_30") + F.lit(C.EPS)))
+    # level 1: everything that reads only the price (one Window pass over the symbol's bars)
+    df = series.select("symbol", "minute", "price",
+                       W.pct_change("price", w).alias("returns"),
+                       W.rolling_mean("price", w, 30).alias("sma_30"), W.rolling_mean("price", w, 60).alias("sma_60"),
+                       W.pct_change("price", w, 10).alias("momentum_10"), W.pct_change("price", w, 30).alias("momentum_30"),
+                       W.diff("price", w).alias("price_change"))
+    # level 2: what reads returns / price changes
+    gain = F.when(F.col("price_change") > 0, F.col("price_change")).otherwise(F.lit(0.0))
+    loss = F.when(F.col("price_change") < 0, -F.col("price_change")).otherwise(F.lit(0.0))
+    df = df.select("*", W.rolling_std("returns", w, 30).alias("volatility_30"),
+                   W.rolling_mean("returns", w, 30).alias("__ret_mean30"),
+                   *[W.lag("returns", w, k).alias(f"lag_return_{k}") for k in (1, 2, 5)],
+                   gain.alias("__gain"), loss.alias("__loss"))
+    g, l_ = W.rolling_mean("__gain", w, 14), W.rolling_mean("__loss", w, 14)
+    rsi = (F.when(l_ == 0, F.when(g > 0, F.lit(100.0)))
+            .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.try_divide(g, l_))))
+    df = df.select("*", rsi.alias("rsi_14"))
+    # EWMs: both price EWMs and the return EWM in shared passes, then the signal line on macd
+    df = W.ewm_many(df, [("price", "__ema12", 12), ("price", "__ema26", 26), ("returns", "ema_return_10", 10)],
+                    KEYS, ORDER)
+    df = df.select("*", (F.col("__ema12") - F.col("__ema26")).alias("macd"))
+    df = W.ewm_many(df, [("macd", "macd_signal", 9)], KEYS, ORDER)
+    df = df.select("*",
+                   (F.try_divide(F.col("sma_30"), F.col("sma_60")) - F.lit(1.0)).alias("sma_ratio"),
+                   (F.col("macd") - F.col("macd_signal")).alias("macd_diff"),
+                   F.try_divide(F.col("returns") - F.col("__ret_mean30"), F.col("volatility_30")).alias("zscore_30"),
+                   F.try_divide(F.col("momentum_10"), F.col("volatility_30") + F.lit(C.EPS)).alias("dir_strength"))
     df = df.select("symbol", "minute", "price", *FEATURE_COLUMNS)
     return df.na.drop("any", subset=FEATURE_COLUMNS) if dropna else df
 

@@ -24,7 +24,7 @@ def create_labels(features: DataFrame, horizon: int = C.LABEL_HORIZON, buy_q: fl
     df = features.withColumn("__fr", F.try_divide(W.lead("price", w, horizon), F.col("price")) - F.lit(1.0))
     if drop_unlabelled:
         df = df.filter(F.col("__fr").isNotNull())
-    df = W.ewm(df, "__fr", "future_return", KEYS, ORDER, span=5).drop("__fr")
+    df = W.ewm_many(df, [("__fr", "future_return", 5)], KEYS, ORDER).drop("__fr")
     whole = Window.partitionBy(*KEYS)
     upper = F.percentile("future_return", buy_q).over(whole)
     lower = F.percentile("future_return", sell_q).over(whole)

@@ -103,6 +103,67 @@ def ewm(df: DataFrame, x: str, out: str, keys: list[str], order: list[str], *, s
     return df.drop(n_obs, j, blk, k, loc)
 
 
+def _common_block(alphas: list[float]) -> int | None:
+    """One block size valid for every α: (1-α)^B <= e^-40 and (1-α)^-B far from overflow."""
+    b = max(ewm_block_size(a) for a in alphas)
+    return b if all(b * -math.log(1.0 - a) < 600.0 for a in alphas) else None
+
+
+def ewm_many(df: DataFrame, specs: list[tuple[str, str, float]], keys: list[str], order: list[str]) -> DataFrame:
+    """Several W6 EWMs (input column, output column, span) in shared window passes.
+
+    Same recursion and NULL rules as ``ewm``. All specs use one block size when one fits every span,
+    so EWMs of the same input share their running-count, block-sum and carry windows (three Window
+    operators per distinct input instead of three per EWM), and the projections are batched into a
+    few ``select``s rather than one plan node per column.
+    """
+    alphas = {out: 2.0 / (float(span) + 1.0) for _, out, span in specs}
+    common = _common_block(list(alphas.values()))
+    w = series_window(keys, order)
+    inputs = sorted({x for x, _, _ in specs})
+    tag = {x: f"__ewmin{i}" for i, x in enumerate(inputs)}
+    # 1. running observation count per input
+    df = df.select("*", *[F.count(x).over(w.rowsBetween(UNB, CUR)).alias(f"{tag[x]}_n") for x in inputs])
+    # 2. observation index and block per (input, block size)
+    blocks = {}
+    cols = []
+    for x, out, _ in specs:
+        b = common or ewm_block_size(alphas[out])
+        key = (x, b)
+        if key not in blocks:
+            name = f"{tag[x]}_{b}"
+            blocks[key] = name
+            j = F.col(f"{tag[x]}_n") - 1
+            cols += [j.alias(f"{name}_j"), F.floor(j / b).alias(f"{name}_b"),
+                     (j - F.floor(j / b) * b).alias(f"{name}_k")]
+    df = df.select("*", *cols)
+    # 3. in-block running sums (one Window per (input, block size))
+    loc = []
+    for x, out, _ in specs:
+        a = alphas[out]
+        d = 1.0 - a
+        name = blocks[(x, common or ewm_block_size(a))]
+        j, k = F.col(f"{name}_j"), F.col(f"{name}_k")
+        coef = F.when(j == 0, F.lit(1.0)).otherwise(F.lit(a))
+        term = F.coalesce(coef * F.col(x) * F.pow(F.lit(d), -k), F.lit(0.0))
+        wb = Window.partitionBy(*keys, f"{name}_b").orderBy(*order).rowsBetween(UNB, CUR)
+        loc.append((F.pow(F.lit(d), k) * F.sum(term).over(wb)).alias(f"__ewmloc_{out}"))
+    df = df.select("*", *loc)
+    # 4. previous block's end value (range frame over the block number) and the result
+    res = []
+    for x, out, _ in specs:
+        d = 1.0 - alphas[out]
+        name = blocks[(x, common or ewm_block_size(alphas[out]))]
+        j, k = F.col(f"{name}_j"), F.col(f"{name}_k")
+        prev_end = F.max_by(F.col(f"__ewmloc_{out}"), j).over(
+            Window.partitionBy(*keys).orderBy(f"{name}_b").rangeBetween(-1, -1))
+        y = F.col(f"__ewmloc_{out}") + F.coalesce(F.pow(F.lit(d), k + 1) * prev_end, F.lit(0.0))
+        res.append(F.when(F.col(f"{tag[x]}_n") > 0, y).alias(out))
+    df = df.select("*", *res)
+    temp = [c for c in df.columns if c.startswith("__ewmin") or c.startswith("__ewmloc_")]
+    return df.drop(*temp)
+
+
 def islands(df: DataFrame, value: str, keys: list[str], order: list[str], pos_out: str = "run_pos") -> DataFrame:
     """W9 gaps-and-islands: 1-based position of each row inside its run of equal consecutive values."""
     w = series_window(keys, order)
