@@ -16,7 +16,7 @@ from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str,
               values: list[str], right_order: str, *, offset_seconds: float = 0.0,
-              prefix: str = "", block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+              prefix: str = "", block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """For each left row, the right ``values`` of the latest right row with
     right_time <= left_time + offset (same ``on`` keys). Unmatched left rows get NULLs.
 
@@ -40,7 +40,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
 
 def asof_join_offsets(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str,
                       values: list[str], right_order: str, row_key: str, offsets: dict[str, float], *,
-                      block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+                      block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Several as-of lookups per left row in one scan, e.g. {"decision_": 0, "fill_": 1.0}: the price
     at the decision and one second later (J1 + J2).
 

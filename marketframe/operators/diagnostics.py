@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketframe import config as C
-from marketframe.operators.scan import blocked_scan
+from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
 
 
 def _mean_ts_us(c: str) -> Column:
@@ -59,7 +59,8 @@ def processing_diagnostics(hb: DataFrame) -> DataFrame:
                      "message_count", "diagnostics_timestamp")
 
 
-def feed_gaps(ticks: DataFrame, timeout_s: float = C.WATCHDOG_TIMEOUT_S, keys: list[str] | None = None) -> DataFrame:
+def feed_gaps(ticks: DataFrame, timeout_s: float = C.WATCHDOG_TIMEOUT_S, keys: list[str] | None = None,
+              block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Silences longer than ``timeout_s`` between consecutive ticks (of the whole feed, or per key).
 
     The previous-tick lookup is a blocked scan, so even the key-less (whole feed) form runs in
@@ -67,7 +68,8 @@ def feed_gaps(ticks: DataFrame, timeout_s: float = C.WATCHDOG_TIMEOUT_S, keys: l
     """
     keys = keys or []
     t = ticks.select(*keys, "timestamp", "seq")
-    t = blocked_scan(t, keys, ["timestamp", "seq"], "timestamp", prevs={"timestamp": "gap_start"})
+    t = blocked_scan(t, keys, ["timestamp", "seq"], "timestamp", prevs={"timestamp": "gap_start"},
+                     block_seconds=block_seconds)
     gap = (F.unix_micros("timestamp") - F.unix_micros("gap_start")) / F.lit(1e6)
     return (t.filter(gap > F.lit(float(timeout_s)))
              .select(*keys, "gap_start", F.col("timestamp").alias("gap_end"), gap.alias("gap_seconds")))

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from marketframe import config as C
 from marketframe.operators.asof import asof_join
-from marketframe.operators.scan import blocked_scan
+from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
 
 KEYS = ["strategy_name", "symbol"]
 ORDER = ["time", "seq"]
 
 
-def ledger(execution: DataFrame, starting_cash: float = C.STARTING_CASH) -> DataFrame:
+def ledger(execution: DataFrame, starting_cash: float = C.STARTING_CASH,
+           block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """L1: running position per (strategy, symbol) over approved executions.
 
     quantity += q; market_value += q·p; cash −= q·p; portfolio_value = cash + market_value
@@ -20,22 +21,26 @@ def ledger(execution: DataFrame, starting_cash: float = C.STARTING_CASH) -> Data
     """
     e = (execution.filter(F.col("approval_status") == "Y")
                   .withColumn("__flow", F.col("quantity") * F.col("executed_price")))
-    e = blocked_scan(e, KEYS, ORDER, "time", sums={"quantity": "__qty", "__flow": "__book"})
+    e = blocked_scan(e, KEYS, ORDER, "time", sums={"quantity": "__qty", "__flow": "__book"},
+                     block_seconds=block_seconds)
     return e.select("time", "seq", "strategy_name", "symbol",
                     (F.lit(float(starting_cash)) - F.col("__book")).alias("cash_balance"),
                     F.col("__qty").alias("quantity"), F.col("__book").alias("market_value"),
                     F.lit(float(starting_cash)).alias("portfolio_value"))
 
 
-def mark_to_market(ledger_rows: DataFrame, ticks: DataFrame) -> DataFrame:
+def mark_to_market(ledger_rows: DataFrame, ticks: DataFrame,
+                   block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """L2: re-mark each ledger row at the latest tick price at its time: mv = qty·price, pv = cash + mv."""
-    m = asof_join(ledger_rows, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_")
+    m = asof_join(ledger_rows, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_",
+                  block_seconds=block_seconds)
     mv = F.col("quantity") * F.col("mark_price")
     return m.select("time", "seq", "strategy_name", "symbol", "cash_balance", "quantity", "mark_price",
                     mv.alias("market_value"), (F.col("cash_balance") + mv).alias("portfolio_value"))
 
 
-def snapshots(ledger_rows: DataFrame, ticks: DataFrame, end, period_s: int = C.SNAPSHOT_PERIOD_S) -> DataFrame:
+def snapshots(ledger_rows: DataFrame, ticks: DataFrame, end, period_s: int = C.SNAPSHOT_PERIOD_S,
+              block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Every ``period_s`` seconds from each key's first ledger row to ``end``, the key's position
     as-of the snapshot time, marked at the symbol's latest tick price (portfolio_ts rows).
 
@@ -48,8 +53,9 @@ def snapshots(ledger_rows: DataFrame, ticks: DataFrame, end, period_s: int = C.S
     spine = first.select(*KEYS, F.explode(F.sequence(start, stop, F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
                                                                                        F.lit(period_s)))).alias("time"))
     pos = asof_join(spine, ledger_rows.withColumn("__ord", F.col("seq")), KEYS, "time", "time",
-                    ["cash_balance", "quantity"], "__ord")
-    px = asof_join(pos, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_")
+                    ["cash_balance", "quantity"], "__ord", block_seconds=block_seconds)
+    px = asof_join(pos, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_",
+                   block_seconds=block_seconds)
     mv = F.col("quantity") * F.col("mark_price")
     return px.select("time", "cash_balance", "symbol", "quantity", mv.alias("market_value"),
                      (F.col("cash_balance") + mv).alias("portfolio_value"), "strategy_name")

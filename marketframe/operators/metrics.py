@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketframe.operators.scan import blocked_scan
+from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
 
 
 def label(name: str) -> Column:
@@ -31,9 +31,10 @@ def select_series(samples: DataFrame, metric: str | None, eq: dict | None = None
     return s
 
 
-def counter_deltas(series: DataFrame, series_keys: list[str]) -> DataFrame:
+def counter_deltas(series: DataFrame, series_keys: list[str],
+                   block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Per-sample counter increase: v − prev, or v after a reset (v < prev); NULL for the first sample."""
-    s = blocked_scan(series, series_keys, ["ts"], "ts", prevs={"value": "__prev"})
+    s = blocked_scan(series, series_keys, ["ts"], "ts", prevs={"value": "__prev"}, block_seconds=block_seconds)
     delta = F.when(F.col("__prev").isNull(), F.lit(None).cast("double")) \
              .when(F.col("value") < F.col("__prev"), F.col("value")).otherwise(F.col("value") - F.col("__prev"))
     return s.withColumn("delta", delta).drop("__prev")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketframe import config as C
 from marketframe.functions.text import join_messages
-from marketframe.operators.scan import blocked_scan
+from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
 
 KEYS = ["strategy_name", "symbol"]
 ORDER = ["time", "seq"]
@@ -28,10 +28,10 @@ def direction(signal: str = "signal") -> Column:
 
 
 def pre_trade_state(orders: DataFrame, starting_cash: float = C.STARTING_CASH, price: str = "model_price",
-                    block_seconds: int | None = None) -> DataFrame:
+                    block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Adds qty_before, cash_before, market_value (qty_before × price), portfolio_value,
     pv_max_before (max of earlier portfolio values) and pv_prev (the latest earlier one)."""
-    kw = {"block_seconds": block_seconds} if block_seconds else {}
+    kw = {"block_seconds": block_seconds}
     o = orders.withColumn("__cost", F.col("quantity") * F.col(price))
     o = blocked_scan(o, KEYS, ORDER, "time", sums_excl={"quantity": "qty_before", "__cost": "cost_before"}, **kw)
     o = (o.withColumn("cash_before", F.lit(float(starting_cash)) - F.col("cost_before"))

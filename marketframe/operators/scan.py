@@ -24,6 +24,26 @@ UNB = Window.unboundedPreceding
 CUR = Window.currentRow
 
 DEFAULT_BLOCK_SECONDS = 6 * 3600
+# rows one window task handles comfortably (sort + buffer spill stay small)
+ROWS_PER_TASK = 2_000_000
+
+
+def plan_block_seconds(df: DataFrame, keys: list[str], time_col: str,
+                       rows_per_block: int = ROWS_PER_TASK) -> int | None:
+    """Size check for per-key scans, from one small aggregate (one row comes back).
+
+    None when the largest key has at most ``rows_per_block`` rows: a plain per-key window is then
+    bounded and cheapest. Otherwise a block length that gives the largest key about
+    ``rows_per_block`` rows per block at its average density.
+    """
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.max(F.unix_seconds(F.col(time_col))) - F.min(F.unix_seconds(F.col(time_col)))).alias("span"))
+    row = per_key.agg(F.max(F.struct("n", "span")).alias("m")).first()
+    if row is None or row["m"] is None or row["m"]["n"] <= rows_per_block:
+        return None
+    n, span = row["m"]["n"], max(int(row["m"]["span"] or 0), 1)
+    return max(60, int(span * rows_per_block / n))
 
 
 def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str, *,
@@ -33,9 +53,12 @@ def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str
                  maxes_excl: dict[str, str] | None = None,
                  lasts: dict[str, str] | None = None,
                  prevs: dict[str, str] | None = None,
-                 block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+                 block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Per-key scans over rows ordered by ``order`` (must be a total order within a key).
 
+    ``block_seconds=None`` runs plain per-key windows (use it when ``plan_block_seconds`` has shown
+    every key fits one task).
+
     sums: inclusive running sum (NULLs add nothing; 0 when no value yet)
     sums_excl: running sum over strictly earlier rows
     maxes / maxes_excl: running max, inclusive / strictly earlier rows (NULL when none)
@@ -45,6 +68,8 @@ def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str
     sums, sums_excl = sums or {}, sums_excl or {}
     maxes, maxes_excl = maxes or {}, maxes_excl or {}
     lasts, prevs = lasts or {}, prevs or {}
+    if block_seconds is None:
+        return _plain_scan(df, keys, order, sums, sums_excl, maxes, maxes_excl, lasts, prevs)
     blk = "__blk"
     bkeys = keys + [blk]
     ordc = F.struct(*[F.col(c) for c in order])
@@ -106,3 +131,17 @@ def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str
     for c, o in prevs.items():
         out.append(F.when(F.col(f"__rn_{o}") == 1, F.col(f"__cp_{c}")).otherwise(F.col(f"__lp_{o}")).alias(o))
     return j.select(*df.columns, *out)
+
+
+def _plain_scan(df, keys, order, sums, sums_excl, maxes, maxes_excl, lasts, prevs) -> DataFrame:
+    """Same outputs as the blocked form with one window per key (keys proven small)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    run, before = w.rowsBetween(UNB, CUR), w.rowsBetween(UNB, -1)
+    out = []
+    out += [F.coalesce(F.sum(c).over(run), F.lit(0)).alias(o) for c, o in sums.items()]
+    out += [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(o) for c, o in sums_excl.items()]
+    out += [F.max(c).over(run).alias(o) for c, o in maxes.items()]
+    out += [F.max(c).over(before).alias(o) for c, o in maxes_excl.items()]
+    out += [F.last(c, ignorenulls=True).over(run).alias(o) for c, o in lasts.items()]
+    out += [F.lag(c, 1).over(w).alias(o) for c, o in prevs.items()]
+    return df.select(*df.columns, *out)

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketframe import config as C
-from marketframe.operators.scan import blocked_scan
+from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
 
 KEYS = ["strategy_name", "symbol"]
 ORDER = ["time", "seq"]
@@ -30,12 +30,14 @@ def class_to_signal(cls: str = "pred_class") -> Column:
              .otherwise(F.lit("HOLD")))
 
 
-def run_positions(df: DataFrame, value: str, keys=KEYS, order=ORDER, out: str = "run_pos") -> DataFrame:
+def run_positions(df: DataFrame, value: str, keys=KEYS, order=ORDER, out: str = "run_pos",
+                  block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """W9 gaps-and-islands with blocked scans: position of each row in its run of equal values."""
     d = df.withColumn("__one", F.lit(1))
-    d = blocked_scan(d, keys, order, "time", sums={"__one": "__rn"}, prevs={value: "__prev"})
+    d = blocked_scan(d, keys, order, "time", sums={"__one": "__rn"}, prevs={value: "__prev"},
+                     block_seconds=block_seconds)
     d = d.withColumn("__start", F.when(~F.col("__prev").eqNullSafe(F.col(value)), F.col("__rn")))
-    d = blocked_scan(d, keys, order, "time", lasts={"__start": "__run_start"})
+    d = blocked_scan(d, keys, order, "time", lasts={"__start": "__run_start"}, block_seconds=block_seconds)
     return d.withColumn(out, (F.col("__rn") - F.col("__run_start") + 1).cast("int")) \
             .drop("__one", "__rn", "__prev", "__start", "__run_start")
 
@@ -91,7 +93,7 @@ def _neg_time(c) -> Column:
 
 
 def reset_points(times: DataFrame, keys: list[str], time_col: str = "time", interval_col: str = "reset_interval",
-                 block_seconds: int | None = None) -> DataFrame:
+                 block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """L9 greedy reset schedule per key: start r0 = first time; each next reset is the first time
     strictly later than (previous reset + interval seconds). Returns the resets after r0 with their
     ordinal (r0 itself is the strategy start, not a reset).
@@ -104,9 +106,8 @@ def reset_points(times: DataFrame, keys: list[str], time_col: str = "time", inte
        m < 2^(K+1), with K chosen from the longest possible chain, (span / min interval) + 1.
     Work is O(n log L) for n distinct times and chain length L, spread over (key, time-block) tasks.
     """
-    from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS
     from marketframe.session import cut_lineage
-    bs = block_seconds or DEFAULT_BLOCK_SECONDS
+    bs = block_seconds
     T = times.select(*keys, F.col(time_col).alias("t"), F.col(interval_col).cast("double").alias("iv")).distinct()
     thr = F.col("t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("iv"))
     query = T.select(*keys, _neg_time(thr).alias("__nt"), F.lit(0).alias("__side"), "t")

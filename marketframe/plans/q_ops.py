@@ -9,6 +9,7 @@ from marketframe import config as C
 from marketframe.operators import diagnostics as DG
 from marketframe.operators import metrics as MT
 from marketframe.operators.ledger import latest_per_key
+from marketframe.operators.scan import plan_block_seconds
 from marketframe.plans import reports as R
 from marketframe.plans.registry import register
 from marketframe.plans.q_market import BAR_COLS, BAR_DOUBLES, bars
@@ -50,7 +51,8 @@ SELECT gap_start, gap_end, gap_seconds FROM (
          (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (ORDER BY timestamp, seq))) / 1e6 AS gap_seconds
   FROM ticks) WHERE gap_seconds > {C.WATCHDOG_TIMEOUT_S}""", "ticks"), ["gap_seconds"], "R6")
 def feed_gaps_q(spark, sf_dir):
-    return DG.feed_gaps(X.ticks(spark, sf_dir))
+    t = X.ticks(spark, sf_dir)
+    return DG.feed_gaps(t, block_seconds=plan_block_seconds(t, [], "timestamp"))
 
 
 @register("ingest_monitor", with_views(f"""
@@ -100,6 +102,11 @@ def latest_per_key_q(spark, sf_dir):
     return latest_per_key(execution(spark, sf_dir), ["strategy_name", "symbol"], ["time", "seq"])
 
 
+def metric_block_plan(spark, sf_dir):
+    """Size check for the per-series counter scans (one series per symbol)."""
+    return plan_block_seconds(X.ticks(spark, sf_dir), ["symbol"], "timestamp")
+
+
 METRIC_SQL = """
 SELECT timestamp AS ts, 'kafka_topic_partition_current_offset' AS metric, 'price_ticks' AS topic, symbol,
        CAST(row_number() OVER (PARTITION BY symbol ORDER BY timestamp, seq) % 500 AS DOUBLE) AS value
@@ -124,10 +131,11 @@ FROM g"""
 @register("counter_rate", with_views(f"SELECT * FROM ({RATE_SQL}) AS r", "ticks", extra=[("metric_samples", METRIC_SQL)]),
           ["increase", "rate", "rate_last5m"], "M1 M2 M3 M4 M5")
 def counter_rate_q(spark, sf_dir):
-    s = MT.select_series(X.metric_samples(spark, sf_dir), "kafka_topic_partition_current_offset",
+    bs = metric_block_plan(spark, sf_dir)
+    s = MT.select_series(X.metric_samples(spark, sf_dir, bs), "kafka_topic_partition_current_offset",
                          eq={"topic": "price_ticks"})
     s = s.select("ts", "value", MT.label("topic").alias("topic"), MT.label("symbol").alias("symbol"))
-    r = MT.rate(MT.counter_deltas(s, ["topic", "symbol"]), ["topic"], 60)
+    r = MT.rate(MT.counter_deltas(s, ["topic", "symbol"], bs), ["topic"], 60)
     bounds = r.groupBy("topic").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
     spine = bounds.select("topic", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 60 SECONDS"))).alias("t"))
     g = spine.join(r, ["topic", "t"], "left")
@@ -142,7 +150,8 @@ SELECT ts, symbol, greatest((1 - a / b) * 100.0, 0.0) AS value FROM (
   FROM metric_samples WHERE NOT regexp_full_match(symbol, 'error') GROUP BY ts, symbol)
 WHERE a IS NOT NULL AND b IS NOT NULL""", "ticks", extra=[("metric_samples", METRIC_SQL)]), ["value"], "M6 M7 M1")
 def gauge_ratio_q(spark, sf_dir):
-    s = MT.select_series(X.metric_samples(spark, sf_dir), None, not_regex={"symbol": "error"})
+    s = MT.select_series(X.metric_samples(spark, sf_dir, metric_block_plan(spark, sf_dir)), None,
+                         not_regex={"symbol": "error"})
     s = s.withColumn("symbol", MT.label("symbol"))
     return MT.gauge_ratio(s, "kafka_topic_partition_current_offset", "price_gauge", ["symbol"])
 
@@ -152,7 +161,7 @@ SELECT metric, symbol, max(ts) AS ts, arg_max(value, ts) AS value FROM metric_sa
 WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY metric, symbol""", "ticks",
                                       extra=[("metric_samples", METRIC_SQL)]), ["value"], "M8")
 def last_not_null_q(spark, sf_dir):
-    s = X.metric_samples(spark, sf_dir).withColumn("symbol", MT.label("symbol"))
+    s = X.metric_samples(spark, sf_dir, metric_block_plan(spark, sf_dir)).withColumn("symbol", MT.label("symbol"))
     return MT.last_not_null(s, ["metric", "symbol"])
 
 

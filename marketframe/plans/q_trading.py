@@ -11,6 +11,7 @@ from marketframe.operators import ledger as LG
 from marketframe.operators import risk as RK
 from marketframe.operators import signals as SG
 from marketframe.operators.asof import asof_join_offsets, missing_symbols
+from marketframe.operators.scan import ROWS_PER_TASK, plan_block_seconds
 from marketframe.session import cut_lineage
 from marketframe.plans import reports as R
 from marketframe.plans.registry import register
@@ -103,37 +104,54 @@ def ticks(spark, sf_dir):
     return X.ticks(spark, sf_dir).select("seq", "timestamp", "symbol", "price")
 
 
-def fills(spark, sf_dir):
+def block_plan(spark, sf_dir):
+    """Size check on the tick source, once per query: every per-key scan below holds at most three
+    rows per tick of its symbol (as-of unions), so the budget per task is a third of the default."""
+    return plan_block_seconds(ticks(spark, sf_dir), ["symbol"], "timestamp", ROWS_PER_TASK // 3)
+
+
+_AUTO = "auto"
+
+
+def _bs(spark, sf_dir, bs):
+    return block_plan(spark, sf_dir) if bs == _AUTO else bs
+
+
+def fills(spark, sf_dir, bs=_AUTO):
     """J1 + J2 in one scan: latest tick price at the decision and one second after it."""
+    bs = _bs(spark, sf_dir, bs)
     d = X.decisions(spark, sf_dir)
     return asof_join_offsets(d, ticks(spark, sf_dir), ["symbol"], "time", "timestamp", ["price"], "seq", "seq",
-                             {"decision_": 0.0, "fill_": 1.0})
+                             {"decision_": 0.0, "fill_": 1.0}, block_seconds=bs)
 
 
-def state(spark, sf_dir):
+def state(spark, sf_dir, bs=_AUTO):
     """Pre-trade state per order, materialised: risk, streak and sizing queries all start here."""
-    return cut_lineage(RK.pre_trade_state(fills(spark, sf_dir)))
+    bs = _bs(spark, sf_dir, bs)
+    return cut_lineage(RK.pre_trade_state(fills(spark, sf_dir, bs), block_seconds=bs))
 
 
-def checked(spark, sf_dir):
-    return RK.risk_checks(state(spark, sf_dir))
+def checked(spark, sf_dir, bs=_AUTO):
+    return RK.risk_checks(state(spark, sf_dir, bs))
 
 
-def execution(spark, sf_dir):
-    return RK.execution_log(checked(spark, sf_dir))
+def execution(spark, sf_dir, bs=_AUTO):
+    return RK.execution_log(checked(spark, sf_dir, bs))
 
 
-def ledger(spark, sf_dir):
+def ledger(spark, sf_dir, bs=_AUTO):
     """Ledger rows, materialised: snapshots read them twice (spine bounds and as-of positions)."""
-    return cut_lineage(LG.ledger(execution(spark, sf_dir)))
+    bs = _bs(spark, sf_dir, bs)
+    return cut_lineage(LG.ledger(execution(spark, sf_dir, bs), block_seconds=bs))
 
 
-def snapshots(spark, sf_dir):
-    return LG.snapshots(ledger(spark, sf_dir), ticks(spark, sf_dir), SNAP_END)
+def snapshots(spark, sf_dir, bs=_AUTO):
+    bs = _bs(spark, sf_dir, bs)
+    return LG.snapshots(ledger(spark, sf_dir, bs), ticks(spark, sf_dir), SNAP_END, block_seconds=bs)
 
 
-def portfolio_key(spark, sf_dir):
-    return LG.portfolio_key(ledger(spark, sf_dir), X.strategies(spark))
+def portfolio_key(spark, sf_dir, bs=_AUTO):
+    return LG.portfolio_key(ledger(spark, sf_dir, bs), X.strategies(spark))
 
 
 @register("asof_fill", _tsql("SELECT seq, strategy_name, symbol, time, model_price, decision_price, fill_price FROM fills",
@@ -201,7 +219,8 @@ SELECT l.time, l.seq, l.strategy_name, l.symbol, l.cash_balance, l.quantity, t.p
 FROM ledger l ASOF LEFT JOIN ticks t ON l.symbol = t.symbol AND l.time >= t.timestamp""", "ledger"),
           ["cash_balance", "quantity", "mark_price", "market_value", "portfolio_value"], "L2 J1")
 def mark_to_market_q(spark, sf_dir):
-    return LG.mark_to_market(ledger(spark, sf_dir), ticks(spark, sf_dir))
+    bs = block_plan(spark, sf_dir)
+    return LG.mark_to_market(ledger(spark, sf_dir, bs), ticks(spark, sf_dir), block_seconds=bs)
 
 
 SNAP_COLS = ["time", "cash_balance", "symbol", "quantity", "market_value", "portfolio_value", "strategy_name"]
@@ -240,8 +259,9 @@ FROM (
 
 
 def streaks(spark, sf_dir):
-    s = state(spark, sf_dir).filter(F.col("strategy_name") != C.LONG_ONLY)
-    s = SG.run_positions(s.withColumnRenamed("signal", "raw_signal"), "raw_signal")
+    bs = block_plan(spark, sf_dir)
+    s = state(spark, sf_dir, bs).filter(F.col("strategy_name") != C.LONG_ONLY)
+    s = SG.run_positions(s.withColumnRenamed("signal", "raw_signal"), "raw_signal", block_seconds=bs)
     return SG.apply_streak(s)
 
 
@@ -334,4 +354,4 @@ SELECT strategy_name, symbol, t AS reset_time, CAST(n AS BIGINT) AS reset_no FRO
   SELECT * FROM r) WHERE n > 0""", "decisions"), [], "L9")
 def reset_points_q(spark, sf_dir):
     d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
-    return SG.reset_points(d, ["strategy_name", "symbol"])
+    return SG.reset_points(d, ["strategy_name", "symbol"], block_seconds=block_plan(spark, sf_dir))

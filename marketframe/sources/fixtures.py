@@ -98,7 +98,7 @@ def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      k.alias("recall"), k.alias("f1")))
 
 
-def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metric_samples(spark: SparkSession, sf_dir: str, block_seconds: int | None = 6 * 3600) -> DataFrame:
     """Labelled counter and gauge samples: counter = running count per symbol modulo 500 (forces
     resets), gauge = price. Long form: one row per (ts, metric, labels).
 
@@ -107,7 +107,8 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from marketframe.operators.scan import blocked_scan
     t = ticks(spark, sf_dir).select("seq", "timestamp", "symbol", "price").withColumn("one", F.lit(1))
-    t = blocked_scan(t, ["symbol"], ["timestamp", "seq"], "timestamp", sums={"one": "running_n"})
+    t = blocked_scan(t, ["symbol"], ["timestamp", "seq"], "timestamp", sums={"one": "running_n"},
+                     block_seconds=block_seconds)
     labels = F.create_map(F.lit("topic"), F.lit("price_ticks"), F.lit("symbol"), F.col("symbol"))
     counter = t.select(F.col("timestamp").alias("ts"),
                        F.lit("kafka_topic_partition_current_offset").alias("metric"),
