@@ -22,7 +22,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """Scan with an explicit column list (ReadSchema carries only these columns)."""
     ensure_utc(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_small_scan(df)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """A file with one row group is one scan task, which would run all per-row work (JSON fields,
+    timestamp arithmetic) on one core. When a scan has fewer splits than the cluster has cores,
+    spread it round-robin; a large table has far more splits than cores and is left as is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _ts() -> Column:
