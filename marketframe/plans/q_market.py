@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from marketframe.operators import bars as B
@@ -14,9 +15,13 @@ BAR_DOUBLES = ["open", "high", "low", "close", "avg", "volume"]
 BAR_COLS = "minute, symbol, open, high, low, close, avg, volume"
 
 
-def bars(spark, sf_dir, open_mode="heavy"):
-    return B.ohlcv(X.ticks(spark, sf_dir).select("seq", "timestamp", "timestamp_ms", "symbol", "price", "volume"),
-                   open_mode=open_mode)
+def bars(spark, sf_dir, open_mode="heavy", frm=None, to=None):
+    """One-shot bars. With a report range [frm, to] on the bar minute, the ticks are bounded on the
+    stored event time first: minute in [frm, to] implies frm_minute <= ts < to_minute + 1 minute."""
+    lo = pd.Timestamp(frm).floor("min") if frm is not None else None
+    hi = pd.Timestamp(to).floor("min") + pd.Timedelta(minutes=1) if to is not None else None
+    t = X.ticks(spark, sf_dir, frm=lo, until=hi)
+    return B.ohlcv(t.select("seq", "timestamp", "timestamp_ms", "symbol", "price", "volume"), open_mode=open_mode)
 
 
 @register("ohlcv_bars", with_views(f"SELECT {BAR_COLS} FROM bars", "bars"), BAR_DOUBLES,
@@ -78,24 +83,24 @@ _RANGE = f"minute BETWEEN TIMESTAMP '{RANGE_FROM}' AND TIMESTAMP '{RANGE_TO}'"
 @register("price_series", with_views(f"SELECT minute, open, symbol FROM bars WHERE {_RANGE}", "bars"),
           ["open"], "B2 P8 T1")
 def price_series(spark, sf_dir):
-    return R.price_series(bars(spark, sf_dir), RANGE_FROM, RANGE_TO)
+    return R.price_series(bars(spark, sf_dir, frm=RANGE_FROM, to=RANGE_TO), RANGE_FROM, RANGE_TO)
 
 
 @register("volume_series", with_views(f"SELECT minute, volume, symbol FROM bars WHERE {_RANGE}", "bars"),
           ["volume"], "B3 P8 A3")
 def volume_series(spark, sf_dir):
-    return R.volume_series(bars(spark, sf_dir), RANGE_FROM, RANGE_TO)
+    return R.volume_series(bars(spark, sf_dir, frm=RANGE_FROM, to=RANGE_TO), RANGE_FROM, RANGE_TO)
 
 
 @register("total_volume", with_views(
     f"SELECT symbol, sum(volume) AS total_vol FROM bars WHERE {_RANGE} GROUP BY symbol", "bars"),
           ["total_vol"], "B4 A14")
 def total_volume(spark, sf_dir):
-    return R.total_volume(bars(spark, sf_dir), RANGE_FROM, RANGE_TO)
+    return R.total_volume(bars(spark, sf_dir, frm=RANGE_FROM, to=RANGE_TO), RANGE_FROM, RANGE_TO)
 
 
 @register("notional_volume", with_views(
     f"SELECT symbol, sum(volume * open) AS total_vol_usd FROM bars WHERE {_RANGE} GROUP BY symbol", "bars"),
           ["total_vol_usd"], "B4 A15 P17")
 def notional_volume(spark, sf_dir):
-    return R.notional_volume(bars(spark, sf_dir), RANGE_FROM, RANGE_TO)
+    return R.notional_volume(bars(spark, sf_dir, frm=RANGE_FROM, to=RANGE_TO), RANGE_FROM, RANGE_TO)

@@ -60,9 +60,20 @@ def tick_columns(with_user: bool = False) -> list[Column]:
     return cols
 
 
-def ticks(spark: SparkSession, sf_dir: str, with_user: bool = False) -> DataFrame:
-    """The raw tick table ``ticks`` (seq breaks ties between equal timestamps)."""
-    return read_table(spark, sf_dir, "events").select(*tick_columns(with_user))
+def ticks(spark: SparkSession, sf_dir: str, with_user: bool = False, frm=None, until=None) -> DataFrame:
+    """The raw tick table ``ticks`` (seq breaks ties between equal timestamps).
+
+    ``frm`` / ``until`` bound the event time as frm <= ts < until on the stored column itself, so the
+    bounds reach the Parquet reader (row-group and partition skipping) instead of being applied to a
+    derived value after the scan.
+    """
+    ensure_utc(spark)
+    raw = spark.read.parquet(table_path(sf_dir, "events"))
+    if frm is not None:
+        raw = raw.filter(F.col("ts") >= F.lit(str(frm)).cast("timestamp_ntz"))
+    if until is not None:
+        raw = raw.filter(F.col("ts") < F.lit(str(until)).cast("timestamp_ntz"))
+    return spread_small_scan(raw).select(*tick_columns(with_user))
 
 
 def strategies(spark: SparkSession) -> DataFrame:
