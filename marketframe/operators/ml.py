@@ -177,8 +177,11 @@ def train(labelled: DataFrame, kind: str, *, min_rows: int = C.MIN_TRAIN_ROWS, n
           **kw):
     """E8 gate + split + fit. Returns (model, data with split/weight) or (None, None) when the table
     has fewer than ``min_rows`` rows."""
+    from marketframe.session import cut_lineage
     feats = [c for c in FEATURE_COLUMNS if c in labelled.columns]
-    data = training_frame(labelled, newest=newest)
+    # Materialise the labelled, split and weighted set once; the gate, the fit's passes and the
+    # scoring all read the written copy instead of re-deriving features and labels
+    data = cut_lineage(training_frame(labelled, newest=newest))
     if data.count() < min_rows:
         return None, None
     tr = data.filter(F.col("split") == "train")

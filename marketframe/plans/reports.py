@@ -23,6 +23,8 @@ def _in_range(df: DataFrame, col: str, frm, to) -> DataFrame:
 
 
 def _symbols(df: DataFrame, symbols) -> DataFrame:
+    """P4 equality filter on the key column; ``symbol`` is the stored ``event_type`` renamed, so the
+    predicate passes the aggregate and reaches the Parquet reader as a pushed filter."""
     return df.filter(F.col("symbol").isin(list(symbols))) if symbols else df
 
 
