@@ -31,6 +31,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # partition is far above this floor, so coalescing is unchanged there
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files of DataFrames that went out of scope are removed by the context cleaner
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **UTC_CONF,
     }
     if shuffle_partitions:

@@ -30,10 +30,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     """A file with one row group is one scan task, which would run all per-row work (JSON fields,
     timestamp arithmetic) on one core. When a scan has fewer splits than the cluster has cores,
     spread it round-robin; a large table has far more splits than cores and is left as is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Connect session): leave the scan as planned
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _ts() -> Column:
