@@ -114,3 +114,19 @@ def test_heartbeat_and_sessions_stream(spark, tmpdir_path):
     q2.awaitTermination()
     assert spark.table("hb").agg(F.sum("message_count")).first()[0] <= t.count()
     assert spark.table("sess").count() > 0
+
+
+def test_snapshot_writer_marks_every_key(spark, tmpdir_path):
+    from marketframe.plans import q_trading as QT
+    led, t = QT.ledger(spark, SF001), X.ticks(spark, SF001)
+    lp, tp, out = (os.path.join(tmpdir_path, d) for d in ("ledger", "ticks", "snaps"))
+    led.write.parquet(lp)
+    t.write.parquet(tp)
+    q = (spark.readStream.schema(t.schema).parquet(tp).writeStream.foreachBatch(ST.snapshot_writer(lp, tp, out))
+         .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    snaps = spark.read.parquet(out)
+    keys = led.select("strategy_name", "symbol").distinct().count()
+    assert snaps.select("strategy_name", "symbol").distinct().count() == keys
+    bad = snaps.filter(F.abs(F.col("portfolio_value") - F.col("cash_balance") - F.col("market_value")) > 1e-6)
+    assert bad.count() == 0
