@@ -114,9 +114,11 @@ def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str
         carry.append(F.last(f"__l_{c}", ignorenulls=True).over(prior).alias(f"__cl_{c}"))
     for c in prevs:
         carry.append(F.lag(f"__p_{c}", 1).over(wb).alias(f"__cp_{c}"))
-    s = s.select(*bkeys, *carry)
+    s = s.select(*[F.col(k).alias(f"__sk{i}") for i, k in enumerate(bkeys)], *carry)
 
-    j = wd.join(s, bkeys, "left")
+    # null-safe keys: rows with a NULL key or time still get their block's carry
+    cond = [F.col(k).eqNullSafe(F.col(f"__sk{i}")) for i, k in enumerate(bkeys)]
+    j = wd.join(s, cond, "left")
     out = []
     for c, o in sums.items():
         out.append((F.col(f"__ls_{o}") + F.col(f"__ct_{c}")).alias(o))

@@ -250,3 +250,14 @@ def test_trading_chain_blocked_equals_plain(spark):
     assert a.exceptAll(b).count() == 0
     t = X.ticks(spark, SF001)
     assert DG.feed_gaps(t, block_seconds=7200).exceptAll(DG.feed_gaps(t, block_seconds=None)).count() == 0
+
+
+def test_blocked_scan_null_keys(spark):
+    t0 = pd.Timestamp("2024-01-01")
+    rows = [(None if i % 4 == 0 else "a", (t0 + pd.Timedelta(minutes=37 * i)).to_pydatetime(), i, float(i % 5))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, seq long, v double")
+    kw = dict(sums={"v": "s"}, lasts={"v": "l"}, prevs={"v": "p"})
+    a = blocked_scan(df, ["k"], ["t", "seq"], "t", block_seconds=3600, **kw)
+    b = blocked_scan(df, ["k"], ["t", "seq"], "t", block_seconds=None, **kw)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
