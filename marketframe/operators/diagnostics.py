@@ -8,6 +8,13 @@ from marketframe import config as C
 from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
 
 
+def _epoch_ms(ts) -> int:
+    from datetime import datetime, timezone
+    d = datetime.fromisoformat(str(ts))
+    d = d if d.tzinfo else d.replace(tzinfo=timezone.utc)
+    return int(d.timestamp() * 1000)
+
+
 def _mean_ts_us(c: str) -> Column:
     return F.floor(F.avg(F.unix_micros(F.col(c)))).cast("long")
 
@@ -34,13 +41,15 @@ def heartbeat(ticks: DataFrame, period_s: int = C.HEARTBEAT_S, start=None, end=N
         _mean_ts_us("insert_time").alias("__in"), F.count(F.lit(1)).alias("__n"))
     if keep_empty:
         if start is not None and end is not None:
-            bounds = t.sparkSession.range(1).select(
-                (F.ceil(F.unix_millis(F.lit(start).cast("timestamp")) / F.lit(ms)) * F.lit(ms)).cast("long").alias("lo"),
-                (F.ceil(F.unix_millis(F.lit(end).cast("timestamp")) / F.lit(ms)) * F.lit(ms)).cast("long").alias("hi"))
+            lo = -(-_epoch_ms(start) // ms) * ms
+            hi = -(-_epoch_ms(end) // ms) * ms
         else:
-            bounds = agg.agg(F.min("__w").alias("lo"), F.max("__w").alias("hi"))
-        spine = bounds.select(F.explode(F.sequence("lo", "hi", F.lit(ms).cast("long"))).alias("__w"))
-        agg = spine.join(agg, "__w", "left")
+            b = agg.agg(F.min("__w").alias("lo"), F.max("__w").alias("hi")).first()  # two numbers
+            lo, hi = b["lo"], b["hi"]
+        if lo is not None:
+            # a distributed range: the spine is generated across tasks, not exploded from one row
+            spine = t.sparkSession.range(lo, hi + ms, ms).select(F.col("id").alias("__w"))
+            agg = spine.join(agg, "__w", "left")
     ts, rc, ins = F.timestamp_micros("__ts"), F.timestamp_micros("__rc"), F.timestamp_micros("__in")
     return agg.select(
         ts.alias("avg_timestamp"), rc.alias("avg_received_at"), ins.alias("avg_processed_timestamp"),
