@@ -335,7 +335,7 @@ def recent_trades_q(spark, sf_dir):
     return R.recent_trades(execution(spark, sf_dir))
 
 
-@register("reset_points", with_views("""
+RESET_SQL = """
 SELECT strategy_name, symbol, t AS reset_time, CAST(n AS BIGINT) AS reset_no FROM (
   WITH RECURSIVE dt AS (SELECT DISTINCT strategy_name, symbol, time AS t, CAST(reset_interval AS DOUBLE) AS iv
                         FROM decisions),
@@ -351,7 +351,28 @@ SELECT strategy_name, symbol, t AS reset_time, CAST(n AS BIGINT) AS reset_no FRO
     WHERE (SELECT min(d.t) FROM dt d WHERE d.strategy_name = r.strategy_name AND d.symbol = r.symbol
              AND d.t > r.t + to_microseconds(CAST((SELECT max(iv) FROM dt x WHERE x.strategy_name = r.strategy_name
                                                    AND x.t = r.t AND x.symbol = r.symbol) * 1e6 AS BIGINT))) IS NOT NULL)
-  SELECT * FROM r) WHERE n > 0""", "decisions"), [], "L9")
+  SELECT * FROM r) WHERE n > 0"""
+
+
+@register("reset_points", with_views(RESET_SQL, "decisions"), [], "L9")
 def reset_points_q(spark, sf_dir):
     d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
     return SG.reset_points(d, ["strategy_name", "symbol"], block_seconds=block_plan(spark, sf_dir))
+
+
+@register("portfolio_status", with_views(f"""
+SELECT strategy_name, symbol, arg_max(status, {{'t': time, 'o': o}}) AS status, max(time) AS status_time
+FROM (SELECT strategy_name, symbol, time, 0 AS o, 'active' AS status FROM decisions
+      UNION ALL
+      SELECT strategy_name, symbol, reset_time, 1, 'closed' FROM ({RESET_SQL}) AS rp)
+GROUP BY strategy_name, symbol""", "decisions"), [], "K7 L8 L9")
+def portfolio_status_q(spark, sf_dir):
+    """K7: latest status event per portfolio: every decision marks it 'active'; a reset (L9) closes the
+    position and marks it 'closed' after that iteration's 'active'. Grouped max_by, one row per key."""
+    d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
+    resets = SG.reset_points(d, ["strategy_name", "symbol"], block_seconds=block_plan(spark, sf_dir))
+    events = (d.select("strategy_name", "symbol", "time", F.lit(0).alias("o"), F.lit("active").alias("status"))
+               .unionByName(resets.select("strategy_name", "symbol", F.col("reset_time").alias("time"),
+                                          F.lit(1).alias("o"), F.lit("closed").alias("status"))))
+    return events.groupBy("strategy_name", "symbol").agg(
+        F.max_by("status", F.struct("time", "o")).alias("status"), F.max("time").alias("status_time"))
