@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +68,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, unless their Python path has it already.
+
+    Needed when only the driver's ``sys.path`` names the folder; with ``--py-files`` or a shared
+    ``PYTHONPATH`` nothing is sent.
+    """
+    here = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(here)
+    on_path = {os.path.realpath(p or ".") for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), "."]}
+    sc = spark.sparkContext
+    if not os.path.isdir(here) or os.path.realpath(root) in on_path or getattr(sc, "_marketframe_sent", False):
+        return
+    made = os.path.join(os.path.realpath(tempfile.mkdtemp()), "marketframe.zip")
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(made)
+    sc._marketframe_sent = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
