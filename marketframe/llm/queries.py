@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, pii, quality, simhash
+from . import decontam, embed_dedup, langid, lm_score, packing, pages, pii, quality, sharding, simhash
 from .common import read
 
 
@@ -14,11 +14,34 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(read(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document; the target are documents labelled good and not toxic."""
+    good = read(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
+    return lm_score.scored(read(spark, sf_dir, "documents"), good)
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in 24 shards of nearly equal bytes, equal texts together."""
+    out = sharding.sharded(read(spark, sf_dir, "documents"), shards=24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the labelled ones."""
+    return langid.report(read(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base counts and digest, and all spans."""
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+def op6_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of every vector, within labels, at cosine 0.93."""
+    return embed_dedup.linked(read(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     groups = simhash.duplicate_groups(read(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -35,17 +58,39 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extracted(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_sharding": op3_sharding,
+    "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
+    "op6_embedding_neardup": op6_embedding_neardup,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
+    "op10_html": op10_html,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES = {
+    "op6_embedding_neardup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS len FROM v),
+g AS (SELECT * FROM u WHERE vec_id IS NOT NULL AND label IS NOT NULL AND isfinite(len) AND len > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.e, b.e) / (a.len * b.len) >= 0.93),
+r(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       least(vec_id, coalesce(low, vec_id)) = vec_id AS kept
+FROM v LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op9_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS i, {_WORDS} AS w FROM benchmark),
