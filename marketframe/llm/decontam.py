@@ -20,7 +20,7 @@ from .common import appended, fresh, joined_ids
 # ASCII letters in lower case, digits and all bytes of multi-byte characters stay; the rest separates words
 _TABLE = bytes((c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32)
                for c in range(256))
-_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")  # in the original: capitals are letters
 
 
 def words_of(text: bytes | None) -> list[bytes]:

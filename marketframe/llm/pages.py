@@ -204,11 +204,25 @@ def kept_lines(zones: list[int], marks: list[int], sizes: list[int], others: lis
     return [z == MAIN or (z == OPEN and i not in shared) for i, z in enumerate(zones)]
 
 
+def bucket_edges(keys: list[tuple[str, str]], step: int) -> list[tuple[str, str]]:
+    """First keys of buckets of about ``step`` of the sorted ``(host, path)`` keys. An edge that would leave a host
+    with a single key on either side moves to where that host begins or ends, so pages of a host meet others."""
+    edges: list[tuple[str, str]] = []
+    last = 0
+    for j in range(step, len(keys), step):
+        lo, hi = bisect_left(keys, (keys[j][0], "")), bisect_right(keys, (keys[j][0], chr(0x10FFFF)))
+        at = lo if j - max(lo, last) < 2 else hi if hi - j < 2 else j
+        if last < at < len(keys):
+            edges.append(keys[at])
+            last = at
+    return edges
+
+
 def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_000) -> DataFrame:
     """One row per page of ``pages(page_id, url, html)``: ``page_id, url, text, n_chars``.
 
     Pages of a host are cut into buckets of neighbouring paths at quantiles of a bounded URL sample, so a hot host
-    is many buckets; inside a bucket pages stream by in path order and each meets the page before and after it.
+    is many buckets; inside a bucket pages stream by in path order and each meets the two before and after it.
     Null html is empty and gives an empty text; null or unreadable URLs share the empty host. Repeated pages are
     extracted alike. Only lines that may be main text are shuffled, with a hash of every line.
     """
@@ -218,8 +232,7 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
     wanted = -(-n // pages_a_bucket)
     keyed = host_and_path(rows, "url").select("host", "path")
     picked = sorted((r.host, r.path) for r in bounded_sample(keyed, ["host", "path"], ["host", "path"], url_sample, rows=n).collect())
-    step = max(1, -(-len(picked) // max(1, wanted)))
-    edges = picked[step::step]
+    edges = bucket_edges(picked, max(2, -(-len(picked) // max(1, wanted))))
     schema = ("host string, bucket int, path string, url string, page_id {id}, zones array<int>, marks array<long>, sizes array<int>, "
               "lines array<string>").format(id=own.schema["page_id"].dataType.simpleString())
 
@@ -247,19 +260,19 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, urls, texts = [], [], []
-        held: list[tuple | None] = [None, None]  # the page before, the page at hand
+        held: list[tuple | None] = [None] * 4  # two pages before, the page at hand, the next
 
         def done(after: tuple | None) -> None:
-            before, page = held
+            page = held[2]
             if page is not None:
-                others = [x[3:6] for x in (before, after) if x is not None and x[0] == page[0]]
+                others = [x[3:6] for x in (*held[:2], held[3], after) if x is not None and x[0] == page[0]]
                 keep = kept_lines(*page[3:6], others)
                 rest = iter(page[6])
                 lines = [next(rest) if z != OUT else None for z in page[3]]
                 ids.append(page[2])
                 urls.append(page[1])
                 texts.append("\n".join(t for t, k in zip(lines, keep, strict=True) if k))
-            held[:] = [page, after]
+            held[:] = [*held[1:], after]
 
         def batch(kinds: list) -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip((ids, urls, texts), kinds, strict=True)],
@@ -279,6 +292,7 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
                 if len(ids) >= 1000:
                     yield batch(kinds)
         done(None)
+        done(None)
         if ids:
             yield batch(kinds)
 

@@ -159,7 +159,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     least = checkpointed(fp.groupBy("fp").agg(F.min("doc_id").alias("first")))
     classes = near_classes(least.select("fp"), radius)
     named = least.join(classes, "fp", "left").select("fp", "first", F.coalesce("class", "fp").alias("class"))
-    group = named.groupBy("class").agg(F.min("first").alias("component_id"))
+    group = checkpointed(named.groupBy("class").agg(F.min("first").alias("component_id")))
     label = checkpointed(named.join(group, "class").select("fp", "class", "component_id"))
     return fp.join(label, "fp").select("doc_id", "fp", "class", "component_id")
 
