@@ -13,8 +13,6 @@ SYMBOL_SUFFIX = "USDT"
 TICKER_PATTERN = "BINANCE:(.*)USDT"
 WATCHDOG_TIMEOUT_S = 90
 HEARTBEAT_S = 60
-INSERT_BATCH_ROWS = 500
-INSERT_FLUSH_S = 1
 
 # --- fixed values: risk limits and portfolio ----------------------------------------------
 MAX_DRAWDOWN = 0.5
@@ -40,6 +38,32 @@ STRATEGIES = [
     ("SVM", "Separates classes using non-linear decision boundaries.", 600, 0.35, 43200, 6),
 ]
 
+# --- fixed values: the model each strategy reads its signals from (model names carry the ticker behind them)
+STRATEGY_MODELS = {
+    "Random_Forest": "Random-Forest",
+    "Gradient_Boosting": "Gradient-Boosting",
+    "Logistic_Regression": "Logistic-Regression",
+    "LSTM": "LSTM",
+    "SVM": "SVM-(RBF-Kernel)",
+}
+MODEL_TICKER = "ETH"
+
+# --- fixed values: portfolios present before any trade (strategy, ticker)
+SEED_PORTFOLIOS = [
+    ("Long Only", "ETH"), ("Long Only", "BTC"), ("Long Only", "XRP"), ("Long Only", "ADA"), ("Long Only", "SOL"),
+    ("Random_Forest", "ETH"), ("Gradient_Boosting", "ETH"), ("Logistic_Regression", "ETH"), ("LSTM", "ETH"), ("SVM", "ETH"),
+]
+
+# --- fixed values: texts of failed checks
+MSG_POSITION = "Trade value %.2f exceeds max allocation %.1f%% of portfolio %.2f."
+MSG_CASH = "Not enough cash. Needed %.2f, available %.2f."
+MSG_SHORT = "Short position limit exceeded. Current %s, attempted trade %s"
+MSG_DRAWDOWN = "Max drawdown %.2f%% exceeded limit %.0f%%."
+ERR_POSITION = "Error in position size check."
+ERR_CASH = "Error in cash balance check."
+ERR_QUANTITY = "Error in quantity balance check."
+ERR_DRAWDOWN = "Error in drawdown check."
+
 # --- fixed values: models (name, description, retrain hours) --------------------------------
 MODELS = [
     ("Logistic-Regression", "A linear baseline model for classification tasks.", 4),

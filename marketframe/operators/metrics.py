@@ -9,9 +9,9 @@ extrapolation of the PromQL ``rate`` is left out (it only rescales partial windo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
+from marketframe.operators.scan import BLOCK, MIN_BLOCK_ROWS, blocked, blocked_scan
 
 
 def label(name: str) -> Column:
@@ -31,32 +31,48 @@ def select_series(samples: DataFrame, metric: str | None, eq: dict | None = None
     return s
 
 
-def counter_deltas(series: DataFrame, series_keys: list[str],
-                   block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
-    """Per-sample counter increase: v − prev, or v after a reset (v < prev); NULL for the first sample."""
-    s = blocked_scan(series, series_keys, ["ts"], "ts", prevs={"value": "__prev"}, block_seconds=block_seconds)
+def counter_deltas(series: DataFrame, series_keys: list[str], order: list[str], min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
+    """Per-sample counter increase: v − prev, or v after a reset (v < prev); NULL for the first sample. ``order``: the
+    sample time, then what makes it a total order. ``series`` is read twice."""
+    s = blocked(series, series_keys, order[0], min_rows)
+    s = blocked_scan(s, series_keys, order, prevs={"value": "__prev"})
     delta = F.when(F.col("__prev").isNull(), F.lit(None).cast("double")) \
              .when(F.col("value") < F.col("__prev"), F.col("value")).otherwise(F.col("value") - F.col("__prev"))
-    return s.withColumn("delta", delta).drop("__prev")
+    return s.withColumn("delta", delta).drop("__prev", BLOCK)
 
 
-def increase(deltas: DataFrame, by: list[str], step_s: int) -> DataFrame:
-    """M3 increase(c[step]) on a step grid (window (t−step, t]), summed by the ``by`` labels (M4)."""
-    us = step_s * 1_000_000
-    t_end = F.timestamp_micros((F.ceil(F.unix_micros("ts") / F.lit(us)) * F.lit(us)).cast("long"))
-    return (deltas.filter(F.col("delta").isNotNull())
-                  .groupBy(*by, t_end.alias("t")).agg(F.sum("delta").alias("increase")))
+def increase(deltas: DataFrame, by: list[str], range_s: int, step_s: int) -> DataFrame:
+    """M3 increase(c[range]) at every step of a grid, summed by the ``by`` labels (M4). The range is a multiple of
+    the step: increments are first added up per step, then each step's sum counts at the range / step grid times
+    whose window (t − range, t] holds it. Both are grouped sums, no window over a series."""
+    if range_s % step_s:
+        raise ValueError("the range must be a multiple of the step")
+    step, rng = step_s * 1_000_000, range_s * 1_000_000
+    at = (F.ceil(F.unix_micros("ts") / F.lit(step)) * F.lit(step)).cast("long")
+    steps = deltas.filter(F.col("delta").isNotNull()).groupBy(*by, at.alias("__g")).agg(F.sum("delta").alias("delta"))
+    seen = F.explode(F.sequence(F.col("__g"), F.col("__g") + (rng - step), F.lit(step).cast("long")))
+    return (steps.withColumn("__t", seen).groupBy(*by, F.timestamp_micros("__t").alias("t"))
+                 .agg(F.sum("delta").alias("increase")))
 
 
-def rate(deltas: DataFrame, by: list[str], step_s: int) -> DataFrame:
-    """M2 rate(c[step]) = increase / seconds."""
-    return increase(deltas, by, step_s).withColumn("rate", F.col("increase") / F.lit(float(step_s)))
+def rate(deltas: DataFrame, by: list[str], range_s: int, step_s: int) -> DataFrame:
+    """M2 rate(c[range]) = increase / seconds, at every step."""
+    return increase(deltas, by, range_s, step_s).withColumn("rate", F.col("increase") / F.lit(float(range_s)))
 
 
-def last_over_time(df: DataFrame, keys: list[str], value: str, range_s: int, out: str) -> DataFrame:
-    """M5 last_over_time(x[range]): the latest non-NULL value within (t − range, t] per series."""
-    w = Window.partitionBy(*keys).orderBy(F.unix_seconds("t")).rangeBetween(-(range_s - 1), 0)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+def by_label(df: DataFrame, by: list[str], value: str, outputs: dict[str, str]) -> DataFrame:
+    """M4 sum/avg/max/min by (labels), at every step; no labels: over all series."""
+    fns = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min}
+    return df.groupBy(*by, "t").agg(*[fns[f](value).alias(o) for o, f in outputs.items()])
+
+
+def last_over_time(df: DataFrame, keys: list[str], value: str, range_s: int, step_s: int, out: str) -> DataFrame:
+    """M5 last_over_time(x[range]): at every step the latest non-NULL value within (t − range, t] per series; steps
+    without one are absent. Each value is listed at the steps that see it and the latest wins, by a grouped max_by."""
+    us = F.unix_micros("t")
+    seen = F.explode(F.sequence(us, us + (range_s - step_s) * 1_000_000, F.lit(step_s * 1_000_000).cast("long")))
+    return (df.filter(F.col(value).isNotNull()).select(*keys, us.alias("__at"), F.col(value).alias("__v"), seen.alias("__t"))
+              .groupBy(*keys, F.timestamp_micros("__t").alias("t")).agg(F.max_by("__v", "__at").alias(out)))
 
 
 def gauge_ratio(samples: DataFrame, num: str, den: str, keys: list[str], scale: float = 100.0) -> DataFrame:
@@ -75,4 +91,4 @@ def gauge_ratio(samples: DataFrame, num: str, den: str, keys: list[str], scale:
 def last_not_null(samples: DataFrame, keys: list[str]) -> DataFrame:
     """M8 stat-panel reduction lastNotNull per series."""
     s = samples.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return s.groupBy(*keys).agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
+    return s.groupBy(*keys).agg(F.max("ts").alias("ts"), F.max_by("value", F.struct("ts", "seq")).alias("value"))

@@ -1,13 +1,10 @@
 """Pre-trade checks K1–K5 and the execution record K6, set-based.
 
-The modelled system checks each order against the portfolio row as it stands at that moment,
-one order at a time. Here the same checks run for every order at once against the portfolio state
-*as known* from the order log: quantity and cost of all earlier orders of the key, marked at the
-order's price (``pre_trade_state``). Closed-loop replay (where a rejection changes later states) is
-not simulated; see README.
-
-Per-key running state uses ``blocked_scan``, so a portfolio holding a third of all orders is still
-spread over many tasks.
+The modelled system checks each order against the portfolio row and the value series as they stand at that
+moment. Here the recorded execution log gives both: ``portfolio_state`` looks up, for every order at once, the
+newest portfolio row and snapshot strictly before it (J3, J4). A rejection changes no later state, because the
+state comes from what was recorded. A check that cannot be made (missing row, NULL field) fails with its error
+text, as in the modelled system: nothing is approved on missing state.
 """
 
 from __future__ import annotations
@@ -16,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketframe import config as C
 from marketframe.functions.text import join_messages
-from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
+from marketframe.operators.asof import asof_lookup
 
 KEYS = ["strategy_name", "symbol"]
 ORDER = ["time", "seq"]
@@ -27,52 +24,55 @@ def direction(signal: str = "signal") -> Column:
              .otherwise(F.lit(0)))
 
 
-def pre_trade_state(orders: DataFrame, starting_cash: float = C.STARTING_CASH, price: str = "model_price",
-                    block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
-    """Adds qty_before, cash_before, market_value (qty_before × price), portfolio_value,
-    pv_max_before (max of earlier portfolio values) and pv_prev (the latest earlier one)."""
-    kw = {"block_seconds": block_seconds}
-    o = orders.withColumn("__cost", F.col("quantity") * F.col(price))
-    o = blocked_scan(o, KEYS, ORDER, "time", sums_excl={"quantity": "qty_before", "__cost": "cost_before"}, **kw)
-    o = (o.withColumn("cash_before", F.lit(float(starting_cash)) - F.col("cost_before"))
-          .withColumn("market_value", F.col("qty_before") * F.col(price))
-          .withColumn("portfolio_value", F.col("cash_before") + F.col("market_value"))
-          .drop("__cost", "cost_before"))
-    return blocked_scan(o, KEYS, ORDER, "time", maxes_excl={"portfolio_value": "pv_max_before"},
-                        prevs={"portfolio_value": "pv_prev"}, **kw)
+def portfolio_state(orders: DataFrame, rows: DataFrame, values: DataFrame) -> DataFrame:
+    """Adds qty_before, cash_before, market_value and portfolio_value of the newest portfolio row before
+    the order (NULL without one), and of the value series before it the maximum (pv_max) and the latest (pv_latest).
+    One blocked scan over orders, rows and snapshots answers all."""
+    r = rows.select(*KEYS, "time", "seq", "quantity", "cash_balance", "market_value", "portfolio_value")
+    v = values.select(*KEYS, "time", F.lit(0).cast("long").alias("seq"), F.col("portfolio_value").alias("value"))
+    o = asof_lookup(orders, {"row": r, "snap": v}, KEYS, "time", "time", "seq", strict=True, maxes={"value": "pv_max"})
+    return o.select(*orders.columns, F.col("row.quantity").alias("qty_before"), F.col("row.cash_balance").alias("cash_before"),
+                    F.col("row.market_value").alias("market_value"), F.col("row.portfolio_value").alias("portfolio_value"),
+                    "pv_max", F.col("snap.value").alias("pv_latest"))
+
+
+def _failed(error: Column, text: str, fail: Column, message: Column) -> Column:
+    """The error text where the check could not be made, the message where it failed, NULL where it passed."""
+    return F.when(error, F.lit(text)).when(F.coalesce(fail, F.lit(False)), message)
 
 
 def check_position_size(max_allocation: float = C.MAX_ALLOCATION) -> Column:
-    """K1: NULL when ok, else the failure message. Long Only bypasses."""
+    """K1: Long Only bypasses."""
     tv = F.abs(F.col("quantity") * F.col("model_price"))
-    fail = (F.col("strategy_name") != C.LONG_ONLY) & (tv > F.lit(max_allocation) * F.col("portfolio_value"))
-    msg = F.format_string("Trade value %.2f exceeds max allocation %.1f%% of portfolio %.2f.",
-                          tv, F.lit(max_allocation * 100.0), F.col("portfolio_value"))
-    return F.when(fail, msg)
+    msg = F.format_string(C.MSG_POSITION, tv, F.lit(max_allocation * 100.0), F.col("portfolio_value"))
+    check = _failed(tv.isNull() | F.col("portfolio_value").isNull(), C.ERR_POSITION,
+                    tv > F.lit(max_allocation) * F.col("portfolio_value"), msg)
+    return F.when(~F.col("strategy_name").eqNullSafe(F.lit(C.LONG_ONLY)), check)
 
 
 def check_cash_balance() -> Column:
-    """K2: a BUY costing more than the cash balance fails."""
+    """K2: a BUY costing more than the cash balance fails; only a BUY needs the balance."""
     cost = F.abs(F.col("quantity")) * F.col("model_price") * direction()
-    fail = (direction() == 1) & (cost > F.col("cash_before"))
-    return F.when(fail, F.format_string("Not enough cash. Needed %.2f, available %.2f.", cost, F.col("cash_before")))
+    buy = direction() == 1
+    return _failed(cost.isNull() | (buy & F.col("cash_before").isNull()), C.ERR_CASH,
+                   buy & (cost > F.col("cash_before")), F.format_string(C.MSG_CASH, cost, F.col("cash_before")))
 
 
 def check_short_limit(max_short: float = C.MAX_SHORT) -> Column:
-    """K3: a SELL that takes (position + trade) × price below −max_short fails."""
-    fail = (direction() == -1) & ((F.col("qty_before") + F.col("quantity")) * F.col("model_price") < F.lit(-max_short))
-    msg = F.concat(F.lit("Short position limit exceeded. Current "), F.col("qty_before").cast("string"),
-                   F.lit(", attempted trade "), F.col("quantity").cast("string"))
-    return F.when(fail, msg)
+    """K3: a SELL that takes (position + trade) × price below −max_short fails; only a SELL needs the position."""
+    sell = direction() == -1
+    after = (F.col("qty_before") + F.col("quantity")) * F.col("model_price")
+    msg = F.format_string(C.MSG_SHORT, F.col("qty_before").cast("string"), F.col("quantity").cast("string"))
+    return _failed(F.col("quantity").isNull() | (sell & after.isNull()), C.ERR_QUANTITY, sell & (after < F.lit(-max_short)), msg)
 
 
 def check_drawdown(max_drawdown: float = C.MAX_DRAWDOWN) -> Column:
-    """(max − latest) / max over the key's earlier values; no history or max <= 0 → ok."""
-    dd = (F.col("pv_max_before") - F.col("pv_prev")) / F.col("pv_max_before")
-    fail = ((F.col("strategy_name") != C.LONG_ONLY) & (F.col("pv_max_before") > 0)
-            & (F.coalesce(dd, F.lit(0.0)) > F.lit(max_drawdown)))
-    return F.when(fail, F.format_string(f"Max drawdown %.2f%% exceeded limit {max_drawdown * 100:.0f}%%.",
-                                        dd * F.lit(100.0)))
+    """K4: (max − latest) / max of the value series; no series or max <= 0 passes. Long Only bypasses."""
+    some = F.coalesce(F.col("pv_max") > 0, F.lit(False))
+    dd = F.try_divide(F.col("pv_max") - F.col("pv_latest"), F.col("pv_max"))
+    check = _failed(some & F.col("pv_latest").isNull(), C.ERR_DRAWDOWN, some & (dd > F.lit(max_drawdown)),
+                    F.format_string(C.MSG_DRAWDOWN, dd * F.lit(100.0), F.lit(max_drawdown * 100.0)))
+    return F.when(~F.col("strategy_name").eqNullSafe(F.lit(C.LONG_ONLY)), check)
 
 
 def risk_checks(state: DataFrame) -> DataFrame:

@@ -2,62 +2,78 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key in one task, so a key that
 holds a third of the data becomes a third of the job in one task. Here each key is cut into time
-blocks:
-
-1. a window over (key, block) computes the in-block prefix (parallel across blocks);
-2. one summary row per (key, block) (total, max, last value) goes through a window over the key's
-   blocks to give each block its carry (exclusive prefix over earlier blocks) — this table has one
-   row per (key, block), not per input row;
-3. the carry is joined back on (key, block) and combined with the in-block prefix.
-
-The summary is computed from the windowed frame, so it reuses the window's shuffle; the join side
-is tiny and AQE turns it into a broadcast when its measured size allows.
+blocks, at every size and by one plan:
+
+1. ``time_bounds`` takes each key's row count and time quantiles (one small aggregate row per key) and
+   ``with_blocks`` numbers the rows: a key of n rows gets about sqrt(n) blocks of about sqrt(n) rows
+   (at least ``MIN_BLOCK_ROWS``), cut at its own quantiles, so a burst is split and a small key has one;
+2. a window over (key, block) computes the in-block prefix, in parallel across blocks;
+3. one summary row per (key, block), pre-aggregated from the same rows, goes through a window over the
+   key's blocks to give each block its carry; that table has one row per (key, block);
+4. the carry is joined back on (key, block) and combined with the in-block prefix.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
-
-from marketframe.functions.timefn import block_of
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
 
-DEFAULT_BLOCK_SECONDS = 6 * 3600
-# rows one window task handles comfortably (sort + buffer spill stay small)
-ROWS_PER_TASK = 2_000_000
+BLOCK = "__blk"
+MIN_BLOCK_ROWS = 500
+CELLS = 16          # quantile cells per key; longer keys cut each cell into equal times
 
 
-def plan_block_seconds(df: DataFrame, keys: list[str], time_col: str,
-                       rows_per_block: int = ROWS_PER_TASK) -> int | None:
-    """Size check for per-key scans, from one small aggregate (one row comes back).
+def _micros(time_col: str) -> Column:
+    return F.unix_micros(F.col(time_col))
 
-    None when the largest key has at most ``rows_per_block`` rows: a plain per-key window is then
-    bounded and cheapest. Otherwise a block length that gives the largest key about
-    ``rows_per_block`` rows per block at its average density.
-    """
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.max(F.unix_seconds(F.col(time_col))) - F.min(F.unix_seconds(F.col(time_col)))).alias("span"))
-    row = per_key.agg(F.max(F.struct("n", "span")).alias("m")).first()
-    if row is None or row["m"] is None or row["m"]["n"] <= rows_per_block:
-        return None
-    n, span = row["m"]["n"], max(int(row["m"]["span"] or 0), 1)
-    return max(60, int(span * rows_per_block / n))
+
+def time_bounds(rows: DataFrame, keys: list[str], time_col: str, min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
+    """``(keys…, __cuts, __sub)``: per key the CELLS + 1 time quantiles and the blocks per cell; __sub is 0
+    where one block holds the key."""
+    n = F.count(F.lit(1))
+    blocks = F.ceil(n / F.greatest(F.lit(float(min_rows)), F.sqrt(n.cast("double"))))
+    shares = F.array(*[F.lit(i / CELLS) for i in range(CELLS + 1)])
+    return (rows.filter(F.col(time_col).isNotNull()).groupBy(*keys)
+            .agg(F.percentile_approx(_micros(time_col), shares, F.lit(2000)).alias("__cuts"), blocks.alias("__n"))
+            .withColumn("__sub", F.when(F.col("__n") <= 1, F.lit(0)).otherwise(F.ceil(F.col("__n") / F.lit(CELLS))).cast("long"))
+            .drop("__n"))
+
+
+def with_blocks(rows: DataFrame, bounds: DataFrame, keys: list[str], time_col: str) -> DataFrame:
+    """``rows`` with ``__blk``, a number that never falls as time rises within a key. Rows without a time
+    come first (-1); rows of a key without bounds share block 0."""
+    b = bounds.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], "__cuts", "__sub")
+    if keys:
+        cond = [F.col(k).eqNullSafe(F.col(f"__bk{i}")) for i, k in enumerate(keys)]
+        j = rows.join(b, cond, "left")
+    else:                                                       # bounds of the whole table: one row
+        one = F.lit(1)
+        j = rows.withColumn("__bk", one).join(F.broadcast(b.withColumn("__bk", one)), "__bk", "left").drop("__bk")
+    t = _micros(time_col)
+    cell = sum((F.coalesce(t >= F.col("__cuts")[i], F.lit(False)).cast("long") for i in range(1, CELLS)), F.lit(0).cast("long"))
+    lo, hi = F.get("__cuts", cell.cast("int")), F.get("__cuts", (cell + 1).cast("int"))
+    part = F.floor((t - lo).cast("double") * F.col("__sub") / (hi - lo + 1)).cast("long")
+    part = F.least(F.greatest(part, F.lit(0)), F.col("__sub") - 1)
+    blk = F.when(t.isNull(), F.lit(-1)).when(F.coalesce("__sub", F.lit(0)) == 0, F.lit(0)).otherwise(cell * F.col("__sub") + part)
+    return j.select(*rows.columns, blk.cast("long").alias(BLOCK))
 
 
-def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str, *,
+def blocked(rows: DataFrame, keys: list[str], time_col: str, min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
+    """``rows`` numbered by their own bounds (reads ``rows`` twice: pass a table or a materialised frame)."""
+    return with_blocks(rows, time_bounds(rows, keys, time_col, min_rows), keys, time_col)
+
+
+def blocked_scan(df: DataFrame, keys: list[str], order: list[str], *,
                  sums: dict[str, str] | None = None,
                  sums_excl: dict[str, str] | None = None,
                  maxes: dict[str, str] | None = None,
                  maxes_excl: dict[str, str] | None = None,
                  lasts: dict[str, str] | None = None,
-                 prevs: dict[str, str] | None = None,
-                 block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
-    """Per-key scans over rows ordered by ``order`` (must be a total order within a key).
-
-    ``block_seconds=None`` runs plain per-key windows (use it when ``plan_block_seconds`` has shown
-    every key fits one task).
+                 prevs: dict[str, str] | None = None) -> DataFrame:
+    """Per-key scans over rows ordered by ``order`` (must be a total order within a key). ``df`` carries
+    ``__blk`` (``with_blocks``), which must not fall along ``order``; it is kept for later scans.
 
     sums: inclusive running sum (NULLs add nothing; 0 when no value yet)
     sums_excl: running sum over strictly earlier rows
@@ -68,12 +84,8 @@ def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str
     sums, sums_excl = sums or {}, sums_excl or {}
     maxes, maxes_excl = maxes or {}, maxes_excl or {}
     lasts, prevs = lasts or {}, prevs or {}
-    if block_seconds is None:
-        return _plain_scan(df, keys, order, sums, sums_excl, maxes, maxes_excl, lasts, prevs)
-    blk = "__blk"
-    bkeys = keys + [blk]
+    bkeys = keys + [BLOCK]
     ordc = F.struct(*[F.col(c) for c in order])
-    d = df.withColumn(blk, block_of(time_col, block_seconds))
     w = Window.partitionBy(*bkeys).orderBy(*order)
     run, before = w.rowsBetween(UNB, CUR), w.rowsBetween(UNB, -1)
 
@@ -90,30 +102,22 @@ def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str
         local.append(F.last(c, ignorenulls=True).over(run).alias(f"__ll_{o}"))
     for c, o in prevs.items():
         local.append(F.lag(c, 1).over(w).alias(f"__lp_{o}"))
-        local.append(F.row_number().over(w).alias(f"__rn_{o}"))
-    wd = d.select("*", *local)
-
-    summ = []
-    for c in set(sums) | set(sums_excl):
-        summ.append(F.sum(c).alias(f"__t_{c}"))
-    for c in set(maxes) | set(maxes_excl):
-        summ.append(F.max(c).alias(f"__m_{c}"))
-    for c in lasts:
-        summ.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordc)).alias(f"__l_{c}"))
-    for c in prevs:
-        summ.append(F.max_by(F.col(c), ordc).alias(f"__p_{c}"))
-    s = wd.groupBy(*bkeys).agg(*summ)
-    wb = Window.partitionBy(*keys).orderBy(blk)
+    if prevs:
+        local.append(F.row_number().over(w).alias("__rn"))
+    wd = df.select("*", *local)
+
+    sums_of, max_of = sorted({*sums, *sums_excl}), sorted({*maxes, *maxes_excl})
+    summ = [F.sum(c).alias(f"__t_{c}") for c in sums_of]
+    summ += [F.max(c).alias(f"__m_{c}") for c in max_of]
+    summ += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordc)).alias(f"__l_{c}") for c in lasts]
+    summ += [F.max_by(F.col(c), ordc).alias(f"__p_{c}") for c in prevs]
+    s = df.groupBy(*bkeys).agg(*summ)
+    wb = Window.partitionBy(*keys).orderBy(BLOCK)
     prior = wb.rowsBetween(UNB, -1)
-    carry = []
-    for c in set(sums) | set(sums_excl):
-        carry.append(F.coalesce(F.sum(f"__t_{c}").over(prior), F.lit(0)).alias(f"__ct_{c}"))
-    for c in set(maxes) | set(maxes_excl):
-        carry.append(F.max(f"__m_{c}").over(prior).alias(f"__cm_{c}"))
-    for c in lasts:
-        carry.append(F.last(f"__l_{c}", ignorenulls=True).over(prior).alias(f"__cl_{c}"))
-    for c in prevs:
-        carry.append(F.lag(f"__p_{c}", 1).over(wb).alias(f"__cp_{c}"))
+    carry = [F.coalesce(F.sum(f"__t_{c}").over(prior), F.lit(0)).alias(f"__ct_{c}") for c in sums_of]
+    carry += [F.max(f"__m_{c}").over(prior).alias(f"__cm_{c}") for c in max_of]
+    carry += [F.last(f"__l_{c}", ignorenulls=True).over(prior).alias(f"__cl_{c}") for c in lasts]
+    carry += [F.lag(f"__p_{c}", 1).over(wb).alias(f"__cp_{c}") for c in prevs]
     s = s.select(*[F.col(k).alias(f"__sk{i}") for i, k in enumerate(bkeys)], *carry)
 
     # null-safe keys: rows with a NULL key or time still get their block's carry
@@ -131,19 +135,5 @@ def blocked_scan(df: DataFrame, keys: list[str], order: list[str], time_col: str
     for c, o in lasts.items():
         out.append(F.coalesce(F.col(f"__ll_{o}"), F.col(f"__cl_{c}")).alias(o))
     for c, o in prevs.items():
-        out.append(F.when(F.col(f"__rn_{o}") == 1, F.col(f"__cp_{c}")).otherwise(F.col(f"__lp_{o}")).alias(o))
+        out.append(F.when(F.col("__rn") == 1, F.col(f"__cp_{c}")).otherwise(F.col(f"__lp_{o}")).alias(o))
     return j.select(*df.columns, *out)
-
-
-def _plain_scan(df, keys, order, sums, sums_excl, maxes, maxes_excl, lasts, prevs) -> DataFrame:
-    """Same outputs as the blocked form with one window per key (keys proven small)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    run, before = w.rowsBetween(UNB, CUR), w.rowsBetween(UNB, -1)
-    out = []
-    out += [F.coalesce(F.sum(c).over(run), F.lit(0)).alias(o) for c, o in sums.items()]
-    out += [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(o) for c, o in sums_excl.items()]
-    out += [F.max(c).over(run).alias(o) for c, o in maxes.items()]
-    out += [F.max(c).over(before).alias(o) for c, o in maxes_excl.items()]
-    out += [F.last(c, ignorenulls=True).over(run).alias(o) for c, o in lasts.items()]
-    out += [F.lag(c, 1).over(w).alias(o) for c, o in prevs.items()]
-    return df.select(*df.columns, *out)

@@ -13,12 +13,13 @@ in parallel over its time blocks.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketframe import config as C
-from marketframe.operators.scan import DEFAULT_BLOCK_SECONDS, blocked_scan
+from marketframe.operators.scan import BLOCK, blocked_scan, with_blocks
+from marketframe.session import cut_lineage, ship_package
 
 KEYS = ["strategy_name", "symbol"]
 ORDER = ["time", "seq"]
@@ -30,16 +31,15 @@ def class_to_signal(cls: str = "pred_class") -> Column:
              .otherwise(F.lit("HOLD")))
 
 
-def run_positions(df: DataFrame, value: str, keys=KEYS, order=ORDER, out: str = "run_pos",
-                  block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
-    """W9 gaps-and-islands with blocked scans: position of each row in its run of equal values."""
+def run_positions(df: DataFrame, value: str, keys=KEYS, order=ORDER, out: str = "run_pos") -> DataFrame:
+    """W9 gaps-and-islands with blocked scans: position of each row in its run of equal values. ``df`` carries
+    block numbers (``scan.with_blocks``)."""
     d = df.withColumn("__one", F.lit(1))
-    d = blocked_scan(d, keys, order, "time", sums={"__one": "__rn"}, prevs={value: "__prev"},
-                     block_seconds=block_seconds)
-    d = d.withColumn("__start", F.when(~F.col("__prev").eqNullSafe(F.col(value)), F.col("__rn")))
-    d = blocked_scan(d, keys, order, "time", lasts={"__start": "__run_start"}, block_seconds=block_seconds)
+    d = blocked_scan(d, keys, order, sums={"__one": "__rn"}, prevs={value: "__prev"})
+    d = cut_lineage(d.withColumn("__start", F.when((F.col("__rn") == 1) | ~F.col("__prev").eqNullSafe(F.col(value)), F.col("__rn"))))
+    d = blocked_scan(d, keys, order, lasts={"__start": "__run_start"})
     return d.withColumn(out, (F.col("__rn") - F.col("__run_start") + 1).cast("int")) \
-            .drop("__one", "__rn", "__prev", "__start", "__run_start")
+            .drop("__one", "__rn", "__prev", "__start", "__run_start", BLOCK)
 
 
 def apply_streak(df: DataFrame, raw: str = "raw_signal", max_streak: str = "max_streak") -> DataFrame:
@@ -87,46 +87,80 @@ def close_orders(portfolio_key: DataFrame) -> DataFrame:
                                 F.lit("Y").alias("approval_status"), F.lit("Closing Position").alias("approval_comment"))
 
 
-def _neg_time(c) -> Column:
-    """A timestamp that sorts in the reverse order of ``c`` (used to scan forward in time)."""
-    return F.timestamp_micros(-F.unix_micros(c))
-
-
-def reset_points(times: DataFrame, keys: list[str], time_col: str = "time", interval_col: str = "reset_interval",
-                 block_seconds: int | None = DEFAULT_BLOCK_SECONDS) -> DataFrame:
-    """L9 greedy reset schedule per key: start r0 = first time; each next reset is the first time
-    strictly later than (previous reset + interval seconds). Returns the resets after r0 with their
-    ordinal (r0 itself is the strategy start, not a reset).
-
-    Exact and distributed, with no per-key array:
-    1. next(t) = first time > t + interval, for every distinct time, by one blocked scan over
-       reversed time (a forward as-of lookup);
-    2. pointer doubling: next^(2^k) by k self-joins, each materialised in the checkpoint folder;
-    3. chain expansion from r0: S ← S ∪ next^(2^k)(S) for k = 0..K, which yields next^m(r0) for every
-       m < 2^(K+1), with K chosen from the longest possible chain, (span / min interval) + 1.
-    Work is O(n log L) for n distinct times and chain length L, spread over (key, time-block) tasks.
+def _next(t: np.ndarray, iv: np.ndarray) -> np.ndarray:
+    """For every time the place of the first one strictly later than it plus its interval."""
+    return np.searchsorted(t, t + iv, side="right")
+
+
+def _block_map(pdf: pd.DataFrame) -> pd.DataFrame:
+    """How a block of times maps the threshold a schedule enters with to the one it leaves with: rows
+    (upto, leave), ascending; the first row with upto > threshold applies. Times that lead to one exit are one row."""
+    t, iv = pdf["t"].to_numpy(), pdf["iv"].to_numpy()
+    order = np.argsort(t, kind="stable")
+    t, iv = t[order], iv[order]
+    nxt, leave = _next(t, iv), np.zeros(len(t), dtype=np.int64)
+    for i in range(len(t) - 1, -1, -1):
+        leave[i] = t[i] + iv[i] if nxt[i] >= len(t) else leave[nxt[i]]
+    last = np.append(leave[1:] != leave[:-1], True)
+    return pd.DataFrame({"upto": t[last], "leave": leave[last]})
+
+
+def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The threshold a key's schedule enters each of its blocks with, from the blocks' maps in order."""
+    at, out = np.iinfo(np.int64).min, []
+    for blk, own in pdf.sort_values([BLOCK, "upto"]).groupby(BLOCK, sort=True):
+        out.append((blk, at))
+        k = int(np.searchsorted(own["upto"].to_numpy(), at, side="right"))
+        if k < len(own):
+            at = int(own["leave"].iloc[k])
+    return pd.DataFrame(out, columns=[BLOCK, "entry"])
+
+
+def _expand(pdf: pd.DataFrame, entry: int) -> np.ndarray:
+    """The schedule's times inside one block, given its entry threshold."""
+    t, iv = pdf["t"].to_numpy(), pdf["iv"].to_numpy()
+    order = np.argsort(t, kind="stable")
+    t, iv = t[order], iv[order]
+    nxt, i, out = _next(t, iv), int(np.searchsorted(t, entry, side="right")), []
+    while i < len(t):
+        out.append(t[i])
+        i = int(nxt[i])
+    return np.array(out, dtype=np.int64)
+
+
+def reset_points(times: DataFrame, keys: list[str], bounds: DataFrame, bound_keys: list[str], time_col: str = "time",
+                 interval_col: str = "reset_interval") -> DataFrame:
+    """L9 greedy reset schedule per key: start r0 = first time; each next reset is the first time strictly later
+    than (previous reset + interval seconds). Returns the resets after r0 with their ordinal (r0 itself is the
+    strategy start, not a reset).
+
+    Exact, in three grouped steps over time blocks (``bounds``: time quantiles per ``bound_keys``):
+    1. every (key, block) in parallel: the map from entry to exit threshold, times with one exit merged;
+    2. every key: its blocks' maps applied in order, which gives each block its entry (map rows only);
+    3. every (key, block) in parallel: the schedule inside the block from its entry.
+    One eager job materialises the distinct times, whatever the number of rows.
     """
-    from marketframe.session import cut_lineage
-    bs = block_seconds
-    T = times.select(*keys, F.col(time_col).alias("t"), F.col(interval_col).cast("double").alias("iv")).distinct()
-    thr = F.col("t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("iv"))
-    query = T.select(*keys, _neg_time(thr).alias("__nt"), F.lit(0).alias("__side"), "t")
-    data = T.select(*keys, _neg_time(F.col("t")).alias("__nt"), F.lit(1).alias("__side"), F.col("t").alias("__cand"))
-    u = query.unionByName(data, allowMissingColumns=True)
-    s = blocked_scan(u, keys, ["__nt", "__side"], "__nt", lasts={"__cand": "nxt"}, block_seconds=bs)
-    ptr = [cut_lineage(s.filter(F.col("__side") == 0).select(*keys, "t", "nxt"))]
-    bounds = T.groupBy(*keys).agg(((F.unix_seconds(F.max("t")) - F.unix_seconds(F.min("t"))) / F.min("iv")).alias("L"))
-    longest = bounds.agg(F.max("L")).first()[0] or 0.0      # one number
-    K = max(0, math.ceil(math.log2(longest + 2)))
-    for _ in range(K):
-        a, b = ptr[-1].alias("a"), ptr[-1].alias("b")
-        cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a.nxt") == F.col("b.t")]
-        ptr.append(cut_lineage(a.join(b, cond, "left").select(*[F.col(f"a.{k}") for k in keys], F.col("a.t"),
-                                                             F.col("b.nxt").alias("nxt"))))
-    chain = T.groupBy(*keys).agg(F.min("t").alias("t"))
-    for p in ptr:
-        step = chain.join(p, keys + ["t"]).filter(F.col("nxt").isNotNull()).select(*keys, F.col("nxt").alias("t"))
-        chain = cut_lineage(chain.unionByName(step).distinct())
-    w = Window.partitionBy(*keys).orderBy("t")
-    return (chain.withColumn("reset_no", F.row_number().over(w) - 1).filter(F.col("reset_no") > 0)
-                 .select(*keys, F.col("t").alias("reset_time"), "reset_no"))
+    ship_package(times.sparkSession)
+    key_type = {f.name: f.dataType.simpleString() for f in times.schema.fields}
+    kddl = ", ".join(f"`{k}` {key_type[k]}" for k in keys)
+    t = (times.filter(F.col(time_col).isNotNull())
+         .groupBy(*keys, time_col).agg((F.max(interval_col).cast("double") * 1_000_000).cast("long").alias("iv")))
+    t = with_blocks(t, bounds, bound_keys, time_col)
+    t = cut_lineage(t.select(*keys, BLOCK, F.unix_micros(time_col).alias("t"), "iv"))
+
+    def block_map(pdf):
+        return pd.concat([pdf[[*keys, BLOCK]].iloc[:1].merge(_block_map(pdf), how="cross")])
+
+    def entries(pdf):
+        return pdf[keys].iloc[:1].merge(_entries(pdf), how="cross")
+
+    def expand(pdf, own):
+        at = _expand(pdf, int(own["entry"].iloc[0])) if len(pdf) and len(own) else np.zeros(0, np.int64)
+        return pdf[keys].iloc[:1].merge(pd.DataFrame({"t": at}), how="cross") if len(at) else pd.DataFrame(columns=[*keys, "t"])
+
+    maps = t.groupBy(*keys, BLOCK).applyInPandas(block_map, f"{kddl}, {BLOCK} long, upto long, leave long")
+    into = maps.groupBy(*keys).applyInPandas(entries, f"{kddl}, {BLOCK} long, entry long")
+    chain = t.groupBy(*keys, BLOCK).cogroup(into.groupBy(*keys, BLOCK)).applyInPandas(expand, f"{kddl}, t long")
+    w = Window.partitionBy(*keys).orderBy("t")                  # resets only: span / interval rows a key
+    return (chain.withColumn("reset_no", (F.row_number().over(w) - 1).cast("long")).filter(F.col("reset_no") > 0)
+                 .select(*keys, F.timestamp_micros("t").alias("reset_time"), "reset_no"))

@@ -9,7 +9,6 @@ from marketframe import config as C
 from marketframe.operators import diagnostics as DG
 from marketframe.operators import metrics as MT
 from marketframe.operators.ledger import latest_per_key
-from marketframe.operators.scan import plan_block_seconds
 from marketframe.plans import reports as R
 from marketframe.plans.registry import register
 from marketframe.plans.q_market import BAR_COLS, BAR_DOUBLES, bars
@@ -18,6 +17,7 @@ from marketframe.plans.sql_views import with_views
 from marketframe.sources import fixtures as X
 from marketframe.sources import messages as MS
 from marketframe.sources import sinks as SK
+from marketframe.session import cut_lineage
 
 HB_MS = C.HEARTBEAT_S * 1000
 HB_SQL = f"""
@@ -51,18 +51,16 @@ SELECT gap_start, gap_end, gap_seconds FROM (
          (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (ORDER BY timestamp, seq))) / 1e6 AS gap_seconds
   FROM ticks) WHERE gap_seconds > {C.WATCHDOG_TIMEOUT_S}""", "ticks"), ["gap_seconds"], "R6")
 def feed_gaps_q(spark, sf_dir):
-    t = X.ticks(spark, sf_dir)
-    return DG.feed_gaps(t, block_seconds=plan_block_seconds(t, [], "timestamp"))
+    return DG.feed_gaps(X.ticks(spark, sf_dir))
 
 
 @register("ingest_monitor", with_views(f"""
-SELECT (SELECT arg_max(avg_websocket_lag, avg_timestamp) FROM hb) AS avg_websocket_lag,
-       (SELECT arg_max(avg_processing_lag, avg_timestamp) FROM hb) AS avg_processing_lag,
+SELECT (SELECT arg_max(avg_websocket_lag, {{'t': avg_timestamp, 'd': diagnostics_timestamp}}) FROM hb WHERE avg_timestamp IS NOT NULL) AS avg_websocket_lag,
+       (SELECT arg_max(avg_processing_lag, {{'t': avg_timestamp, 'd': diagnostics_timestamp}}) FROM hb WHERE avg_timestamp IS NOT NULL) AS avg_processing_lag,
        (SELECT count(timestamp) FROM ticks) AS total_rows""", "ticks", extra=[("hb", HB_SQL)]),
           ["avg_websocket_lag", "avg_processing_lag"], "B6 T2 A5")
 def ingest_monitor_q(spark, sf_dir):
-    hb = heartbeat(spark, sf_dir)
-    return R.ingest_monitor(X.ticks(spark, sf_dir), DG.websocket_diagnostics(hb), DG.processing_diagnostics(hb))
+    return R.ingest_monitor(heartbeat(spark, sf_dir))
 
 
 ARCHIVE_CUTOFF = "2024-01-20 00:00:00"
@@ -90,7 +88,7 @@ def retention_ttl_q(spark, sf_dir):
     return kept.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"), F.max("timestamp").alias("last_ts"))
 
 
-_EXEC = [c for c in ORACLE_CTES if c[0] in {"fills", "state0", "state1", "state", "checks0", "checks", "execution"}]
+_EXEC = ORACLE_CTES[: [n for n, _ in ORACLE_CTES].index("execution") + 1]
 
 
 @register("latest_per_key", with_views("""
@@ -102,45 +100,79 @@ def latest_per_key_q(spark, sf_dir):
     return latest_per_key(execution(spark, sf_dir), ["strategy_name", "symbol"], ["time", "seq"])
 
 
-def metric_block_plan(spark, sf_dir):
-    """Size check for the per-series counter scans (one series per symbol)."""
-    return plan_block_seconds(X.ticks(spark, sf_dir), ["symbol"], "timestamp")
-
-
 METRIC_SQL = """
-SELECT timestamp AS ts, 'kafka_topic_partition_current_offset' AS metric, 'price_ticks' AS topic, symbol,
+SELECT timestamp AS ts, seq, 'kafka_topic_partition_current_offset' AS metric, 'price_ticks' AS topic, symbol,
        CAST(row_number() OVER (PARTITION BY symbol ORDER BY timestamp, seq) % 500 AS DOUBLE) AS value
 FROM ticks
 UNION ALL
-SELECT timestamp, 'price_gauge', 'price_ticks', symbol, price FROM ticks"""
-
-RATE_SQL = """
-WITH c AS (SELECT * FROM metric_samples WHERE metric = 'kafka_topic_partition_current_offset' AND topic = 'price_ticks'),
-d AS (SELECT ts, topic, symbol, value, lag(value) OVER (PARTITION BY topic, symbol ORDER BY ts) AS prev FROM c),
-inc AS (SELECT topic, make_timestamp(CAST(ceil(epoch_us(ts) / 60e6) AS BIGINT) * 60000000) AS t,
-               sum(CASE WHEN value < prev THEN value ELSE value - prev END) AS increase
-        FROM d WHERE prev IS NOT NULL GROUP BY ALL),
-spine AS (SELECT topic, unnest(generate_series(min(t), max(t), INTERVAL 60 SECOND)) AS t FROM inc GROUP BY topic),
-g AS (SELECT s.topic, s.t, i.increase, i.increase / 60.0 AS rate FROM spine s LEFT JOIN inc i USING (topic, t))
-SELECT topic, t, increase, rate,
-       last_value(rate IGNORE NULLS) OVER (PARTITION BY topic ORDER BY epoch(t) RANGE BETWEEN 299 PRECEDING AND CURRENT ROW)
-         AS rate_last5m
-FROM g"""
-
-
-@register("counter_rate", with_views(f"SELECT * FROM ({RATE_SQL}) AS r", "ticks", extra=[("metric_samples", METRIC_SQL)]),
-          ["increase", "rate", "rate_last5m"], "M1 M2 M3 M4 M5")
+SELECT timestamp, seq, 'price_gauge', 'price_ticks', symbol, price FROM ticks"""
+
+STEP_S = 60
+
+
+def _increase_sql(by: str, range_s: int) -> str:
+    """increase(counter[range]) on the step grid, per ``by``: each increment counts at the steps t with ts <= t < ts + range."""
+    return f"""
+SELECT {by}, t, sum(delta) AS increase FROM (
+  SELECT {by}, delta, unnest(generate_series(make_timestamp(g), make_timestamp(g + {range_s - STEP_S}000000), INTERVAL {STEP_S} SECOND)) AS t
+  FROM (SELECT *, CAST(ceil(epoch_us(ts) / {STEP_S}e6) AS BIGINT) * {STEP_S}000000 AS g,
+               CASE WHEN value < prev THEN value ELSE value - prev END AS delta
+        FROM (SELECT *, lag(value) OVER (PARTITION BY topic, symbol ORDER BY ts, seq) AS prev FROM metric_samples
+              WHERE metric = 'kafka_topic_partition_current_offset' AND topic = 'price_ticks')
+        WHERE prev IS NOT NULL)) GROUP BY ALL"""
+
+
+def counter_increments(spark, sf_dir):
+    s = MT.select_series(X.metric_samples(spark, sf_dir), "kafka_topic_partition_current_offset", eq={"topic": "price_ticks"})
+    s = s.select("ts", "seq", "value", MT.label("topic").alias("topic"), MT.label("symbol").alias("symbol"))
+    return MT.counter_deltas(cut_lineage(s), ["topic", "symbol"], ["ts", "seq"])
+
+
+def _metric_sql(select: str) -> str:
+    return with_views(f"SELECT * FROM ({select}) AS r", "ticks", extra=[("metric_samples", METRIC_SQL)])
+
+
+@register("counter_rate", _metric_sql(f"""
+SELECT topic, u AS t, arg_max(rate, t) AS rate_last5m, max(CASE WHEN t = u THEN increase END) AS increase, max(CASE WHEN t = u THEN rate END) AS rate
+FROM (SELECT topic, t, increase, increase / {STEP_S}.0 AS rate, unnest(generate_series(t, t + INTERVAL 240 SECOND, INTERVAL {STEP_S} SECOND)) AS u
+      FROM ({_increase_sql('topic', STEP_S)})) GROUP BY topic, u"""), ["increase", "rate", "rate_last5m"], "M1 M2 M3 M4 M5")
 def counter_rate_q(spark, sf_dir):
-    bs = metric_block_plan(spark, sf_dir)
-    s = MT.select_series(X.metric_samples(spark, sf_dir, bs), "kafka_topic_partition_current_offset",
-                         eq={"topic": "price_ticks"})
-    s = s.select("ts", "value", MT.label("topic").alias("topic"), MT.label("symbol").alias("symbol"))
-    r = MT.rate(MT.counter_deltas(s, ["topic", "symbol"], bs), ["topic"], 60)
-    bounds = r.groupBy("topic").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
-    spine = bounds.select("topic", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 60 SECONDS"))).alias("t"))
-    g = spine.join(r, ["topic", "t"], "left")
-    return MT.last_over_time(g, ["topic"], "rate", 300, "rate_last5m").select("topic", "t", "increase", "rate",
-                                                                               "rate_last5m")
+    r = cut_lineage(MT.rate(counter_increments(spark, sf_dir), ["topic"], STEP_S, STEP_S))
+    return MT.last_over_time(r, ["topic"], "rate", 300, STEP_S, "rate_last5m").join(r, ["topic", "t"], "left") \
+             .select("topic", "t", "increase", "rate", "rate_last5m")
+
+
+@register("increase_5m", _metric_sql(f"SELECT topic, t, increase, increase / 300.0 AS per_second FROM ({_increase_sql('topic', 300)})"),
+          ["increase", "per_second"], "M3 M4")
+def increase_5m_q(spark, sf_dir):
+    i = MT.increase(counter_increments(spark, sf_dir), ["topic"], 300, STEP_S)
+    return i.withColumn("per_second", F.col("increase") / 300.0)
+
+
+@register("increase_10m", _metric_sql(f"SELECT symbol, t, increase, increase / 600.0 AS per_second FROM ({_increase_sql('symbol', 600)})"),
+          ["increase", "per_second"], "M3")
+def increase_10m_q(spark, sf_dir):
+    i = MT.increase(counter_increments(spark, sf_dir), ["symbol"], 600, STEP_S)
+    return i.withColumn("per_second", F.col("increase") / 600.0)
+
+
+@register("avg_rate", _metric_sql(f"""
+SELECT t, avg(increase / 300.0) AS avg_rate, sum(increase / 300.0) AS sum_rate FROM ({_increase_sql('symbol', 300)}) GROUP BY t"""),
+          ["avg_rate", "sum_rate"], "M2 M4")
+def avg_rate_q(spark, sf_dir):
+    r = MT.rate(counter_increments(spark, sf_dir), ["symbol"], 300, STEP_S)
+    return MT.by_label(r, [], "rate", {"avg_rate": "avg", "sum_rate": "sum"})
+
+
+@register("sum_by_label", _metric_sql(f"""
+SELECT symbol, t, sum(increase / {STEP_S}.0) AS sum_rate FROM ({_increase_sql('symbol', STEP_S)})
+WHERE regexp_full_match(symbol, 'c.*|view') GROUP BY symbol, t"""), ["sum_rate"], "M1 M4")
+def sum_by_label_q(spark, sf_dir):
+    s = MT.select_series(X.metric_samples(spark, sf_dir), "kafka_topic_partition_current_offset", eq={"topic": "price_ticks"},
+                         regex={"symbol": "c.*|view"})
+    s = cut_lineage(s.select("ts", "seq", "value", MT.label("symbol").alias("symbol")))
+    r = MT.rate(MT.counter_deltas(s, ["symbol"], ["ts", "seq"]), ["symbol"], STEP_S, STEP_S)
+    return MT.by_label(r, ["symbol"], "rate", {"sum_rate": "sum"})
 
 
 @register("gauge_ratio", with_views("""
@@ -150,18 +182,18 @@ SELECT ts, symbol, greatest((1 - a / b) * 100.0, 0.0) AS value FROM (
   FROM metric_samples WHERE NOT regexp_full_match(symbol, 'error') GROUP BY ts, symbol)
 WHERE a IS NOT NULL AND b IS NOT NULL""", "ticks", extra=[("metric_samples", METRIC_SQL)]), ["value"], "M6 M7 M1")
 def gauge_ratio_q(spark, sf_dir):
-    s = MT.select_series(X.metric_samples(spark, sf_dir, metric_block_plan(spark, sf_dir)), None,
+    s = MT.select_series(X.metric_samples(spark, sf_dir), None,
                          not_regex={"symbol": "error"})
     s = s.withColumn("symbol", MT.label("symbol"))
     return MT.gauge_ratio(s, "kafka_topic_partition_current_offset", "price_gauge", ["symbol"])
 
 
 @register("last_not_null", with_views("""
-SELECT metric, symbol, max(ts) AS ts, arg_max(value, ts) AS value FROM metric_samples
+SELECT metric, symbol, max(ts) AS ts, arg_max(value, {'t': ts, 's': seq}) AS value FROM metric_samples
 WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY metric, symbol""", "ticks",
                                       extra=[("metric_samples", METRIC_SQL)]), ["value"], "M8")
 def last_not_null_q(spark, sf_dir):
-    s = X.metric_samples(spark, sf_dir, metric_block_plan(spark, sf_dir)).withColumn("symbol", MT.label("symbol"))
+    s = X.metric_samples(spark, sf_dir).withColumn("symbol", MT.label("symbol"))
     return MT.last_not_null(s, ["metric", "symbol"])
 
 
@@ -185,14 +217,16 @@ SELECT CASE WHEN position('-ETH' IN model_name) > 0 THEN substring(model_name, 1
        (epoch_us(trained_at + to_hours(CAST(retrain_interval AS BIGINT))) - epoch_us(TIMESTAMP '""" + MODEL_AS_OF + """'))
          / 1e6 AS seconds_until_retrain,
        train_accuracy, test_accuracy, precision, recall, f1
-FROM (SELECT 'run-' || event_id AS run_id, ts AS trained_at, event_type || '-ETH' AS model_name,
-             'model for ' || event_type AS model_description, CAST(4 + user_id AS DOUBLE) AS retrain_interval,
+FROM (SELECT 'run-' || event_id AS run_id, ts AS trained_at,
+             ([""" + ", ".join(f"'{n}-{C.MODEL_TICKER}'" for n, _, _ in C.MODELS) + """])[user_id % 5 + 1] AS model_name,
+             ([""" + ", ".join(f"'{d}'" for _, d, _ in C.MODELS) + """])[user_id % 5 + 1] AS model_description,
+             CAST(4 + user_id % 20 AS DOUBLE) AS retrain_interval,
              CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS train_accuracy,
              CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS test_accuracy,
              CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS precision,
              CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS recall,
              CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS f1
-      FROM events WHERE user_id < 5)
+      FROM events)
 QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY trained_at DESC, run_id DESC) = 1""",
           ["seconds_until_retrain", "train_accuracy", "test_accuracy", "precision", "recall", "f1"],
           "E20 W8 F8 F13 T1 E18")

@@ -11,14 +11,14 @@ from marketframe.operators import ledger as LG
 from marketframe.operators import risk as RK
 from marketframe.operators import signals as SG
 from marketframe.operators.asof import asof_join_offsets, missing_symbols
-from marketframe.operators.scan import ROWS_PER_TASK, plan_block_seconds
+from marketframe.operators.scan import with_blocks
 from marketframe.session import cut_lineage
 from marketframe.plans import reports as R
 from marketframe.plans.registry import register
 from marketframe.plans.sql_views import with_views
 from marketframe.sources import fixtures as X
 
-SNAP_END = "2024-01-31 00:00:00"
+_ROW_TYPES = ["timestamp", "long", "string", "string", "double", "double", "double", "double"]
 KW = "PARTITION BY strategy_name, symbol ORDER BY time, seq"
 
 # --- DuckDB CTE chain mirroring the Spark plan -----------------------------------------------
@@ -28,31 +28,63 @@ SELECT d.*, t1.price AS decision_price, t2.price AS fill_price
 FROM (SELECT *, time + INTERVAL 1 SECOND AS fill_time FROM decisions) d
 ASOF LEFT JOIN ticks t1 ON d.symbol = t1.symbol AND d.time >= t1.timestamp
 ASOF LEFT JOIN ticks t2 ON d.symbol = t2.symbol AND d.fill_time >= t2.timestamp"""),
-    ("state0", f"""
-SELECT *, coalesce(sum(quantity) OVER wb, 0) AS qty_before,
-       {C.STARTING_CASH} - coalesce(sum(quantity * model_price) OVER wb, 0) AS cash_before
-FROM fills WINDOW wb AS ({KW} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""),
-    ("state1", """
-SELECT *, qty_before * model_price AS market_value, cash_before + qty_before * model_price AS portfolio_value
-FROM state0"""),
-    ("state", f"""
-SELECT *, max(portfolio_value) OVER wb AS pv_max_before, lag(portfolio_value) OVER w AS pv_prev
-FROM state1 WINDOW wb AS ({KW} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), w AS ({KW})"""),
+    ("recorded", f"""
+SELECT seq, time, symbol, signal, quantity, model_price,
+       CASE WHEN seq % {X.RECORDED_REJECT_EVERY} <> 0 THEN CASE WHEN strategy_name = '{C.LONG_ONLY}' THEN model_price ELSE fill_price END END
+         AS executed_price, strategy_name, CASE WHEN seq % {X.RECORDED_REJECT_EVERY} <> 0 THEN 'Y' ELSE 'N' END AS approval_status
+FROM fills"""),
+    ("ledger", f"""
+SELECT time, seq, strategy_name, symbol,
+       {C.STARTING_CASH} - sum(quantity * executed_price) OVER wr AS cash_balance,
+       sum(quantity) OVER wr AS quantity, sum(quantity * executed_price) OVER wr AS market_value,
+       CAST({C.STARTING_CASH} AS DOUBLE) AS portfolio_value
+FROM recorded WHERE approval_status = 'Y'
+WINDOW wr AS ({KW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+    ("portfolio_rows", f"""
+SELECT (SELECT min(timestamp) - INTERVAL 1 SECOND FROM ticks) AS time, -1 AS seq, strategy_name, symbol,
+       CAST({C.STARTING_CASH} AS DOUBLE) AS cash_balance, 0.0::DOUBLE AS quantity, 0.0::DOUBLE AS market_value,
+       CAST({C.STARTING_CASH} AS DOUBLE) AS portfolio_value
+FROM (VALUES {', '.join(f"('{n}', '{X.TICKER_EVENTS[t]}')" for n, t in C.SEED_PORTFOLIOS)}) AS v(strategy_name, symbol)
+UNION ALL SELECT time, seq, strategy_name, symbol, cash_balance, quantity, market_value, portfolio_value FROM ledger"""),
+    ("snap_spine", f"""
+SELECT strategy_name, symbol, unnest(generate_series(lo, hi, INTERVAL {C.SNAPSHOT_PERIOD_S} SECOND)) AS time
+FROM (SELECT strategy_name, symbol,
+             make_timestamp(CAST(ceil(epoch_us(min(time)) / {C.SNAPSHOT_PERIOD_S}e6) AS BIGINT) * {C.SNAPSHOT_PERIOD_S}000000) AS lo,
+             (SELECT make_timestamp(CAST(floor(epoch_us(max(timestamp)) / {C.SNAPSHOT_PERIOD_S}e6) AS BIGINT) * {C.SNAPSHOT_PERIOD_S}000000) FROM ticks) AS hi
+      FROM portfolio_rows GROUP BY strategy_name, symbol)"""),
+    ("portfolio_ts", """
+SELECT s.time, l.cash_balance, s.symbol, l.quantity, l.quantity * t.price AS market_value,
+       l.cash_balance + l.quantity * t.price AS portfolio_value, s.strategy_name
+FROM snap_spine s
+ASOF LEFT JOIN portfolio_rows l ON s.strategy_name = l.strategy_name AND s.symbol = l.symbol AND s.time >= l.time
+ASOF LEFT JOIN ticks t ON s.symbol = t.symbol AND s.time >= t.timestamp
+WHERE t.price IS NOT NULL"""),
+    ("history", """
+SELECT strategy_name, symbol, time, portfolio_value,
+       max(portfolio_value) OVER (PARTITION BY strategy_name, symbol ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv_max
+FROM portfolio_ts"""),
+    ("state", """
+SELECT f.*, r.quantity AS qty_before, r.cash_balance AS cash_before, r.market_value, r.portfolio_value,
+       h.pv_max, h.portfolio_value AS pv_latest
+FROM fills f
+ASOF LEFT JOIN portfolio_rows r ON f.strategy_name = r.strategy_name AND f.symbol = r.symbol AND f.time > r.time
+ASOF LEFT JOIN history h ON f.strategy_name = h.strategy_name AND f.symbol = h.symbol AND f.time > h.time"""),
     ("checks0", f"""
 SELECT *,
-  CASE WHEN strategy_name <> '{C.LONG_ONLY}' AND abs(quantity * model_price) > {C.MAX_ALLOCATION} * portfolio_value
-       THEN printf('Trade value %.2f exceeds max allocation %.1f%% of portfolio %.2f.',
-                   abs(quantity * model_price), {C.MAX_ALLOCATION * 100.0}, portfolio_value) END AS position_msg,
-  CASE WHEN signal = 'BUY' AND abs(quantity) * model_price > cash_before
-       THEN printf('Not enough cash. Needed %.2f, available %.2f.', abs(quantity) * model_price, cash_before)
-       END AS cash_msg,
-  CASE WHEN signal = 'SELL' AND (qty_before + quantity) * model_price < -{C.MAX_SHORT}
-       THEN 'Short position limit exceeded. Current ' || CAST(qty_before AS VARCHAR) || ', attempted trade '
-            || CAST(quantity AS VARCHAR) END AS short_msg,
-  CASE WHEN strategy_name <> '{C.LONG_ONLY}' AND pv_max_before > 0
-            AND (pv_max_before - pv_prev) / pv_max_before > {C.MAX_DRAWDOWN}
-       THEN printf('Max drawdown %.2f%% exceeded limit {C.MAX_DRAWDOWN * 100:.0f}%%.',
-                   (pv_max_before - pv_prev) / pv_max_before * 100.0) END AS drawdown_msg
+  CASE WHEN strategy_name = '{C.LONG_ONLY}' THEN NULL
+       WHEN quantity IS NULL OR model_price IS NULL OR portfolio_value IS NULL THEN '{C.ERR_POSITION}'
+       WHEN abs(quantity * model_price) > {C.MAX_ALLOCATION} * portfolio_value
+       THEN printf('{C.MSG_POSITION}', abs(quantity * model_price), {C.MAX_ALLOCATION * 100.0}, portfolio_value) END AS position_msg,
+  CASE WHEN quantity IS NULL OR model_price IS NULL OR (signal = 'BUY' AND cash_before IS NULL) THEN '{C.ERR_CASH}'
+       WHEN signal = 'BUY' AND abs(quantity) * model_price > cash_before
+       THEN printf('{C.MSG_CASH}', abs(quantity) * model_price, cash_before) END AS cash_msg,
+  CASE WHEN quantity IS NULL OR (signal = 'SELL' AND (qty_before IS NULL OR model_price IS NULL)) THEN '{C.ERR_QUANTITY}'
+       WHEN signal = 'SELL' AND (qty_before + quantity) * model_price < -{C.MAX_SHORT}
+       THEN printf('{C.MSG_SHORT}', CAST(qty_before AS VARCHAR), CAST(quantity AS VARCHAR)) END AS short_msg,
+  CASE WHEN strategy_name = '{C.LONG_ONLY}' OR pv_max IS NULL OR pv_max <= 0 THEN NULL
+       WHEN pv_latest IS NULL THEN '{C.ERR_DRAWDOWN}'
+       WHEN (pv_max - pv_latest) / pv_max > {C.MAX_DRAWDOWN}
+       THEN printf('{C.MSG_DRAWDOWN}', (pv_max - pv_latest) / pv_max * 100.0, {C.MAX_DRAWDOWN * 100.0}) END AS drawdown_msg
 FROM state"""),
     ("checks", """
 SELECT *,
@@ -66,29 +98,10 @@ SELECT seq, time, symbol, signal, quantity, model_price,
             CASE WHEN strategy_name = '{C.LONG_ONLY}' OR signal = 'CLOSE' THEN model_price ELSE fill_price END
        END AS executed_price, strategy_name, approval_status, approval_comment
 FROM checks"""),
-    ("ledger", f"""
-SELECT time, seq, strategy_name, symbol,
-       {C.STARTING_CASH} - sum(quantity * executed_price) OVER wr AS cash_balance,
-       sum(quantity) OVER wr AS quantity, sum(quantity * executed_price) OVER wr AS market_value,
-       CAST({C.STARTING_CASH} AS DOUBLE) AS portfolio_value
-FROM execution WHERE approval_status = 'Y'
-WINDOW wr AS ({KW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
-    ("snap_spine", f"""
-SELECT strategy_name, symbol,
-       unnest(generate_series(make_timestamp(CAST(ceil(epoch_us(t0) / {C.SNAPSHOT_PERIOD_S}e6) AS BIGINT) * {C.SNAPSHOT_PERIOD_S}000000),
-                              make_timestamp(CAST(floor(epoch_us(TIMESTAMP '{SNAP_END}') / {C.SNAPSHOT_PERIOD_S}e6) AS BIGINT) * {C.SNAPSHOT_PERIOD_S}000000),
-                              INTERVAL {C.SNAPSHOT_PERIOD_S} SECOND)) AS time
-FROM (SELECT strategy_name, symbol, min(time) AS t0 FROM ledger GROUP BY ALL)"""),
-    ("portfolio_ts", """
-SELECT s.time, l.cash_balance, s.symbol, l.quantity, l.quantity * t.price AS market_value,
-       l.cash_balance + l.quantity * t.price AS portfolio_value, s.strategy_name
-FROM snap_spine s
-ASOF LEFT JOIN ledger l ON s.strategy_name = l.strategy_name AND s.symbol = l.symbol AND s.time >= l.time
-ASOF LEFT JOIN ticks t ON s.symbol = t.symbol AND s.time >= t.timestamp"""),
     ("portfolio_key", """
 SELECT l.time AS last_updated, l.cash_balance, l.symbol, l.quantity, l.market_value, l.portfolio_value,
-       l.strategy_name, s.strategy_description, 'active' AS status
-FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY strategy_name, symbol ORDER BY time DESC, seq DESC) = 1) l
+       l.strategy_name, s.strategy_description, CASE WHEN l.seq < 0 THEN 'closed' ELSE 'active' END AS status
+FROM (SELECT * FROM portfolio_rows QUALIFY row_number() OVER (PARTITION BY strategy_name, symbol ORDER BY time DESC, seq DESC) = 1) l
 LEFT JOIN strategies s ON s.strategy_name = l.strategy_name"""),
 ]
 _NAMES = [n for n, _ in ORACLE_CTES]
@@ -104,54 +117,46 @@ def ticks(spark, sf_dir):
     return X.ticks(spark, sf_dir).select("seq", "timestamp", "symbol", "price")
 
 
-def block_plan(spark, sf_dir):
-    """Size check on the tick source, once per query: every per-key scan below holds at most three
-    rows per tick of its symbol (as-of unions), so the budget per task is a third of the default."""
-    return plan_block_seconds(ticks(spark, sf_dir), ["symbol"], "timestamp", ROWS_PER_TASK // 3)
-
-
-_AUTO = "auto"
+def fills(spark, sf_dir):
+    """J1 + J2 in one scan: latest tick price at the decision and one second after it. Materialised: the recorded
+    log and the checks both start here."""
+    f = asof_join_offsets(X.decisions(spark, sf_dir), ticks(spark, sf_dir), ["symbol"], "time", "timestamp", ["price"], "seq",
+                          "seq", {"decision_": 0.0, "fill_": 1.0}, bounds=X.tick_bounds(spark, sf_dir))
+    return cut_lineage(f)
 
 
-def _bs(spark, sf_dir, bs):
-    return block_plan(spark, sf_dir) if bs == _AUTO else bs
+def ledger(spark, sf_dir, filled=None):
+    """Ledger of the recorded log, materialised: portfolio rows, snapshots and checks read it."""
+    filled = fills(spark, sf_dir) if filled is None else filled
+    return cut_lineage(LG.ledger(X.recorded_executions(filled), X.tick_bounds(spark, sf_dir)))
 
 
-def fills(spark, sf_dir, bs=_AUTO):
-    """J1 + J2 in one scan: latest tick price at the decision and one second after it."""
-    bs = _bs(spark, sf_dir, bs)
-    d = X.decisions(spark, sf_dir)
-    return asof_join_offsets(d, ticks(spark, sf_dir), ["symbol"], "time", "timestamp", ["price"], "seq", "seq",
-                             {"decision_": 0.0, "fill_": 1.0}, block_seconds=bs)
+def portfolio_rows(spark, sf_dir, filled=None):
+    return LG.with_seeds(ledger(spark, sf_dir, filled), X.seed_portfolios(spark), ticks(spark, sf_dir))
 
 
-def state(spark, sf_dir, bs=_AUTO):
-    """Pre-trade state per order, materialised: risk, streak and sizing queries all start here."""
-    bs = _bs(spark, sf_dir, bs)
-    return cut_lineage(RK.pre_trade_state(fills(spark, sf_dir, bs), block_seconds=bs))
+def snapshots(spark, sf_dir, rows=None):
+    rows = portfolio_rows(spark, sf_dir) if rows is None else rows
+    return LG.snapshots(rows, ticks(spark, sf_dir))
 
 
-def checked(spark, sf_dir, bs=_AUTO):
-    return RK.risk_checks(state(spark, sf_dir, bs))
+def state(spark, sf_dir):
+    """Orders with the portfolio row and value series before them, materialised: risk, streak and sizing start here."""
+    filled = fills(spark, sf_dir)
+    rows = portfolio_rows(spark, sf_dir, filled)
+    return cut_lineage(RK.portfolio_state(filled, rows, cut_lineage(snapshots(spark, sf_dir, rows))))
 
 
-def execution(spark, sf_dir, bs=_AUTO):
-    return RK.execution_log(checked(spark, sf_dir, bs))
+def checked(spark, sf_dir):
+    return RK.risk_checks(state(spark, sf_dir))
 
 
-def ledger(spark, sf_dir, bs=_AUTO):
-    """Ledger rows, materialised: snapshots read them twice (spine bounds and as-of positions)."""
-    bs = _bs(spark, sf_dir, bs)
-    return cut_lineage(LG.ledger(execution(spark, sf_dir, bs), block_seconds=bs))
+def execution(spark, sf_dir):
+    return RK.execution_log(checked(spark, sf_dir))
 
 
-def snapshots(spark, sf_dir, bs=_AUTO):
-    bs = _bs(spark, sf_dir, bs)
-    return LG.snapshots(ledger(spark, sf_dir, bs), ticks(spark, sf_dir), SNAP_END, block_seconds=bs)
-
-
-def portfolio_key(spark, sf_dir, bs=_AUTO):
-    return LG.portfolio_key(ledger(spark, sf_dir, bs), X.strategies(spark))
+def portfolio_key(spark, sf_dir):
+    return LG.portfolio_key(portfolio_rows(spark, sf_dir), X.strategies(spark))
 
 
 @register("asof_fill", _tsql("SELECT seq, strategy_name, symbol, time, model_price, decision_price, fill_price FROM fills",
@@ -185,13 +190,13 @@ def risk_checks_q(spark, sf_dir):
 
 @register("drawdown", _tsql("""
 SELECT strategy_name, symbol, min(portfolio_value) AS min_val, max(portfolio_value) AS max_val,
-       arg_max(portfolio_value, {'t': time, 's': seq}) AS latest_val
-FROM state GROUP BY ALL""", "state"), ["min_val", "max_val", "latest_val"], "J4 A2")
+       arg_max(portfolio_value, time) AS latest_val
+FROM portfolio_ts GROUP BY ALL""", "portfolio_ts"), ["min_val", "max_val", "latest_val"], "J4 A2 K4")
 def drawdown_q(spark, sf_dir):
-    s = state(spark, sf_dir)
+    s = snapshots(spark, sf_dir)
     return s.groupBy("strategy_name", "symbol").agg(
         F.min("portfolio_value").alias("min_val"), F.max("portfolio_value").alias("max_val"),
-        F.max_by("portfolio_value", F.struct("time", "seq")).alias("latest_val"))
+        F.max_by("portfolio_value", "time").alias("latest_val"))
 
 
 EXEC_COLS = ["seq", "time", "symbol", "signal", "quantity", "model_price", "executed_price", "strategy_name",
@@ -219,8 +224,7 @@ SELECT l.time, l.seq, l.strategy_name, l.symbol, l.cash_balance, l.quantity, t.p
 FROM ledger l ASOF LEFT JOIN ticks t ON l.symbol = t.symbol AND l.time >= t.timestamp""", "ledger"),
           ["cash_balance", "quantity", "mark_price", "market_value", "portfolio_value"], "L2 J1")
 def mark_to_market_q(spark, sf_dir):
-    bs = block_plan(spark, sf_dir)
-    return LG.mark_to_market(ledger(spark, sf_dir, bs), ticks(spark, sf_dir), block_seconds=bs)
+    return LG.mark_to_market(ledger(spark, sf_dir), ticks(spark, sf_dir), X.tick_bounds(spark, sf_dir))
 
 
 SNAP_COLS = ["time", "cash_balance", "symbol", "quantity", "market_value", "portfolio_value", "strategy_name"]
@@ -259,10 +263,9 @@ FROM (
 
 
 def streaks(spark, sf_dir):
-    bs = block_plan(spark, sf_dir)
-    s = state(spark, sf_dir, bs).filter(F.col("strategy_name") != C.LONG_ONLY)
-    s = SG.run_positions(s.withColumnRenamed("signal", "raw_signal"), "raw_signal", block_seconds=bs)
-    return SG.apply_streak(s)
+    s = state(spark, sf_dir).filter(F.col("strategy_name") != C.LONG_ONLY).withColumnRenamed("signal", "raw_signal")
+    s = with_blocks(s, X.tick_bounds(spark, sf_dir), ["symbol"], "time")
+    return SG.apply_streak(SG.run_positions(s, "raw_signal"))
 
 
 @register("signal_streak", _tsql(
@@ -329,7 +332,7 @@ def portfolio_overview_q(spark, sf_dir):
 @register("recent_trades", _tsql("""
 SELECT time, strategy_name, symbol, signal, quantity, executed_price * quantity AS trade_value, approval_status,
        approval_comment
-FROM execution ORDER BY time DESC, strategy_name, symbol LIMIT 7""", "execution"), ["quantity", "trade_value"],
+FROM execution ORDER BY time DESC, strategy_name, symbol, seq DESC LIMIT 7""", "execution"), ["quantity", "trade_value"],
           "B9 T3 P13")
 def recent_trades_q(spark, sf_dir):
     return R.recent_trades(execution(spark, sf_dir))
@@ -357,12 +360,15 @@ SELECT strategy_name, symbol, t AS reset_time, CAST(n AS BIGINT) AS reset_no FRO
 @register("reset_points", with_views(RESET_SQL, "decisions"), [], "L9")
 def reset_points_q(spark, sf_dir):
     d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
-    return SG.reset_points(d, ["strategy_name", "symbol"], block_seconds=block_plan(spark, sf_dir))
+    return SG.reset_points(d, ["strategy_name", "symbol"], X.tick_bounds(spark, sf_dir), ["symbol"])
 
 
 @register("portfolio_status", with_views(f"""
 SELECT strategy_name, symbol, arg_max(status, {{'t': time, 'o': o}}) AS status, max(time) AS status_time
 FROM (SELECT strategy_name, symbol, time, 0 AS o, 'active' AS status FROM decisions
+      UNION ALL
+      SELECT strategy_name, symbol, (SELECT min(timestamp) - INTERVAL 1 SECOND FROM ticks), -1, 'closed'
+      FROM (VALUES {', '.join(f"('{n}', '{X.TICKER_EVENTS[t]}')" for n, t in C.SEED_PORTFOLIOS)}) AS v(strategy_name, symbol)
       UNION ALL
       SELECT strategy_name, symbol, reset_time, 1, 'closed' FROM ({RESET_SQL}) AS rp)
 GROUP BY strategy_name, symbol""", "decisions"), [], "K7 L8 L9")
@@ -370,8 +376,11 @@ def portfolio_status_q(spark, sf_dir):
     """K7: latest status event per portfolio: every decision marks it 'active'; a reset (L9) closes the
     position and marks it 'closed' after that iteration's 'active'. Grouped max_by, one row per key."""
     d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
-    resets = SG.reset_points(d, ["strategy_name", "symbol"], block_seconds=block_plan(spark, sf_dir))
+    resets = SG.reset_points(d, ["strategy_name", "symbol"], X.tick_bounds(spark, sf_dir), ["symbol"])
+    seeds = LG.with_seeds(d.limit(0).select(*[F.lit(None).cast(t).alias(c) for c, t in zip(LG.ROW, _ROW_TYPES)]),
+                          X.seed_portfolios(spark), ticks(spark, sf_dir))
     events = (d.select("strategy_name", "symbol", "time", F.lit(0).alias("o"), F.lit("active").alias("status"))
+               .unionByName(seeds.select("strategy_name", "symbol", "time", F.lit(-1).alias("o"), F.lit("closed").alias("status")))
                .unionByName(resets.select("strategy_name", "symbol", F.col("reset_time").alias("time"),
                                           F.lit(1).alias("o"), F.lit("closed").alias("status"))))
     return events.groupBy("strategy_name", "symbol").agg(

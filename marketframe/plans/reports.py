@@ -64,16 +64,17 @@ def ticker_list(bars: DataFrame) -> DataFrame:
     return raw.select("raw_symbol", ticker_of("raw_symbol").alias("ticker")).orderBy("raw_symbol")
 
 
-def ingest_monitor(ticks: DataFrame, ws_diag: DataFrame, proc_diag: DataFrame) -> DataFrame:
-    """Latest websocket lag, latest processing lag, total stored ticks — one row.
+def ingest_monitor(diagnostics: DataFrame) -> DataFrame:
+    """Latest websocket lag, latest processing lag, total stored ticks — one row, from one pass over the
+    diagnostics rows, whose counts add up to the ticks.
 
-    Each "latest" is a max_by over the diagnostics log (one pass, no sort); NULL avg_timestamp rows
-    (empty windows) never win, as with ORDER BY … DESC LIMIT 1 and NULLs last.
+    Each "latest" is a max_by; NULL avg_timestamp rows (empty windows) never win, as with ORDER BY … DESC LIMIT 1
+    and NULLs last. Rows of equal mean time are settled by the window.
     """
-    ws = ws_diag.agg(F.max_by("avg_websocket_lag", "avg_timestamp")).scalar()
-    pr = proc_diag.agg(F.max_by("avg_processing_lag", "avg_timestamp")).scalar()
-    return ticks.agg(F.count("timestamp").alias("total_rows")).select(
-        ws.alias("avg_websocket_lag"), pr.alias("avg_processing_lag"), "total_rows")
+    last = F.when(F.col("avg_timestamp").isNotNull(), F.struct("avg_timestamp", "diagnostics_timestamp"))
+    return diagnostics.agg(F.max_by("avg_websocket_lag", last).alias("avg_websocket_lag"),
+                           F.max_by("avg_processing_lag", last).alias("avg_processing_lag"),
+                           F.coalesce(F.sum("message_count"), F.lit(0)).cast("long").alias("total_rows"))
 
 
 def portfolio_by_bucket(portfolio_ts: DataFrame, frm=None, to=None, bucket_s: int = 1800,
@@ -101,9 +102,9 @@ def portfolio_overview(portfolio_key: DataFrame) -> DataFrame:
 def recent_trades(execution: DataFrame, k: int = 7) -> DataFrame:
     """The k most recent executions with trade value; a top-k report by design."""
     cols = ["time", "strategy_name", "symbol", "signal", "quantity"]
-    return (execution.select(*cols, (F.col("executed_price") * F.col("quantity")).alias("trade_value"),
+    return (execution.select(*cols, "seq", (F.col("executed_price") * F.col("quantity")).alias("trade_value"),
                              "approval_status", "approval_comment")
-            .orderBy(F.desc("time"), "strategy_name", "symbol").limit(k))
+            .orderBy(F.desc("time"), "strategy_name", "symbol", F.desc("seq")).limit(k).drop("seq"))
 
 
 def model_report(model_runs: DataFrame, as_of) -> DataFrame:

@@ -1,4 +1,4 @@
-"""One StructType per table; every reader passes its schema explicitly (no inference)."""
+"""One StructType per table. Parsers, stream sources and created frames pass theirs; Parquet readers take the file's."""
 
 from pyspark.sql import types as T
 

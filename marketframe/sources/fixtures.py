@@ -11,6 +11,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketframe import config as C
+from marketframe.operators.scan import blocked_scan, time_bounds, with_blocks
 from marketframe.session import ensure_utc
 
 
@@ -22,20 +23,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """Scan with an explicit column list (ReadSchema carries only these columns)."""
     ensure_utc(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    return spread_small_scan(df)
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """A file with one row group is one scan task, which would run all per-row work (JSON fields,
-    timestamp arithmetic) on one core. When a scan has fewer splits than the cluster has cores,
-    spread it round-robin; a large table has far more splits than cores and is left as is."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Connect session): leave the scan as planned
-        return df
-    return df.repartition(cores) if splits < cores else df
+    return df.select(*columns) if columns else df
 
 
 def _ts() -> Column:
@@ -75,7 +63,7 @@ def ticks(spark: SparkSession, sf_dir: str, with_user: bool = False, frm=None, u
         raw = raw.filter(F.col("ts") >= F.lit(str(frm)).cast("timestamp_ntz"))
     if until is not None:
         raw = raw.filter(F.col("ts") < F.lit(str(until)).cast("timestamp_ntz"))
-    return spread_small_scan(raw).select(*tick_columns(with_user))
+    return raw.select(*tick_columns(with_user))
 
 
 def strategies(spark: SparkSession) -> DataFrame:
@@ -107,36 +95,64 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
              .drop("slot"))
 
 
+def tick_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time quantiles per symbol (two narrow columns of one scan): the block cuts of every per-symbol and
+    per-portfolio scan."""
+    return time_bounds(ticks(spark, sf_dir).select("symbol", "timestamp"), ["symbol"], "timestamp")
+
+
+# the fixture's five event types stand for the feed's five tickers, in this order
+TICKER_EVENTS = {"ETH": "click", "BTC": "error", "SOL": "purchase", "ADA": "signup", "XRP": "view"}
+
+
+def seed_portfolios(spark: SparkSession) -> DataFrame:
+    """The ten portfolios that exist before any trade (strategy_name, symbol)."""
+    rows = [(s, TICKER_EVENTS[t]) for s, t in C.SEED_PORTFOLIOS]
+    return spark.createDataFrame(rows, "strategy_name string, symbol string")
+
+
+RECORDED_REJECT_EVERY = 4
+
+
+def recorded_executions(filled: DataFrame) -> DataFrame:
+    """The execution log as it stands when orders are checked: every decision is recorded, each fourth order id
+    as rejected; Long Only fills at the model price, others at the price one second later."""
+    ok = F.col("seq") % RECORDED_REJECT_EVERY != 0
+    px = F.when(F.col("strategy_name") == C.LONG_ONLY, F.col("model_price")).otherwise(F.col("fill_price"))
+    return filled.select("seq", "time", "symbol", "signal", "quantity", "model_price", F.when(ok, px).alias("executed_price"),
+                         "strategy_name", F.when(ok, F.lit("Y")).otherwise(F.lit("N")).alias("approval_status"))
+
+
 def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``model_runs`` log: one run per event with user_id < 5 (FIXTURES.md)."""
-    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    """``model_runs`` log: every event is a run of the model in slot user_id % 5 (FIXTURES.md)."""
+    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "props"])
     k = F.get_json_object("props", "$.k").cast("double") / F.lit(100.0)
-    return (e.filter(F.col("user_id") < 5)
-             .select(F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
-                     _ts().alias("trained_at"),
-                     F.concat(F.col("event_type"), F.lit("-ETH")).alias("model_name"),
-                     F.concat(F.lit("model for "), F.col("event_type")).alias("model_description"),
-                     F.concat(F.lit("models/"), F.col("event_type"), F.lit("-ETH-model.pkl")).alias("s3_key"),
-                     (F.lit(4) + F.col("user_id")).cast("double").alias("retrain_interval"),
-                     k.alias("train_accuracy"), k.alias("test_accuracy"), k.alias("precision"),
-                     k.alias("recall"), k.alias("f1")))
-
-
-def metric_samples(spark: SparkSession, sf_dir: str, block_seconds: int | None = 6 * 3600) -> DataFrame:
+    names = F.array(*[F.lit(f"{n}-{C.MODEL_TICKER}") for n, _, _ in C.MODELS])
+    texts = F.array(*[F.lit(d) for _, d, _ in C.MODELS])
+    slot = (F.col("user_id") % len(C.MODELS)).cast("int")
+    return e.select(F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
+                    _ts().alias("trained_at"), F.get(names, slot).alias("model_name"),
+                    F.get(texts, slot).alias("model_description"),
+                    F.concat(F.lit("models/"), F.get(names, slot), F.lit("-model.pkl")).alias("s3_key"),
+                    (F.lit(4) + F.col("user_id") % 20).cast("double").alias("retrain_interval"),
+                    k.alias("train_accuracy"), k.alias("test_accuracy"), k.alias("precision"),
+                    k.alias("recall"), k.alias("f1"))
+
+
+def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled counter and gauge samples: counter = running count per symbol modulo 500 (forces
-    resets), gauge = price. Long form: one row per (ts, metric, labels).
+    resets), gauge = price. Long form: one row per (ts, metric, labels); seq breaks ties of ts.
 
     The running count is a per-symbol prefix count, computed with the blocked scan so one hot
     symbol does not sit in a single task.
     """
-    from marketframe.operators.scan import blocked_scan
     t = ticks(spark, sf_dir).select("seq", "timestamp", "symbol", "price").withColumn("one", F.lit(1))
-    t = blocked_scan(t, ["symbol"], ["timestamp", "seq"], "timestamp", sums={"one": "running_n"},
-                     block_seconds=block_seconds)
+    t = with_blocks(t, tick_bounds(spark, sf_dir), ["symbol"], "timestamp")
+    t = blocked_scan(t, ["symbol"], ["timestamp", "seq"], sums={"one": "running_n"})
     labels = F.create_map(F.lit("topic"), F.lit("price_ticks"), F.lit("symbol"), F.col("symbol"))
-    counter = t.select(F.col("timestamp").alias("ts"),
-                       F.lit("kafka_topic_partition_current_offset").alias("metric"),
-                       labels.alias("labels"), (F.col("running_n") % 500).cast("double").alias("value"))
-    gauge = t.select(F.col("timestamp").alias("ts"), F.lit("price_gauge").alias("metric"),
-                     labels.alias("labels"), F.col("price").alias("value"))
-    return counter.unionByName(gauge)
+    # both metrics of a tick from one pass over the ticks
+    pair = F.explode(F.array(
+        F.struct(F.lit("kafka_topic_partition_current_offset").alias("metric"), (F.col("running_n") % 500).cast("double").alias("value")),
+        F.struct(F.lit("price_gauge").alias("metric"), F.col("price").alias("value"))))
+    return t.select(F.col("timestamp").alias("ts"), "seq", labels.alias("labels"), pair.alias("m")) \
+            .select("ts", "seq", "m.metric", "labels", "m.value")
