@@ -1,15 +1,16 @@
-"""One-minute OHLCV bars: one-shot, mergeable partial states, merge and finalise.
+"""One-minute OHLCV bars: mergeable partial states, merge and finalise.
 
-Partial-state columns (the ``-State`` cells of the modelled table):
+The partial table is long: one row per (symbol, minute, price) with
 
-* ``open_counts`` MAP<price, count>  — exact, mergeable state for the heavy-hitter open
-* ``open_first``  min(struct(ts_ms, seq, price)) — deterministic first-price open
-* ``high``/``low`` max/min
-* ``close_state`` max(struct(ts_ms, seq, price)) — last tick wins, ties broken by seq
-* ``price_sum``/``price_count`` — avg state
-* ``volume`` — sum state
+* ``n``            ticks at that price — mergeable state of the heavy-hitter open
+* ``open_first``   min(struct(ts_ms, seq, price)) — deterministic first-price open
+* ``close_state``  max(struct(ts_ms, seq, price)) — last tick wins, ties broken by seq
+* ``price_sum``    with ``n`` the avg state
+* ``volume``       sum state
 
-Merging any split of the ticks gives the same bars as one pass (tested as a property).
+All of it adds up under ``groupBy(symbol, minute, price)``, so states of any split of the ticks merge into the
+same bars as one pass (tested as a property), no group holds a map or a list, and a hot minute is spread over its
+prices. Ticks without a price count in the volume only.
 """
 
 from __future__ import annotations
@@ -19,106 +20,46 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketframe.functions.timefn import minute_start
 
 KEYS = ["symbol", "minute"]
+STATE = ["minute", "symbol", "price", "n", "open_first", "close_state", "price_sum", "volume"]
 
 
 def _point(ts="timestamp_ms", seq="seq", price="price") -> Column:
-    return F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col(price).alias("price"))
+    return F.when(F.col(price).isNotNull(), F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col(price).alias("price")))
 
 
-def _heavy_from_counts(m: Column) -> Column:
-    """Most frequent price in a price→count map; ties go to the lowest price."""
-    ranked = F.transform(F.map_entries(m), lambda e: F.struct(e["value"].alias("n"), (-e["key"]).alias("np"),
-                                                              e["key"].alias("p")))
-    return F.array_max(ranked)["p"]
-
-
-def ohlcv(ticks: DataFrame, open_mode: str = "heavy", bucket: Column | None = None) -> DataFrame:
-    """A1–A6, A11–A13 in one aggregation: bars keyed by (symbol, minute).
-
-    open_mode "heavy": most frequent price (exact; lowest on ties) — the modelled table's open.
-    open_mode "first": price of the earliest tick (ties by seq).
-    Partial aggregation runs map-side, so a hot symbol only ships one partial row per minute per task.
-    """
+def partial_bars(ticks: DataFrame, bucket: Column | None = None) -> DataFrame:
+    """Mergeable partial states for a batch of ticks (map-side combined)."""
     t = ticks.withColumn("minute", bucket if bucket is not None else minute_start("timestamp"))
-    ordc = F.struct("timestamp_ms", "seq")
-    open_col = F.mode("price", True) if open_mode == "heavy" else F.min_by("price", ordc)
-    return t.groupBy(*KEYS).agg(
-        open_col.alias("open"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.max_by("price", ordc).alias("close"),
-        F.avg("price").alias("avg"),
-        F.sum("volume").alias("volume"),
-    )
-
-
-def partial_bars(ticks: DataFrame) -> DataFrame:
-    """Mergeable partial states per (symbol, minute) for a batch of ticks.
-
-    Counts per (symbol, minute, price) are pre-aggregated first (map-side combine), then folded into
-    the count map, so no group ever holds raw ticks.
-    """
-    t = ticks.withColumn("minute", minute_start("timestamp"))
-    per_price = t.groupBy("symbol", "minute", "price").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(_point()).alias("open_first"),
-        F.max(_point()).alias("close_state"),
-        F.sum("price").alias("price_sum"),
-        F.count("price").alias("price_count"),
-        F.sum("volume").alias("volume"),
-    )
-    return _fold_prices(per_price)
-
-
-def _fold_prices(per_price: DataFrame) -> DataFrame:
-    return per_price.groupBy(*KEYS).agg(
-        F.map_from_entries(F.collect_list(F.struct("price", "n"))).alias("open_counts"),
-        F.min("open_first").alias("open_first"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.max("close_state").alias("close_state"),
-        F.sum("price_sum").alias("price_sum"),
-        F.sum("price_count").alias("price_count"),
-        F.sum("volume").alias("volume"),
-    ).select("minute", "symbol", "open_counts", "open_first", "high", "low", "close_state",
-             "price_sum", "price_count", "volume")
+    return t.groupBy("symbol", "minute", "price").agg(
+        F.count("price").alias("n"), F.min(_point()).alias("open_first"), F.max(_point()).alias("close_state"),
+        F.sum("price").alias("price_sum"), F.sum("volume").alias("volume")).select(*STATE)
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
-    """A10 / U1 / S17 compaction: combine any number of partial rows per (symbol, minute) into one.
-
-    The count maps are exploded and re-summed per price (the other states ride on the first entry
-    of each row), then folded back; the result is again a partial table.
-    """
-    e = partials.select(
-        "symbol", "minute", F.posexplode_outer("open_counts").alias("pos", "price", "n"),
-        "open_first", "high", "low", "close_state", "price_sum", "price_count", "volume")
-    first = (F.col("pos") == 0) | F.col("pos").isNull()
-    e = e.select("symbol", "minute", "price", "n",
-                 *[F.when(first, F.col(c)).alias(c) for c in
-                   ["open_first", "high", "low", "close_state", "price_sum", "price_count", "volume"]])
-    per_price = e.groupBy("symbol", "minute", "price").agg(
-        F.sum("n").alias("n"), F.min("open_first").alias("open_first"), F.max("high").alias("high"),
-        F.min("low").alias("low"), F.max("close_state").alias("close_state"),
-        F.sum("price_sum").alias("price_sum"), F.sum("price_count").alias("price_count"),
-        F.sum("volume").alias("volume"))
-    return per_price.groupBy(*KEYS).agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("price").isNotNull(), F.struct("price", "n"))))
-         .alias("open_counts"),
-        F.min("open_first").alias("open_first"), F.max("high").alias("high"), F.min("low").alias("low"),
-        F.max("close_state").alias("close_state"), F.sum("price_sum").alias("price_sum"),
-        F.sum("price_count").alias("price_count"), F.sum("volume").alias("volume"),
-    ).select("minute", "symbol", "open_counts", "open_first", "high", "low", "close_state",
-             "price_sum", "price_count", "volume")
+    """A10 / U1 / S17 compaction: any number of partial rows per (symbol, minute, price) become one."""
+    return partials.groupBy("symbol", "minute", "price").agg(
+        F.sum("n").alias("n"), F.min("open_first").alias("open_first"), F.max("close_state").alias("close_state"),
+        F.sum("price_sum").alias("price_sum"), F.sum("volume").alias("volume")).select(*STATE)
 
 
 def finalize(partials: DataFrame, open_mode: str = "heavy", merge: bool = True) -> DataFrame:
-    """The finalising view: merged states → (minute, symbol, open, high, low, close, avg, volume)."""
+    """The finalising view: merged states → (minute, symbol, open, high, low, close, avg, volume).
+
+    open_mode "heavy": most frequent price, lowest on ties (A11); "first": price of the earliest tick (A13).
+    """
     p = merge_partials(partials) if merge else partials
-    open_col = _heavy_from_counts(F.col("open_counts")) if open_mode == "heavy" else F.col("open_first.price")
-    return p.select(
-        "minute", "symbol", open_col.alias("open"), "high", "low", F.col("close_state.price").alias("close"),
-        F.try_divide(F.col("price_sum"), F.col("price_count")).alias("avg"), "volume")
+    heavy = F.max(F.when(F.col("price").isNotNull(), F.struct("n", (-F.col("price")).alias("m"), "price")))["price"]
+    open_col = heavy if open_mode == "heavy" else F.min("open_first")["price"]
+    return p.groupBy(*KEYS).agg(
+        open_col.alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max("close_state")["price"].alias("close"), F.try_divide(F.sum("price_sum"), F.sum("n")).alias("avg"),
+        F.sum("volume").alias("volume")).select("minute", "symbol", "open", "high", "low", "close", "avg", "volume")
+
+
+def ohlcv(ticks: DataFrame, open_mode: str = "heavy", bucket: Column | None = None) -> DataFrame:
+    """Bars keyed by (symbol, minute) in two aggregations, by price and then by minute. Both combine
+    map-side, so a hot symbol ships one row per minute and price per task."""
+    return finalize(partial_bars(ticks, bucket), open_mode, merge=False)
 
 
 def price_series(bars: DataFrame) -> DataFrame:

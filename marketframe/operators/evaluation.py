@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from marketframe.operators.scan import blocked, blocked_scan
+from marketframe.session import cut_lineage
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -39,8 +42,8 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
         tot.alias("n"))
 
 
-def persistence_prediction(labelled: DataFrame, keys: list[str], order: list[str], label: str = "label",
+def persistence_prediction(labelled: DataFrame, keys: list[str], time_col: str, label: str = "label",
                            out: str = "prediction") -> DataFrame:
     """A baseline classifier for the metric operators: predict the previous row's label (HOLD first)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return labelled.withColumn(out, F.coalesce(F.lag(label, 1).over(w), F.lit(1)).cast("int"))
+    d = blocked_scan(blocked(cut_lineage(labelled), keys, time_col), keys, [time_col], prevs={label: "__prev"})
+    return d.withColumn(out, F.coalesce("__prev", F.lit(1)).cast("int")).select(*labelled.columns, out)

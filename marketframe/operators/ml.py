@@ -30,6 +30,7 @@ from marketframe import config as C
 from marketframe.operators import windows as W
 from marketframe.operators.labels import with_class_weight
 from marketframe.schemas import FEATURE_COLUMNS
+from marketframe.session import cut_lineage
 
 EXCLUDED = ["price", "future_return", "label", "minute", "symbol", "split", "weight"]
 
@@ -45,7 +46,7 @@ def training_frame(labelled: DataFrame, keys=("symbol",), test_fraction: float =
     df = labelled
     if newest:
         df = W.tail_n(df, list(keys), ["minute"], newest)
-    df = W.chrono_split(df, list(keys), ["minute"], test_fraction)
+    df = cut_lineage(W.chrono_split(cut_lineage(df), list(keys), "minute", test_fraction))
     train = with_class_weight(df.filter(F.col("split") == "train"), keys=list(keys))
     test = df.filter(F.col("split") == "test").withColumn("weight", F.lit(1.0))
     return train.unionByName(test)
@@ -177,7 +178,6 @@ def train(labelled: DataFrame, kind: str, *, min_rows: int = C.MIN_TRAIN_ROWS, n
           **kw):
     """E8 gate + split + fit. Returns (model, data with split/weight) or (None, None) when the table
     has fewer than ``min_rows`` rows."""
-    from marketframe.session import cut_lineage
     feats = [c for c in FEATURE_COLUMNS if c in labelled.columns]
     # Materialise the labelled, split and weighted set once; the gate, the fit's passes and the
     # scoring all read the written copy instead of re-deriving features and labels

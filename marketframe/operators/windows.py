@@ -1,8 +1,8 @@
 """Row-based window operators over a time-ordered series per key.
 
-All frames are ROWS frames over the bars that exist (minute gaps are not filled). Series here are
-minute bars, one row per (symbol, minute), so a per-symbol partition is bounded by the number of
-minutes in the history, not by tick volume; tick-level scans use ``operators.scan`` instead.
+All frames are ROWS frames over the bars that exist (minute gaps are not filled). A long series is never one
+window partition: ``indexed`` numbers its rows by a blocked scan and ``halo_blocks`` cuts it into blocks that
+carry the neighbouring rows their frames reach, so the window keys are (key, block).
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from marketframe.operators.scan import BLOCK, MIN_BLOCK_ROWS, blocked, blocked_scan
+
 UNB, CUR = Window.unboundedPreceding, Window.currentRow
 
 
@@ -67,42 +69,6 @@ def ewm_block_size(alpha: float) -> int:
     return max(64, math.ceil(40.0 / -math.log(1.0 - alpha)))
 
 
-def ewm(df: DataFrame, x: str, out: str, keys: list[str], order: list[str], *, span: float | None = None,
-        alpha: float | None = None) -> DataFrame:
-    """W6 recursive EWM (adjust=False): y0 = x0, y_t = (1-α) y_{t-1} + α x_t, α = 2/(span+1).
-
-    Leading NULLs stay NULL, later NULLs carry the previous value (the recursion runs over the
-    non-NULL observations). Evaluated without recursion or a UDF, as a block scan:
-
-    * j = index of the observation among the key's non-NULL values, block b = j div B, k = j mod B;
-    * in-block value loc_j = d^k Σ_{i in block, i<=j} c_i x_i d^(-k_i)  (d = 1-α; c = 1 for j=0, else α)
-      — a running sum over (key, block), which reuses the per-key partitioning;
-    * y_j = loc_j + d^(k+1) · loc_end(b-1), the previous block's last in-block value, read by a
-      range frame over the block number (no join, so chained EWMs do not repeat the lineage).
-
-    Because d^B <= e^-40, the older carry is below double precision, and the result matches the
-    sequential recursion to ~1e-15 relative.
-    """
-    if alpha is None:
-        alpha = 2.0 / (float(span) + 1.0)
-    d = 1.0 - alpha
-    B = ewm_block_size(alpha)
-    w = series_window(keys, order)
-    n_obs, j, blk, k = f"__{out}_n", f"__{out}_j", f"__{out}_b", f"__{out}_k"
-    df = df.withColumn(n_obs, F.count(x).over(w.rowsBetween(UNB, CUR)))
-    df = df.withColumn(j, F.col(n_obs) - 1).withColumn(blk, F.floor(F.col(j) / B)) \
-           .withColumn(k, F.col(j) - F.col(blk) * B)
-    coef = F.when(F.col(j) == 0, F.lit(1.0)).otherwise(F.lit(alpha))
-    term = F.coalesce(coef * F.col(x) * F.pow(F.lit(d), -F.col(k)), F.lit(0.0))
-    wb = Window.partitionBy(*keys, blk).orderBy(*order).rowsBetween(UNB, CUR)
-    loc = f"__{out}_loc"
-    df = df.withColumn(loc, F.pow(F.lit(d), F.col(k)) * F.sum(term).over(wb))
-    prev_end = F.max_by(F.col(loc), F.col(j)).over(Window.partitionBy(*keys).orderBy(blk).rangeBetween(-1, -1))
-    y = F.col(loc) + F.coalesce(F.pow(F.lit(d), F.col(k) + 1) * prev_end, F.lit(0.0))
-    df = df.withColumn(out, F.when(F.col(n_obs) > 0, y))
-    return df.drop(n_obs, j, blk, k, loc)
-
-
 def _common_block(alphas: list[float]) -> int | None:
     """One block size valid for every α: (1-α)^B <= e^-40 and (1-α)^-B far from overflow."""
     b = max(ewm_block_size(a) for a in alphas)
@@ -110,9 +76,18 @@ def _common_block(alphas: list[float]) -> int | None:
 
 
 def ewm_many(df: DataFrame, specs: list[tuple[str, str, float]], keys: list[str], order: list[str]) -> DataFrame:
-    """Several W6 EWMs (input column, output column, span) in shared window passes.
+    """W6 recursive EWMs (adjust=False) of (input column, output column, span) in shared window passes:
+    y0 = x0, y_t = (1-α) y_{t-1} + α x_t, α = 2/(span+1). Leading NULLs stay NULL, later NULLs carry the previous
+    value (the recursion runs over the non-NULL observations).
 
-    Same recursion and NULL rules as ``ewm``. All specs use one block size when one fits every span,
+    Evaluated without recursion or a UDF, as a block scan inside each key (a halo block of a series):
+
+    * j = index of the observation among the key's non-NULL values, block b = j div B, k = j mod B;
+    * in-block value loc_j = d^k Σ_{i in block, i<=j} c_i x_i d^(-k_i)  (d = 1-α; c = 1 for j=0, else α);
+    * y_j = loc_j + d^(k+1) · loc_end(b-1), the previous block's last in-block value, read by a range frame.
+
+    Because d^B <= e^-40, the older carry is below double precision, and the result matches the sequential
+    recursion to ~1e-15 relative. All specs use one block size when one fits every span,
     so EWMs of the same input share their running-count, block-sum and carry windows (three Window
     operators per distinct input instead of three per EWM), and the projections are batched into a
     few ``select``s rather than one plan node per column.
@@ -164,13 +139,29 @@ def ewm_many(df: DataFrame, specs: list[tuple[str, str, float]], keys: list[str]
     return df.drop(*temp)
 
 
-def islands(df: DataFrame, value: str, keys: list[str], order: list[str], pos_out: str = "run_pos") -> DataFrame:
-    """W9 gaps-and-islands: 1-based position of each row inside its run of equal consecutive values."""
-    w = series_window(keys, order)
-    changed = F.when(F.lag(value, 1).over(w).eqNullSafe(F.col(value)), 0).otherwise(1)
-    df = df.withColumn("__chg", changed).withColumn("__island", F.sum("__chg").over(w.rowsBetween(UNB, CUR)))
-    wi = Window.partitionBy(*keys, "__island").orderBy(*order)
-    return df.withColumn(pos_out, F.row_number().over(wi)).drop("__chg", "__island")
+def indexed(df: DataFrame, keys: list[str], time_col: str, out: str, min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
+    """``df`` (materialised: it is read twice) with each row's 0-based place in its key's time order, by a blocked scan."""
+    d = blocked(df.withColumn("__one", F.lit(1)), keys, time_col, min_rows)
+    return (blocked_scan(d, keys, [time_col], sums={"__one": "__n"})
+            .withColumn(out, (F.col("__n") - 1).cast("long")).drop("__one", "__n", BLOCK))
+
+
+def halo_blocks(df: DataFrame, index: str, rows: int, back: int = 0, ahead: int = 0) -> DataFrame:
+    """Blocks of ``rows`` consecutive rows (``__hb``), each also given the ``back`` rows before and the ``ahead`` rows
+    after it (``__halo``), so that windows over (key, block) see all they need and no task holds a whole series. Drop
+    the halo rows after the last window."""
+    if back > rows or ahead > rows:
+        raise ValueError("a halo must fit into one block")
+    b, k = F.floor(F.col(index) / rows).cast("long"), F.col(index) % rows
+    own = F.struct(b.alias("b"), F.lit(False).alias("halo"))
+    after = F.when(k >= rows - back, F.struct((b + 1).alias("b"), F.lit(True).alias("halo")))
+    prior = F.when((k < ahead) & (b > 0), F.struct((b - 1).alias("b"), F.lit(True).alias("halo")))
+    return (df.withColumn("__c", F.explode(F.array_compact(F.array(own, after, prior))))
+              .select(*df.columns, F.col("__c.b").alias("__hb"), F.col("__c.halo").alias("__halo")))
+
+
+def without_halo(df: DataFrame) -> DataFrame:
+    return df.filter(~F.col("__halo")).drop("__hb", "__halo")
 
 
 def tail_n(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
@@ -179,11 +170,37 @@ def tail_n(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFram
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
 
 
-def chrono_split(df: DataFrame, keys: list[str], order: list[str], test_fraction: float = 0.2,
-                 out: str = "split") -> DataFrame:
-    """W11 train_test_split(shuffle=False): the last ceil(f·n) rows of each key are 'test'."""
-    w = series_window(keys, order)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    rn = F.row_number().over(w)
-    n_test = F.ceil(n * F.lit(test_fraction))
-    return df.withColumn(out, F.when(rn > n - n_test, F.lit("test")).otherwise(F.lit("train")))
+def chrono_split(df: DataFrame, keys: list[str], time_col: str, test_fraction: float = 0.2, out: str = "split",
+                 min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
+    """W11 train_test_split(shuffle=False): the last ceil(f·n) rows of each key are 'test'. ``df`` is read three times."""
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    d = indexed(df, keys, time_col, "__at", min_rows).join(n, keys)
+    train = F.col("__n") - F.ceil(F.col("__n") * F.lit(test_fraction))
+    return d.withColumn(out, F.when(F.col("__at") >= train, F.lit("test")).otherwise(F.lit("train"))).select(*df.columns, out)
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str]) -> DataFrame:
+    """Exact interpolated quantiles per key, one row each. An approximate pass brackets each rank within 0.4 % of
+    the key's rows; only the rows inside a bracket are then ranked. ``df`` is read twice."""
+    eps, share = 0.002, [x for p in probs for x in (max(p - 0.002, 0.0), min(p + 0.002, 1.0))]
+    d = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    cuts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
+                                F.percentile_approx("__v", F.array(*[F.lit(s) for s in share]), F.lit(5000)).alias("__c"))
+    few = F.col("__n") * eps < 4                                # brackets of under four ranks: take the whole range
+    parts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
+                               F.when(few, F.col("__lo")).otherwise(F.get("__c", F.lit(2 * i))).alias("lo"),
+                               F.when(few, F.col("__hi")).otherwise(F.get("__c", F.lit(2 * i + 1))).alias("hi"))
+                      for i, p in enumerate(probs)])
+    j = d.join(cuts.select(*keys, "__n", parts.alias("__p")), keys)
+    below = (j.select(*keys, F.explode("__p").alias("q"), "__v").groupBy(*keys, F.col("q.i").alias("i"))
+             .agg(F.sum((F.col("__v") < F.col("q.lo")).cast("long")).alias("__below")))
+    near = (j.select(*keys, "__n", "__v", F.explode(F.filter("__p", lambda q: (F.col("__v") >= q["lo"]) & (F.col("__v") <= q["hi"]))).alias("q"))
+            .select(*keys, "__n", "__v", F.col("q.i").alias("i"), F.col("q.p").alias("p")))
+    w = Window.partitionBy(*keys, "i").orderBy("__v")           # the bracket's rows only
+    rank = near.withColumn("__k", F.row_number().over(w) - 1).join(below, [*keys, "i"]).withColumn("__r", F.col("__k") + F.col("__below"))
+    at = (F.col("__n") - 1) * F.col("p")
+    both = rank.groupBy(*keys, "i").agg(F.max(F.when(F.col("__r") == F.floor(at), F.col("__v"))).alias("a"),
+                                        F.max(F.when(F.col("__r") == F.ceil(at), F.col("__v"))).alias("b"),
+                                        F.max(at - F.floor(at)).alias("f"))
+    got = both.withColumn("x", F.col("a") + (F.col("b") - F.col("a")) * F.col("f"))
+    return got.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, F.col("x"))).alias(o) for i, o in enumerate(names)])

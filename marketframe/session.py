@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -53,15 +54,22 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """A folder of this application on the driver's machine."""
+    return os.path.join(os.path.realpath(tempfile.gettempdir()), f"marketframe-{spark.sparkContext.applicationId}")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder must be on shared storage and is configured by the deployment; we only
-    pick a local folder when nothing is configured (tests, laptops).
+    On a cluster the folder must be on shared storage and is configured by the deployment: without the setting this
+    raises. Only a local master (tests, laptops), where driver and executors are one process, gets a local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="marketframe-ckpt-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = _own_folder(spark)
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
@@ -80,7 +88,8 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if not os.path.isdir(here) or os.path.realpath(root) in on_path or getattr(sc, "_marketframe_sent", False):
         return
-    made = os.path.join(os.path.realpath(tempfile.mkdtemp()), "marketframe.zip")
+    os.makedirs(_own_folder(spark), exist_ok=True)
+    made = os.path.join(_own_folder(spark), "marketframe.zip")
     with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, names in os.walk(here):
             for n in names:
