@@ -1,12 +1 @@
-"""Scalar column functions (F1–F22). Everything returns a Column built from pyspark built-ins."""
-
-from marketframe.functions.timefn import (  # noqa: F401
-    minute_start, bucket_start, yyyymmdd, to_second, epoch_ms, from_epoch_ms, parse_iso_utc,
-    format_iso, seconds_between, mean_timestamp, plus_hours, block_of,
-)
-from marketframe.functions.numeric import (  # noqa: F401
-    safe_div, eps_div, ratio_minus_one, signed_flag,
-)
-from marketframe.functions.text import (  # noqa: F401
-    raw_symbol, ticker_of, model_base_name, fmt_money, fmt_pct, join_messages, strategy_group,
-)
+"""Scalar column functions (F1–F16). Everything returns a Column built from pyspark built-ins."""

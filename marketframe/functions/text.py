@@ -26,16 +26,6 @@ def model_base_name(name, marker: str = "-ETH") -> Column:
     return F.substring_index(_c(name), marker, 1)
 
 
-def fmt_money(x) -> Column:
-    """F15 '{:.2f}' (no thousands separator)."""
-    return F.format_string("%.2f", _c(x))
-
-
-def fmt_pct(x, digits: int = 2) -> Column:
-    """F15 '{:.2%}'."""
-    return F.concat(F.format_string(f"%.{digits}f", _c(x) * F.lit(100.0)), F.lit("%"))
-
-
 def join_messages(*msgs) -> Column:
     """F16 '; '.join of the non-NULL messages, in argument order."""
     return F.concat_ws("; ", *[_c(m) for m in msgs])

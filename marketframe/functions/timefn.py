@@ -20,30 +20,6 @@ def bucket_start(ts, seconds: int) -> Column:
     return F.timestamp_micros(F.floor(F.unix_micros(_c(ts)) / F.lit(us)).cast("long") * F.lit(us))
 
 
-def block_of(ts, seconds: int) -> Column:
-    """Integer block number of a timestamp; used to split long per-key scans into parallel blocks."""
-    return F.floor(F.unix_micros(_c(ts)) / F.lit(int(seconds) * 1_000_000)).cast("long")
-
-
-def yyyymmdd(ts) -> Column:
-    """F3 toYYYYMMDD as an integer day number."""
-    return F.date_format(_c(ts), "yyyyMMdd").cast("int")
-
-
-def to_second(ts) -> Column:
-    """F4 toDateTime: narrow to whole seconds."""
-    return F.date_trunc("second", _c(ts))
-
-
-def epoch_ms(ts) -> Column:
-    """F5 toUnixTimestamp64Milli (floors sub-millisecond digits)."""
-    return F.unix_millis(_c(ts))
-
-
-def from_epoch_ms(ms) -> Column:
-    return F.timestamp_millis(_c(ms))
-
-
 def parse_iso_utc(s) -> Column:
     """F6/F10 ISO-8601 text (with or without offset) → UTC timestamp, NULL when unparseable."""
     s = _c(s)
@@ -66,11 +42,6 @@ def seconds_between(later, earlier) -> Column:
     return (F.unix_micros(_c(later)) - F.unix_micros(_c(earlier))) / F.lit(1e6)
 
 
-def mean_timestamp(ts) -> Column:
-    """A7 aggregate: mean of a timestamp column (NULL on empty input)."""
-    return F.timestamp_micros(F.avg(F.unix_micros(_c(ts))).cast("long"))
-
-
 def plus_hours(ts, hours) -> Column:
     """F8 ts + INTERVAL <column> HOUR, column-valued."""
     return _c(ts) + F.make_dt_interval(F.lit(0), _c(hours).cast("int"))

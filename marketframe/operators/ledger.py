@@ -32,11 +32,10 @@ def ledger(execution: DataFrame, bounds: DataFrame, starting_cash: float = C.STA
 def with_seeds(ledger_rows: DataFrame, seeds: DataFrame, ticks: DataFrame,
                starting_cash: float = C.STARTING_CASH) -> DataFrame:
     """Portfolio rows: the seeded portfolios, flat, from one second before the first tick (seq −1), and the ledger."""
-    start = ticks.agg((F.min("timestamp") - F.expr("INTERVAL 1 SECOND")).alias("time"))     # one row
+    start = ticks.agg((F.min("timestamp") - F.expr("INTERVAL 1 SECOND"))).scalar()
     cash, zero = F.lit(float(starting_cash)), F.lit(0.0)
-    flat = (seeds.withColumn("__one", F.lit(1)).join(F.broadcast(start.withColumn("__one", F.lit(1))), "__one")
-            .select("time", F.lit(-1).cast("long").alias("seq"), *KEYS, cash.alias("cash_balance"), zero.alias("quantity"),
-                    zero.alias("market_value"), cash.alias("portfolio_value")))
+    flat = seeds.select(start.alias("time"), F.lit(-1).cast("long").alias("seq"), *KEYS, cash.alias("cash_balance"),
+                        zero.alias("quantity"), zero.alias("market_value"), cash.alias("portfolio_value"))
     return flat.unionByName(ledger_rows.select(*ROW))
 
 
@@ -52,11 +51,10 @@ def snapshot_times(rows: DataFrame, ticks: DataFrame, period_s: int = C.SNAPSHOT
     """One row per key and ``period_s`` grid time from the key's first row to the feed's last tick. Days first, then
     the day's grid times, so no row explodes into more than a day; a key that starts after the last tick has none."""
     us, day = period_s * 1_000_000, 86_400_000_000
-    last = ticks.agg(F.max(F.unix_micros("timestamp")).alias("__last")).withColumn("__one", F.lit(1))    # one row
-    first = rows.groupBy(*KEYS).agg(F.min(F.unix_micros("time")).alias("__t0")).withColumn("__one", F.lit(1))
-    span = (first.join(F.broadcast(last), "__one")
-            .select(*KEYS, (F.ceil(F.col("__t0") / us) * us).cast("long").alias("lo"),
-                    (F.floor(F.col("__last") / us) * us).cast("long").alias("hi")).filter("lo <= hi"))
+    last = ticks.agg(F.max(F.unix_micros("timestamp"))).scalar()
+    first = rows.groupBy(*KEYS).agg(F.min(F.unix_micros("time")).alias("__t0"))
+    span = first.select(*KEYS, (F.ceil(F.col("__t0") / us) * us).cast("long").alias("lo"),
+                        (F.floor(last / us) * us).cast("long").alias("hi")).filter("lo <= hi")
     days = span.select("*", F.explode(F.sequence(F.floor(F.col("lo") / day).cast("long"), F.floor(F.col("hi") / day).cast("long"))).alias("d"))
     a = F.greatest(F.col("lo"), (F.ceil(F.col("d") * day / us) * us).cast("long"))
     b = F.least(F.col("hi"), (F.ceil((F.col("d") + 1) * day / us) * us - us).cast("long"))

@@ -21,14 +21,14 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from marketframe import config as C
 from marketframe.operators import windows as W
-from marketframe.operators.labels import with_class_weight
+from marketframe.operators.evaluation import weighted_metrics
+from marketframe.operators.labels import enough_rows, with_class_weight
 from marketframe.schemas import FEATURE_COLUMNS
 from marketframe.session import cut_lineage
 
@@ -85,18 +85,22 @@ def rff_transformer(train: DataFrame, features: list[str], n_components: int = 1
 
 
 def make_pipeline(kind: str, features: list[str], train: DataFrame | None = None, *, seed: int = 42,
-                  max_iter: int | None = None, num_trees: int = 50, rff_components: int = 100) -> Pipeline:
+                  max_iter: int | None = None, num_trees: int = 50, max_depth: int = 30, rff_components: int = 100,
+                  train_rows: int | None = None) -> Pipeline:
     """A Pipeline for one of: logistic_regression, random_forest, svm_rbf, mlp (gbt: see GBTOneVsRest)."""
     if kind == "logistic_regression":
-        clf = LogisticRegression(maxIter=max_iter or 500, family="multinomial", weightCol="weight")
+        # the modelled penalty (C = 1) is on the sum of losses, MLlib's on their mean
+        clf = LogisticRegression(maxIter=max_iter or 500, family="multinomial", weightCol="weight",
+                                 regParam=1.0 / max(train_rows or 1, 1))
         return Pipeline(stages=_scaled(features) + [clf])
     if kind == "random_forest":
-        clf = RandomForestClassifier(numTrees=num_trees, seed=seed, weightCol="weight")
+        # the modelled trees grow without a limit; MLlib's deepest is 30
+        clf = RandomForestClassifier(numTrees=num_trees, seed=seed, weightCol="weight", maxDepth=max_depth)
         return Pipeline(stages=_scaled(features) + [clf])
     if kind == "svm_rbf":
         rff = rff_transformer(train, features, rff_components, seed=seed)
         asm = VectorAssembler(inputCols=[f"rff_{k}" for k in range(rff_components)], outputCol="features")
-        clf = LogisticRegression(maxIter=max_iter or 500, family="multinomial", weightCol="weight")
+        clf = LogisticRegression(maxIter=max_iter or 500, family="multinomial", weightCol="weight", regParam=1.0 / max(train_rows or 1, 1))
         return Pipeline(stages=[rff, asm, clf])
     if kind == "mlp":
         clf = MultilayerPerceptronClassifier(layers=[len(features), 64, 32, 3], seed=seed, maxIter=max_iter or 100)
@@ -106,7 +110,8 @@ def make_pipeline(kind: str, features: list[str], train: DataFrame | None = None
 
 class GBTOneVsRest:
     """Three binary gradient-boosted tree models (class c vs rest); class probabilities are the
-    three positive-class probabilities normalised to sum 1. Saved as one pipeline per class."""
+    three positive-class probabilities normalised to sum 1. Trees of depth 3, step .1 and no class weights, as the
+    modelled booster. Saved as one pipeline per class."""
 
     def __init__(self, features: list[str], max_iter: int = 100, seed: int = 42, models=None):
         self.features, self.max_iter, self.seed = features, max_iter, seed
@@ -115,7 +120,7 @@ class GBTOneVsRest:
     def fit(self, train: DataFrame) -> "GBTOneVsRest":
         for c in (C.SELL, C.HOLD, C.BUY):
             d = train.withColumn("bin_label", (F.col("label") == c).cast("double"))
-            gbt = (GBTClassifier(labelCol="bin_label", maxIter=self.max_iter, seed=self.seed, weightCol="weight",
+            gbt = (GBTClassifier(labelCol="bin_label", maxIter=self.max_iter, seed=self.seed, maxDepth=3, stepSize=0.1,
                                  predictionCol=f"pred_{c}")
                    .setProbabilityCol(f"prob_{c}").setRawPredictionCol(f"raw_{c}"))
             stages = [VectorAssembler(inputCols=self.features, outputCol="features"), gbt]
@@ -154,15 +159,14 @@ def probabilities(scored: DataFrame) -> DataFrame:
 
 
 def evaluate(model, data: DataFrame) -> dict:
-    """Accuracy on train and test, weighted precision/recall/F1 on test."""
-    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
-    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
-    pt, ps = model.transform(train), model.transform(test)
-    return {"train_accuracy": ev.evaluate(pt, {ev.metricName: "accuracy"}),
-            "test_accuracy": ev.evaluate(ps, {ev.metricName: "accuracy"}),
-            "precision": ev.evaluate(ps, {ev.metricName: "weightedPrecision"}),
-            "recall": ev.evaluate(ps, {ev.metricName: "weightedRecall"}),
-            "f1": ev.evaluate(ps, {ev.metricName: "weightedFMeasure"})}
+    """Accuracy on train and test, weighted precision/recall/F1 on test, from one scoring pass: the confusion counts
+    per split are all that comes back."""
+    scored = model.transform(data).withColumn("prediction", F.col("prediction").cast("int"))
+    m = {r["split"]: r for r in weighted_metrics(scored, keys=["split"]).collect()}
+    test = m.get("test")
+    return {"train_accuracy": m["train"]["accuracy"] if "train" in m else 0.0,
+            "test_accuracy": test["accuracy"] if test else 0.0,
+            **{k: test[k] if test else 0.0 for k in ("precision", "recall", "f1")}}
 
 
 def run_record(spark, name: str, description: str, key: str, retrain_hours: float, metrics: dict) -> DataFrame:
@@ -174,17 +178,24 @@ def run_record(spark, name: str, description: str, key: str, retrain_hours: floa
         *[F.lit(float(metrics[m])).alias(m) for m in ("train_accuracy", "test_accuracy", "precision", "recall", "f1")])
 
 
+def append_run(record: DataFrame, path: str) -> None:
+    """Append the run's row to the ``model_runs`` log."""
+    record.write.mode("append").parquet(path)
+
+
 def train(labelled: DataFrame, kind: str, *, min_rows: int = C.MIN_TRAIN_ROWS, newest: int | None = None,
           **kw):
-    """E8 gate + split + fit. Returns (model, data with split/weight) or (None, None) when the table
-    has fewer than ``min_rows`` rows."""
+    """E8 gate per series + split + fit. Series with fewer than ``min_rows`` rows are left out; returns (model, data
+    with split/weight), or (None, None) when none is left."""
     feats = [c for c in FEATURE_COLUMNS if c in labelled.columns]
-    # Materialise the labelled, split and weighted set once; the gate, the fit's passes and the
-    # scoring all read the written copy instead of re-deriving features and labels
-    data = cut_lineage(training_frame(labelled, newest=newest))
-    if data.count() < min_rows:
-        return None, None
+    rows = cut_lineage(labelled)
+    gate = enough_rows(rows, ["symbol"], min_rows).filter("trainable").select("symbol")
+    # The labelled, split and weighted set is materialised once; the fit's passes and the scoring read that copy
+    data = cut_lineage(training_frame(rows.join(gate, "symbol", "left_semi"), newest=newest))
     tr = data.filter(F.col("split") == "train")
+    n = tr.count()
+    if not n:
+        return None, None
     if kind == "gbt":
         return GBTOneVsRest(feats, max_iter=kw.get("max_iter") or 100).fit(tr), data
-    return make_pipeline(kind, feats, tr, **kw).fit(tr), data
+    return make_pipeline(kind, feats, tr, train_rows=n, **kw).fit(tr), data

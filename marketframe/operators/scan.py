@@ -44,13 +44,13 @@ def time_bounds(rows: DataFrame, keys: list[str], time_col: str, min_rows: int =
 def with_blocks(rows: DataFrame, bounds: DataFrame, keys: list[str], time_col: str) -> DataFrame:
     """``rows`` with ``__blk``, a number that never falls as time rises within a key. Rows without a time
     come first (-1); rows of a key without bounds share block 0."""
-    b = bounds.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], "__cuts", "__sub")
     if keys:
+        b = bounds.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], "__cuts", "__sub")
         cond = [F.col(k).eqNullSafe(F.col(f"__bk{i}")) for i, k in enumerate(keys)]
         j = rows.join(b, cond, "left")
-    else:                                                       # bounds of the whole table: one row
-        one = F.lit(1)
-        j = rows.withColumn("__bk", one).join(F.broadcast(b.withColumn("__bk", one)), "__bk", "left").drop("__bk")
+    else:                                                       # bounds of the whole table: one row, a scalar subquery
+        j = rows.withColumn("__b", bounds.select(F.struct("__cuts", "__sub")).scalar()) \
+                .select(*rows.columns, "__b.__cuts", "__b.__sub")
     t = _micros(time_col)
     cell = sum((F.coalesce(t >= F.col("__cuts")[i], F.lit(False)).cast("long") for i in range(1, CELLS)), F.lit(0).cast("long"))
     lo, hi = F.get("__cuts", cell.cast("int")), F.get("__cuts", (cell + 1).cast("int"))

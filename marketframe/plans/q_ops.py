@@ -3,17 +3,20 @@ the model report (R5, R6, B6, S11–S13, S16, S23, M1–M8, P1–P3, F20, E20)."
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from marketframe import config as C
 from marketframe.operators import diagnostics as DG
 from marketframe.operators import metrics as MT
+from marketframe.operators.asof import latest_per_symbol
 from marketframe.operators.ledger import latest_per_key
 from marketframe.plans import reports as R
 from marketframe.plans.registry import register
 from marketframe.plans.q_market import BAR_COLS, BAR_DOUBLES, bars
 from marketframe.plans.q_trading import ORACLE_CTES, execution
 from marketframe.plans.sql_views import with_views
+from marketframe.plans.views import PRICE_RANGE_SQL, register_views, strategy_models, ticker_report
 from marketframe.sources import fixtures as X
 from marketframe.sources import messages as MS
 from marketframe.sources import sinks as SK
@@ -84,7 +87,9 @@ SELECT CAST(strftime(timestamp, '%Y%m%d') AS INTEGER) AS dt, count(*) AS n_rows,
 FROM ticks WHERE date_trunc('second', timestamp) + INTERVAL {TTL_DAYS} DAY > TIMESTAMP '{TTL_AS_OF}'
 GROUP BY 1""", "ticks"), [], "S12 S13 F3 F4")
 def retention_ttl_q(spark, sf_dir):
-    kept = SK.with_day(SK.retention_filter(X.ticks(spark, sf_dir), "timestamp", TTL_AS_OF, TTL_DAYS), "timestamp")
+    # a coarser bound on the stored time first, so that it reaches the Parquet reader; the TTL rule is exact
+    recent = X.ticks(spark, sf_dir, frm=pd.Timestamp(TTL_AS_OF) - pd.Timedelta(days=TTL_DAYS))
+    kept = SK.with_day(SK.retention_filter(recent, "timestamp", TTL_AS_OF, TTL_DAYS), "timestamp")
     return kept.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"), F.max("timestamp").alias("last_ts"))
 
 
@@ -236,4 +241,59 @@ def model_report_q(spark, sf_dir):
 
 @register("table_size", None, [], "S23")
 def table_size_q(spark, sf_dir):
-    return SK.table_size_mb(X.read_table(spark, sf_dir, "events"), "events")
+    return SK.table_size_mb(spark, X.table_path(sf_dir, "events"), "events")
+
+
+@register("strategy_models", with_views("""
+SELECT s.strategy_name, s.model AS model_name, r.run_id, r.test_accuracy FROM (VALUES """ + ", ".join(
+    f"('{k}', '{v}-{C.MODEL_TICKER}')" for k, v in C.STRATEGY_MODELS.items()) + f""", ('{C.LONG_ONLY}', NULL)) AS s(strategy_name, model)
+LEFT JOIN (SELECT ([""" + ", ".join(f"'{n}-{C.MODEL_TICKER}'" for n, _, _ in C.MODELS) + """])[user_id % 5 + 1] AS m, 'run-' || event_id AS run_id,
+                  CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS test_accuracy FROM events
+           QUALIFY row_number() OVER (PARTITION BY m ORDER BY ts DESC, run_id DESC) = 1) r ON r.m = s.model"""),
+          ["test_accuracy"], "J7 X4")
+def strategy_models_q(spark, sf_dir):
+    s = strategy_models(X.strategies(spark).select("strategy_name"), X.model_runs(spark, sf_dir))
+    return s.select("strategy_name", "model_name", "run_id", "test_accuracy")
+
+
+ONE_SYMBOL, ONE_FROM, ONE_TO = "view", "2024-01-05 00:00:00", "2024-01-12 00:00:00"
+
+
+@register("ticker_range_sql", with_views(f"""
+SELECT symbol, minute, open FROM bars WHERE symbol = '{ONE_SYMBOL}' AND minute BETWEEN TIMESTAMP '{ONE_FROM}' AND TIMESTAMP '{ONE_TO}'""",
+                                         "bars"), ["open"], "X2 P4 P9 T1")
+def ticker_range_sql_q(spark, sf_dir):
+    """The dashboard statement over the bar views, with bound parameters."""
+    register_views(spark, X.ticks(spark, sf_dir))
+    return ticker_report(spark, PRICE_RANGE_SQL, symbol=ONE_SYMBOL, frm=ONE_FROM, to=ONE_TO)
+
+
+@register("latest_price_of", with_views("""
+SELECT symbol, arg_max(price, {'r': received_at, 's': seq}) AS price, max(received_at) AS received_at
+FROM ticks WHERE symbol IN ('view', 'click') GROUP BY symbol""", "ticks"), ["price"], "J6 P4 P10 R4")
+def latest_price_of_q(spark, sf_dir):
+    return latest_per_symbol(X.ticks(spark, sf_dir), ["view", "click"])
+
+
+@register("message_quality", with_views("""
+SELECT error, count(*) AS n, sum(price) AS price_sum FROM (
+  SELECT CASE seq % 11 WHEN 1 THEN 'malformed json' WHEN 2 THEN 'bad timestamp' WHEN 3 THEN 'bad price' ELSE 'none' END AS error,
+         CASE WHEN seq % 11 IN (1, 2, 3) THEN NULL ELSE price END AS price
+  FROM (SELECT seq, price FROM ticks WHERE seq % 5 <> 0 UNION ALL SELECT seq, price + 1 FROM ticks WHERE seq % 5 <> 0))
+GROUP BY error""", "ticks"), ["price_sum"], "P1 P2 P3 F10 F20 F22")
+def message_quality_q(spark, sf_dir):
+    """Envelopes of two trades each, every fifth of another type; some payloads spoiled; parsed and counted by error."""
+    t = X.ticks(spark, sf_dir)
+    trade = lambda p: F.struct(F.col("timestamp_ms").alias("t"), F.col("symbol").alias("s"), p.alias("p"), F.col("seq").cast("double").alias("v"))
+    env = F.struct(F.when(F.col("seq") % 5 == 0, "ping").otherwise("trade").alias("type"),
+                   F.array(trade(F.col("price")), trade(F.col("price") + 1)).alias("data"))
+    trades = MS.explode_envelopes(t.select(F.to_json(env).alias("value"), "received_at"))
+    kind = F.col("volume").cast("long") % 11                    # the order id rides on the volume
+    text = MS.tick_message_json(trades.withColumn("kind", kind), keep=["kind"])
+    spoiled = (F.when(F.col("kind") == 1, F.lit("{not json"))
+               .when(F.col("kind") == 2, F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"nope"'))
+               .when(F.col("kind") == 3, F.regexp_replace("value", '"price":[-0-9.Ee]+', '"price":"abc"')).otherwise(F.col("value")))
+    parsed = MS.parse_tick_messages(text.select(spoiled.alias("value")))
+    # spoiled rows keep no price: they go to quarantine
+    price = F.when(F.col("error").isNull(), F.col("price"))
+    return parsed.groupBy(F.coalesce("error", F.lit("none")).alias("error")).agg(F.count(F.lit(1)).alias("n"), F.sum(price).alias("price_sum"))

@@ -21,19 +21,16 @@ def register_views(spark: SparkSession, ticks: DataFrame, partials: DataFrame |
 
 
 CURRENT_PRICE_SQL = """
-SELECT minute, open FROM minute_bars_final
-WHERE symbol = :symbol
-ORDER BY minute DESC LIMIT 1"""
+SELECT max(minute) AS minute, max_by(open, minute) AS open FROM minute_bars_final WHERE symbol = :symbol"""
 
 PRICE_RANGE_SQL = """
-SELECT minute, open, symbol FROM minute_bars_final
-WHERE minute BETWEEN CAST(:frm AS TIMESTAMP) AND CAST(:to AS TIMESTAMP) AND symbol = :symbol
-ORDER BY minute DESC"""
+SELECT symbol, minute, open FROM minute_bars_final
+WHERE symbol = :symbol AND minute >= CAST(:frm AS TIMESTAMP) AND minute <= CAST(:to AS TIMESTAMP)
+ORDER BY minute DESC NULLS LAST"""
 
 NOTIONAL_SQL = """
-SELECT sum(v * o) AS total_vol_usd FROM (
-  SELECT minute, volume AS v, open AS o FROM minute_bars_final
-  WHERE minute BETWEEN CAST(:frm AS TIMESTAMP) AND CAST(:to AS TIMESTAMP) AND symbol = :symbol) sub"""
+SELECT sum(volume * open) AS total_vol_usd FROM minute_bars_final
+WHERE symbol = :symbol AND minute >= CAST(:frm AS TIMESTAMP) AND minute <= CAST(:to AS TIMESTAMP)"""
 
 
 def ticker_report(spark: SparkSession, sql: str, **params) -> DataFrame:
@@ -41,11 +38,11 @@ def ticker_report(spark: SparkSession, sql: str, **params) -> DataFrame:
     return spark.sql(sql, args=params)
 
 
-def strategy_models(strategies: DataFrame, model_runs: DataFrame, symbol: str = "ETH") -> DataFrame:
-    """Each strategy joined to the latest run of its model (model name = strategy name with '_'
-    as '-', plus '-<symbol>'). The strategy table is a fixed-size config, so it is broadcast."""
+def strategy_models(strategies: DataFrame, model_runs: DataFrame) -> DataFrame:
+    """Each strategy with the latest run of the model it reads (config: strategy → model)."""
+    from marketframe import config as C
     from marketframe.operators.ledger import latest_by_max
     latest = latest_by_max(model_runs, ["model_name"], ["trained_at", "run_id"],
                            ["s3_key", "test_accuracy", "retrain_interval"])
-    key = F.concat(F.regexp_replace("strategy_name", "_", "-"), F.lit(f"-{symbol}"))
-    return F.broadcast(strategies).withColumn("model_name", key).join(latest, "model_name", "left")
+    names = F.create_map(*[F.lit(x) for k, v in C.STRATEGY_MODELS.items() for x in (k, f"{v}-{C.MODEL_TICKER}")])
+    return strategies.withColumn("model_name", F.try_element_at(names, F.col("strategy_name"))).join(latest, "model_name", "left")

@@ -11,6 +11,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketframe import config as C
+from marketframe.operators.signals import class_to_signal
 from marketframe.operators.scan import blocked_scan, time_bounds, with_blocks
 from marketframe.session import ensure_utc
 
@@ -90,8 +91,7 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("price").alias("model_price"),
     )
     return (d.join(F.broadcast(strategies(spark)), "slot")
-             .withColumn("signal", F.when(F.col("pred_class") == C.BUY, "BUY")
-                         .when(F.col("pred_class") == C.SELL, "SELL").otherwise("HOLD"))
+             .withColumn("signal", class_to_signal())
              .drop("slot"))
 
 

@@ -6,7 +6,7 @@ NULLs and lands in the quarantine split instead of failing the job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marketframe.functions.timefn import format_iso, parse_iso_utc
 from marketframe.schemas import ENVELOPE, TICK_MESSAGE
@@ -30,11 +30,11 @@ def explode_envelopes(raw: DataFrame, value: str = "value", received_at: str = "
                     F.col(received_at).alias("received_at"))
 
 
-def tick_message_json(ticks: DataFrame) -> DataFrame:
+def tick_message_json(ticks: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """S6 payload: ISO-8601 timestamp, epoch ms, symbol, price, volume, ISO receive time, as JSON text."""
     payload = F.struct(format_iso("timestamp").alias("timestamp"), F.col("timestamp_ms"), F.col("symbol"),
                        F.col("price"), F.col("volume"), format_iso("received_at").alias("received_at"))
-    return ticks.select(F.to_json(payload).alias("value"))
+    return ticks.select(F.to_json(payload).alias("value"), *(keep or []))
 
 
 def parse_tick_messages(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -64,8 +64,3 @@ def valid(parsed: DataFrame) -> DataFrame:
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("error").isNotNull()).select("raw_value", "error")
-
-
-def numeric_price(c: str = "price") -> Column:
-    """P10 guard: a price that is a number (not NULL, not NaN)."""
-    return F.col(c).isNotNull() & ~F.isnan(F.col(c))

@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketframe.session import scratch_path
+from marketframe.session import cut_lineage, scratch_path
 
 
 def with_day(df: DataFrame, ts_col: str, out: str = "dt") -> DataFrame:
@@ -33,8 +33,7 @@ def write_table(df: DataFrame, path: str, ts_col: str | None = None, order: list
         w = with_day(w, ts_col)
         parts = ["dt"]
     if order:
-        w = w.repartition(*[F.col(p) for p in parts]) if parts else w
-        w = w.sortWithinPartitions(*(parts + order))
+        w = w.repartitionByRange(*(parts + order)).sortWithinPartitions(*(parts + order))      # a large day is many tasks
     writer = w.write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
@@ -55,11 +54,6 @@ def truncate(spark: SparkSession, path: str, schema) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def seed(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
-    """S18 INSERT … VALUES: a literal DataFrame for initial rows."""
-    return spark.createDataFrame(rows, schema)
-
-
 def retention_filter(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
     """S12 TTL col + INTERVAL n DAY DELETE: keep rows whose TTL (second-truncated ts + n days) is after as_of."""
     ttl = F.date_trunc("second", F.col(ts_col)) + F.make_dt_interval(F.lit(int(days)))
@@ -76,21 +70,23 @@ def archive(spark: SparkSession, hot_path: str, archive_path: str, ts_col: str,
     """S11 archive job on a day-partitioned table: rows older than ``cutoff`` are appended to the
     archive (day partitions), then the hot table keeps only the rest (S22 predicate delete).
 
-    The kept rows of the partitions touched by the cutoff are staged under the shared checkpoint
-    folder first (a Spark job cannot overwrite a path it is reading), then written back with dynamic
-    partition overwrite; partitions that are entirely old are replaced by empty ones. Returns the
-    staging path. Re-running with the same cutoff appends nothing new (the hot table no longer has
-    old rows).
+    Safe to run again after a stop anywhere: rows that the archive holds already are not appended twice (a multiset
+    difference over the days at hand). The kept rows of the touched days are staged under the shared checkpoint folder
+    (a Spark job cannot overwrite a path it is reading), then written back with dynamic partition overwrite; days that
+    are entirely old are dropped. Both reads are bounded to days up to the cutoff's. Returns the staging path.
     """
-    hot = spark.read.parquet(hot_path)
-    old, keep = split_at(hot, ts_col, cutoff)
     cut_day = int(datetime.fromisoformat(str(cutoff)).strftime("%Y%m%d"))
-    # partition values only: one entry per day at or before the cutoff day
-    touched = {r["dt"] for r in hot.filter(F.col("dt") <= cut_day).select("dt").distinct().collect()}
-    old.drop("dt").transform(lambda d: with_day(d, ts_col)).write.mode("append").partitionBy("dt").parquet(archive_path)
+    hot = spark.read.parquet(hot_path).filter(F.col("dt") <= cut_day)
+    old, keep = split_at(hot, ts_col, cutoff)
+    touched = {r["dt"] for r in hot.select("dt").distinct().collect()}                          # one entry per day
+    schema = old.schema
+    held = _read_if_there(spark, archive_path, schema).filter(F.col("dt") <= cut_day).select(*schema.names)
+    # materialised before the append changes the folder it was read from
+    fresh = cut_lineage(old.exceptAll(held))
+    fresh.write.mode("append").partitionBy("dt").parquet(archive_path)
     stage = scratch_path(spark, f"archive-stage-{uuid.uuid4().hex}")
-    keep.filter(F.col("dt") <= cut_day).write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    keep.write.mode("overwrite").parquet(stage)
+    staged = spark.read.schema(schema).parquet(stage)
     kept = {r["dt"] for r in staged.select("dt").distinct().collect()}
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
            .parquet(hot_path))
@@ -98,6 +94,14 @@ def archive(spark: SparkSession, hot_path: str, archive_path: str, ts_col: str,
     return stage
 
 
+def _read_if_there(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table at ``path``, or an empty one while the folder does not exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _drop_partitions(spark: SparkSession, path: str, days: list[int]) -> None:
     """Remove day partitions that no longer hold rows (partition directories, not data rows)."""
     jvm = spark.sparkContext._jvm
@@ -107,10 +111,11 @@ def _drop_partitions(spark: SparkSession, path: str, days: list[int]) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def table_size_mb(df: DataFrame, name: str) -> DataFrame:
-    """S23 stored size of a file-based table in MB, from the scan's file metadata."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.round(F.sum("file_size") / F.lit(1024.0 * 1024.0), 2).alias("size_mb")) \
+def table_size_mb(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """S23 stored size of a file-based table in MB: one row per file, file listing only, no content."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(path).select("path", "length"))
+    return files.agg(F.round(F.sum("length") / F.lit(1024.0 * 1024.0), 2).alias("size_mb")) \
                 .select(F.lit(name).alias("table"), "size_mb")
 
 
@@ -133,5 +138,5 @@ def compact_partials(spark: SparkSession, partial_path: str, out_path: str) -> N
     compacted table by day (a new path; readers switch over, then old batches can be dropped)."""
     from marketframe.operators.bars import merge_partials
     p = spark.read.parquet(partial_path)
-    p = p.drop(*[c for c in ("batch_id", "dt") if c in p.columns])
+    p = p.drop(*[c for c in ("run_id", "batch_id", "dt") if c in p.columns])
     write_table(merge_partials(p), out_path, ts_col="minute", order=["symbol", "minute"], mode="overwrite")

@@ -15,20 +15,16 @@ from marketframe.sources.sinks import with_day
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str = "price_ticks",
-                   starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
+                   starting_offsets: str = "latest", max_offsets_per_trigger: int = 500_000) -> DataFrame:
     """Message values from Kafka as text (needs the spark-sql-kafka connector)."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-         .option("startingOffsets", starting_offsets))
-    if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+         .option("startingOffsets", starting_offsets).option("maxOffsetsPerTrigger", int(max_offsets_per_trigger)))
     return r.load().select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrived_at"))
 
 
-def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """S1 over files: each line is one message; arrival time is the file's modification time."""
-    r = spark.readStream.format("text")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    r = spark.readStream.format("text").option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.load(path).select(F.col("value"), F.col("_metadata.file_modification_time").alias("arrived_at"))
 
 

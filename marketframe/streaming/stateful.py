@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketframe import config as C
 from marketframe.operators import bars as B
+from marketframe.operators.diagnostics import heartbeat_columns, window_end_ms, window_means
+from marketframe.session import ship_package
 
 
 def bars_watermarked(ticks: DataFrame, delay: str = "2 minutes", open_mode: str = "heavy") -> DataFrame:
@@ -32,12 +34,12 @@ def bars_watermarked(ticks: DataFrame, delay: str = "2 minutes", open_mode: str
             .select(F.col("w.start").alias("minute"), "symbol", "open", "high", "low", "close", "avg", "volume"))
 
 
-def bars_partial_append(partial_path: str):
-    """R3 (b): a foreachBatch function appending the batch's partial states (S17 table)."""
+def bars_partial_append(partial_path: str, run_id: str):
+    """R3 (b): a foreachBatch function appending the batch's partial states (S17 table). ``run_id`` names the query's
+    checkpoint: a new checkpoint counts its batches from 0 again and must not replace an older run's folders."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        # one directory per batch id: a retried batch overwrites its own output, never duplicates
-        (B.partial_bars(batch).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{partial_path}/batch_id={batch_id}"))
+        # one directory per run and batch: a retried batch overwrites its own output, never duplicates
+        B.partial_bars(batch).write.mode("overwrite").parquet(f"{partial_path}/run_id={run_id}/batch_id={batch_id}")
     return write
 
 
@@ -48,18 +50,16 @@ def latest_prices(ticks: DataFrame) -> DataFrame:
                                    F.max("received_at").alias("received_at"))
 
 
-def heartbeat_stream(ticks: DataFrame, period: str = f"{C.HEARTBEAT_S} seconds", delay: str = "1 minute") -> DataFrame:
-    """Tumbling windows over insert time: mean times, lags and counts per window."""
-    us = lambda c: F.unix_micros(F.col(c))
-    g = (ticks.withWatermark("insert_time", delay).groupBy(F.window("insert_time", period).alias("w"))
-         .agg(F.avg(us("timestamp")).alias("ts"), F.avg(us("received_at")).alias("rc"),
-              F.avg(us("insert_time")).alias("ins"), F.count(F.lit(1)).alias("n")))
-    return g.select(F.timestamp_micros(F.floor("ts").cast("long")).alias("avg_timestamp"),
-                    F.timestamp_micros(F.floor("rc").cast("long")).alias("avg_received_at"),
-                    F.timestamp_micros(F.floor("ins").cast("long")).alias("avg_processed_timestamp"),
-                    ((F.col("rc") - F.col("ts")) / 1e6).alias("avg_websocket_lag"),
-                    ((F.col("ins") - F.col("rc")) / 1e6).alias("avg_processing_lag"),
-                    F.col("n").cast("double").alias("message_count"), F.col("w.end").alias("diagnostics_timestamp"))
+def heartbeat_stream(ticks: DataFrame, period_s: int = C.HEARTBEAT_S, delay: str = "1 minute") -> DataFrame:
+    """Windows (a, b] of insert time, as in the batch form: stream windows are [a, b), so they are taken one
+    millisecond earlier. Means are taken of the offsets from the window end, which stay exact."""
+    ms = period_s * 1000
+    end = window_end_ms(ms)
+    t = (ticks.filter(F.col("insert_time").isNotNull())
+         .withColumn("__at", F.timestamp_millis(F.unix_millis("insert_time") - 1)).withColumn("__end", end))
+    g = (t.withWatermark("__at", delay).groupBy(F.window("__at", f"{period_s} seconds").alias("w"))
+         .agg(*window_means(F.col("__end")), F.count(F.lit(1)).alias("__n")))
+    return g.withColumn("__w", F.unix_millis("w.end")).select(*heartbeat_columns())
 
 
 def feed_sessions(ticks: DataFrame, gap: str = f"{C.WATCHDOG_TIMEOUT_S} seconds", delay: str = "5 minutes",
@@ -90,28 +90,18 @@ class PositionProcessor(StatefulProcessor):
     """
 
     def init(self, handle) -> None:
-        self.pos = handle.getValueState("pos", "quantity double, cash double, book double")
+        self.pos = handle.getValueState("pos", "quantity double, book double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.pos.exists():
-            q, cash, book = self.pos.get()
-        else:
-            q, cash, book = 0.0, C.STARTING_CASH, 0.0
-        out = []
-        for pdf in rows:
-            pdf = pdf.sort_values(["time", "seq"])
-            flow = (pdf["quantity"] * pdf["executed_price"]).to_numpy()
-            qs = q + pdf["quantity"].cumsum().to_numpy()
-            books = book + flow.cumsum()
-            out.append(pd.DataFrame({
-                "strategy_name": key[0], "symbol": key[1], "time": pdf["time"].to_numpy(),
-                "quantity": qs, "cash_balance": C.STARTING_CASH - books, "market_value": books,
-                "portfolio_value": C.STARTING_CASH}))
-            q, book = float(qs[-1]), float(books[-1])
-            cash = C.STARTING_CASH - book
-        self.pos.update((q, cash, book))
-        if out:
-            yield pd.concat(out, ignore_index=True)
+        q, book = self.pos.get() if self.pos.exists() else (0.0, 0.0)
+        # a key's rows come in several chunks: order them over the whole batch before folding
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["time", "seq"], kind="stable")
+        qs = q + pdf["quantity"].cumsum().to_numpy()
+        books = book + (pdf["quantity"] * pdf["executed_price"]).cumsum().to_numpy()
+        self.pos.update((float(qs[-1]), float(books[-1])))
+        yield pd.DataFrame({
+            "strategy_name": key[0], "symbol": key[1], "time": pdf["time"].to_numpy(), "quantity": qs,
+            "cash_balance": C.STARTING_CASH - books, "market_value": books, "portfolio_value": C.STARTING_CASH})
 
     def close(self) -> None:
         pass
@@ -119,6 +109,7 @@ class PositionProcessor(StatefulProcessor):
 
 def portfolio_positions(executions: DataFrame) -> DataFrame:
     """Running position rows per (strategy, symbol) from a stream of approved executions."""
+    ship_package(executions.sparkSession)
     approved = executions.filter(F.col("approval_status") == "Y").select(
         "strategy_name", "symbol", "time", "seq", "quantity", "executed_price")
     return approved.groupBy("strategy_name", "symbol").transformWithStateInPandas(
@@ -126,20 +117,15 @@ def portfolio_positions(executions: DataFrame) -> DataFrame:
         timeMode="None")
 
 
-def snapshot_writer(ledger_path: str, ticks_path: str, out_path: str, period_s: int = C.SNAPSHOT_PERIOD_S):
-    """R7 stream form: a foreachBatch function run on a processing-time trigger of ``period_s``;
-    each run marks every key's latest ledger row at its symbol's latest tick price and appends one
-    ``portfolio_ts`` row per key, stamped with the batch's trigger time."""
-    from marketframe.operators.asof import latest_per_symbol
-    from marketframe.operators.ledger import latest_by_max
-
+def snapshot_writer(keys_path: str, prices_path: str, out_path: str):
+    """R7 stream form: a foreachBatch function for a clock stream (one batch per period, ticks or not). Each run marks
+    every portfolio row at its symbol's latest price and writes one ``portfolio_ts`` row per key, stamped with the
+    batch's time. It reads two small current tables, one row per key (S16) and per symbol (R4), and no history."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cur = latest_by_max(spark.read.parquet(ledger_path), ["strategy_name", "symbol"], ["time", "seq"],
-                            ["cash_balance", "quantity"])
-        px = latest_per_symbol(spark.read.parquet(ticks_path))
+        cur, px = spark.read.parquet(keys_path), spark.read.parquet(prices_path)
         mv = F.col("quantity") * F.col("price")
-        snap = (cur.join(px.select("symbol", "price"), "symbol", "left")
+        snap = (cur.join(px.select("symbol", "price"), "symbol")
                    .select(F.current_timestamp().alias("time"), "cash_balance", "symbol", "quantity",
                            mv.alias("market_value"), (F.col("cash_balance") + mv).alias("portfolio_value"),
                            "strategy_name"))

@@ -37,11 +37,15 @@ def test_logistic_regression_fit_save_load_score(spark, tmpdir_path):
     assert set(r.pred_class for r in scored.select("pred_class").distinct().collect()) <= {0, 1, 2}
     run = ML.run_record(spark, "Logistic-Regression", "linear", "models/x", 4, m)
     assert run.count() == 1 and run.first()["model_name"] == "Logistic-Regression"
+    log = os.path.join(tmpdir_path, "model_runs")
+    for _ in range(2):
+        ML.append_run(run, log)
+    assert spark.read.parquet(log).count() == 2
 
 
 def test_forest_svm_mlp_and_gbt(spark, tmpdir_path):
     lab = _labelled(spark)
-    for kind, kw in [("random_forest", {"num_trees": 5}), ("svm_rbf", {"max_iter": 20, "rff_components": 16}),
+    for kind, kw in [("random_forest", {"num_trees": 5, "max_depth": 6}), ("svm_rbf", {"max_iter": 20, "rff_components": 16}),
                      ("mlp", {"max_iter": 20})]:
         model, data = ML.train(lab, kind, **kw)
         m = ML.evaluate(model, data)
@@ -61,6 +65,13 @@ def test_min_rows_gate(spark):
     assert model is None and data is None
 
 
+def test_gate_is_per_series(spark):
+    lab = QF.labelled(spark, SF01).filter("symbol in ('view', 'click')")
+    small = lab.filter("symbol = 'click'").limit(50).unionByName(lab.filter("symbol = 'view'"))
+    model, data = ML.train(small, "logistic_regression", min_rows=100, max_iter=5)
+    assert [r.symbol for r in data.select("symbol").distinct().collect()] == ["view"]
+
+
 def test_newest_cap(spark):
     lab = _labelled(spark)
     d = ML.training_frame(lab, newest=100)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from marketframe.operators import bars as B
+from marketframe.operators import diagnostics as DG
 from marketframe.sources import fixtures as X
 from marketframe.sources import messages as MS
 from marketframe.streaming import ingest as IN
@@ -62,12 +63,17 @@ def test_stream_bars_equal_batch_for_closed_windows(spark, tmpdir_path):
 def test_partial_append_merges_late_ticks(spark, tmpdir_path):
     t = X.ticks(spark, SF001)
     part = os.path.join(tmpdir_path, "partials")
-    write = ST.bars_partial_append(part)
+    write = ST.bars_partial_append(part, "run1")
     early = t.filter(F.col("seq") % 3 != 0)
     late = t.filter(F.col("seq") % 3 == 0)   # a later micro-batch carrying old ticks
     write(early, 0)
     write(late, 1)
-    merged = B.finalize(spark.read.parquet(part).drop("batch_id"))
+    # another checkpoint counts its batches from 0 again: its states add to the stored ones
+    more = t.limit(50)
+    ST.bars_partial_append(part, "run2")(more.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 400 DAYS")), 0)
+    stored = spark.read.parquet(part).drop("run_id", "batch_id")
+    assert B.finalize(stored.filter("minute > '2025-01-01'")).agg(F.sum("volume")).first()[0] == more.agg(F.sum("volume")).first()[0]
+    merged = B.finalize(stored.filter("minute < '2025-01-01'"))
     assert merged.exceptAll(B.ohlcv(t).select(*merged.columns)).count() == 0
     assert merged.count() == B.ohlcv(t).count()
 
@@ -86,47 +92,61 @@ def test_latest_prices_stream(spark, tmpdir_path):
 def test_portfolio_state_matches_batch_ledger(spark, tmpdir_path):
     from marketframe.operators import ledger as LG
     from marketframe.plans import q_trading as QT
-    ex = QT.execution(spark, SF001)
+    ex = X.recorded_executions(QT.fills(spark, SF001))
     path = os.path.join(tmpdir_path, "exec")
     ex.write.parquet(path)
     stream = spark.readStream.schema(ex.schema).parquet(path)
+    chunk = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(chunk)
+    spark.conf.set(chunk, "10")            # a key's rows come in many chunks
     q = (ST.portfolio_positions(stream).writeStream.format("memory").queryName("positions").outputMode("update")
          .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
+    spark.conf.set(chunk, before)
     got = spark.table("positions")
-    batch = LG.ledger(ex).select(*got.columns)
+    batch = LG.ledger(ex, X.tick_bounds(spark, SF001)).select(*got.columns)
     r = lambda d: d.select(*[F.round(c, 6).alias(c) if c in ("quantity", "cash_balance", "market_value") else c  # noqa
                              for c in d.columns])
     assert r(got).exceptAll(r(batch)).count() == 0
     assert got.count() == batch.count()
 
 
-def test_heartbeat_and_sessions_stream(spark, tmpdir_path):
+def test_heartbeat_stream_equals_batch_also_on_the_boundary(spark, tmpdir_path):
+    t = X.ticks(spark, SF001).select("timestamp", "received_at", "insert_time")
+    edge = spark.createDataFrame([(x,) for x in ("2024-01-03 00:01:00", "2024-01-03 00:01:00.001", "2024-01-03 00:02:00")], "s string")
+    edge = edge.select(*[F.col("s").cast("timestamp").alias(c) for c in t.columns])
+    t = t.unionByName(edge)
+    path = os.path.join(tmpdir_path, "ticks")
+    t.write.parquet(path)
+    q = (ST.heartbeat_stream(spark.readStream.schema(t.schema).parquet(path)).writeStream.format("memory").queryName("hb")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got, batch = spark.table("hb"), DG.heartbeat(t, keep_empty=False)
+    assert got.count() >= batch.count() - 2
+    assert got.exceptAll(batch).count() == 0
+
+
+def test_feed_sessions_stream(spark, tmpdir_path):
     t = X.ticks(spark, SF001)
     path = os.path.join(tmpdir_path, "ticks")
     t.write.parquet(path)
-    stream = spark.readStream.schema(t.schema).parquet(path)
-    q1 = (ST.heartbeat_stream(stream).writeStream.format("memory").queryName("hb").outputMode("append")
-          .trigger(availableNow=True).start())
-    q2 = (ST.feed_sessions(stream).writeStream.format("memory").queryName("sess").outputMode("append")
-          .trigger(availableNow=True).start())
-    q1.awaitTermination()
-    q2.awaitTermination()
-    assert spark.table("hb").agg(F.sum("message_count")).first()[0] <= t.count()
+    q = (ST.feed_sessions(spark.readStream.schema(t.schema).parquet(path)).writeStream.format("memory").queryName("sess")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
     assert spark.table("sess").count() > 0
 
 
-def test_snapshot_writer_marks_every_key(spark, tmpdir_path):
+def test_snapshot_writer_marks_every_key_without_ticks(spark, tmpdir_path):
+    from marketframe.operators.asof import latest_per_symbol
     from marketframe.plans import q_trading as QT
-    led, t = QT.ledger(spark, SF001), X.ticks(spark, SF001)
-    lp, tp, out = (os.path.join(tmpdir_path, d) for d in ("ledger", "ticks", "snaps"))
-    led.write.parquet(lp)
-    t.write.parquet(tp)
-    q = (spark.readStream.schema(t.schema).parquet(tp).writeStream.foreachBatch(ST.snapshot_writer(lp, tp, out))
-         .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
+    key, px = QT.portfolio_key(spark, SF001), latest_per_symbol(X.ticks(spark, SF001))
+    kp, pp, out = (os.path.join(tmpdir_path, d) for d in ("keys", "prices", "snaps"))
+    key.write.parquet(kp)
+    px.write.parquet(pp)
+    write = ST.snapshot_writer(kp, pp, out)
+    for k in range(2):
+        write(spark.range(0), k)           # the clock's batch holds no ticks
     snaps = spark.read.parquet(out)
-    keys = led.select("strategy_name", "symbol").distinct().count()
-    assert snaps.select("strategy_name", "symbol").distinct().count() == keys
+    assert snaps.count() == 2 * key.count()
     bad = snaps.filter(F.abs(F.col("portfolio_value") - F.col("cash_balance") - F.col("market_value")) > 1e-6)
     assert bad.count() == 0
