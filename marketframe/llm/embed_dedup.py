@@ -55,13 +55,13 @@ _SPLIT = np.dtype([("seed", "<u4"), ("cut", "<f8"), ("left", "<i4"), ("right", "
 
 def grow(x: np.ndarray, rows: int, seed: int, leaf: int, spill: float, most_depth: int = 6) -> bytes:
     """Splits of a node of ``rows`` vectors, fitted on its sample ``x``: an array of (direction, cut, children); a
-    child below 0 is a leaf. A cut goes through the widest gap among the middle values of a projection. A node whose
+    child below 0 is a leaf. Leaves are aimed well below ``leaf``, so that few need another round. A cut goes through the widest gap among the middle values of a projection. A node whose
     vectors are so alike that a cut would send nearly all to both sides is not split."""
     out: list[tuple[int, float, int, int]] = []
     share = rows / max(len(x), 1)
 
     def split(at: np.ndarray, depth: int, path: int) -> int:
-        if len(at) * share <= leaf or len(at) < 8 or depth == most_depth:
+        if len(at) * share <= 0.6 * leaf or len(at) < 8 or depth == most_depth:
             return -1
         for attempt in range(4):
             s = int(np.random.SeedSequence([seed, path, attempt]).generate_state(1)[0])
@@ -187,7 +187,7 @@ def _child(leaf: int, number: int) -> int:
     return int(np.random.SeedSequence([leaf, number]).generate_state(2, np.uint32).view(np.uint64)[0] >> np.uint64(2))
 
 
-def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 8, leaf: int = 512, sample: int = 2048, spill: float = 0.45,
+def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 6, leaf: int = 1024, sample: int = 2048, spill: float = 0.45,
            rounds: int = 12, seed: int = 17) -> DataFrame:
     """One row per vector of ``vectors(vec_id, embedding, label)``: ``vec_id, n_links, component_id, kept``.
 
@@ -198,8 +198,9 @@ def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 8, leaf: int =
     (too alike) and exceed ``leaf`` are compared block by block. A null id has no component and is kept.
     """
     ship_package(vectors.sparkSession)
-    v = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("x"), F.col("label").cast("string").alias("label"))
-    v = v.withColumn("x", F.transform("x", lambda c: F.when(c == 0, F.lit(0.0)).otherwise(c)))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    v = vectors.select("vec_id", F.col("embedding").cast(f"array<{kind}>").alias("x"), F.col("label").cast("string").alias("label"))
+    v = v.withColumn("x", F.transform("x", lambda c: F.when(c == 0, F.lit(0.0).cast(kind)).otherwise(c)))
     sound = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0)
              & F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
              & F.exists("x", lambda c: c != 0))
@@ -211,7 +212,7 @@ def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 8, leaf: int =
     rows = (entries.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("leaf", F.lit(0).cast("long"))
             .withColumn("dense", F.lit(False)).select("key", "tree", "leaf", "dense", "node", "m", "x"))
     for k in range(rounds):
-        rows = checkpointed(rows)
+        rows = checkpointed(rows) if k else rows  # the first round's rows are the entries, listed once a tree
         sizes = rows.groupBy("key", "tree", "leaf").agg(F.count("*").alias("n"), F.max("dense").alias("dense"))
         if not sizes.where((F.col("n") > leaf) & ~F.col("dense")).limit(1).count():
             break
