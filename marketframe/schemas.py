@@ -24,10 +24,8 @@ MINUTE_BARS = _s(("minute", TS, False), ("symbol", S, False), ("open", D, True),
                  ("low", D, True), ("close", D, True), ("avg", D, True), ("volume", D, True))
 
 POINT = _s(("ts", L, True), ("seq", L, True), ("price", D, True))
-MINUTE_BARS_PARTIAL = _s(("minute", TS, False), ("symbol", S, False),
-                         ("open_counts", T.MapType(D, L), True), ("open_first", POINT, True),
-                         ("high", D, True), ("low", D, True), ("close_state", POINT, True),
-                         ("price_sum", D, True), ("price_count", L, True), ("volume", D, True))
+MINUTE_BARS_PARTIAL = _s(("minute", TS, False), ("symbol", S, False), ("price", D, True), ("n", L, False),
+                         ("open_first", POINT, True), ("close_state", POINT, True), ("price_sum", D, True), ("volume", D, True))
 
 EXECUTION = _s(("time", TS, False), ("symbol", S, False), ("signal", S, False), ("quantity", D, False),
                ("model_price", D, False), ("executed_price", D, True), ("strategy_name", S, False),
