@@ -38,6 +38,15 @@ def unpacked(b: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(_PACK.decompress(b[8:], n, asbytes=True), kind) if n else np.zeros(0, kind)
 
 
+def packed_codes(c: np.ndarray) -> bytes:
+    """Ascending codes as compressed differences."""
+    return packed(np.diff(c, prepend=np.uint32(0)).astype(np.uint32))
+
+
+def unpacked_codes(b: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(b, np.uint32), dtype=np.uint32)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
@@ -56,13 +65,20 @@ def vocabulary(docs: DataFrame, size: int) -> list[bytes]:
         for b in batches:
             for text in b.column(0).cast(pa.binary()):
                 held.update(words_of(text.as_py()))
-                if len(held) > 400_000:
+                if len(held) > 800_000:
                     yield out()
         if held:
             yield out()
 
     counts = in_arrow(docs.select("text"), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    counts = checkpointed(counts.withColumn("size", F.floor(F.log2("n") * 8).cast("int")))
+    # a histogram of counts (hundreds of rows) tells where the list ends, so that few words beyond it are sorted
+    bins, held, low = {r["size"]: r["count"] for r in counts.groupBy("size").count().collect()}, 0, 0
+    for low in sorted(bins, reverse=True):
+        held += bins[low]
+        if held >= size:
+            break
+    return [bytes(r.word) for r in counts.where(F.col("size") >= low).orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
 
 
 @lru_cache(maxsize=1)
@@ -119,9 +135,10 @@ def counted(texts: DataFrame, parts: int, most: int = 6_000_000) -> DataFrame:
             held.clear()
             codes, n, t = _summed(codes, np.ones(len(codes), np.int64), target)
             part = part_of(codes, parts)
-            order = np.argsort(part, kind="stable")
+            order = np.argsort(part, kind="stable")  # codes stay ascending in a partition
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            rows = [(p, *(packed(a[order[i:j]]) for a in (codes, n, t))) for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
+            rows = [(p, packed_codes(codes[order[i:j]]), packed(n[order[i:j]]), packed(t[order[i:j]]))
+                    for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3))],
                                               names=["part", "codes", "n", "t"])
 
@@ -147,13 +164,13 @@ def merged(counts: DataFrame, parts: int, heads: int, tokens: int) -> DataFrame:
         def out() -> pa.RecordBatch:
             codes, n, t = table
             top = n * heads > tokens
-            cols = [[packed(a[keep])] for keep in (~top, top) for a in (codes, n, t)]
+            cols = [[code(a[keep])] for keep in (~top, top) for a, code in ((codes, packed_codes), (n, packed), (t, packed))]
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), *(pa.array(c, pa.binary()) for c in cols)],
                                               names=["part", "codes", "n", "t", "top_codes", "top_n", "top_t"])
 
         for b in batches:
             for part, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                new = unpacked(row[0], np.uint32), unpacked(row[1], np.int64), unpacked(row[2], np.int64)
+                new = unpacked_codes(row[0]), unpacked(row[1], np.int64), unpacked(row[2], np.int64)
                 if part != now:
                     if table is not None:
                         yield out()
@@ -215,7 +232,7 @@ def summed_losses(codes: np.ndarray, doc: np.ndarray, target: np.ndarray, known:
             np.bincount(doc, background[at], len(target)))
 
 
-def scored(docs: DataFrame, good: DataFrame, vocabulary_size: int = 40_000, tokens_a_part: int = 4_000_000, heads: int = 20_000) -> DataFrame:
+def scored(docs: DataFrame, good: DataFrame, vocabulary_size: int = 40_000, tokens_a_part: int = 4_000_000, heads: int = 100_000) -> DataFrame:
     """One row per document of ``docs(doc_id, text)``: ``doc_id, n_tokens, loss_target, loss_background, score``.
 
     ``good(doc_id)`` names the target documents. Tokens are words and the end mark; losses are means per token in
@@ -234,8 +251,7 @@ def scored(docs: DataFrame, good: DataFrame, vocabulary_size: int = 40_000, toke
     tokens = int(n.sum() - n[BOS])
     parts = max(1, -(-tokens // tokens_a_part))
     tables = checkpointed(merged(counted(texts, parts), parts, heads, tokens))
-    top = [tuple(unpacked(bytes(x), k) for x, k in zip(r, (np.uint32, np.int64, np.int64), strict=True))
-           for r in tables.select("top_codes", "top_n", "top_t").collect()]
+    top = [(unpacked_codes(bytes(r[0])), unpacked(bytes(r[1]), np.int64), unpacked(bytes(r[2]), np.int64)) for r in tables.select("top_codes", "top_n", "top_t").collect()]
     head, head_n, head_t = _summed(*(np.concatenate([*(r[k] for r in top), np.zeros(0, kind)]) for k, kind in enumerate((np.uint32, np.int64, np.int64))))
     # bounded: the vocabulary's counts and at most ``heads`` bigrams
     shared = docs.sparkSession.sparkContext.broadcast((n, t, head, loss_table(head, head_n, head_t, n, t)))
@@ -261,9 +277,9 @@ def scored(docs: DataFrame, good: DataFrame, vocabulary_size: int = 40_000, toke
                 else:
                     codes, doc = codes[~top], (doc | (np.array(wanted, dtype=np.uint32) << np.uint32(31))[doc])[~top]
                     part = part_of(codes, parts)
-                    order = np.argsort(part, kind="stable")
+                    order = np.lexsort((codes, part))
                     cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                    rows = [(p, block, packed(codes[order[i:j]]), packed(doc[order[i:j]]), b"")
+                    rows = [(p, block, packed_codes(codes[order[i:j]]), packed(doc[order[i:j]]), b"")
                             for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
                 made = pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
@@ -303,15 +319,17 @@ def scored(docs: DataFrame, good: DataFrame, vocabulary_size: int = 40_000, toke
             at, a_out, b_out, d_out = [], [], [], []
             for _, block, x, y, z in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if block < 0:
-                    codes = unpacked(x, np.uint32)
+                    codes = unpacked_codes(x)
                     table = loss_table(codes, unpacked(y, np.int64), unpacked(z, np.int64), n, t)
                     continue
                 doc, place = np.unique(unpacked(y, np.uint32), return_inverse=True)
-                p, q = summed_losses(unpacked(x, np.uint32), place, doc >= 1 << 31, codes, table)
-                doc = doc & np.uint32(0x7FFFFFFF)
+                p, q = summed_losses(unpacked_codes(x), place, doc >= 1 << 31, codes, table)
+                order = np.argsort(doc & np.uint32(0x7FFFFFFF))
+                doc, p, q = (doc & np.uint32(0x7FFFFFFF))[order], p[order], q[order]
                 at.append(block)
-                for col, v in ((d_out, doc), (a_out, p), (b_out, q)):
-                    col.append(packed(v))
+                d_out.append(packed_codes(doc))
+                for col, v in ((a_out, p), (b_out, q)):
+                    col.append(packed(v.astype(np.float32)))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *(pa.array(c, pa.binary()) for c in (d_out, a_out, b_out))],
                                              names=["block", "doc", "a", "b"])
 
@@ -339,9 +357,9 @@ def scored(docs: DataFrame, good: DataFrame, vocabulary_size: int = 40_000, toke
                         yield out()
                     now = [ids, unpacked(x, np.int64), unpacked(y, np.float64).copy(), unpacked(z, np.float64).copy()]
                 else:
-                    doc = unpacked(x, np.uint32)
-                    now[2][doc] += unpacked(y, np.float64)
-                    now[3][doc] += unpacked(z, np.float64)
+                    doc = unpacked_codes(x)
+                    now[2][doc] += unpacked(y, np.float32)
+                    now[3][doc] += unpacked(z, np.float32)
         if now:
             yield out()
 
