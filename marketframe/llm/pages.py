@@ -12,7 +12,9 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -189,18 +191,57 @@ def host_and_path(pages: DataFrame, url_col: str) -> DataFrame:
     return pages.withColumn("host", host).withColumn("path", path)
 
 
-def kept_lines(zones: list[int], marks: list[int], sizes: list[int], others: list[tuple[list[int], list[int], list[int]]]) -> list[bool]:
-    """Which lines of a page are main text, given its neighbours' lines. A neighbour that shares most of the text
-    open to differencing is a copy of the page and tells nothing about templates."""
-    shared: set[int] = set()
-    for z, m, s in others:
+def _same(a: Counter, b: Counter) -> bool:
+    """Whether two bags of words share at least half of both."""
+    n = 2 * (a & b).total()
+    return n >= a.total() and n >= b.total()
+
+
+def kept_lines(zones: list[int], marks: list[int], sizes: list[int], lines: list[str],
+               others: list[tuple[list[int], list[int], list[int], list[str]]]) -> list[bool]:
+    """Which lines of a page are main text, given its neighbours' lines; ``lines`` are the texts outside ``OUT``.
+
+    A neighbour that shares most of the text open to differencing may be a copy, which tells nothing about templates.
+    That is judged without the lines that a third neighbour has as well, where the three pages are otherwise different:
+    of the words of their other open lines no two share half. So a template may be longer than the pages' own text,
+    while copies with another date or number stay copies."""
+    met = []
+    for z, m, s, t in others:
         mine, theirs = common_subsequence(marks, m)
-        mine = {i for i in mine if zones[i] == OPEN}
-        theirs = {j for j in theirs if z[j] == OPEN}
-        mass = sum(sizes[i] for i in mine), sum(s[j] for j in theirs)
-        total = sum(n for n, k in zip(sizes, zones, strict=True) if k == OPEN), sum(n for n, k in zip(s, z, strict=True) if k == OPEN)
-        if 2 * mass[0] <= total[0] or 2 * mass[1] <= total[1]:
+        both = {i: j for i, j in zip(sorted(mine), sorted(theirs), strict=True) if zones[i] == OPEN == z[j]}
+        met.append(({i for i in mine if zones[i] == OPEN}, {j for j in theirs if z[j] == OPEN}, both, z, s, t))
+
+    def mass(z: list[int], s: list[int], gone: set[int]) -> int:
+        return sum(n for i, (n, k) in enumerate(zip(s, z, strict=True)) if k == OPEN and i not in gone)
+
+    def rest(z: list[int], t: list[str], gone: set[int]) -> Counter:
+        texts = iter(t)
+        words = Counter()
+        for i, k in enumerate(z):
+            line = next(texts) if k != OUT else ""
+            if k == OPEN and i not in gone:
+                words.update(line.split())
+        return words
+
+    def a_copy(mine: set[int], theirs: set[int], z: list[int], s: list[int], gone: dict[int, int]) -> bool:
+        left = sum(sizes[i] for i in mine if i not in gone), sum(s[j] for j in theirs - set(gone.values()))
+        return 2 * left[0] > mass(zones, sizes, set(gone)) and 2 * left[1] > mass(z, s, set(gone.values()))
+
+    shared: set[int] = set()
+    for mine, theirs, both, z, s, t in met:
+        if not a_copy(mine, theirs, z, s, {}):
             shared |= mine
+            continue
+        template: dict[int, int] = {}
+        for _, _, both3, z3, _, t3 in met:
+            common = both.keys() & both3.keys()
+            if both3 is both or not common or common <= template.keys():
+                continue
+            bags = (rest(zones, lines, common), rest(z, t, {both[i] for i in common}), rest(z3, t3, {both3[i] for i in common}))
+            if not any(_same(a, b) for a, b in combinations(bags, 2)):
+                template.update((i, both[i]) for i in common)
+        if template:
+            shared |= template.keys() if a_copy(mine, theirs, z, s, template) else mine
     return [z == MAIN or (z == OPEN and i not in shared) for i, z in enumerate(zones)]
 
 
@@ -222,7 +263,8 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
     """One row per page of ``pages(page_id, url, html)``: ``page_id, url, text, n_chars``.
 
     Pages of a host are cut into buckets of neighbouring paths at quantiles of a bounded URL sample, so a hot host
-    is many buckets; inside a bucket pages stream by in path order and each meets the two before and after it.
+    is many buckets; inside a bucket pages stream by in path order and each meets the two before and after it
+    that differ from it; equal pages in a row are one.
     Null html is empty and gives an empty text; null or unreadable URLs share the empty host. Repeated pages are
     extracted alike. Only lines that may be main text are shuffled, with a hash of every line.
     """
@@ -260,18 +302,20 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, urls, texts = [], [], []
-        held: list[tuple | None] = [None] * 4  # two pages before, the page at hand, the next
+        held: list[tuple | None] = [None] * 4  # two runs before, the run at hand, the next; a run: equal pages in a row
 
         def done(after: tuple | None) -> None:
             page = held[2]
             if page is not None:
-                others = [x[3:6] for x in (*held[:2], held[3], after) if x is not None and x[0] == page[0]]
-                keep = kept_lines(*page[3:6], others)
-                rest = iter(page[6])
-                lines = [next(rest) if z != OUT else None for z in page[3]]
-                ids.append(page[2])
-                urls.append(page[1])
-                texts.append("\n".join(t for t, k in zip(lines, keep, strict=True) if k))
+                others = [x[2:6] for x in (*held[:2], held[3], after) if x is not None and x[0] == page[0]]
+                keep = kept_lines(*page[2:6], others)
+                rest = iter(page[5])
+                lines = [next(rest) if z != OUT else None for z in page[2]]
+                text = "\n".join(t for t, k in zip(lines, keep, strict=True) if k)
+                for url, page_id in page[1]:
+                    ids.append(page_id)
+                    urls.append(url)
+                    texts.append(text)
             held[:] = [*held[1:], after]
 
         def batch(kinds: list) -> pa.RecordBatch:
@@ -288,7 +332,11 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
             place = zip(b.column("host").to_pylist(), b.column("bucket").to_pylist(), strict=True)
             for i, where in enumerate(place):
                 url, page_id, zones, marks, sizes, lines = (c[i].as_py() for c in cols)
-                done((where, url, page_id, zones, marks, sizes, lines))
+                last = held[3]
+                if last is not None and last[0] == where and last[2:4] == (zones, marks):
+                    last[1].append((url, page_id))
+                    continue
+                done((where, [(url, page_id)], zones, marks, sizes, lines))
                 if len(ids) >= 1000:
                     yield batch(kinds)
         done(None)

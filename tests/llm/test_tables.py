@@ -180,3 +180,17 @@ def test_template_lines_go_by_differencing(spark):
     assert got[900] == "only page\nBody." and got[901] == got[902] == "same text\nmore of it" and got[903] == "no url" and got[904] == ""
     assert len(out) == len(rows) + len(odd) and all(r.n_chars == len(r.text) for r in out)
     assert pages.extracted(df.limit(0)).count() == 0
+
+
+def test_template_longer_than_the_own_text_goes(spark):
+    top, foot = "<div>Welcome to the shop of many small things</div><div>All prices with tax</div>", "<div>Write to us or come by, we are open all week</div>"
+    rows = [(k, f"https://s.example/p/{k:02d}", f"{top}<div>{prose(k + 50, 8)[:60]}</div>{foot}") for k in range(12)]
+    # copies that differ by a number stay whole
+    same = "".join(f"<div>{prose(900 + j, 12)}</div>" for j in range(3))
+    rows += [(k, f"https://t.example/c/{k}", f"{same}<div>Printed copy number {k}</div>") for k in range(20, 24)]
+    # a copy among pages of a template neither saves the template nor loses its text
+    rows += [(k, f"https://u.example/p/{k}", f"{top}<div>{prose(70 + max(k, 31), 8)[:60]}</div>{foot}") for k in range(30, 36)]
+    got = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, _, page in rows:
+        texts = [t for _, t in pages.lines_of(page)]
+        assert got[k].split("\n") == (texts if 20 <= k < 24 else texts[2:3])
