@@ -77,3 +77,15 @@ def test_newest_cap(spark):
     d = ML.training_frame(lab, newest=100)
     assert d.count() == 100
     assert d.filter("split = 'test'").count() == 20
+
+
+def test_registered_forest_has_the_modelled_size(spark, monkeypatch):
+    asked = {}
+
+    def train(labelled, kind, *, min_rows, **kw):
+        asked.update(kind=kind, **kw)
+        return None, None
+    monkeypatch.setattr(ML, "train", train)
+    assert QF._scored(spark, SF01) is None
+    forest = ML.make_pipeline(asked.pop("kind"), ["x"], **asked).getStages()[-1]
+    assert forest.getNumTrees() == 50 and forest.getMaxDepth() == 30
