@@ -166,14 +166,21 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                  radius: int = 4) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest id. Of several rows with
-    that id, or of a group without ids, the smallest row (column by column) stays."""
+    """``docs`` with one row of each near-duplicate group: that of the smallest id. Of several rows of the group with
+    that id, or of a group without ids, the smallest row (column by column) stays. An id on unlike texts names each
+    of their groups, or those where it is the smallest."""
     groups = checkpointed(duplicate_groups(docs, id_col, text_col, shingle, radius))
-    own = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    names = F.col("doc_id") == F.col("component_id")
+    own = (groups.where("doc_id is not null").groupBy("doc_id")
+           .agg(F.count("*").alias("n"), F.max(names).alias("names")).where("names"))
     tag, key, part = fresh(docs, "copies"), fresh(docs, "fp"), fresh(docs, "class")
     rows = docs.join(own.select(F.col("doc_id").alias(id_col), F.col("n").alias(tag)), id_col)
     once = rows.where(F.col(tag) == 1).select(*docs.columns)
-    again = _smallest(rows.where(F.col(tag) > 1), docs, id_col)
+    # an id on several rows: the text tells which group a row is in
+    several = fingerprints(rows.where(F.col(tag) > 1).select(*docs.columns), text_col, shingle, key)
+    named = groups.where(names).join(own.where("n > 1").select("doc_id"), "doc_id", "left_semi")
+    named = named.select(F.col("doc_id").alias(id_col), F.col("fp").alias(key), F.col("class").alias(part)).distinct()
+    again = _smallest(several.join(named, [id_col, key]), docs, part)
 
     nameless = groups.where("component_id is null").select(F.col("fp").alias(key), F.col("class").alias(part))
     blank = fingerprints(docs.where(F.col(id_col).isNull()), text_col, shingle, key)

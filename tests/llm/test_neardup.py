@@ -105,3 +105,10 @@ def test_deduplication_keeps_one_row_of_each_group(odd, odd_rows, empty):
     nameless = {f for i, f, c in brute([r[:2] for r in odd_rows]) if c is None}
     assert len([r for r in rows if r.doc_id is None]) == len(nameless)
     assert simhash.deduplicated(empty).count() == 0
+
+
+def test_an_id_on_unlike_texts_names_each_of_its_groups(make_docs):
+    a, b, c, d = (prose(500 + k, 200) for k in range(4))
+    docs = make_docs([a, b, c, b, d, d, a]).withColumn("doc_id", F.element_at(F.array(*map(F.lit, [1, 1, 2, 2, 3, 3, 4])), F.col("doc_id").cast("int") + 1))
+    got = sorted((r.doc_id, r.text) for r in simhash.deduplicated(docs).collect())
+    assert got == sorted([(1, a), (1, b), (2, c), (3, d)])
