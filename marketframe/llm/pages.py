@@ -47,6 +47,7 @@ _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?tru
 _NAME = re.compile(r"[a-z]+")
 
 OPEN, MAIN, OUT = 0, 1, 2
+KEY = ("host", "path", "address", "number")  # the order of pages; address and number: URL and page id as strings
 
 
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
@@ -245,10 +246,10 @@ def kept_lines(zones: list[int], marks: list[int], sizes: list[int], lines: list
     return [z == MAIN or (z == OPEN and i not in shared) for i, z in enumerate(zones)]
 
 
-def bucket_edges(keys: list[tuple[str, str]], step: int) -> list[tuple[str, str]]:
-    """First keys of buckets of about ``step`` of the sorted ``(host, path)`` keys. An edge that would leave a host
+def bucket_edges(keys: list[tuple[str, ...]], step: int) -> list[tuple[str, ...]]:
+    """First keys of buckets of about ``step`` of the sorted keys, which begin with the host. An edge that would leave a host
     with a single key on either side moves to where that host begins or ends, so pages of a host meet others."""
-    edges: list[tuple[str, str]] = []
+    edges: list[tuple[str, ...]] = []
     last = 0
     for j in range(step, len(keys), step):
         lo, hi = bisect_left(keys, (keys[j][0], "")), bisect_right(keys, (keys[j][0], chr(0x10FFFF)))
@@ -259,29 +260,58 @@ def bucket_edges(keys: list[tuple[str, str]], step: int) -> list[tuple[str, str]
     return edges
 
 
+def border_pages(keyed: DataFrame, edges: list[tuple[str, ...]]) -> dict[tuple[str, ...], list[int]]:
+    """The keys of the two pages on either side of every edge, in the edge's host, with the buckets across the edge."""
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near: dict[tuple[int, bool], list[tuple[str, ...]]] = {}
+        for b in batches:
+            for k in zip(*(b.column(c).to_pylist() for c in KEY), strict=True):
+                at = bisect_right(edges, k)
+                for e, after in ((at - 1, True), (at, False)):
+                    if 0 <= e < len(edges) and edges[e][0] == k[0]:
+                        got = near.setdefault((e, after), [])
+                        if k not in got:
+                            got[:] = sorted([*got, k], reverse=not after)[:2]
+        rows = [(e, after, *k) for (e, after), got in near.items() for k in got]
+        cols = list(zip(*rows, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.bool_(), *[pa.string()] * 4), strict=True)], names=["e", "after", *KEY])
+
+    found = in_arrow(keyed.select(*KEY), nearest, "e int, after boolean, " + ", ".join(f"{c} string" for c in KEY))
+    key = F.struct(*KEY)
+    # the two nearest of each side: the ends of the sorted keys that the partitions found
+    least = found.groupBy("e", "after").agg(F.array_sort(F.collect_set(key)).alias("k"))
+    out: dict[tuple[str, ...], list[int]] = {}
+    for r in least.select("e", "after", F.when(F.col("after"), F.slice("k", 1, 2)).otherwise(F.slice(F.reverse("k"), 1, 2)).alias("k")).collect():
+        for k in r.k:
+            out.setdefault(tuple(k), []).append(r.e if r.after else r.e + 1)
+    return out
+
+
 def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_000) -> DataFrame:
     """One row per page of ``pages(page_id, url, html)``: ``page_id, url, text, n_chars``.
 
-    Pages of a host are cut into buckets of neighbouring paths at quantiles of a bounded URL sample, so a hot host
-    is many buckets; inside a bucket pages stream by in path order and each meets the two before and after it
+    Pages of a host are cut into buckets of neighbours by path, URL and page id at quantiles of a bounded sample, so a
+    hot host or path is many buckets, each with the two border pages of the next ones; inside a bucket pages stream by in path order and each meets the two before and after it
     that differ from it; equal pages in a row are one.
     Null html is empty and gives an empty text; null or unreadable URLs share the empty host. Repeated pages are
     extracted alike. Only lines that may be main text are shuffled, with a hash of every line.
     """
     own = pages.select("page_id", "url", "html")
-    rows = own.select("url").where("url is not null")
     n = own.count()
     wanted = -(-n // pages_a_bucket)
-    keyed = host_and_path(rows, "url").select("host", "path")
-    picked = sorted((r.host, r.path) for r in bounded_sample(keyed, ["host", "path"], ["host", "path"], url_sample, rows=n).collect())
+    keyed = (host_and_path(own, "url").withColumn("address", F.coalesce("url", F.lit("")))
+             .withColumn("number", F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
+    picked = sorted(tuple(r) for r in bounded_sample(keyed.select(*KEY), list(KEY), list(KEY), url_sample, rows=n).collect()) if wanted > 1 else []
     edges = bucket_edges(picked, max(2, -(-len(picked) // max(1, wanted))))
-    schema = ("host string, bucket int, path string, url string, page_id {id}, zones array<int>, marks array<long>, sizes array<int>, "
+    borders = border_pages(keyed, edges) if edges else {}
+    schema = ("host string, bucket int, border boolean, path string, url string, page_id {id}, zones array<int>, marks array<long>, sizes array<int>, "
               "lines array<string>").format(id=own.schema["page_id"].dataType.simpleString())
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
         for b in batches:
-            host, path = b.column("host").to_pylist(), b.column("path").to_pylist()
+            keys = list(zip(*(b.column(c).to_pylist() for c in KEY), strict=True))
             zones, marks, sizes, lines = [], [], [], []
             for page in b.column("html"):
                 got = lines_of(page.as_py() or "")
@@ -289,16 +319,23 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
                 marks.append([xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 for _, t in got])
                 sizes.append([len(t) for _, t in got])
                 lines.append([t for z, t in got if z != OUT])
-            bucket = [bisect_right(edges, k) for k in zip(host, path, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("host"), pa.array(bucket, pa.int32()), b.column("path"), b.column("url"), b.column("page_id"),
-                 pa.array(zones, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int64())),
+            bucket = [bisect_right(edges, k) for k in keys]
+            made = pa.RecordBatch.from_arrays(
+                [b.column("host"), pa.array(bucket, pa.int32()), pa.array([False] * len(bucket)), b.column("path"), b.column("url"),
+                 b.column("page_id"), pa.array(zones, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int64())),
                  pa.array(sizes, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.string()))],
-                names=["host", "bucket", "path", "url", "page_id", "zones", "marks", "sizes", "lines"])
-
-    parsed = in_arrow(host_and_path(own, "url"), parse, schema)
+                names=["host", "bucket", "border", "path", "url", "page_id", "zones", "marks", "sizes", "lines"])
+            yield made
+            across = [(i, k) for i, key in enumerate(keys) for k in borders.get(key, ())]
+            if across:
+                again = made.take(pa.array([i for i, _ in across]))
+                yield (again.set_column(1, "bucket", pa.array([k for _, k in across], pa.int32()))
+                       .set_column(2, "border", pa.array([True] * len(across))))
+
+    parsed = in_arrow(keyed, parse, schema)
     ordered = (parsed.repartition("host", "bucket")
-               .sortWithinPartitions("host", "bucket", "path", "url", "page_id", F.xxhash64("marks")))
+               .sortWithinPartitions("host", "bucket", "path", F.coalesce("url", F.lit("")), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+                                     F.xxhash64("marks")))
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, urls, texts = [], [], []
@@ -328,15 +365,16 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
         kinds: list = []
         for b in batches:
             kinds = [b.schema.field("page_id").type, pa.string(), pa.string()]
-            cols = [b.column(c) for c in ("url", "page_id", "zones", "marks", "sizes", "lines")]
+            cols = [b.column(c) for c in ("url", "page_id", "zones", "marks", "sizes", "lines", "border")]
             place = zip(b.column("host").to_pylist(), b.column("bucket").to_pylist(), strict=True)
             for i, where in enumerate(place):
-                url, page_id, zones, marks, sizes, lines = (c[i].as_py() for c in cols)
+                url, page_id, zones, marks, sizes, lines, border = (c[i].as_py() for c in cols)
+                own_page = [] if border else [(url, page_id)]
                 last = held[3]
                 if last is not None and last[0] == where and last[2:4] == (zones, marks):
-                    last[1].append((url, page_id))
+                    last[1].extend(own_page)
                     continue
-                done((where, [(url, page_id)], zones, marks, sizes, lines))
+                done((where, own_page, zones, marks, sizes, lines))
                 if len(ids) >= 1000:
                     yield batch(kinds)
         done(None)

@@ -194,3 +194,21 @@ def test_template_longer_than_the_own_text_goes(spark):
     for k, _, page in rows:
         texts = [t for _, t in pages.lines_of(page)]
         assert got[k].split("\n") == (texts if 20 <= k < 24 else texts[2:3])
+
+
+def test_equal_paths_are_many_buckets_with_border_pages(spark):
+    top = "<div>Welcome to the shop</div>"
+    # a line that only two pages in a row share: a bucket's edge must not part them
+    rows = [(k, None if k < 60 else f"https://i.example/index.php?id={k:03d}",
+             f"{top}<div>{prose(k + 300, 20)}</div><div>{prose((k + k // 60) // 2 + 800, 9)}</div>") for k in range(10, 110)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = pages.extracted(df, pages_a_bucket=10).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for some in ([r for r in got if r.page_id < 60], [r for r in got if r.page_id >= 60]):
+        assert len({r.part for r in some}) > 1
+    whole = {r.page_id: r.text for r in pages.extracted(df, pages_a_bucket=1000).collect()}
+    assert {r.page_id: r.text for r in got} == whole and len(got) == len(rows)
+    assert all(t.split("\n") == [prose(k + 300, 20)] for k, t in whole.items() if k not in (10, 59, 60, 109))
