@@ -41,10 +41,8 @@ def test_entry_without_the_text_operators(monkeypatch):
 @pytest.fixture(scope="module")
 def oracle_results(spark):
     from check_oracles import compare
-    # one query of every chain here; scripts/check_oracles.py runs all
-    names = ["ohlcv_bars", "bars_merge_partials", "latest_price_of", "ticker_range_sql", "features", "class_distribution", "execution",
-             "portfolio_key", "order_sizing", "reset_points", "heartbeat_diagnostics", "increase_5m", "message_quality", "strategy_models"]
-    return compare(spark, SF001, names, verbose=False)
+    import __spark_entry__ as E
+    return compare(spark, SF001, list(E.oracle_sql()), verbose=False)
 
 
 def test_oracles_match(oracle_results):

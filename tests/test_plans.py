@@ -15,15 +15,11 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# one query of every chain; the others share their plans
-CHAINS = ["asof_fill", "ledger", "drawdown", "risk_checks", "portfolio_status", "labels", "counter_rate", "heartbeat_diagnostics",
-          "feed_gaps", "bars_merge_partials", "model_report", "message_quality"]
-
-
 def test_no_cartesian_or_nested_loop_join(spark):
+    import __spark_entry__ as E
     bad = {}
-    for name in CHAINS:
-        p = _plan(REGISTRY[name].spark(spark, SF001))
+    for name, query in E.queries().items():
+        p = _plan(query(spark, SF001))
         if "CartesianProduct" in p or "NestedLoopJoin" in p:
             bad[name] = p[:300]
     assert not bad, bad
