@@ -87,9 +87,10 @@ class BlockMaxIndex:
             p = _spans(self.first[entry[pick]], lengths)
             score += np.bincount(self.at[p], np.repeat(heavy[pick], lengths) * self.weight[p], self.size)
             done, step = done + step, step * 2
-            some = np.flatnonzero(score)
-            some = some[some != skip]
-            best = some[np.lexsort((some, -score[some]))[:k]]
+            if skip >= 0:
+                score[skip] = 0
+            some = np.flatnonzero(score > 0 if len(held) < k else score >= held[-1])
+            best = some[np.argsort(-score[some], kind="stable")[:k]]
             found, held = best, score[best]
         return self.example[found], held
 
@@ -175,9 +176,10 @@ def examples_of(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFram
     return rows, totals, rows.count()
 
 
-def telling_terms(examples: DataFrame, of: dict[bool, int], most: int, least_docs: int, least_z: float) -> list[tuple[bytes, int]]:
+def telling_terms(examples: DataFrame, of: dict[bool, int], most: int, least_docs: int, least_z: float, least_ratio: float) -> list[tuple[bytes, int]]:
     """At most ``most`` terms, with their documents among the examples, whose share of documents differs between the
-    labels by ``least_z`` standard errors; the largest differences first, ties by term."""
+    labels by ``least_z`` standard errors and is ``least_ratio`` times as large in one of them (so that words of all
+    texts, whose shares differ little, are none); the largest differences first, ties by term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list[int]] = {}
 
@@ -205,20 +207,22 @@ def telling_terms(examples: DataFrame, of: dict[bool, int], most: int, least_doc
     both = F.col("clean") + F.col("toxic")
     share = both / (n + m)
     z = F.abs(F.col("toxic") / m - F.col("clean") / n) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / n + 1 / m))
-    rows = (counts.select("term", both.alias("docs"), z.alias("z")).where((F.col("docs") >= least_docs) & (F.col("z") >= least_z))
+    a, b = (F.col("clean") + 0.5) / (n + 0.5), (F.col("toxic") + 0.5) / (m + 0.5)
+    rows = (counts.where((both >= least_docs) & (F.greatest(a / b, b / a) >= least_ratio))
+            .select("term", both.alias("docs"), z.alias("z")).where(F.col("z") >= least_z)
             .orderBy(F.desc("z"), "term").limit(most).collect())
     return [(bytes(r.term), r.docs) for r in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, k: int = 15, most_examples: int = 20_000, most_terms: int = 20_000,
-        least_docs: int = 5, least_z: float = 4.0) -> Model | float:
+        least_docs: int = 5, least_z: float = 4.0, least_ratio: float = 2.0) -> Model | float:
     """The model, from a sample of at most ``most_examples`` documents of ``docs(doc_id, text)`` with a label in
     ``labels(doc_id, toxic)``, over at most ``most_terms`` terms. Where there is nothing to tell labels apart (no
     labels, or all alike), the constant score: the share of toxic documents."""
     examples, totals, rows = examples_of(docs, labels, most_examples)
     share = totals.get(True, 0) / max(sum(totals.values()), 1)
     of = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    terms = telling_terms(examples, of, most_terms, least_docs, least_z)
+    terms = telling_terms(examples, of, most_terms, least_docs, least_z, least_ratio)
     if not terms:
         return share
     number = {t: i for i, (t, _) in enumerate(terms)}

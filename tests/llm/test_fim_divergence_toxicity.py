@@ -133,7 +133,7 @@ def test_divergence_equals_its_definition(sourced, odd, odd_rows, empty):
     want = audited_by_definition(rows, 10, 10)
     assert as_set(divergence.audited(docs)) == want
     # many blocks of terms and of sources give the same
-    assert as_set(divergence.audited(docs, entries_a_block=150, sources_a_block=3)) == want
+    assert as_set(divergence.audited(docs, entries_a_block=150, sources_a_block=3, broadcast_rows=0)) == want
     clash = odd.withColumn("term", F.lit("x")).withColumn("value", F.lit(None)).withColumn("n", F.lit("n"))
     assert as_set(divergence.audited(clash, min_docs=2, top_terms=3)) == audited_by_definition([(r[1], r[2], r[3]) for r in odd_rows], 2, 3)
     assert divergence.audited(empty).count() == 0
@@ -202,7 +202,7 @@ def marked(spark):
     return spark.createDataFrame(rows, DOCUMENTS).repartition(4), spark.createDataFrame(marks, "doc_id long, toxic int"), rows, dict(marks)
 
 
-def toxicity_by_definition(rows, marks, k=15, least_docs=5, least_z=4.0):
+def toxicity_by_definition(rows, marks, k=15, least_docs=5, least_z=4.0, least_ratio=2.0):
     """The scores by dense cosines with every example."""
     terms_of = lambda t: re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", t.lower())
     known = sorted(i for i in marks if zlib.crc32(str(i).encode()) % 5)
@@ -216,7 +216,8 @@ def toxicity_by_definition(rows, marks, k=15, least_docs=5, least_z=4.0):
     for t in {*docs[0], *docs[1]}:
         a, b = docs[0][t], docs[1][t]
         p = (a + b) / (n + m)
-        if a + b >= least_docs and abs(b / m - a / n) / math.sqrt(p * (1 - p) * (1 / n + 1 / m)) >= least_z:
+        x, y_ = (a + .5) / (n + .5), (b + .5) / (m + .5)
+        if a + b >= least_docs and max(x / y_, y_ / x) >= least_ratio and abs(b / m - a / n) / math.sqrt(p * (1 - p) * (1 / n + 1 / m)) >= least_z:
             terms.append(t)
     idf = np.array([math.log((1 + n + m) / (1 + docs[0][t] + docs[1][t])) + 1 for t in terms])
 
