@@ -1,19 +1,20 @@
 """Cross-entropy difference of documents under two matched bigram models.
 
 A target model (documents labelled good) and a background model (all documents) share one vocabulary, order and
-smoothing. A document's score is the mean per-token difference of the two losses, background minus target.
-
-Texts are coded once as 16-bit word numbers. Bigram counts are merged by hash partition from each task's
-sorted counts, so the tables grow with the corpus and no task holds more than one partition's. The few bigrams
-that make up more than ``1 / heads`` of all tokens (at most ``heads`` of them) are scored where the documents
-are; the rest meet their counts partition by partition, in streams.
+smoothing. A document's score is the mean per-token difference of the two losses, background minus target. The
+documents that a model was counted on are scored without their own counts.
+
+Words are 32-bit checksums, so every word of every corpus has its number without a list, and the vocabulary grows
+with the corpus. Documents lie in blocks of bounded size. A block sends its different bigrams and words once, with
+its own counts, to the partitions of a hash; a partition adds them up over all blocks and answers each block with
+the sums, in the order asked. The block then scores its documents. Bytes moved per token do not depend on the size
+of the corpus, and neither a model nor a vocabulary is ever whole in one place.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, in_arrow
 
-UNKNOWN, BOS, EOS, FIRST = 0, 1, 2, 3
+BOS, EOS, FIRST = 0, 1, 2
+ANY = 2 ** 32 - 1  # in the first place of a pair: all occurrences of the second word
 MU, ALPHA = 20.0, 0.5  # weight of the unigram model in the bigram's, and of the uniform in the unigram's
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, so multiplying by it loses nothing
 _PACK = pa.Codec("zstd")
 
 
@@ -39,330 +42,237 @@ def unpacked(b: bytes, kind: type) -> np.ndarray:
 
 
 def packed_codes(c: np.ndarray) -> bytes:
-    """Ascending codes as compressed differences."""
-    return packed(np.diff(c, prepend=np.uint32(0)).astype(np.uint32))
+    """Ascending codes as differences, byte planes apart: the high ones are nearly all zero."""
+    return packed(np.diff(c, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
 
 
 def unpacked_codes(b: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(b, np.uint32), dtype=np.uint32)
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []
-
+    planes = unpacked(b, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
-def vocabulary(docs: DataFrame, size: int) -> list[bytes]:
-    """The ``size`` most frequent words of all documents (ties by word)."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
 
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                              names=["word", "n"])
-            held.clear()
-            return made
-
-        for b in batches:
-            for text in b.column(0).cast(pa.binary()):
-                held.update(words_of(text.as_py()))
-                if len(held) > 800_000:
-                    yield out()
-        if held:
-            yield out()
+def packed_counts(n: np.ndarray) -> bytes:
+    """Counts, mostly small, byte planes apart."""
+    return packed(n.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
 
-    counts = in_arrow(docs.select("text"), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = checkpointed(counts.withColumn("size", F.floor(F.log2("n") * 8).cast("int")))
-    # a histogram of counts (hundreds of rows) tells where the list ends, so that few words beyond it are sorted
-    bins, held, low = {r["size"]: r["count"] for r in counts.groupBy("size").count().collect()}, 0, 0
-    for low in sorted(bins, reverse=True):
-        held += bins[low]
-        if held >= size:
-            break
-    return [bytes(r.word) for r in counts.where(F.col("size") >= low).orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
 
+def unpacked_counts(b: bytes) -> np.ndarray:
+    planes = unpacked(b, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel().astype(np.int64)
 
-@lru_cache(maxsize=1)
-def _numbers(words: bytes) -> dict[bytes, int]:
-    return {w: i + FIRST for i, w in enumerate(words.split())}
 
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.lower().split() if text else []
 
-def coded(docs: DataFrame, words: list[bytes]) -> DataFrame:
-    """``doc_id, ids``: each text as 16-bit word numbers (compressed), without begin and end marks."""
-    listed = docs.sparkSession.sparkContext.broadcast(b" ".join(words))  # bounded: the vocabulary
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _numbers(listed.value)
-        for b in batches:
-            out = []
-            for text in b.column(1).cast(pa.binary()):
-                w = words_of(text.as_py())
-                out.append(packed(np.fromiter((number.get(x, UNKNOWN) for x in w), dtype=np.uint16, count=len(w))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
-    return in_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids binary")
+def numbers_of(words: list[bytes]) -> np.ndarray:
+    """A number for every word: its checksum, clear of the marks. Of n different words about n * n / 2 ** 33 pairs
+    share a number and count as one word."""
+    c = np.fromiter(map(crc32, words), np.uint64, len(words))
+    return (c % np.uint64(ANY - FIRST) + np.uint64(FIRST)).astype(np.uint32)
 
 
-def pairs_of(ids: np.ndarray) -> np.ndarray:
-    """The document's bigrams, begin and end marks included, as ``first * 65536 + second``."""
-    line = np.empty(len(ids) + 2, np.uint32)
+def pairs_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of a document's tokens, its words and the end mark: as bigrams with the word before (the begin mark
+    first), and as words alone. Mixed, so that equal shares of the code space hold about equal numbers."""
+    line = np.empty(len(ids) + 2, np.uint64)
     line[0], line[1:-1], line[-1] = BOS, ids, EOS
-    return (line[:-1] << np.uint32(16)) | line[1:]
+    return (line[:-1] << np.uint64(32) | line[1:]) * _MIX, (np.uint64(ANY) << np.uint64(32) | line[1:]) * _MIX
 
 
-def part_of(codes: np.ndarray, parts: int) -> np.ndarray:
-    """Partition of every bigram: a multiplicative hash."""
-    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
+def is_word(codes: np.ndarray) -> np.ndarray:
+    """Which codes are of words alone."""
+    return codes * np.uint64(pow(int(_MIX), -1, 2 ** 64)) >> np.uint64(32) == np.uint64(ANY)
 
 
-def _summed(codes: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Equal codes added up; codes ascending."""
-    order = np.argsort(codes, kind="stable")
-    codes = codes[order]
-    start = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
-    return (codes[start], *(np.add.reduceat(c[order], start) if len(codes) else c for c in counts))
+def cuts_of(codes: np.ndarray, parts: int) -> np.ndarray:
+    """Where each partition's share of ascending codes begins and ends."""
+    edges = np.array([-(-(k << 64) // parts) for k in range(1, parts)], dtype=np.uint64)
+    return np.concatenate([[0], np.searchsorted(codes, edges), [len(codes)]])
 
 
-def counted(texts: DataFrame, parts: int, most: int = 6_000_000) -> DataFrame:
-    """``part, codes, n, t``: bigram counts in all and in target documents, merged within each task."""
+def coded(docs: DataFrame, block_tokens: int) -> DataFrame:
+    """``doc_id, target, block, ids``: each text as compressed word numbers, consecutive documents of a task in blocks
+    of about ``block_tokens``; a longer document is a block of its own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, bool]] = []
-        size = 0
+        block, size = None, 0
+        for b in batches:
+            if block is None and b.num_rows:
+                block = b.column(3)[0].as_py() << 32
+            ids, at = [], []
+            for text in b.column(2).cast(pa.binary()):
+                n = numbers_of(words_of(text.as_py()))
+                if size and size + len(n) + 1 > block_tokens:
+                    block, size = block + 1, 0
+                size += len(n) + 1
+                at.append(block)
+                ids.append(packed(n))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.int64()), pa.array(ids, pa.binary())],
+                                             names=["doc_id", "target", "block", "ids"])
 
-        def out() -> pa.RecordBatch:
-            codes = np.concatenate([c for c, _ in held])
-            target = np.repeat(np.array([t for _, t in held], dtype=np.int64), [len(c) for c, _ in held])
-            held.clear()
-            codes, n, t = _summed(codes, np.ones(len(codes), np.int64), target)
-            part = part_of(codes, parts)
-            order = np.argsort(part, kind="stable")  # codes stay ascending in a partition
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            rows = [(p, packed_codes(codes[order[i:j]]), packed(n[order[i:j]]), packed(t[order[i:j]]))
-                    for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3))],
-                                              names=["part", "codes", "n", "t"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return in_arrow(docs.select("doc_id", "target", "text", F.spark_partition_id().alias("place")), run,
+                    f"doc_id {kind}, target boolean, block long, ids binary")
 
-        for b in batches:
-            for ids, target in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                held.append((pairs_of(unpacked(ids.as_py(), np.uint16)), target))
-                size += len(held[-1][0])
-                if size >= most:
-                    yield out()
-                    size = 0
-        if held:
-            yield out()
 
-    return in_arrow(texts.select("ids", "target"), run, "part int, codes binary, n binary, t binary")
+def block_counts(lines: list[np.ndarray], target: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's different codes, ascending, with their counts in all and in target documents."""
+    both = [np.concatenate(pairs_of(ids)) for ids in lines]
+    codes, n = np.unique(np.concatenate(both), return_counts=True)
+    t = np.zeros(len(codes), np.int64)
+    if any(target):
+        own, c = np.unique(np.concatenate([x for x, y in zip(both, target, strict=True) if y]), return_counts=True)
+        t[np.searchsorted(codes, own)] = c
+    return codes, n, t
 
 
-def merged(counts: DataFrame, parts: int, heads: int, tokens: int) -> DataFrame:
-    """One row per partition: its bigrams with both counts, and those above ``tokens / heads`` apart. Rows of a
-    partition are added up as they stream by; a task holds one partition's different bigrams."""
+def counted(texts: DataFrame, parts: int) -> DataFrame:
+    """``part, block, codes, n, t``: every block's different codes, dealt to the partitions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, table = None, None
+        now, lines, target = None, [], []
 
         def out() -> pa.RecordBatch:
-            codes, n, t = table
-            top = n * heads > tokens
-            cols = [[code(a[keep])] for keep in (~top, top) for a, code in ((codes, packed_codes), (n, packed), (t, packed))]
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), *(pa.array(c, pa.binary()) for c in cols)],
-                                              names=["part", "codes", "n", "t", "top_codes", "top_n", "top_t"])
+            codes, n, t = block_counts(lines, target)
+            cuts = cuts_of(codes, parts)
+            rows = [(p, now, packed_codes(codes[i:j]), packed_counts(n[i:j]), packed_counts(t[i:j]))
+                    for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
+            lines.clear()
+            target.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
+                                               *(pa.array([r[k] for r in rows], pa.binary()) for k in (2, 3, 4))],
+                                              names=["part", "block", "codes", "n", "t"])
 
         for b in batches:
-            for part, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                new = unpacked_codes(row[0]), unpacked(row[1], np.int64), unpacked(row[2], np.int64)
-                if part != now:
-                    if table is not None:
+            for flag, block, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if block != now:
+                    if lines:
                         yield out()
-                    now, table = part, new
-                else:
-                    table = _summed(*(np.concatenate([a, x]) for a, x in zip(table, new, strict=True)))
-        if table is not None:
+                    now = block
+                lines.append(unpacked(ids.as_py(), np.uint32))
+                target.append(flag)
+        if lines:
             yield out()
 
-    return in_arrow(counts.repartition(parts, "part").sortWithinPartitions("part"), run,
-                    "part int, codes binary, n binary, t binary, top_codes binary, top_n binary, top_t binary")
+    return in_arrow(texts.select("target", "block", "ids"), run, "part int, block long, codes binary, n binary, t binary")
 
 
-def unigrams(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of every word number in all and in target documents, marks included."""
+def answered(counts: DataFrame, parts: int) -> DataFrame:
+    """``block, part, n, t, words``: for every row of ``counts`` the sums over all blocks of its codes' counts, in its
+    order. ``words`` is the number of the partition's different words, on one row a partition. A task holds one
+    partition: at most the block rows of an equal share of all codes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, t = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        for b in batches:
-            for ids, target in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                c = np.bincount(unpacked(ids.as_py(), np.uint16), minlength=size)
-                c[BOS] += 1
-                c[EOS] += 1
-                n += c
-                if target:
-                    t += c
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some]), pa.array(t[some])], names=["w", "n", "t"])
-
-    n, t = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    for r in in_arrow(texts.select("ids", "target"), run, "w int, n long, t long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).collect():
-        n[r.w], t[r.w] = r.n, r.t
-    return n, t
-
-
-def losses(codes: np.ndarray, count: np.ndarray, words: np.ndarray, less: int = 0) -> np.ndarray:
-    """Negative log probability of each bigram's second word: its count, with the unigram model mixed in. ``words``
-    are the model's unigram counts; a begin mark is never a second word. ``less`` occurrences are left out, so that
-    a token does not predict itself from its own count."""
-    second = words.astype(np.float64).copy()
-    second[BOS] = 0
-    first = words.astype(np.float64).copy()
-    first[EOS] = 0
-    a, b = codes >> np.uint32(16), codes & np.uint32(0xFFFF)
-    one = (np.maximum(second[b] - less, 0) + ALPHA) / (max(second.sum() - less, 0) + ALPHA * len(second))
-    return -np.log((np.maximum(count - less, 0) + MU * one) / (np.maximum(first[a] - less, 0) + MU))
-
-
-def loss_table(codes: np.ndarray, n: np.ndarray, t: np.ndarray, words_n: np.ndarray, words_t: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The bigrams' target losses for documents outside the target and inside it, and their background losses. The
-    documents that a model was counted on leave each token out of its own counts."""
-    return losses(codes, t, words_t), losses(codes, t, words_t, 1), losses(codes, n, words_n, 1)
-
-
-def summed_losses(codes: np.ndarray, doc: np.ndarray, target: np.ndarray, known: np.ndarray, table: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Target and background loss of every document; ``target`` tells which documents are targets."""
-    at = np.searchsorted(known, codes)
-    outside, inside, background = table
-    return (np.bincount(doc, np.where(target[doc], inside[at], outside[at]), len(target)),
-            np.bincount(doc, background[at], len(target)))
-
-
-def scored(docs: DataFrame, good: DataFrame, vocabulary_size: int = 40_000, tokens_a_part: int = 4_000_000, heads: int = 100_000) -> DataFrame:
+        rows = [row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        while rows:  # one turn, unless a task got several partitions
+            own = [r for r in rows if r[0] == rows[0][0]]
+            rows = [r for r in rows if r[0] != own[0][0]]
+            asked = [unpacked_codes(r[2]) for r in own]
+            codes, at = np.unique(np.concatenate(asked), return_inverse=True)
+            n, t = (np.bincount(at, np.concatenate([unpacked_counts(r[k]) for r in own])).astype(np.int64) for k in (3, 4))
+            words = int(np.count_nonzero(is_word(codes)))
+            ends = np.cumsum([len(a) for a in asked])
+            for i, (r, end, size) in enumerate(zip(own, ends, map(len, asked), strict=True)):
+                place = at[end - size:end]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[1]], pa.int64()), pa.array([r[0]], pa.int32()), pa.array([packed_counts(n[place])], pa.binary()),
+                     pa.array([packed_counts(t[place])], pa.binary()), pa.array([0 if i else words], pa.int64())],
+                    names=["block", "part", "n", "t", "words"])
+
+    return in_arrow(counts.repartitionById(parts, F.col("part")), run, "block long, part int, n binary, t binary, words long")
+
+
+def loss(pair: np.ndarray, first: np.ndarray, second: np.ndarray, total: int, words: int) -> float:
+    """Summed negative log probability of a document's tokens: each bigram's count over its first word's, with the
+    unigram model mixed in. A begin mark is never a second word."""
+    one = (second + ALPHA) / (total + ALPHA * words)
+    return float(-np.log((pair + MU * one) / (first + MU)).sum())
+
+
+def losses(ids: np.ndarray, target: bool, codes: np.ndarray, n: np.ndarray, t: np.ndarray, sizes: tuple[int, int, int]) -> tuple[int, float, float]:
+    """A document's tokens, target loss and background loss, given its block's codes with their counts in all and in
+    target documents. Its own counts are left out of every model that it was counted on."""
+    words, all_n, all_t = sizes
+    pair, word = pairs_of(ids)
+    m = len(word)
+    _, inverse, own_pair = np.unique(pair, return_inverse=True, return_counts=True)
+    own_pair = own_pair[inverse]
+    _, inverse, own_word = np.unique(word, return_inverse=True, return_counts=True)
+    own_word = own_word[inverse]
+    p, w = np.searchsorted(codes, pair), np.searchsorted(codes, word)
+    out = []
+    for count, total, inside in ((t, all_t, target), (n, all_n, True)):
+        second = count[w] - own_word if inside else count[w]
+        # the word before; begin marks are as many as end marks
+        out.append(loss(count[p] - own_pair if inside else count[p], np.roll(second, 1), second, total - m if inside else total, words))
+    return m, out[0] / m, out[1] / m
+
+
+def scored(docs: DataFrame, good: DataFrame, block_tokens: int = 3_000_000, part_tokens: int = 3_000_000,
+           broadcast_ids: int = 500_000) -> DataFrame:
     """One row per document of ``docs(doc_id, text)``: ``doc_id, n_tokens, loss_target, loss_background, score``.
 
-    ``good(doc_id)`` names the target documents. Tokens are words and the end mark; losses are means per token in
-    nats, ``score = loss_background - loss_target``. A token is left out of the counts of the models its own document
-    is in. A null or empty text is its end mark alone. Documents with null
-    ids are background. Repeated rows are separate documents. Without target documents the target model is uniform.
+    ``good(doc_id)`` names the target documents. Tokens are words (ASCII letters in lower case, split at white space)
+    and the end mark; losses are means per token in nats, ``score = loss_background - loss_target``. A document's own
+    counts are left out of the models it is in. A null or empty text is its end mark alone. Documents with null ids
+    are background. Repeated rows are separate documents. A very long text is a block of its own, held by one task.
+    Other columns are ignored. Without target documents the target model is uniform. An empty table gives an empty
+    result.
     """
-    own = docs.select("doc_id", "text")
-    words = vocabulary(own, vocabulary_size)
-    size = len(words) + FIRST
-    flags = good.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    texts = coded(own, words).join(flags, "doc_id", "left").select(
-        "doc_id", "ids", F.coalesce("target", F.lit(False)).alias("target"), F.spark_partition_id().alias("place"))
-    texts = checkpointed(texts)  # with the place of every row, which names the blocks below
-    n, t = unigrams(texts, size)
-    tokens = int(n.sum() - n[BOS])
-    parts = max(1, -(-tokens // tokens_a_part))
-    tables = checkpointed(merged(counted(texts, parts), parts, heads, tokens))
-    top = [(unpacked_codes(bytes(r[0])), unpacked(bytes(r[1]), np.int64), unpacked(bytes(r[2]), np.int64)) for r in tables.select("top_codes", "top_n", "top_t").collect()]
-    head, head_n, head_t = _summed(*(np.concatenate([*(r[k] for r in top), np.zeros(0, kind)]) for k, kind in enumerate((np.uint32, np.int64, np.int64))))
-    # bounded: the vocabulary's counts and at most ``heads`` bigrams
-    shared = docs.sparkSession.sparkContext.broadcast((n, t, head, loss_table(head, head_n, head_t, n, t)))
-
+    flags = checkpointed(good.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True)))
+    # few enough ids are broadcast, so that no text is shuffled to be marked
+    flags = F.broadcast(flags) if flags.count() <= broadcast_ids else flags
+    marked = docs.select("doc_id", "text").join(flags, "doc_id", "left").select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
+    texts = checkpointed(coded(marked, block_tokens))  # with every row's block, which the answers name
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = t = 0
+        for b in batches:
+            for flag, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                m = int.from_bytes(ids.as_py()[:8], "little") // 4 + 1
+                n, t = n + m, t + m * flag
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([t], pa.int64())], names=["n", "t"])
+
+    r = in_arrow(texts.select("target", "ids"), sizes, "n long, t long").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+    all_n, all_t = r.n or 0, r.t or 0
+    parts = max(1, -(-all_n // part_tokens))
+    answers = checkpointed(answered(counted(texts, parts), parts))
+    shape = (answers.agg(F.sum("words")).first()[0] or 0, all_n, all_t)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def spread(heads_only: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """For every block of documents: one row with their ids, sizes and head losses (part -1), or one row per
-            partition with their other bigrams."""
-            _, _, head, table = shared.value
-            block, held, ids, wanted, size = None, [], [], [], 0
-
-            def out() -> pa.RecordBatch:
-                nonlocal block
-                lengths = np.array([len(c) for c in held])
-                codes, doc = np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.uint32), lengths)
-                at = np.minimum(np.searchsorted(head, codes), max(len(head) - 1, 0))
-                top = head[at] == codes if len(head) else np.zeros(len(codes), bool)
-                if heads_only:
-                    a, b = summed_losses(codes[top], doc[top], np.array(wanted), head, table)
-                    rows = [(-1, block, packed(lengths), packed(a), packed(b))]
-                else:
-                    codes, doc = codes[~top], (doc | (np.array(wanted, dtype=np.uint32) << np.uint32(31))[doc])[~top]
-                    part = part_of(codes, parts)
-                    order = np.lexsort((codes, part))
-                    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                    rows = [(p, block, packed_codes(codes[order[i:j]]), packed(doc[order[i:j]]), b"")
-                            for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
-                made = pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-                     *(pa.array([r[k] for r in rows], pa.binary()) for k in (2, 3, 4)),
-                     pa.array([list(ids) if heads_only else None] * len(rows), pa.list_(id_type))],
-                    names=["part", "block", "x", "y", "z", "ids"])
-                for x in (held, ids, wanted):
-                    x.clear()
-                block += 1
-                return made
-
-            for b in batches:
-                id_type = b.column(0).type
-                if block is None and b.num_rows:
-                    block = b.column(2)[0].as_py() << 32
-                for doc_id, packed_ids, is_target in zip(b.column(0).to_pylist(), b.column(1), b.column(3).to_pylist(), strict=True):
-                    held.append(pairs_of(unpacked(packed_ids.as_py(), np.uint16)))
-                    ids.append(doc_id)
-                    wanted.append(is_target)
-                    size += len(held[-1])
-                    if size >= 4_000_000 or len(held) >= 20_000:
-                        yield out()
-                        size = 0
-            if held:
-                yield out()
-
-        return in_arrow(texts.select("doc_id", "ids", "place", "target"), run, f"part int, block long, x binary, y binary, z binary, ids array<{kind}>")
-
-    models = tables.select("part", F.lit(-1).cast("long").alias("block"), F.col("codes").alias("x"), F.col("n").alias("y"), F.col("t").alias("z"))
-    rest = spread(False).select("part", "block", "x", "y", "z")
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A partition's counts come first, then the blocks' bigrams; a block's losses by document."""
-        n, t, *_ = shared.value
-        codes, table = np.zeros(0, np.uint32), (np.zeros(0),) * 3
-        for b in batches:
-            at, a_out, b_out, d_out = [], [], [], []
-            for _, block, x, y, z in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if block < 0:
-                    codes = unpacked_codes(x)
-                    table = loss_table(codes, unpacked(y, np.int64), unpacked(z, np.int64), n, t)
-                    continue
-                doc, place = np.unique(unpacked(y, np.uint32), return_inverse=True)
-                p, q = summed_losses(unpacked_codes(x), place, doc >= 1 << 31, codes, table)
-                order = np.argsort(doc & np.uint32(0x7FFFFFFF))
-                doc, p, q = (doc & np.uint32(0x7FFFFFFF))[order], p[order], q[order]
-                at.append(block)
-                d_out.append(packed_codes(doc))
-                for col, v in ((a_out, p), (b_out, q)):
-                    col.append(packed(v.astype(np.float32)))
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *(pa.array(c, pa.binary()) for c in (d_out, a_out, b_out))],
-                                             names=["block", "doc", "a", "b"])
-
-    met = models.unionAll(rest).repartition(parts, "part").sortWithinPartitions("part", "block")
-    partial = in_arrow(met, score, "block long, doc binary, a binary, b binary")
-    firsts = spread(True).select("block", F.lit(True).alias("first"), "x", "y", "z", "ids")
-    others = partial.select("block", F.lit(False).alias("first"), F.col("doc").alias("x"), F.col("a").alias("y"), F.col("b").alias("z"),
-                            F.lit(None).cast(f"array<{kind}>").alias("ids"))
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block's documents come first, then its losses from every partition."""
-        now: list = []
+        """A block's documents come first, then its answers by partition, which is the order of its codes."""
+        now, ids, lines, target, n, t = None, [], [], [], [], []
+        id_type = None
 
         def out() -> pa.RecordBatch:
-            ids, lengths, a, b = now
-            return pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(lengths), pa.array(a / lengths), pa.array(b / lengths)],
+            codes, _, _ = block_counts(lines, [])
+            all_, good_ = np.concatenate(n), np.concatenate(t)
+            rows = [losses(x, y, codes, all_, good_, shape) for x, y in zip(lines, target, strict=True)]
+            made = pa.RecordBatch.from_arrays([pa.array(ids, id_type), *(pa.array([r[k] for r in rows], pa.int64() if k == 0 else pa.float64()) for k in range(3))],
                                               names=["doc_id", "n_tokens", "loss_target", "loss_background"])
+            for x in (ids, lines, target, n, t):
+                x.clear()
+            return made
 
-        id_type = None
-        for batch in batches:
-            id_type = batch.column("ids").type.value_type
-            for _, first, x, y, z, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if first:
-                    if now:
+        for b in batches:
+            id_type = b.column("doc_id").type
+            for block, part, doc_id, flag, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if block != now:
+                    if lines:
                         yield out()
-                    now = [ids, unpacked(x, np.int64), unpacked(y, np.float64).copy(), unpacked(z, np.float64).copy()]
+                    now = block
+                if part < 0:
+                    ids.append(doc_id)
+                    target.append(flag)
+                    lines.append(unpacked(x, np.uint32))
                 else:
-                    doc = unpacked_codes(x)
-                    now[2][doc] += unpacked(y, np.float32)
-                    now[3][doc] += unpacked(z, np.float32)
-        if now:
+                    n.append(unpacked_counts(x))
+                    t.append(unpacked_counts(y))
+        if lines:
             yield out()
 
-    gathered = firsts.unionAll(others).repartition("block").sortWithinPartitions("block", F.desc("first"))
-    out = in_arrow(gathered, total, f"doc_id {kind}, n_tokens long, loss_target double, loss_background double")
+    none = F.lit(None)
+    both = texts.select("block", F.lit(-1).alias("part"), "doc_id", "target", F.col("ids").alias("x"), none.cast("binary").alias("y")).unionAll(
+        answers.select("block", "part", none.cast(kind).alias("doc_id"), none.cast("boolean").alias("target"), F.col("n").alias("x"), F.col("t").alias("y")))
+    gathered = both.repartition("block").sortWithinPartitions("block", "part")
+    out = in_arrow(gathered, score, f"doc_id {kind}, n_tokens long, loss_target double, loss_background double")
     return out.withColumn("score", F.col("loss_background") - F.col("loss_target"))

@@ -191,37 +191,57 @@ def test_report_and_redaction_of_odd_rows(odd, empty):
 
 # --- language model scores
 
-def brute_scores(rows, good, size):
+def brute_scores(rows, good):
+    """Every document under counts of all other documents, straight from the definition."""
     from collections import Counter
     import math
-    words = [(t or "").encode().lower().split() for _, t in rows]
-    count = Counter(w for x in words for w in x)
-    voc = {w: i + 3 for i, (w, _) in enumerate(sorted(count.items(), key=lambda k: (-k[1], k[0]))[:size])}
-    lines = [[1, *(voc.get(w, 0) for w in x), 2] for x in words]
+    lines = [[b"<s>", *(t or "").encode().lower().split(), b"</s>"] for _, t in rows]
+    v = len({w for s in lines for w in s[1:]})
 
-    def model(use):
-        u, b = Counter(), Counter()
+    def counts(use):
+        pairs, words = Counter(), Counter()
         for keep, s in zip(use, lines, strict=True):
             if keep:
-                u.update(s)
-                b.update(zip(s, s[1:]))
-        n, v = sum(u.values()) - u[1], len(voc) + 3
-        return lambda a, w, q: -math.log((max(b[a, w] - q, 0) + 20 * (max(u[w] - q, 0) + .5) / (max(n - q, 0) + .5 * v)) / (max(u[a] - q, 0) + 20))
+                pairs.update(zip(s, s[1:]))
+                words.update(s)
+        return pairs, words
+
     wanted = [i in good for i, _ in rows]
-    target, background = model(wanted), model([True] * len(rows))
-    return [(i, len(s) - 1, np.mean([target(a, b, q) for a, b in zip(s, s[1:])]), np.mean([background(a, b, 1) for a, b in zip(s, s[1:])]))
-            for (i, _), s, q in zip(rows, lines, wanted, strict=True)]
+    out = []
+    for k, (i, _) in enumerate(rows):
+        s, row = lines[k], [i, len(lines[k]) - 1]
+        for use in (wanted, [True] * len(rows)):
+            pairs, words = counts([u and j != k for j, u in enumerate(use)])
+            total = sum(words.values()) - words[b"<s>"]
+            row.append(np.mean([-math.log((pairs[a, b] + 20 * (words[b] + .5) / (total + .5 * v)) / (words[a] + 20)) for a, b in zip(s, s[1:])]))
+        out.append(tuple(row))
+    return out
 
 
 def test_scores_equal_brute_force(spark, odd, odd_rows, empty, make_docs):
-    texts = [prose(k % 40, 60) for k in range(120)]
+    texts = [prose(k % 40, 60) for k in range(90)]
     good = spark.createDataFrame([(k,) for k in range(0, 120, 3)] + [(None,), (3,)], "doc_id long")
-    for docs, rows in ((make_docs(texts, 4), list(enumerate(texts))), (odd, [r[:2] for r in odd_rows])):
-        for parts, heads in ((4_000_000, 20_000), (700, 30)):  # one partition; many, with few heads
-            got = lm_score.scored(docs, good, vocabulary_size=50, tokens_a_part=parts, heads=heads).collect()
-            want = brute_scores(rows, set(range(0, 120, 3)), 50)
+    clash = odd.withColumn("block", F.lit("x")).withColumn("target", F.lit(None)).withColumn("ids", F.lit(1))
+    for docs, rows in ((make_docs(texts, 4), list(enumerate(texts))), (clash, [r[:2] for r in odd_rows])):
+        # one block a task and one partition; many of both, and ids too many to broadcast
+        for bounds in ({}, {"block_tokens": 300, "part_tokens": 700, "broadcast_ids": 1}):
+            got = lm_score.scored(docs, good, **bounds).collect()
+            want = brute_scores(rows, set(range(0, 120, 3)))
             order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
             for g, w in zip(sorted([tuple(r)[:4] for r in got], key=order), sorted(want, key=order), strict=True):
-                assert g == pytest.approx(w) if g[0] is not None else g[1:] == pytest.approx(w[1:])
+                assert g[:2] == w[:2] and g[2:] == pytest.approx(w[2:], rel=1e-12)
     assert lm_score.scored(empty, good).count() == 0
     assert lm_score.scored(odd, good.limit(0)).count() == odd.count()
+
+
+@given(st.lists(st.integers(0, 2 ** 64 - 1), max_size=50), st.integers(1, 9))
+@settings(max_examples=100, deadline=None)
+def test_codes_pack_and_cut(codes, parts):
+    c = np.unique(np.array(codes, np.uint64))
+    assert (lm_score.unpacked_codes(lm_score.packed_codes(c)) == c).all()
+    cuts = lm_score.cuts_of(c, parts)
+    assert cuts[0] == 0 and cuts[-1] == len(c) and (np.diff(cuts) >= 0).all()
+    part = np.repeat(np.arange(parts), np.diff(cuts))
+    assert part.tolist() == [int(x) * parts >> 64 for x in c.tolist()]
+    pair, word = lm_score.pairs_of(lm_score.numbers_of([str(x).encode() for x in codes]))
+    assert not lm_score.is_word(pair).any() and lm_score.is_word(word).all()
