@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marketframe import config as C
-from marketframe.operators.scan import BLOCK, blocked_scan, with_blocks
+from marketframe.operators import windows as W
+from marketframe.operators.asof import asof_lookup
+from marketframe.operators.scan import BLOCK, blocked_scan
 from marketframe.session import cut_lineage, ship_package
 
 KEYS = ["strategy_name", "symbol"]
@@ -87,80 +89,95 @@ def close_orders(portfolio_key: DataFrame) -> DataFrame:
                                 F.lit("Y").alias("approval_status"), F.lit("Closing Position").alias("approval_comment"))
 
 
-def _next(t: np.ndarray, iv: np.ndarray) -> np.ndarray:
-    """For every time the place of the first one strictly later than it plus its interval."""
-    return np.searchsorted(t, t + iv, side="right")
-
-
-def _block_map(pdf: pd.DataFrame) -> pd.DataFrame:
-    """How a block of times maps the threshold a schedule enters with to the one it leaves with: rows
-    (upto, leave), ascending; the first row with upto > threshold applies. Times that lead to one exit are one row."""
+def _exits(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For every time of a block the threshold that a schedule reset at it leaves the block with."""
     t, iv = pdf["t"].to_numpy(), pdf["iv"].to_numpy()
     order = np.argsort(t, kind="stable")
-    t, iv = t[order], iv[order]
-    nxt, leave = _next(t, iv), np.zeros(len(t), dtype=np.int64)
+    t, leave = t[order], (t + iv)[order]
+    nxt = np.searchsorted(t, leave, side="right")               # place of the first time beyond the threshold
     for i in range(len(t) - 1, -1, -1):
-        leave[i] = t[i] + iv[i] if nxt[i] >= len(t) else leave[nxt[i]]
-    last = np.append(leave[1:] != leave[:-1], True)
-    return pd.DataFrame({"upto": t[last], "leave": leave[last]})
-
-
-def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The threshold a key's schedule enters each of its blocks with, from the blocks' maps in order."""
-    at, out = np.iinfo(np.int64).min, []
-    for blk, own in pdf.sort_values([BLOCK, "upto"]).groupby(BLOCK, sort=True):
-        out.append((blk, at))
-        k = int(np.searchsorted(own["upto"].to_numpy(), at, side="right"))
-        if k < len(own):
-            at = int(own["leave"].iloc[k])
-    return pd.DataFrame(out, columns=[BLOCK, "entry"])
+        if nxt[i] < len(t):
+            leave[i] = leave[nxt[i]]
+    return pd.DataFrame({"t": t, "leave": leave})
 
 
 def _expand(pdf: pd.DataFrame, entry: int) -> np.ndarray:
-    """The schedule's times inside one block, given its entry threshold."""
+    """The schedule's times inside one block, from the time it enters at."""
     t, iv = pdf["t"].to_numpy(), pdf["iv"].to_numpy()
     order = np.argsort(t, kind="stable")
     t, iv = t[order], iv[order]
-    nxt, i, out = _next(t, iv), int(np.searchsorted(t, entry, side="right")), []
+    nxt, i, out = np.searchsorted(t, t + iv, side="right"), int(np.searchsorted(t, entry)), []
     while i < len(t):
         out.append(t[i])
         i = int(nxt[i])
     return np.array(out, dtype=np.int64)
 
 
-def reset_points(times: DataFrame, keys: list[str], bounds: DataFrame, bound_keys: list[str], time_col: str = "time",
-                 interval_col: str = "reset_interval") -> DataFrame:
+def _reached(first: DataFrame, hops: DataFrame) -> DataFrame:
+    """``(k, a)``: all nodes on the path from each key's first node along ``hops(k, a, b)``, by pointer doubling.
+
+    Going up, level n holds hops of 2**n steps, cut to the nodes that such a hop still reaches (and the first ones),
+    until none is left; going down, the nodes found so far are sent along each level. About log2 of the path's length
+    rounds of equi-joins over single rows, so no task ever holds a key.
+    """
+    levels = []
+    while not hops.isEmpty():
+        levels.append(hops)
+        twice = hops.join(hops.select("k", F.col("a").alias("b"), F.col("b").alias("c")), ["k", "b"]).select("k", "a", F.col("c").alias("b"))
+        kept = first.unionByName(twice.select("k", F.col("b").alias("a"))).distinct()
+        hops = cut_lineage(twice.join(kept, ["k", "a"], "left_semi"))
+    path = first
+    for level in reversed(levels):
+        path = cut_lineage(path.unionByName(path.join(level, ["k", "a"]).select("k", F.col("b").alias("a"))))
+    return path
+
+
+def reset_points(times: DataFrame, keys: list[str], time_col: str = "time", interval_col: str = "reset_interval",
+                 block_rows: int = 20_000) -> DataFrame:
     """L9 greedy reset schedule per key: start r0 = first time; each next reset is the first time strictly later
     than (previous reset + interval seconds). Returns the resets after r0 with their ordinal (r0 itself is the
-    strategy start, not a reset).
-
-    Exact, in three grouped steps over time blocks (``bounds``: time quantiles per ``bound_keys``):
-    1. every (key, block) in parallel: the map from entry to exit threshold, times with one exit merged;
-    2. every key: its blocks' maps applied in order, which gives each block its entry (map rows only);
-    3. every (key, block) in parallel: the schedule inside the block from its entry.
-    One eager job materialises the distinct times, whatever the number of rows.
+    strategy start, not a reset). Rows without a time are ignored, no interval is 0; keys may be NULL.
+
+    Exact, and no group is larger than ``block_rows``, whatever the key and the interval:
+    1. a key's distinct times are cut into blocks of ``block_rows`` by rank; every (key, block) finds, for each of its
+       times, the threshold that a schedule reset there leaves the block with;
+    2. an as-of lookup finds the first time beyond each threshold: the hops between blocks. The times that the key's
+       schedule enters its blocks at are the path from r0 along them (``_reached``), at most one a block;
+    3. every entered (key, block) expands the schedule inside from its entry.
     """
     ship_package(times.sparkSession)
-    key_type = {f.name: f.dataType.simpleString() for f in times.schema.fields}
-    kddl = ", ".join(f"`{k}` {key_type[k]}" for k in keys)
     t = (times.filter(F.col(time_col).isNotNull())
-         .groupBy(*keys, time_col).agg((F.max(interval_col).cast("double") * 1_000_000).cast("long").alias("iv")))
-    t = with_blocks(t, bounds, bound_keys, time_col)
-    t = cut_lineage(t.select(*keys, BLOCK, F.unix_micros(time_col).alias("t"), "iv"))
-
-    def block_map(pdf):
-        return pd.concat([pdf[[*keys, BLOCK]].iloc[:1].merge(_block_map(pdf), how="cross")])
+         .groupBy(*keys, F.col(time_col).alias("at")).agg(F.coalesce((F.max(interval_col).cast("double") * 1_000_000).cast("long"), F.lit(0)).alias("iv"))
+         .withColumn("k", F.to_json(F.struct(*keys))))
+    t = W.indexed(cut_lineage(t), ["k"], "at", "n")
+    t = cut_lineage(t.select(*keys, "k", F.unix_micros("at").alias("t"), "iv", F.floor(F.col("n") / block_rows).cast("long").alias(BLOCK)))
+    ends = t.groupBy("k").agg(F.min("t").alias("a"), F.max("t").alias("last"), *[F.first(c).alias(c) for c in keys])
+    ends = cut_lineage(ends)                                    # one row a key
+    first = ends.select("k", "a")
 
-    def entries(pdf):
-        return pdf[keys].iloc[:1].merge(_entries(pdf), how="cross")
+    def exits(pdf):
+        return pd.concat([pdf[["k"]].iloc[:1].merge(_exits(pdf), how="cross")])
 
     def expand(pdf, own):
-        at = _expand(pdf, int(own["entry"].iloc[0])) if len(pdf) and len(own) else np.zeros(0, np.int64)
-        return pdf[keys].iloc[:1].merge(pd.DataFrame({"t": at}), how="cross") if len(at) else pd.DataFrame(columns=[*keys, "t"])
-
-    maps = t.groupBy(*keys, BLOCK).applyInPandas(block_map, f"{kddl}, {BLOCK} long, upto long, leave long")
-    into = maps.groupBy(*keys).applyInPandas(entries, f"{kddl}, {BLOCK} long, entry long")
-    chain = t.groupBy(*keys, BLOCK).cogroup(into.groupBy(*keys, BLOCK)).applyInPandas(expand, f"{kddl}, t long")
-    w = Window.partitionBy(*keys).orderBy("t")                  # resets only: span / interval rows a key
-    return (chain.withColumn("reset_no", (F.row_number().over(w) - 1).cast("long")).filter(F.col("reset_no") > 0)
-                 .select(*keys, F.timestamp_micros("t").alias("reset_time"), "reset_no"))
+        at = _expand(pdf, int(own["a"].iloc[0])) if len(pdf) and len(own) else np.zeros(0, np.int64)
+        return pdf[["k"]].iloc[:1].merge(pd.DataFrame({"t": at}), how="cross") if len(at) else pd.DataFrame(columns=["k", "t"])
+
+    # thresholds that some later time of the key exceeds; the others end a schedule
+    out = t.groupBy("k", BLOCK).applyInPandas(exits, "k string, t long, leave long").join(ends.select("k", "last"), "k")
+    out = cut_lineage(out.filter("leave < last").select("k", F.col("t").alias("a"), "leave"))
+    path = first
+    if not out.isEmpty():
+        # the first time after a threshold is the latest before it on the reversed axis
+        back = lambda c: F.timestamp_micros(-F.col(c))          # noqa: E731
+        after = asof_lookup(out.select("k", "leave", back("leave").alias("at")).distinct(),
+                            {"next": t.select("k", back("t").alias("rt"), "t", F.lit(0).alias("o"))}, ["k"], "at", "rt", "o", strict=True)
+        hops = out.join(after.select("k", "leave", F.col("next.t").alias("b")), ["k", "leave"]).select("k", "a", "b")
+        hops = cut_lineage(hops)
+        entered = first.unionByName(hops.select("k", F.col("b").alias("a"))).distinct()
+        path = _reached(first, cut_lineage(hops.join(entered, ["k", "a"], "left_semi")))
+    entry = path.join(t.select(F.col("k").alias("ek"), F.col("t").alias("et"), F.col(BLOCK).alias("eb")),
+                      (F.col("k") == F.col("ek")) & (F.col("a") == F.col("et"))).select("ek", "eb", F.col("et").alias("a"))
+    chain = t.groupBy("k", BLOCK).cogroup(entry.groupBy("ek", "eb")).applyInPandas(expand, "k string, t long")
+    chain = cut_lineage(chain.select("k", F.timestamp_micros("t").alias("reset_time")))
+    return (W.indexed(chain, ["k"], "reset_time", "reset_no").filter(F.col("reset_no") > 0)
+             .join(ends.select("k", *keys), "k").select(*keys, "reset_time", "reset_no"))

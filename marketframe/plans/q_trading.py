@@ -360,7 +360,7 @@ SELECT strategy_name, symbol, t AS reset_time, CAST(n AS BIGINT) AS reset_no FRO
 @register("reset_points", with_views(RESET_SQL, "decisions"), [], "L9")
 def reset_points_q(spark, sf_dir):
     d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
-    return SG.reset_points(d, ["strategy_name", "symbol"], X.tick_bounds(spark, sf_dir), ["symbol"])
+    return SG.reset_points(d, ["strategy_name", "symbol"])
 
 
 @register("portfolio_status", with_views(f"""
@@ -376,7 +376,7 @@ def portfolio_status_q(spark, sf_dir):
     """K7: latest status event per portfolio: every decision marks it 'active'; a reset (L9) closes the
     position and marks it 'closed' after that iteration's 'active'. Grouped max_by, one row per key."""
     d = X.decisions(spark, sf_dir).select("strategy_name", "symbol", "time", "reset_interval")
-    resets = SG.reset_points(d, ["strategy_name", "symbol"], X.tick_bounds(spark, sf_dir), ["symbol"])
+    resets = SG.reset_points(d, ["strategy_name", "symbol"])
     seeds = LG.with_seeds(d.limit(0).select(*[F.lit(None).cast(t).alias(c) for c, t in zip(LG.ROW, _ROW_TYPES)]),
                           X.seed_portfolios(spark), ticks(spark, sf_dir))
     events = (d.select("strategy_name", "symbol", "time", F.lit(0).alias("o"), F.lit("active").alias("status"))

@@ -162,22 +162,46 @@ def _streak_df(spark, sigs, m):
     return SG.apply_streak(SG.run_positions(blocked(df, SG.KEYS, "time", 10), "raw_signal")).orderBy("seq").collect()
 
 
-@pytest.mark.parametrize("min_rows", [10 ** 9, 40, 1])
-def test_reset_schedule_equals_greedy_loop(spark, min_rows):
+@pytest.mark.parametrize("block_rows", [10 ** 6, 7])
+def test_reset_schedule_equals_greedy_loop(spark, block_rows):
     rng = random.Random(11)
     t0 = pd.Timestamp("2024-01-01")
     rows, want = [], set()
-    for key, n, iv in (("x", 400, 3000), ("y", 150, 200_000), ("z", 1, 50)):
+    for key, n, iv in (("x", 400, 3000), ("y", 150, 200_000), ("z", 1, 50), (None, 60, 0), ("v", 120, None)):
         at = sorted({t0 + pd.Timedelta(milliseconds=rng.randint(0, 500_000_000)) for _ in range(n)})
-        rows += [(key, "s", t.to_pydatetime(), iv) for t in at] + [(key, "s", at[0].to_pydatetime(), iv)]
-        last, no = at[0], 0
-        for t in at:
-            if t > last + pd.Timedelta(seconds=iv):
-                last, no = t, no + 1
+        each = [rng.choice((500, 40_000)) if iv is None else iv for _ in at]      # an interval of its own for every time
+        rows += [(key, "s", t.to_pydatetime(), i) for t, i in zip(at, each)] + [(key, "s", at[0].to_pydatetime(), each[0])]
+        last, no, wait = at[0], 0, each[0]
+        for t, i in zip(at, each):
+            if t > last + pd.Timedelta(seconds=wait):
+                last, no, wait = t, no + 1, i
                 want.add((key, t.to_pydatetime(), no))
+    rows.append(("x", "s", None, 5))
     df = spark.createDataFrame(rows, "strategy_name string, symbol string, time timestamp, reset_interval int")
-    got = SG.reset_points(df, SG.KEYS, time_bounds(df, ["symbol"], "time", min_rows), ["symbol"])
-    assert {(r.strategy_name, r.reset_time, r.reset_no) for r in got.collect()} == want
+    got = SG.reset_points(df, SG.KEYS, block_rows=block_rows).collect()
+    assert {(r.strategy_name, r.reset_time, r.reset_no) for r in got} == want and len(got) == len(want)
+
+
+def test_reset_schedule_of_a_million_times_has_bounded_groups(spark, monkeypatch):
+    interval, largest = 200_000, []                                               # about 100 blocks long
+    us = spark.range(1_000_000).select(F.pmod(F.xxhash64("id"), F.lit(10 ** 12)).alias("us"))
+    t = np.unique(us.toPandas()["us"].to_numpy())                                 # microseconds
+    cut = SG.cut_lineage
+
+    def watched(df):
+        out = cut(df)
+        if SG.BLOCK in out.columns:
+            largest.append(out.groupBy("k", SG.BLOCK).count().agg(F.max("count")).first()[0])
+        return out
+    monkeypatch.setattr(SG, "cut_lineage", watched)
+    df = us.select(
+        F.lit("x").alias("strategy_name"), F.lit("s").alias("symbol"), F.timestamp_micros("us").alias("time"), F.lit(interval).alias("reset_interval"))
+    got = SG.reset_points(df, SG.KEYS, block_rows=2000).select(F.unix_micros("reset_time").alias("t"), "reset_no").collect()
+    want, i = [], 0
+    while (i := int(np.searchsorted(t, t[i] + interval * 1_000_000, side="right"))) < len(t):
+        want.append(int(t[i]))
+    assert sorted((r.reset_no, r.t) for r in got) == list(enumerate(want, 1))
+    assert largest and max(largest) <= 2000
 
 
 def test_streak_closed_form_equals_loop(spark):
