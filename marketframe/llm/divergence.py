@@ -173,7 +173,7 @@ def multiplied(entries: pa.Table, groups: pa.Table, most: int) -> pa.Table:
 
 
 def audited(docs: DataFrame, min_docs: int = 10, top_terms: int = 10, entries_a_block: int = 100_000,
-            sources_a_block: int = 64) -> DataFrame:
+            sources_a_block: int = 64, broadcast_rows: int = 50_000) -> DataFrame:
     """One row per group and other source of its language (``part`` pair) or over-represented term (``part`` term,
     the first ``top_terms``): ``lang, source, part, item, value, rank``.
 
@@ -192,8 +192,11 @@ def audited(docs: DataFrame, min_docs: int = 10, top_terms: int = 10, entries_a_
               .select("lang", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("v", "n_lang")),
                       F.ceil(F.col("g") / sources_a_block).cast("int").alias("sides"),
                       F.greatest(F.lit(1), F.ceil(F.coalesce("rows", F.lit(0)) / entries_a_block)).cast("int").alias("blocks")))
+    shapes = checkpointed(shapes)
+    # one row a language; beyond a size that is safe to broadcast it is joined by shuffle, large languages split by AQE
+    shaped = F.broadcast(shapes) if shapes.count() <= broadcast_rows else shapes
     side = F.pmod(F.xxhash64("source"), F.col("sides")).cast("int")
-    groups = checkpointed(groups.join(sizes, ["lang", "source"], "left").join(shapes, "lang")
+    groups = checkpointed(groups.join(sizes, ["lang", "source"], "left").join(shaped, "lang")
                           .withColumn("size", F.coalesce("size", F.lit(0))).withColumn("side", side))
 
     def meeting(rows: DataFrame) -> DataFrame:
@@ -202,7 +205,7 @@ def audited(docs: DataFrame, min_docs: int = 10, top_terms: int = 10, entries_a_
         return other.withColumn("a", F.least("side", "other")).withColumn("b", F.greatest("side", "other"))
 
     key = ["lang", "block", "a", "b"]
-    entries = meeting(kept.join(shapes.select("lang", "sides", "blocks"), "lang").withColumn("side", side)
+    entries = meeting(kept.join(shaped, "lang").drop("v", "n_lang").withColumn("side", side)
                       .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int")))
     heads = meeting(groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
 
