@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, in_arrow
@@ -28,57 +28,82 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section
 select summary table tbody td tfoot th thead tr ul""".split())
-DROPPED = frozenset("""nav footer aside form head script style textarea title iframe noembed noframes noscript template select option
+DROPPED = frozenset("""nav footer aside head script style textarea title iframe noembed noframes noscript template select option
 button menu dialog object svg math canvas audio video map datalist""".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
-# words of class and id attributes; the second list does not count inside an article
+# whole names of class and id attributes, alone or with the additions below; the second list does not count inside an article
 DROPPED_NAMES = frozenset("""ad ads advert adverts advertisement advertising adslot sponsor sponsored promo promotion cookie cookies consent
 gdpr notice notices popup modal overlay newsletter subscribe signup login sidebar aside breadcrumb breadcrumbs menu nav navbar navigation
 pagination pager comment comments commentlist reply replies respond disqus share sharing social related recommended toolbar skip""".split())
 DROPPED_OUTSIDE = frozenset("header footer masthead banner topbar bottombar copyright widget widgets".split())
+ADDITIONS = frozenset("""area bar block bottom box btn button buttons card col column container content footer form global group header icons
+inner item items left link links list main message mobile outer page panel primary right row secondary section site slot small text top unit
+wrap wrapper""".split())
+# what readers or other pages say, even in an article element of their own
+OTHERS = frozenset("comment comments commentlist reply replies respond disqus".split())
+# text of an article whatever it is called
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre b i em strong span a code q cite mark small sub sup u s abbr time".split())
 INSIDE = frozenset(("article", "main"))
+PAGE = frozenset(("article", "main", "h1", "nav", "header", "footer"))  # a form around one of these is the page's frame
 _CLOSES_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
+# a quote delimits a value right after "=" only, and only if it is closed
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none)", re.I)
-_NAME = re.compile(r"[a-z]+")
+_PART = re.compile(r"[a-z0-9]+")
 
-OPEN, MAIN, OUT = 0, 1, 2
+OPEN, MAIN, OUT, RESCUED = 0, 1, 2, 3
+KEPT, SOFT, HARD = 0, 1, 2  # nothing dropped; dropped unless it holds the article; dropped in any case
 KEY = ("host", "path", "address", "number")  # the order of pages; address and number: URL and page id as strings
 
 
-def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
+def _named(value: str, names: frozenset) -> bool:
+    """Whether a class or id is one of the names: whole, or a compound of them and nothing but usual additions."""
+    for name in value.split():
+        parts = set(_PART.findall(name))
+        if parts & names and not parts - names - ADDITIONS:
+            return True
+    return False
+
+
+def _unwanted(tag: str, attributes: str, inside: bool) -> int:
     if tag in DROPPED or (tag == "header" and not inside):
-        return True
+        return HARD
     if not attributes:
-        return False
+        return KEPT
     if _HIDDEN.search(attributes):
-        return True
+        return HARD
+    worst = KEPT
     for m in _ATTR.finditer(attributes):
         value = html.unescape(m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
             if value.strip() in DROPPED_ROLES:
-                return True
-        elif tag not in ("html", "body", *INSIDE):
-            words = set(_NAME.findall(value))
-            if words & DROPPED_NAMES or (not inside and words & DROPPED_OUTSIDE):
-                return True
-    return False
+                return HARD
+        elif tag not in ("html", "body") and not (inside and tag in TEXT):
+            if _named(value, OTHERS):
+                return HARD
+            if tag not in INSIDE and _named(value, DROPPED_NAMES if inside else DROPPED_NAMES | DROPPED_OUTSIDE):
+                worst = SOFT
+    return worst
 
 
 def lines_of(page: str) -> list[tuple[int, str]]:
     """``(zone, text)`` of every block with text, in page order. Character references are decoded, white space
     inside a block is one blank. Zones: inside an article or main element, in markup that is no main text, or
-    neither. Scripts, styles and comments give no line."""
-    out: list[tuple[int, str]] = []
+    neither. Scripts, styles and comments give no line.
+
+    An element that only its name drops gives way to an article or main element inside it, if the page has none
+    elsewhere. A form goes with all its text, unless it frames the page: then only its labels and controls go."""
+    out: list[tuple[int, str, int]] = []  # zone, text, form
     words: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, dropped from here, main from here
+    stack: list[tuple[str, int, int, int]] = []  # element, how it drops, main from here, names that drop before it
     blocks: list[int] = []  # places of block elements in the stack
     opened: dict[str, int] = {}
-    dropped = inside = 0
+    frames: list[bool] = [True]  # of every form, whether it frames the page; the first is no form
+    hard = soft = given_way = inside = rescued = form = 0
 
     def text(raw: str) -> None:
         if words or raw and not raw.isspace():
@@ -89,16 +114,22 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             line = " ".join(html.unescape("".join(words)).split())
             words.clear()
             if line:
-                out.append((OUT if dropped else MAIN if inside else OPEN, line))
+                zone = OUT if hard or soft > given_way else RESCUED if rescued else MAIN if inside else OPEN
+                out.append((zone, line, form))
 
     def pop() -> None:
-        nonlocal dropped, inside
-        tag, d, m = stack.pop()
+        nonlocal hard, soft, given_way, inside, rescued, form
+        tag, drop, main, before = stack.pop()
         opened[tag] -= 1
         if blocks and blocks[-1] == len(stack):
             blocks.pop()
-        dropped -= d
-        inside -= m
+        hard -= drop == HARD
+        soft -= drop == SOFT
+        inside -= main > 0
+        if main == RESCUED:
+            rescued, given_way = rescued - 1, before
+        if tag == "form":
+            form = 0
 
     def close_nearest(tags: set[str]) -> None:
         """Closes the innermost open block, with all inline elements in it, if it is one of ``tags``."""
@@ -122,7 +153,7 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             text(" ")
         if m[1]:
             if opened.get(tag):
-                if tag in DROPPED:
+                if tag in DROPPED or tag == "label":
                     flush()
                 while stack[-1][0] != tag:
                     pop()
@@ -142,17 +173,31 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             close_nearest({"p"})
         if tag in _SAME:
             close_nearest(_SAME[tag])
-        unwanted = _unwanted(tag, m[3], inside > 0)
-        if unwanted and tag not in BLOCKS:
+        if tag == "form":
+            if form:  # a form holds no other
+                continue
+            frames.append(False)
+            form = len(frames) - 1
+        elif form and tag in PAGE:
+            frames[form] = True
+        drop = HARD if form and tag == "label" else _unwanted(tag, m[3], inside > 0)
+        if drop and tag not in BLOCKS:
             flush()
         if tag in BLOCKS:
             blocks.append(len(stack))
         opened[tag] = opened.get(tag, 0) + 1
-        stack.append((tag, unwanted, tag in INSIDE and not dropped and not unwanted))
-        dropped += unwanted
-        inside += stack[-1][2]
+        main = 0
+        if tag in INSIDE and not hard and not drop:
+            main = RESCUED if soft > given_way or rescued else MAIN
+        stack.append((tag, drop, main, given_way))
+        if main == RESCUED:
+            rescued, given_way = rescued + 1, soft
+        inside += main > 0
+        hard += drop == HARD
+        soft += drop == SOFT
     flush()
-    return out
+    last = OUT if any(z == MAIN and frames[f] for z, _, f in out) else MAIN
+    return [(OUT if not frames[f] else last if z == RESCUED else z, line) for z, line, f in out]
 
 
 def common_subsequence(a: list[int], b: list[int]) -> tuple[set[int], set[int]]:
@@ -184,12 +229,17 @@ def common_subsequence(a: list[int], b: list[int]) -> tuple[set[int], set[int]]:
     return left, right
 
 
+def _short(key) -> Column:
+    """A key for ordering, of bounded length: long ones end in their hash."""
+    return F.when(F.length(key) > 480, F.concat(F.substring(key, 1, 448), F.md5(key))).otherwise(key)
+
+
 def host_and_path(pages: DataFrame, url_col: str) -> DataFrame:
     """``pages`` with ``host`` and ``path``, taken from the URL."""
     url = F.coalesce(F.trim(F.col(url_col)), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-    return pages.withColumn("host", host).withColumn("path", path)
+    return pages.withColumn("host", _short(host)).withColumn("path", _short(path))
 
 
 def _same(a: Counter, b: Counter) -> bool:
@@ -295,13 +345,13 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
     hot host or path is many buckets, each with the two border pages of the next ones; inside a bucket pages stream by in path order and each meets the two before and after it
     that differ from it; equal pages in a row are one.
     Null html is empty and gives an empty text; null or unreadable URLs share the empty host. Repeated pages are
-    extracted alike. Only lines that may be main text are shuffled, with a hash of every line.
+    extracted alike, pages of any length whole; other columns are ignored; an empty table gives an empty result. Only lines that may be main text are shuffled, with a hash of every line.
     """
     own = pages.select("page_id", "url", "html")
     n = own.count()
     wanted = -(-n // pages_a_bucket)
-    keyed = (host_and_path(own, "url").withColumn("address", F.coalesce("url", F.lit("")))
-             .withColumn("number", F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
+    keyed = (host_and_path(own, "url").withColumn("address", _short(F.coalesce("url", F.lit(""))))
+             .withColumn("number", _short(F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
     picked = sorted(tuple(r) for r in bounded_sample(keyed.select(*KEY), list(KEY), list(KEY), url_sample, rows=n).collect()) if wanted > 1 else []
     edges = bucket_edges(picked, max(2, -(-len(picked) // max(1, wanted))))
     borders = border_pages(keyed, edges) if edges else {}
@@ -334,7 +384,7 @@ def extracted(pages: DataFrame, pages_a_bucket: int = 500, url_sample: int = 20_
 
     parsed = in_arrow(keyed, parse, schema)
     ordered = (parsed.repartition("host", "bucket")
-               .sortWithinPartitions("host", "bucket", "path", F.coalesce("url", F.lit("")), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+               .sortWithinPartitions("host", "bucket", "path", _short(F.coalesce("url", F.lit(""))), _short(F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
                                      F.xxhash64("marks")))
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

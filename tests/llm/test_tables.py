@@ -153,11 +153,44 @@ def test_lines_and_zones():
     assert lines("") == [] and lines("plain < text") == ["plain < text"] and lines("<p>a</p") == ["a"]
 
 
+ARTICLE = "<article><h1>Head</h1><p>Some text.</p></article>"
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<div class="layout has-sidebar"><main><p>Some text.</p></main></div>', ["Some text."]),
+    (f'<div class="page comments-closed related-none">{ARTICLE}</div>', ["Head", "Some text."]),
+    (f'<section class="no-menu">{ARTICLE}</section>', ["Head", "Some text."]),
+    (f'<div class="sidebar">{ARTICLE}</div>', ["Head", "Some text."]),  # nothing else is the article
+    (f'{ARTICLE}<div class="sidebar"><article>Teaser</article></div>', ["Head", "Some text."]),
+    (f'<form id="aspnetForm"><label>Find</label><select><option>x</select>{ARTICLE}<button>go</button></form>', ["Head", "Some text."]),
+    ('<form><p>Your name</p><h3>Write to us</h3><input></form><p>Some text.</p>', ["Some text."]),
+    ('<article><p class="related">Some text.</p><div class="related-links">no</div><p>More.</p></article>', ["Some text.", "More."]),
+    ('<article><p>Some text.</p><section class="comments"><article>no</article></section><article class="comment">no</article></article>', ["Some text."]),
+    ('<div class="sidebar"><main><p>Some text.</p><div class="share-buttons">no</div><article>More.</article></main></div>', ["Some text.", "More."]),
+    ('<div class="site-header">no</div><div id="main-nav">no</div><div class="entry-header">Some text.</div>', ["Some text."]),
+    ("<article><p><a title=don't href=x>link</a> text</p><p>It's two</p></article>", ["link text", "It's two"]),
+    ('<p class="a"">One</p><p class="b">Two</p>', ["One", "Two"]),
+    ('<p class="a>One</p>', ["One"]),
+    ("<p class='a>One</p>", ["One"]),
+    ('<p title = "a>b" class=x>One</p>', ["One"]),
+])
+def test_names_and_quotes_lose_no_article(page, want):
+    assert [t for z, t in pages.lines_of(page) if z != pages.OUT] == want
+
+
+def test_a_very_long_page_is_whole(spark):
+    text = [prose(k, 40) for k in range(6000)]
+    page = "<nav>no</nav><article>" + "".join(f"<p>{t}</p>" for t in text) + "</article>"
+    rows = [(1, "https://a.example/" + "x" * 5000, page), (2, "https://a.example/" + "x" * 5001, "<article>b</article>")]
+    got = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "\n".join(text), 2: "b"}
+
+
 def test_hostile_markup_takes_linear_time():
     import time
     t0 = time.time()
     for page in ("<div " * 100_000, "<p>" * 100_000, "<" * 100_000, "<!--" * 100_000, '<a "' * 50_000, "<b>" * 50_000 + "</i>" * 50_000,
-                 "<b>" * 50_000 + "<li></li>" * 50_000, "<div><b>" * 30_000 + "</p>" * 30_000, "<script>" * 50_000, "&" * 100_000):
+                 "<b>" * 50_000 + "<li></li>" * 50_000, "<div><b>" * 30_000 + "</p>" * 30_000, "<script>" * 50_000, "&" * 100_000, "<a =\"" * 50_000, "<a ='" * 50_001, "<a = = =" * 50_000, "<form>" * 50_000 + ARTICLE):
         pages.lines_of(page)
     assert time.time() - t0 < 30
 
