@@ -68,7 +68,10 @@ def snapshots(rows: DataFrame, ticks: DataFrame, period_s: int = C.SNAPSHOT_PERI
     row while the symbol has no price yet. The spine grows with the time span, not with tick volume."""
     spine = snapshot_times(rows, ticks, period_s)
     pos = asof_join(spine, rows, KEYS, "time", "time", ["cash_balance", "quantity"], "seq")
-    px = asof_join(pos, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_")
+    # a symbol's grid is looked up once, whatever the number of its portfolios
+    grid = spine.select("symbol", "time").distinct()
+    marks = asof_join(grid, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_")
+    px = pos.join(marks, ["symbol", "time"])
     mv = F.col("quantity") * F.col("mark_price")
     return (px.filter(F.col("mark_price").isNotNull())
               .select("time", "cash_balance", "symbol", "quantity", mv.alias("market_value"),

@@ -5,7 +5,7 @@
 * E9: VectorAssembler + StandardScaler(withMean, withStd) inside the saved pipeline (MLlib divides by
   the sample std; the modelled scaler by the population std — a constant factor per feature);
 * E10: balanced class weights as ``weightCol`` (window aggregates, no join);
-* E11 logistic regression, E12 random forest, E13 gradient boosting as three binary GBTs (one vs
+* E11 logistic regression, E12 random forest grown and stored in batches of trees (``BatchedForest``), E13 gradient boosting as three binary GBTs (one vs
   rest, probabilities normalised), E14 RBF-kernel SVM re-aimed as random Fourier features + logistic
   regression, E15 the sequence model re-aimed as a multilayer perceptron;
 * E16 metrics through MulticlassClassificationEvaluator, E18 a ``model_runs`` row, S24 save/load,
@@ -16,21 +16,22 @@ from __future__ import annotations
 
 import math
 import os
+import uuid
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+                                       RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketframe import config as C
 from marketframe.operators import windows as W
 from marketframe.operators.evaluation import weighted_metrics
 from marketframe.operators.labels import enough_rows, with_class_weight
 from marketframe.schemas import FEATURE_COLUMNS
-from marketframe.session import cut_lineage
+from marketframe.session import cut_lineage, scratch_path
 
 EXCLUDED = ["price", "future_return", "label", "minute", "symbol", "split", "weight"]
 
@@ -85,18 +86,13 @@ def rff_transformer(train: DataFrame, features: list[str], n_components: int = 1
 
 
 def make_pipeline(kind: str, features: list[str], train: DataFrame | None = None, *, seed: int = 42,
-                  max_iter: int | None = None, num_trees: int = 50, max_depth: int = 30, rff_components: int = 100,
-                  train_rows: int | None = None) -> Pipeline:
-    """A Pipeline for one of: logistic_regression, random_forest, svm_rbf, mlp (gbt: see GBTOneVsRest)."""
+                  max_iter: int | None = None, rff_components: int = 100, train_rows: int | None = None) -> Pipeline:
+    """A Pipeline for one of: logistic_regression, svm_rbf, mlp (random_forest: BatchedForest, gbt: GBTOneVsRest)."""
     if kind == "logistic_regression":
         # the modelled penalty (C = 1) is on the sum of losses, MLlib's on their mean
         clf = LogisticRegression(maxIter=max_iter or 500, family="multinomial", weightCol="weight",
                                  regParam=1.0 / max(train_rows or 1, 1))
         return Pipeline(stages=_scaled(features) + [clf])
-    if kind == "random_forest":
-        # the modelled trees grow without a limit; MLlib's deepest is 30
-        clf = RandomForestClassifier(numTrees=num_trees, seed=seed, weightCol="weight", maxDepth=max_depth)
-        return Pipeline(stages=_scaled(features) + [clf])
     if kind == "svm_rbf":
         rff = rff_transformer(train, features, rff_components, seed=seed)
         asm = VectorAssembler(inputCols=[f"rff_{k}" for k in range(rff_components)], outputCol="features")
@@ -108,6 +104,62 @@ def make_pipeline(kind: str, features: list[str], train: DataFrame | None = None
     raise ValueError(f"unknown model kind {kind}")
 
 
+class BatchedForest:
+    """``num_trees`` class-weighted trees, grown ``batch`` at a time from one checkpointed table. A batch is written
+    to ``path`` when it is done and leaves the driver before the next one starts. A forest's probability is its trees' mean, so the mean over
+    batches, weighted by their trees, is that of the one large forest.
+
+    ``max_depth`` bounds a tree to ``2 ** (max_depth + 1)`` nodes: the driver and every scoring task hold trees, and
+    unlimited ones grow with the rows.
+    """
+
+    def __init__(self, features: list[str], path: str, num_trees: int = 50, max_depth: int = 10, batch: int = 25, seed: int = 42):
+        self.features, self.path, self.max_depth, self.seed = features, path, max_depth, seed
+        self.sizes = [min(batch, num_trees - k) for k in range(0, num_trees, batch)]
+
+    def _folder(self, k: int) -> str:
+        return os.path.join(self.path, f"trees_{k}")
+
+    def fit(self, train: DataFrame) -> "BatchedForest":
+        scaler = Pipeline(stages=_scaled(self.features)).fit(train)
+        scaler.write().overwrite().save(os.path.join(self.path, "scaler"))
+        rows = cut_lineage(scaler.transform(train).select("features", "label", "weight"))
+        for k, trees in enumerate(self.sizes):
+            RandomForestClassifier(numTrees=trees, maxDepth=self.max_depth, seed=self.seed + k, weightCol="weight",
+                                   featureSubsetStrategy="sqrt", cacheNodeIds=False, maxMemoryInMB=512) \
+                .fit(rows).write().overwrite().save(self._folder(k))
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``probability_array`` and ``prediction``, from the stored trees."""
+        out = PipelineModel.load(os.path.join(self.path, "scaler")).transform(df)
+        for k in range(len(self.sizes)):
+            model = RandomForestClassificationModel.load(self._folder(k))
+            model = model.setProbabilityCol(f"prob_{k}").setRawPredictionCol("").setPredictionCol("")
+            out = model.transform(out)
+        total = float(sum(self.sizes))
+        each = [vector_to_array(F.col(f"prob_{k}")) for k in range(len(self.sizes))]
+        probs = [sum((p[c] * F.lit(n / total) for p, n in zip(each, self.sizes, strict=True)), F.lit(0.0)) for c in range(3)]
+        out = out.select(*df.columns, F.array(*probs).alias("probability_array"))
+        return out.withColumn("prediction", (F.array_position("probability_array", F.array_max("probability_array")) - 1).cast("double"))
+
+    def save(self, path: str) -> None:
+        """A copy of the stored trees in another folder."""
+        PipelineModel.load(os.path.join(self.path, "scaler")).write().overwrite().save(os.path.join(path, "scaler"))
+        for k in range(len(self.sizes)):
+            RandomForestClassificationModel.load(self._folder(k)).write().overwrite().save(os.path.join(path, f"trees_{k}"))
+
+    @classmethod
+    def load(cls, path: str, features: list[str]) -> "BatchedForest":
+        """The forest stored in a folder, with as many batches as lie there."""
+        out = cls(features, path, num_trees=0)
+        sc = SparkSession.active().sparkContext
+        fs = sc._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(sc._jsc.hadoopConfiguration())
+        while fs.exists(sc._jvm.org.apache.hadoop.fs.Path(out._folder(len(out.sizes)))):
+            out.sizes.append(RandomForestClassificationModel.load(out._folder(len(out.sizes))).getNumTrees)
+        return out
+
+
 class GBTOneVsRest:
     """Three binary gradient-boosted tree models (class c vs rest); class probabilities are the
     three positive-class probabilities normalised to sum 1. Trees of depth 3, step .1 and no class weights, as the
@@ -183,6 +235,20 @@ def append_run(record: DataFrame, path: str) -> None:
     record.write.mode("append").parquet(path)
 
 
+def stored_and_logged(model, data: DataFrame, name: str, folder: str) -> tuple[object, DataFrame]:
+    """The model saved and loaded back, and the run log with this run's row."""
+    meta = {n: (d, h) for n, d, h in C.MODELS}
+    path, log = os.path.join(folder, "model"), os.path.join(folder, "model_runs")
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+        back = PipelineModel.load(path)
+    else:
+        model.save(path)
+        back = type(model).load(path, model.features)
+    append_run(run_record(data.sparkSession, name, *[meta[name][0], path, meta[name][1]], evaluate(model, data)), log)
+    return back, data.sparkSession.read.parquet(log)
+
+
 def train(labelled: DataFrame, kind: str, *, min_rows: int = C.MIN_TRAIN_ROWS, newest: int | None = None,
           **kw):
     """E8 gate per series + split + fit. Series with fewer than ``min_rows`` rows are left out; returns (model, data
@@ -196,6 +262,9 @@ def train(labelled: DataFrame, kind: str, *, min_rows: int = C.MIN_TRAIN_ROWS, n
     n = tr.count()
     if not n:
         return None, None
+    if kind == "random_forest":
+        path = kw.pop("path", None) or scratch_path(labelled.sparkSession, f"forest-{uuid.uuid4().hex}")
+        return BatchedForest(feats, path, **kw).fit(tr), data
     if kind == "gbt":
         return GBTOneVsRest(feats, max_iter=kw.get("max_iter") or 100).fit(tr), data
     return make_pipeline(kind, feats, tr, train_rows=n, **kw).fit(tr), data

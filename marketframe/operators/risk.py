@@ -36,6 +36,24 @@ def portfolio_state(orders: DataFrame, rows: DataFrame, values: DataFrame) -> Da
                     "pv_max", F.col("snap.value").alias("pv_latest"))
 
 
+def state_of_few(orders: DataFrame, rows: DataFrame, values: DataFrame) -> DataFrame:
+    """``portfolio_state`` for a bounded handful of orders (a top-k report), of different ``seq``: they are broadcast to
+    the rows and snapshots, which come back as one pre-aggregated row an order; no scan over the whole history."""
+    few = F.broadcast(orders.select(*[F.col(k).alias(f"__{k}") for k in KEYS], F.col("seq").alias("__order"), F.col("time").alias("__at")))
+    mine = [F.col(k) == F.col(f"__{k}") for k in KEYS]
+
+    def before(frame: DataFrame) -> DataFrame:
+        return frame.join(few, mine).filter(F.col("time") < F.col("__at")).groupBy("__order")
+
+    fields = ["quantity", "cash_balance", "market_value", "portfolio_value"]
+    row = before(rows).agg(F.max_by(F.struct(*fields), F.struct("time", "seq")).alias("row"))
+    snap = before(values).agg(F.max("portfolio_value").alias("pv_max"), F.max_by("portfolio_value", "time").alias("pv_latest"))
+    o = orders.join(row, orders["seq"] == row["__order"], "left").drop("__order")
+    o = o.join(snap, o["seq"] == snap["__order"], "left").drop("__order")
+    return o.select(*orders.columns, F.col("row.quantity").alias("qty_before"), F.col("row.cash_balance").alias("cash_before"),
+                    F.col("row.market_value").alias("market_value"), F.col("row.portfolio_value").alias("portfolio_value"), "pv_max", "pv_latest")
+
+
 def _failed(error: Column, text: str, fail: Column, message: Column) -> Column:
     """The error text where the check could not be made, the message where it failed, NULL where it passed."""
     return F.when(error, F.lit(text)).when(F.coalesce(fail, F.lit(False)), message)

@@ -181,7 +181,8 @@ def chrono_split(df: DataFrame, keys: list[str], time_col: str, test_fraction: f
 
 def quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str]) -> DataFrame:
     """Exact interpolated quantiles per key, one row each. An approximate pass brackets each rank within 0.4 % of
-    the key's rows; only the rows inside a bracket are then ranked. ``df`` is read twice."""
+    the key's rows; the bracket's rows are counted by value (map-side, so equal values are one row a task) and the
+    ranks selected from the running counts of its different values. ``df`` is read twice."""
     eps, share = 0.002, [x for p in probs for x in (max(p - 0.002, 0.0), min(p + 0.002, 1.0))]
     d = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
     cuts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
@@ -195,12 +196,13 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], na
     below = (j.select(*keys, F.explode("__p").alias("q"), "__v").groupBy(*keys, F.col("q.i").alias("i"))
              .agg(F.sum((F.col("__v") < F.col("q.lo")).cast("long")).alias("__below")))
     near = (j.select(*keys, "__n", "__v", F.explode(F.filter("__p", lambda q: (F.col("__v") >= q["lo"]) & (F.col("__v") <= q["hi"]))).alias("q"))
-            .select(*keys, "__n", "__v", F.col("q.i").alias("i"), F.col("q.p").alias("p")))
-    w = Window.partitionBy(*keys, "i").orderBy("__v")           # the bracket's rows only
-    rank = near.withColumn("__k", F.row_number().over(w) - 1).join(below, [*keys, "i"]).withColumn("__r", F.col("__k") + F.col("__below"))
+            .groupBy(*keys, F.col("q.i").alias("i"), "__v").agg(F.count(F.lit(1)).alias("__c"), F.max("__n").alias("__n"), F.max("q.p").alias("p")))
+    upto = Window.partitionBy(*keys, "i").orderBy("__v").rowsBetween(UNB, CUR)      # the bracket's different values only
+    rank = near.withColumn("__upto", F.sum("__c").over(upto)).join(below, [*keys, "i"]).withColumn("__upto", F.col("__upto") + F.col("__below"))
     at = (F.col("__n") - 1) * F.col("p")
-    both = rank.groupBy(*keys, "i").agg(F.max(F.when(F.col("__r") == F.floor(at), F.col("__v"))).alias("a"),
-                                        F.max(F.when(F.col("__r") == F.ceil(at), F.col("__v"))).alias("b"),
+    # the value of 0-based rank r is the first one with more than r rows up to it
+    both = rank.groupBy(*keys, "i").agg(F.min(F.when(F.col("__upto") > F.floor(at), F.col("__v"))).alias("a"),
+                                        F.min(F.when(F.col("__upto") > F.ceil(at), F.col("__v"))).alias("b"),
                                         F.max(at - F.floor(at)).alias("f"))
     got = both.withColumn("x", F.col("a") + (F.col("b") - F.col("a")) * F.col("f"))
     return got.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, F.col("x"))).alias(o) for i, o in enumerate(names)])

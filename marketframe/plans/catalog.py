@@ -4,4 +4,4 @@
 """
 
 from marketframe.plans.registry import RANGE_FROM, RANGE_TO, REGISTRY, Query, register  # noqa: F401
-from marketframe.plans import q_market, q_features, q_trading, q_ops  # noqa: E402,F401
+from marketframe.plans import q_market, q_features, q_trading, q_ops, q_store  # noqa: E402,F401

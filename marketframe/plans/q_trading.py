@@ -117,10 +117,10 @@ def ticks(spark, sf_dir):
     return X.ticks(spark, sf_dir).select("seq", "timestamp", "symbol", "price")
 
 
-def fills(spark, sf_dir):
+def fills(spark, sf_dir, decisions=None):
     """J1 + J2 in one scan: latest tick price at the decision and one second after it. Materialised: the recorded
     log and the checks both start here."""
-    f = asof_join_offsets(X.decisions(spark, sf_dir), ticks(spark, sf_dir), ["symbol"], "time", "timestamp", ["price"], "seq",
+    f = asof_join_offsets(X.decisions(spark, sf_dir) if decisions is None else decisions, ticks(spark, sf_dir), ["symbol"], "time", "timestamp", ["price"], "seq",
                           "seq", {"decision_": 0.0, "fill_": 1.0}, bounds=X.tick_bounds(spark, sf_dir))
     return cut_lineage(f)
 
@@ -262,8 +262,9 @@ FROM (
           FROM state WHERE strategy_name <> '{C.LONG_ONLY}')))"""
 
 
-def streaks(spark, sf_dir):
-    s = state(spark, sf_dir).filter(F.col("strategy_name") != C.LONG_ONLY).withColumnRenamed("signal", "raw_signal")
+def streaks(spark, sf_dir, orders):
+    """Runs of raw signals; they need nothing but the decisions, so ``orders`` may or may not carry a state."""
+    s = orders.filter(F.col("strategy_name") != C.LONG_ONLY).withColumnRenamed("signal", "raw_signal")
     s = with_blocks(s, X.tick_bounds(spark, sf_dir), ["symbol"], "time")
     return SG.apply_streak(SG.run_positions(s, "raw_signal"))
 
@@ -272,8 +273,9 @@ def streaks(spark, sf_dir):
     "SELECT seq, strategy_name, symbol, time, raw_signal, run_pos, forced, streak, signal FROM (" + _STREAK_SQL + ")",
     "state"), [], "W9 L3 L4")
 def signal_streak_q(spark, sf_dir):
-    return streaks(spark, sf_dir).select("seq", "strategy_name", "symbol", "time", "raw_signal", "run_pos", "forced",
-                                         "streak", "signal")
+    decided = cut_lineage(X.decisions(spark, sf_dir).select("seq", "strategy_name", "symbol", "time", "signal", "max_streak"))
+    return streaks(spark, sf_dir, decided).select("seq", "strategy_name", "symbol", "time", "raw_signal", "run_pos", "forced",
+                                                  "streak", "signal")
 
 
 @register("order_sizing", _tsql(f"""
@@ -284,7 +286,7 @@ FROM (SELECT *, CASE WHEN confidence > {C.CONF_HIGH} THEN {C.SIZE_HIGH} WHEN con
                      ELSE {C.SIZE_LOW} END / streak AS size_factor
       FROM ({_STREAK_SQL}))""", "state"), ["size_factor", "order_qty"], "L5 L6")
 def order_sizing_q(spark, sf_dir):
-    s = streaks(spark, sf_dir).withColumn("size_factor", SG.size_factor())
+    s = streaks(spark, sf_dir, state(spark, sf_dir)).withColumn("size_factor", SG.size_factor())
     return s.select("seq", "strategy_name", "symbol", "signal", "streak", "size_factor",
                     SG.order_quantity().alias("order_qty"))
 
@@ -335,7 +337,16 @@ SELECT time, strategy_name, symbol, signal, quantity, executed_price * quantity
 FROM execution ORDER BY time DESC, strategy_name, symbol, seq DESC LIMIT 7""", "execution"), ["quantity", "trade_value"],
           "B9 T3 P13")
 def recent_trades_q(spark, sf_dir):
-    return R.recent_trades(execution(spark, sf_dir))
+    """The newest orders depend on the decisions alone, so they are chosen first; only their portfolios' fills, ledger
+    and snapshots are built, and the state is looked up for these few orders."""
+    decisions = X.decisions(spark, sf_dir)
+    newest = cut_lineage(decisions.orderBy(F.desc("time"), "strategy_name", "symbol", F.desc("seq")).limit(R.RECENT_TRADES))
+    keys = F.broadcast(newest.select(*RK.KEYS).distinct())                        # at most RECENT_TRADES rows
+    filled = fills(spark, sf_dir, decisions.join(keys, RK.KEYS, "left_semi"))
+    rows = cut_lineage(portfolio_rows(spark, sf_dir, filled).join(keys, RK.KEYS, "left_semi"))
+    orders = filled.join(F.broadcast(newest.select("seq")), "seq", "left_semi")
+    state = RK.state_of_few(orders, rows, snapshots(spark, sf_dir, rows))
+    return R.recent_trades(RK.execution_log(RK.risk_checks(state)))
 
 
 RESET_SQL = """

@@ -99,7 +99,10 @@ def portfolio_overview(portfolio_key: DataFrame) -> DataFrame:
             .orderBy("strategy_group"))
 
 
-def recent_trades(execution: DataFrame, k: int = 7) -> DataFrame:
+RECENT_TRADES = 7
+
+
+def recent_trades(execution: DataFrame, k: int = RECENT_TRADES) -> DataFrame:
     """The k most recent executions with trade value; a top-k report by design."""
     cols = ["time", "strategy_name", "symbol", "signal", "quantity"]
     return (execution.select(*cols, "seq", (F.col("executed_price") * F.col("quantity")).alias("trade_value"),

@@ -101,8 +101,13 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for materialised intermediate tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+    """A path under the shared checkpoint folder for materialised intermediate tables, removed when the application ends."""
+    own = os.path.join(ensure_checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    fs = made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(made)                                             # only what exists can be marked for deletion
+    fs.deleteOnExit(made)
+    return os.path.join(own, name)
 
 
 def cut_lineage(df):

@@ -73,14 +73,15 @@ def archive(spark: SparkSession, hot_path: str, archive_path: str, ts_col: str,
     Safe to run again after a stop anywhere: rows that the archive holds already are not appended twice (a multiset
     difference over the days at hand). The kept rows of the touched days are staged under the shared checkpoint folder
     (a Spark job cannot overwrite a path it is reading), then written back with dynamic partition overwrite; days that
-    are entirely old are dropped. Both reads are bounded to days up to the cutoff's. Returns the staging path.
+    are entirely old are dropped. The hot read is bounded to days up to the cutoff's, and the archive's to the days that
+    the hot table still holds, so a run costs what it moves and not what was archived before. Returns the staging path.
     """
     cut_day = int(datetime.fromisoformat(str(cutoff)).strftime("%Y%m%d"))
     hot = spark.read.parquet(hot_path).filter(F.col("dt") <= cut_day)
     old, keep = split_at(hot, ts_col, cutoff)
     touched = {r["dt"] for r in hot.select("dt").distinct().collect()}                          # one entry per day
     schema = old.schema
-    held = _read_if_there(spark, archive_path, schema).filter(F.col("dt") <= cut_day).select(*schema.names)
+    held = _read_if_there(spark, archive_path, schema).filter(F.col("dt").isin(sorted(touched))).select(*schema.names)
     # materialised before the append changes the folder it was read from
     fresh = cut_lineage(old.exceptAll(held))
     fresh.write.mode("append").partitionBy("dt").parquet(archive_path)

@@ -20,17 +20,24 @@ from pyspark.sql import DataFrame, functions as F
 from marketframe import config as C
 from marketframe.operators import bars as B
 from marketframe.operators.diagnostics import heartbeat_columns, window_end_ms, window_means
-from marketframe.session import ship_package
+from marketframe.operators.scan import blocked, blocked_scan
+from marketframe.session import cut_lineage, ship_package
 
 
 def bars_watermarked(ticks: DataFrame, delay: str = "2 minutes", open_mode: str = "heavy") -> DataFrame:
-    """R2: one-minute bars per symbol; emitted once the watermark passes the window end."""
-    ordc = F.struct("timestamp_ms", "seq")
-    open_col = F.mode("price", True) if open_mode == "heavy" else F.min_by("price", ordc)
-    return (ticks.withWatermark("timestamp", delay)
-            .groupBy(F.window("timestamp", "1 minute").alias("w"), "symbol")
-            .agg(open_col.alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
-                 F.max_by("price", ordc).alias("close"), F.avg("price").alias("avg"), F.sum("volume").alias("volume"))
+    """R2: one-minute bars per symbol; emitted once the watermark passes the window end. Two chained aggregations, by
+    price and then by window, as in the batch form: state is one row per price, never a map of all prices."""
+    ordc = F.struct("timestamp_ms", "seq", "price")
+    some = F.col("price").isNotNull()
+    by_price = (ticks.withWatermark("timestamp", delay)
+                .groupBy(F.window("timestamp", "1 minute").alias("w"), "symbol", "price")
+                .agg(F.count("price").alias("n"), F.min(F.when(some, ordc)).alias("first"), F.max(F.when(some, ordc)).alias("last"),
+                     F.sum("price").alias("total"), F.sum("volume").alias("volume")))
+    heavy = F.max(F.when(some, F.struct("n", (-F.col("price")).alias("m"), "price")))["price"]
+    open_col = heavy if open_mode == "heavy" else F.min("first")["price"]
+    return (by_price.groupBy(F.window(F.window_time("w"), "1 minute").alias("w"), "symbol")
+            .agg(open_col.alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max("last")["price"].alias("close"),
+                 F.try_divide(F.sum("total"), F.sum("n")).alias("avg"), F.sum("volume").alias("volume"))
             .select(F.col("w.start").alias("minute"), "symbol", "open", "high", "low", "close", "avg", "volume"))
 
 
@@ -65,12 +72,27 @@ def heartbeat_stream(ticks: DataFrame, period_s: int = C.HEARTBEAT_S, delay: str
 def feed_sessions(ticks: DataFrame, gap: str = f"{C.WATCHDOG_TIMEOUT_S} seconds", delay: str = "5 minutes",
                   keys: list[str] | None = None) -> DataFrame:
     """R6 on a stream: activity sessions per key (default: symbol) closed by ``gap`` of silence; a new
-    session after a closed one marks a feed gap. Streaming session windows need a grouping key, so the
-    whole-feed watchdog groups by the topic/feed column when the source has one."""
+    session after a closed one marks a feed gap."""
     keys = keys or ["symbol"]
     return (ticks.withWatermark("timestamp", delay).groupBy(F.session_window("timestamp", gap).alias("s"), *keys)
-            .agg(F.count(F.lit(1)).alias("ticks"))
-            .select(*keys, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "ticks"))
+            .agg(F.count(F.lit(1)).alias("ticks"), F.max("timestamp").alias("last_tick"))
+            .select(*keys, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "last_tick", "ticks"))
+
+
+def whole_feed_sessions(ticks: DataFrame, shards: int = 16, **kw) -> DataFrame:
+    """R6 of the whole feed on a stream. A session window without a key would keep one session in one task, so ticks are
+    dealt to ``shards`` by hash and each keeps its own sessions; ``gaps_between`` merges the closed ones."""
+    return feed_sessions(ticks.withColumn("shard", F.pmod(F.xxhash64("timestamp", "seq"), F.lit(shards)).cast("int")), keys=["shard"], **kw)
+
+
+def gaps_between(sessions: DataFrame, timeout_s: float = C.WATCHDOG_TIMEOUT_S) -> DataFrame:
+    """The feed's gaps from the sessions of all shards: where a session starts more than ``timeout_s`` after the last
+    tick of all sessions before it. A blocked scan over sessions, of which there are far fewer than ticks."""
+    s = cut_lineage(sessions.groupBy("session_start").agg(F.max(F.unix_micros("last_tick")).alias("last")))
+    s = blocked_scan(blocked(s, [], "session_start"), [], ["session_start"], maxes_excl={"last": "before"})
+    gap = (F.unix_micros("session_start") - F.col("before")) / F.lit(1e6)
+    return (s.filter(gap > F.lit(float(timeout_s)))
+             .select(F.timestamp_micros("before").alias("gap_start"), F.col("session_start").alias("gap_end"), gap.alias("gap_seconds")))
 
 
 POSITION_SCHEMA = ("strategy_name string, symbol string, time timestamp, quantity double, cash_balance double, "
@@ -117,10 +139,11 @@ def portfolio_positions(executions: DataFrame) -> DataFrame:
         timeMode="None")
 
 
-def snapshot_writer(keys_path: str, prices_path: str, out_path: str):
+def snapshot_writer(keys_path: str, prices_path: str, out_path: str, run_id: str):
     """R7 stream form: a foreachBatch function for a clock stream (one batch per period, ticks or not). Each run marks
     every portfolio row at its symbol's latest price and writes one ``portfolio_ts`` row per key, stamped with the
-    batch's time. It reads two small current tables, one row per key (S16) and per symbol (R4), and no history."""
+    batch's time. It reads two small current tables, one row per key (S16) and per symbol (R4), and no history.
+    ``run_id`` names the query's checkpoint: a new checkpoint counts from 0 again and must not replace stored snapshots."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cur, px = spark.read.parquet(keys_path), spark.read.parquet(prices_path)
@@ -129,5 +152,5 @@ def snapshot_writer(keys_path: str, prices_path: str, out_path: str):
                    .select(F.current_timestamp().alias("time"), "cash_balance", "symbol", "quantity",
                            mv.alias("market_value"), (F.col("cash_balance") + mv).alias("portfolio_value"),
                            "strategy_name"))
-        snap.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        snap.write.mode("overwrite").parquet(f"{out_path}/run_id={run_id}/batch_id={batch_id}")
     return write

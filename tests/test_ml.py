@@ -79,13 +79,30 @@ def test_newest_cap(spark):
     assert d.filter("split = 'test'").count() == 20
 
 
-def test_registered_forest_has_the_modelled_size(spark, monkeypatch):
+def test_registered_forest_has_the_documented_size(spark, monkeypatch):
     asked = {}
 
     def train(labelled, kind, *, min_rows, **kw):
         asked.update(kind=kind, **kw)
         return None, None
     monkeypatch.setattr(ML, "train", train)
-    assert QF._scored(spark, SF01) is None
-    forest = ML.make_pipeline(asked.pop("kind"), ["x"], **asked).getStages()[-1]
-    assert forest.getNumTrees() == 50 and forest.getMaxDepth() == 30
+    assert QF._scored(spark, SF01) == (None, None)
+    forest = ML.BatchedForest(["x"], "nowhere")
+    assert asked == {"kind": "random_forest"} and sum(forest.sizes) == 50 and forest.max_depth == 10
+
+
+def test_forest_in_batches_is_the_mean_of_its_trees(spark, tmpdir_path):
+    from pyspark.ml.classification import RandomForestClassificationModel
+    model, data = ML.train(_labelled(spark), "random_forest", num_trees=5, max_depth=4, batch=2, path=os.path.join(tmpdir_path, "forest"))
+    assert model.sizes == [2, 2, 1]
+    scored = model.transform(data).limit(50).collect()
+    parts = [RandomForestClassificationModel.load(model._folder(k)) for k in range(3)]
+    assert [p.getNumTrees for p in parts] == [2, 2, 1] and all(t.depth <= 4 for p in parts for t in p.trees)
+    scaler = PipelineModel.load(os.path.join(model.path, "scaler"))
+    for r in scaler.transform(spark.createDataFrame(scored[:10])).collect():
+        each = [list(p.predictProbability(r["features"])) for p in parts]
+        want = [sum(n * e[c] for n, e in zip(model.sizes, each)) / 5 for c in range(3)]
+        assert all(abs(a - b) < 1e-9 for a, b in zip(want, r["probability_array"]))
+    # saved, logged, loaded
+    back, log = ML.stored_and_logged(model, data, "Random-Forest", os.path.join(tmpdir_path, "kept"))
+    assert log.count() == 1 and log.first()["model_name"] == "Random-Forest" and back.path != model.path and back.sizes == [2, 2, 1]

@@ -143,10 +143,12 @@ def test_snapshot_writer_marks_every_key_without_ticks(spark, tmpdir_path):
     kp, pp, out = (os.path.join(tmpdir_path, d) for d in ("keys", "prices", "snaps"))
     key.write.parquet(kp)
     px.write.parquet(pp)
-    write = ST.snapshot_writer(kp, pp, out)
+    write = ST.snapshot_writer(kp, pp, out, "run1")
     for k in range(2):
         write(spark.range(0), k)           # the clock's batch holds no ticks
     snaps = spark.read.parquet(out)
     assert snaps.count() == 2 * key.count()
+    ST.snapshot_writer(kp, pp, out, "run2")(spark.range(0), 0)       # a new checkpoint replaces nothing
+    assert spark.read.parquet(out).count() == 3 * key.count()
     bad = snaps.filter(F.abs(F.col("portfolio_value") - F.col("cash_balance") - F.col("market_value")) > 1e-6)
     assert bad.count() == 0
