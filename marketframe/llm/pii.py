@@ -310,8 +310,8 @@ def reconciled(found: list[tuple[int, int, str, float]]) -> list[Span]:
     return sorted(out)
 
 
-def _window_spans(path: np.ndarray, sure: np.ndarray, start: int, length: int, end_of_text: int) -> list[tuple[int, int, str, float]]:
-    """Spans of one decoded window; those cut by an inner window edge are left to the neighbour."""
+def _window_spans(path: np.ndarray, sure: np.ndarray, start: int, length: int, end_of_text: int) -> list[tuple[int, int, str, float, bool, bool]]:
+    """Spans of one decoded window, and whether an inner window edge cuts them on the left or on the right."""
     out = []
     i = 0
     while i < length:
@@ -320,31 +320,66 @@ def _window_spans(path: np.ndarray, sure: np.ndarray, start: int, length: int, e
             j = i + 1
             while j < length and path[j] == t + 1:
                 j += 1
-            cut = (i == 0 and start > 0) or (j == WIDTH and start + WIDTH < end_of_text)
-            if not cut:
-                out.append((start + i, start + j, KINDS[(t - 1) // 2], float(sure[i:j].min())))
+            out.append((start + i, start + j, KINDS[(t - 1) // 2], float(sure[i:j].min()),
+                        i == 0 and start > 0, j == WIDTH and start + WIDTH < end_of_text))
+            i = j
+        elif t and i == 0 and start > 0:  # the window begins inside a span
+            j = i + 1
+            while j < length and path[j] == t:
+                j += 1
+            out.append((start, start + j, KINDS[(t - 1) // 2], float(sure[:j].min()), True, j == WIDTH and start + WIDTH < end_of_text))
             i = j
         else:
             i += 1
     return out
 
 
+def joined_pieces(pieces: list[tuple[int, int, str, float, bool, bool]]) -> list[tuple[int, int, str, float]]:
+    """Whole spans, and those put together from pieces: one cut on the right is continued by one of its kind cut on the
+    left that begins inside it or at its end. A piece without its other half is no span."""
+    out = [(s, e, k, p) for s, e, k, p, left, right in pieces if not left and not right]
+    open_ends: dict[str, list] = {}
+    for s, e, k, p, left, right in sorted(x for x in pieces if x[4] or x[5]):
+        if not left:
+            open_ends[k] = [s, e, p]
+        elif k in open_ends and s <= open_ends[k][1]:
+            now = open_ends[k]
+            now[1], now[2] = max(now[1], e), min(now[2], p)
+            if not right:
+                out.append((now[0], now[1], k, now[2]))
+                del open_ends[k]
+    return out
+
+
+def _agrees(text: str, a: int, e: int, kind: str, base: list[Span]) -> bool:
+    """Whether an added span leaves all base spans whole: it meets none, or holds those of its own kind that it meets;
+    then what it adds are characters of words, so that it widens a span (a name with an accent) and joins no others."""
+    met = [(s, t, k) for s, t, k in base if a < t and s < e]
+    if not met:
+        return True
+    if len(met) > 1 or met[0][2] != kind or not (a <= met[0][0] and met[0][1] <= e) or (a, e) == met[0][:2]:
+        return False
+    return all(c.isalnum() or c in "._%+-" for c in text[a:met[0][0]] + text[met[0][1]:e])
+
+
 def find_spans(texts: list[str], tagger: Tagger | None, surely: float = 0.7) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans (base and added, by start, then kind) of each text."""
     base = [base_spans(t) for t in texts]
     if tagger is None:
         return [(b, b) for b in base]
     where = [(i, s) for i, t in enumerate(texts) for s in windows_of(t)]
-    added: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
+    pieces: list[list[tuple[int, int, str, float, bool, bool]]] = [[] for _ in texts]
     for k in range(0, len(where), 256):
         part = where[k:k + 256]
         path, sure = tagger.decode(padded([texts[i][s:s + WIDTH] for i, s in part]))
         for (i, s), p, q in zip(part, path, sure, strict=True):
             t = texts[i]
-            for a, e, kind, prob in _window_spans(p, q, s, min(WIDTH, len(t) - s), len(t)):
-                if prob >= surely and _valid(kind, t[a:e]) and not any(a < be and bs < e for bs, be, _ in base[i]):
-                    added[i].append((a, e, kind, prob))
-    return [(b, sorted(b + reconciled(a), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))) for b, a in zip(base, added, strict=True)]
+            pieces[i] += _window_spans(p, q, s, min(WIDTH, len(t) - s), len(t))
+    out = []
+    for t, b, own in zip(texts, base, pieces, strict=True):
+        added = [(a, e, kind, p) for a, e, kind, p in joined_pieces(own) if p >= surely and _valid(kind, t[a:e]) and _agrees(t, a, e, kind, b)]
+        out.append((b, sorted(b + reconciled(added), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))))
+    return out
 
 
 def joined_spans(spans: list[Span]) -> str:
@@ -367,16 +402,22 @@ def variants(parts: list[str], copies: int, seed: int = 11) -> list[tuple[str, l
             s = sep.join(d[i:i + 4] for i in range(0, len(d), 4))
         if kind in ("phone", "ip"):
             s = "".join(str(rng.integers(10)) if c.isdigit() and kind == "phone" and i > 3 else c for i, c in enumerate(s))
+        if kind == "email" and rng.random() < 0.6:  # letters that the base pattern does not know
+            for _ in range(1 + int(rng.integers(3))):
+                at = int(rng.integers(s.index("@")))
+                s = s[:at] + "äçéñöüßøłšжя"[rng.integers(12)] + s[at + 1:]
         return s
 
-    for p, spans in out[:len(parts)] * copies:
-        if not spans or not pool:
-            continue
+    have = {k: max(1, sum(kind == k for _, kind in pool)) for k in KINDS}
+    # windows of a rare kind are varied more often, so that each kind is learned from some hundred spans
+    often = [(p, spans, min(12, max(1, 300 // min(have[k] for _, _, k in spans)))) for p, spans in out[:len(parts)] if spans]
+    for p, spans in [(p, spans) for p, spans, n in often for _ in range(n * copies)]:
         text, got = "", []
         before = p[:spans[0][0]]
         text += before[-int(rng.integers(0, 40)):] if before else ""
         for _ in range(1 + int(rng.integers(3))):
-            s, kind = pool[rng.integers(len(pool))]
+            a, e, own = spans[rng.integers(len(spans))]
+            s, kind = pool[rng.integers(len(pool))] if got else (p[a:e], own)
             s = varied(s, kind)
             if len(text) + len(s) > WIDTH - 4:
                 break
@@ -425,7 +466,8 @@ def _finder(tagger: Tagger | None) -> Callable[[list], list[tuple[list[Span], li
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, the number of base spans of each kind, ``base_sha256`` over the base spans
-    and ``spans``, all spans. Null texts are empty. Null ids and repeated rows are handled like others."""
+    and ``spans``, all spans. Null texts are empty; null ids and repeated rows are handled like others; texts of any
+    length are read whole, in overlapping windows; other columns are ignored; an empty table gives an empty result."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     find = _finder(fit(own))
 
