@@ -196,6 +196,7 @@ def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 6, leaf: int =
     ids link with nothing. Vectors of different lengths are not compared. Equal vectors of a label are one entry
     with a count, so a large group of copies is not expanded; repeated rows are copies. Leaves that cannot be split
     (too alike) and exceed ``leaf`` are compared block by block. A null id has no component and is kept.
+    Other columns are ignored; an empty table gives an empty result.
     """
     ship_package(vectors.sparkSession)
     kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"

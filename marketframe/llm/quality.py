@@ -37,6 +37,13 @@ _EDGES = b".,;:!?'\"()-"
 _SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c not in _EDGES)
 _SHAPES = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1+")
+# UTF-8 bytes: inside a character; first ones of characters above the Latin blocks (but for general punctuation);
+# first ones of South-East and East Asian scripts
+_INNER = bytes(range(0x80, 0xC0))
+_FOREIGN = bytes(x for x in range(0xCD, 0xF5) if x != 0xE2)
+_UNSPACED = bytes((0xE0, *range(0xE3, 0xEE), 0xF0))
+_ASCII_LETTERS = bytes(c for c in range(128) if chr(c).isalpha())
+_LATIN = bytes(range(0xC3, 0xCB))
 _PLAIN = frozenset((b"a", b"A", b"Aa", b"0", b"a'a", b"a-a", b"Aa-Aa", b"Aa-a", b"A'Aa", b"0.0", b"0,0"))
 
 
@@ -65,7 +72,9 @@ class Measures:
     top: float  # share of the most frequent word
     stutter: float  # share of words equal to the one before
     repeated_lines: float  # share of characters in repeats of earlier lines
-    mean_word: float
+    mean_word: float  # in code points
+    foreign: float  # share of letters outside the Latin script
+    unspaced: float  # share of letters in scripts that may not part words by blanks
 
 
 def measured(text: bytes | None) -> Measures:
@@ -73,7 +82,11 @@ def measured(text: bytes | None) -> Measures:
     words = raw.split()
     counts = Counter(words)
     n = max(len(words), 1)
-    solid = max(sum(map(len, words)), 1)
+    inner = 0 if raw.isascii() else len(raw) - len(raw.translate(None, _INNER))
+    solid = max(sum(map(len, words)) - inner, 1)  # code points
+    count_of = lambda some: len(raw) - len(raw.translate(None, some))
+    foreign, unspaced = (count_of(_FOREIGN), count_of(_UNSPACED)) if inner else (0, 0)
+    letters = max(foreign + count_of(_ASCII_LETTERS) + count_of(_LATIN), 1) if foreign else 1
     shapes: Counter = Counter()
     odd = blank = shouted = 0
     for pattern, c in Counter(raw.translate(_SHAPES).split()).items():
@@ -87,7 +100,7 @@ def measured(text: bytes | None) -> Measures:
     return Measures(counts, shapes, len(words), (len(raw) - len(raw.translate(None, _SYMBOLS))) / solid, odd / n, blank / n,
                     shouted / n, (raw.count(b"!") + raw.count(b"?")) / n, sum(map(counts.get, _STOP.intersection(counts))) / n,
                     len(counts) / n, max(counts.values(), default=0) / n, sum(map(eq, words, words[1:])) / n, again / solid,
-                    solid / n)
+                    solid / n, foreign / letters, unspaced / letters)
 
 
 def _diversity(m: Measures) -> float:
@@ -107,8 +120,8 @@ LABELLERS = {
     "word_diversity": lambda m: None if m.words < 30 else -1 if _diversity(m) < 1.3 else 1 if _diversity(m) > 2.0 else 0,
     "top_word": lambda m: None if m.words < 20 else -1 if m.top > 0.2 else 0,
     "repeated_lines": lambda m: None if m.words < 20 else -1 if m.repeated_lines > 0.3 else 0,
-    "word_length": lambda m: None if m.words < 8 else -1 if not 2.8 <= m.mean_word <= 9.0 else 0,
-    "stop_words": lambda m: None if m.words < 30 else -1 if m.stop < 0.03 else 0,
+    "word_length": lambda m: None if m.words < 8 or m.unspaced > 0.3 else -1 if not 2.8 <= m.mean_word <= 9.0 else 0,
+    "stop_words": lambda m: None if m.words < 30 or m.foreign > 0.5 else -1 if m.stop < 0.03 else 0,
 }
 _VOTES = "-.+"
 _SIGN = {-1: "-", 0: ".", 1: "+", None: "_"}
@@ -282,7 +295,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataF
 
 def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_from: float = 0.5) -> DataFrame:
     """One row per document: ``doc_id, votes, posterior, score, kept``. Null ids and repeated rows are scored like
-    any others; an empty table gives an empty result."""
+    any others, null texts like empty ones, texts of any length whole; other columns are ignored; an empty table gives an
+    empty result."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out, c = scored(own, fit(own))
     return out.select("doc_id", F.col(c["votes"]).alias("votes"), F.col(c["posterior"]).alias("posterior"),

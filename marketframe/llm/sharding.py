@@ -59,7 +59,8 @@ def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
 
     Size is the text's UTF-8 bytes plus 8. Documents with equal texts share a shard; null and empty texts are
     equal (no bytes, checksum 0). Slots number a shard's documents without gaps from 0, by id within hash
-    blocks. Null ids and repeated rows are numbered like others; an empty table gives an empty result.
+    blocks. Null ids and repeated rows are numbered like others, texts of any length weigh by their whole
+    bytes; other columns are ignored; an empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = checkpointed(docs.select(
