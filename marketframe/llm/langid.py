@@ -164,12 +164,13 @@ def _runs(items: list[int], sizes: list[int], most: int) -> list[list[int]]:
     return out
 
 
-def training_windows(docs: DataFrame, a_language: int, a_text: int, most_languages: int, seed: int = 9) -> DataFrame:
+def training_windows(docs: DataFrame, a_language: int, a_text: int, most_windows: int, seed: int = 9) -> DataFrame:
     """``(lang, window)`` of a sample balanced by language: at most ``a_language`` different labelled texts each,
-    chosen by hash, and ``a_text`` windows of each at hash-chosen places."""
+    chosen by hash, and ``a_text`` windows of each at hash-chosen places. Every language has its share, at least one
+    text, of ``most_windows`` in all; there is no bound on the number of languages."""
     own = docs.where("lang is not null and text is not null").select("lang", "text")
-    counts = {r.lang: r.n for r in own.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
+    counts = {r.lang: r.n for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # the classes of the model
+    a_language = max(1, min(a_language, most_windows // (a_text * max(len(counts), 1))))
     if not counts:
         return docs.sparkSession.createDataFrame([], "lang string, window binary")
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items())
@@ -196,9 +197,9 @@ def training_windows(docs: DataFrame, a_language: int, a_text: int, most_languag
     return in_arrow(taken, cut, StructType([StructField("lang", StringType()), StructField("window", BinaryType())]))
 
 
-def fit(docs: DataFrame, a_language: int = 500, a_text: int = 4, most_languages: int = 256) -> ByteNet:
+def fit(docs: DataFrame, a_language: int = 500, a_text: int = 4, most_windows: int = 200_000) -> ByteNet:
     """The network, from ``docs(lang, text)``. Short windows are repeated shorter, so that it knows short texts."""
-    rows = sorted((r.lang, bytes(r.window)) for r in training_windows(docs, a_language, a_text, most_languages).collect())
+    rows = sorted((r.lang, bytes(r.window)) for r in training_windows(docs, a_language, a_text, most_windows).collect())
     languages = sorted({lang for lang, _ in rows})
     net = ByteNet(languages)
     if rows:
@@ -237,7 +238,8 @@ def held_out_split(docs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``. Null texts and texts without letters are
-    ``und`` with score 0; so is everything if there is nothing to learn from. Repeated rows are scored alike."""
+    ``und`` with score 0; so is everything if there is nothing to learn from. Repeated rows are scored alike, texts of any length whole;
+    other columns are ignored; an empty table gives an empty result."""
     own = held_out_split(docs)
     net = fit(own.where("doc_id is not null and not held_out").select("lang", "text"))
     return identified(own.select("doc_id", "held_out", "text"), net, "text").select("doc_id", "held_out", "lang_pred", "score")

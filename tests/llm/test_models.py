@@ -177,6 +177,47 @@ def test_tagger_adds_what_the_patterns_drop_and_keeps_the_rest(people):
     assert sum(len(a) for _, a in pii.find_spans(clean, tagger)) <= 1
 
 
+def test_pieces_cut_by_window_edges_are_joined():
+    e, c = "email", "card"
+    whole = (5, 20, e, 0.9, False, False)
+    assert pii.joined_pieces([whole]) == [(5, 20, e, 0.9)]
+    assert pii.joined_pieces([(40, 96, e, 0.9, False, True), (48, 110, e, 0.8, True, False)]) == [(40, 110, e, 0.8)]
+    # over three windows, and pieces without the other half or of another kind
+    assert pii.joined_pieces([(40, 96, e, 0.9, False, True), (48, 144, e, 0.8, True, True), (96, 150, e, 0.7, True, False)]) == [(40, 150, e, 0.7)]
+    assert pii.joined_pieces([(40, 96, e, 0.9, False, True), (48, 110, c, 0.8, True, False), (200, 210, e, 0.9, True, False)]) == []
+    path = np.zeros(pii.WIDTH, int)
+    path[:3], path[90], path[91:] = 2, 1, 2  # the end of a span that began before, and the start of one that goes on
+    got = pii._window_spans(path, np.ones(pii.WIDTH), 48, pii.WIDTH, 500)
+    assert got == [(48, 51, e, 1.0, True, False), (138, 144, e, 1.0, False, True)]
+
+
+def test_an_added_span_may_widen_a_base_one_of_its_kind():
+    t = "an müller@example.com, x"
+    b = pii.base_spans(t)
+    assert [t[s:e] for s, e, _ in b] == ["ller@example.com"]
+    assert pii._agrees(t, 3, 21, "email", b) and not pii._agrees(t, 3, 21, "card", b) and not pii._agrees(t, 0, 21, "email", b)
+    assert not pii._agrees(t, 5, 21, "email", b) and not pii._agrees(t, 7, 21, "email", b) and pii._agrees(t, 22, 24, "email", b)
+
+
+def test_labellers_take_other_scripts_for_text():
+    text = "Сегодня утром мы пошли в старый парк, где растут высокие деревья и поют птицы. " * 4
+    votes = dict(zip(quality.LABELLERS, quality.votes_of(quality.measured(text.encode())), strict=True))
+    assert votes["stop_words"] == "_" and votes["word_length"] == "." and votes["odd_words"] == "."
+    chinese = quality.votes_of(quality.measured(("今天早上我们去了老公园那里长着高大的树木。 " * 12).encode()))
+    assert dict(zip(quality.LABELLERS, chinese, strict=True))["word_length"] == "_"
+    latin = quality.measured("Élan “vérité” où déjà çà et là, naïveté, cœur – œuvre. ".encode() * 8)
+    assert latin.foreign < 0.2 and latin.unspaced == 0
+
+
+def test_every_language_is_a_class(spark):
+    import itertools
+    words = ["".join(x) for x in itertools.islice(itertools.product("abcdefgh", repeat=3), 300)]
+    rows = [(f"l{i:03d}", f"{w} {w}{w} {w}") for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    got = langid.training_windows(df, 500, 4, 600).collect()
+    assert {r.lang for r in got} == {r[0] for r in rows} and len(got) <= 600
+
+
 def test_report_and_redaction_of_odd_rows(odd, empty):
     clash = odd.withColumn("spans", F.lit(1)).withColumn("redacted", F.lit(2)).withColumn("base", F.lit(3))
     rows = {r.doc_id: r for r in pii.report(clash).collect()}
