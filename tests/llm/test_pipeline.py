@@ -65,11 +65,11 @@ def test_oracles(spark, name):
     con = duckdb.connect()
     for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    want = con.execute(ORACLES[name]).df()
-    got = QUERIES[name](spark, SF001).toPandas()[list(want.columns)]
-    key = want.columns[0]
-    assert got.sort_values(key).reset_index(drop=True).astype(str).equals(want.sort_values(key).reset_index(drop=True).astype(str))
+    cur = con.execute(ORACLES[name])
+    names, want = [d[0] for d in cur.description], cur.fetchall()
+    got = [tuple(r) for r in QUERIES[name](spark, SF001).select(*names).collect()]  # rows as they are: nulls beside integers
+    assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
