@@ -3,14 +3,14 @@
 ``asof_join`` is a backward as-of join done as one union and a blocked last-non-NULL scan per key:
 right rows carry their values packed in a struct, left rows carry NULL, and each left row takes
 the last struct seen at or before its time (right rows sort before left rows at equal time). There is
-no nested-loop or range join, and a hot key is split across blocks cut at its own time quantiles.
+no nested-loop or range join, and a hot key is split across blocks cut at its own quantiles of (time, order).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketframe.operators.scan import blocked_scan, time_bounds, with_blocks
+from marketframe.operators.scan import Bounds, blocked_scan, time_bounds, with_blocks
 
 
 def _shifted(time_col: str, seconds: Column) -> Column:
@@ -18,14 +18,14 @@ def _shifted(time_col: str, seconds: Column) -> Column:
 
 
 def asof_lookup(left: DataFrame, rights: dict[str, DataFrame], on: list[str], left_time: str, right_time: str,
-                right_order: str, *, strict: bool = False, bounds: DataFrame | None = None,
+                right_order: str, *, strict: bool = False, bounds: Bounds | None = None,
                 maxes: dict[str, str] | None = None) -> DataFrame:
     """``left`` with one struct column per entry of ``rights``: the latest row of that frame (all its columns
     but ``on``) with right_time <= left_time, or < with ``strict``; NULL without one. ``maxes`` maps a right
     column to the name of its running maximum over the rows that the left row can see.
 
     All lookups share one scan. ``right_order`` breaks ties between right rows at one time (later wins).
-    ``bounds`` are time quantiles per ``on`` key; by default those of the right rows.
+    ``bounds`` are the cuts of each ``on`` key (``scan.time_bounds``); by default those of the right rows.
     """
     side = 0 if strict else 1                                   # where left rows sort at equal time
     lcols = left.columns
@@ -40,10 +40,11 @@ def asof_lookup(left: DataFrame, rights: dict[str, DataFrame], on: list[str], le
     if bounds is None:
         every = None
         for r in rights.values():
-            part = r.select(*on, F.col(right_time).alias("__t"))
+            part = r.select(*on, F.col(right_time).alias("__t"), F.col(right_order).cast("long").alias("__tb"))
             every = part if every is None else every.unionByName(part)
-        bounds = time_bounds(every, on, "__t")
-    u = with_blocks(u, bounds, on, "__t")
+        bounds = time_bounds(every, on, "__t", tie="__tb")
+    # a left row lies after all right rows of its time, or with ``strict`` before them
+    u = with_blocks(u, bounds, on, "__t", F.when(F.col("__left"), F.lit(-2.0 ** 63 if strict else 2.0 ** 63)).otherwise(F.col("__tb")))
     # all left rows sort together at one time; their order among themselves changes nothing
     s = blocked_scan(u, on, ["__t", "__side", "__tb"], lasts={f"__val_{n}": f"__hit_{n}" for n in rights},
                      maxes={f"__max_{c}": o for c, o in (maxes or {}).items()})
@@ -51,7 +52,7 @@ def asof_lookup(left: DataFrame, rights: dict[str, DataFrame], on: list[str], le
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str,
-              values: list[str], right_order: str, *, prefix: str = "", bounds: DataFrame | None = None) -> DataFrame:
+              values: list[str], right_order: str, *, prefix: str = "", bounds: Bounds | None = None) -> DataFrame:
     """For each left row, the right ``values`` of the latest right row with right_time <= left_time (same
     ``on`` keys). Unmatched left rows get NULLs."""
     cols = list(dict.fromkeys([*on, right_time, right_order, *values]))
@@ -61,7 +62,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
 
 def asof_join_offsets(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str,
                       values: list[str], right_order: str, row_key: str, offsets: dict[str, float], *,
-                      bounds: DataFrame | None = None) -> DataFrame:
+                      bounds: Bounds | None = None) -> DataFrame:
     """Several as-of lookups per left row in one scan, e.g. {"decision_": 0, "fill_": 1.0}: the price
     at the decision and one second later (J1 + J2).
 

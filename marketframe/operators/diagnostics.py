@@ -91,7 +91,7 @@ def feed_gaps(ticks: DataFrame, timeout_s: float = C.WATCHDOG_TIMEOUT_S, keys: l
     parallel over time blocks instead of in one task.
     """
     keys = keys or []
-    t = blocked(ticks.select(*keys, "timestamp", "seq"), keys, "timestamp", min_rows)
+    t = blocked(ticks.select(*keys, "timestamp", "seq"), keys, "timestamp", min_rows, tie="seq")
     t = blocked_scan(t, keys, ["timestamp", "seq"], prevs={"timestamp": "gap_start"})
     gap = (F.unix_micros("timestamp") - F.unix_micros("gap_start")) / F.lit(1e6)
     return (t.filter(gap > F.lit(float(timeout_s)))

@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketframe import config as C
 from marketframe.operators.asof import asof_join
-from marketframe.operators.scan import blocked_scan, with_blocks
+from marketframe.operators.scan import Bounds, blocked_scan, with_blocks
 
 KEYS = ["strategy_name", "symbol"]
 ORDER = ["time", "seq"]
 ROW = ["time", "seq", *KEYS, "cash_balance", "quantity", "market_value", "portfolio_value"]
 
 
-def ledger(execution: DataFrame, bounds: DataFrame, starting_cash: float = C.STARTING_CASH) -> DataFrame:
-    """L1: running position per (strategy, symbol) over approved executions. ``bounds``: time quantiles per symbol.
+def ledger(execution: DataFrame, bounds: Bounds, starting_cash: float = C.STARTING_CASH) -> DataFrame:
+    """L1: running position per (strategy, symbol) over approved executions. ``bounds``: cuts per symbol.
 
     quantity += q; market_value += q·p; cash −= q·p; portfolio_value = cash + market_value
     (book value: cash + market_value stays at the starting cash until marked to market).
     """
     e = (execution.filter(F.col("approval_status") == "Y")
                   .withColumn("__flow", F.col("quantity") * F.col("executed_price")))
-    e = with_blocks(e.select("time", "seq", *KEYS, "quantity", "__flow"), bounds, ["symbol"], "time")
+    e = with_blocks(e.select("time", "seq", *KEYS, "quantity", "__flow"), bounds, ["symbol"], "time", F.col("seq"))
     e = blocked_scan(e, KEYS, ORDER, sums={"quantity": "__qty", "__flow": "__book"})
     return e.select("time", "seq", "strategy_name", "symbol",
                     (F.lit(float(starting_cash)) - F.col("__book")).alias("cash_balance"),
@@ -39,7 +39,7 @@ def with_seeds(ledger_rows: DataFrame, seeds: DataFrame, ticks: DataFrame,
     return flat.unionByName(ledger_rows.select(*ROW))
 
 
-def mark_to_market(ledger_rows: DataFrame, ticks: DataFrame, bounds: DataFrame) -> DataFrame:
+def mark_to_market(ledger_rows: DataFrame, ticks: DataFrame, bounds: Bounds) -> DataFrame:
     """L2: re-mark each ledger row at the latest tick price at its time: mv = qty·price, pv = cash + mv."""
     m = asof_join(ledger_rows, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_", bounds=bounds)
     mv = F.col("quantity") * F.col("mark_price")

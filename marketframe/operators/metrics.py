@@ -33,8 +33,8 @@ def select_series(samples: DataFrame, metric: str | None, eq: dict | None = None
 
 def counter_deltas(series: DataFrame, series_keys: list[str], order: list[str], min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
     """Per-sample counter increase: v − prev, or v after a reset (v < prev); NULL for the first sample. ``order``: the
-    sample time, then what makes it a total order. ``series`` is read twice."""
-    s = blocked(series, series_keys, order[0], min_rows)
+    sample time, then a number that makes it a total order. ``series`` is read three times."""
+    s = blocked(series, series_keys, order[0], min_rows, tie=order[1] if len(order) > 1 else None)
     s = blocked_scan(s, series_keys, order, prevs={"value": "__prev"})
     delta = F.when(F.col("__prev").isNull(), F.lit(None).cast("double")) \
              .when(F.col("value") < F.col("__prev"), F.col("value")).otherwise(F.col("value") - F.col("__prev"))

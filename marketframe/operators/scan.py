@@ -4,9 +4,10 @@ A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key in one ta
 holds a third of the data becomes a third of the job in one task. Here each key is cut into time
 blocks, at every size and by one plan:
 
-1. ``time_bounds`` takes each key's row count and time quantiles (one small aggregate row per key) and
-   ``with_blocks`` numbers the rows: a key of n rows gets about sqrt(n) blocks of about sqrt(n) rows
-   (at least ``MIN_BLOCK_ROWS``), cut at its own quantiles, so a burst is split and a small key has one;
+1. ``time_bounds`` cuts each key into cells at quantiles of its time, and each cell that is still large into
+   parts at quantiles of (time, tie) inside it; ``with_blocks`` numbers the rows by them. A key of n rows gets
+   about sqrt(n) blocks of about sqrt(n) rows (at least ``MIN_BLOCK_ROWS``), however its rows lie in time: a
+   burst is split by its own times, and many rows of one instant by their tie, the second column of the order;
 2. a window over (key, block) computes the in-block prefix, in parallel across blocks;
 3. one summary row per (key, block), pre-aggregated from the same rows, goes through a window over the
    key's blocks to give each block its carry; that table has one row per (key, block);
@@ -15,54 +16,109 @@ blocks, at every size and by one plan:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from marketframe.session import cut_lineage
+
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
 
 BLOCK = "__blk"
 MIN_BLOCK_ROWS = 500
-CELLS = 16          # quantile cells per key; longer keys cut each cell into equal times
+CELLS = 64          # first level: cells of a key
+PARTS = 512         # second level: parts of a large cell
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Cuts of every key (``cells``) and of every large cell (``parts``; None where there is none)."""
+
+    cells: DataFrame
+    parts: DataFrame | None
 
 
 def _micros(time_col: str) -> Column:
     return F.unix_micros(F.col(time_col))
 
 
-def time_bounds(rows: DataFrame, keys: list[str], time_col: str, min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
-    """``(keys…, __cuts, __sub)``: per key the CELLS + 1 time quantiles and the blocks per cell; __sub is 0
-    where one block holds the key."""
-    n = F.count(F.lit(1))
-    blocks = F.ceil(n / F.greatest(F.lit(float(min_rows)), F.sqrt(n.cast("double"))))
-    shares = F.array(*[F.lit(i / CELLS) for i in range(CELLS + 1)])
-    return (rows.filter(F.col(time_col).isNotNull()).groupBy(*keys)
-            .agg(F.percentile_approx(_micros(time_col), shares, F.lit(2000)).alias("__cuts"), blocks.alias("__n"))
-            .withColumn("__sub", F.when(F.col("__n") <= 1, F.lit(0)).otherwise(F.ceil(F.col("__n") / F.lit(CELLS))).cast("long"))
-            .drop("__n"))
+def _shares(n: int) -> Column:
+    return F.array(*[F.lit(i / n) for i in range(1, n)])
 
 
-def with_blocks(rows: DataFrame, bounds: DataFrame, keys: list[str], time_col: str) -> DataFrame:
-    """``rows`` with ``__blk``, a number that never falls as time rises within a key. Rows without a time
-    come first (-1); rows of a key without bounds share block 0."""
+def _place(rows: DataFrame, value: str, cuts: str, out: str, n: int) -> DataFrame:
+    """``out``: how many of the n - 1 sorted ``cuts`` (n a power of two) are at or below ``value``, by bisection; one
+    projection a step, so that all of it stays generated code. 0 without cuts or value."""
+    rows, step = rows.withColumn(out, F.lit(0)), n // 2
+    while step:
+        below = F.get(cuts, F.col(out) + F.lit(step - 1)) <= F.col(value)
+        rows = rows.withColumn(out, F.col(out) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return rows
+
+
+def _match(keys: list[str]) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(f"__bk{i}")) for i, k in enumerate(keys)]
+
+
+def _in_cells(rows: DataFrame, cells: DataFrame, keys: list[str], time_col: str, tie: Column | None) -> DataFrame:
+    """``rows`` with ``__b_cell`` and ``__b_x``, a number that rises with (time, tie) inside a cell: microseconds from the cell's
+    first cut, and the tie as a fraction of its range, which is exact where a cell starts with a crowded instant."""
+    own = ["__b_cuts", "__b_n", "__b_aim", "__b_t0", "__b_tie0", "__b_range"]
     if keys:
-        b = bounds.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], "__cuts", "__sub")
-        cond = [F.col(k).eqNullSafe(F.col(f"__bk{i}")) for i, k in enumerate(keys)]
-        j = rows.join(b, cond, "left")
-    else:                                                       # bounds of the whole table: one row, a scalar subquery
-        j = rows.withColumn("__b", bounds.select(F.struct("__cuts", "__sub")).scalar()) \
-                .select(*rows.columns, "__b.__cuts", "__b.__sub")
-    t = _micros(time_col)
-    cell = sum((F.coalesce(t >= F.col("__cuts")[i], F.lit(False)).cast("long") for i in range(1, CELLS)), F.lit(0).cast("long"))
-    lo, hi = F.get("__cuts", cell.cast("int")), F.get("__cuts", (cell + 1).cast("int"))
-    part = F.floor((t - lo).cast("double") * F.col("__sub") / (hi - lo + 1)).cast("long")
-    part = F.least(F.greatest(part, F.lit(0)), F.col("__sub") - 1)
-    blk = F.when(t.isNull(), F.lit(-1)).when(F.coalesce("__sub", F.lit(0)) == 0, F.lit(0)).otherwise(cell * F.col("__sub") + part)
-    return j.select(*rows.columns, blk.cast("long").alias(BLOCK))
-
-
-def blocked(rows: DataFrame, keys: list[str], time_col: str, min_rows: int = MIN_BLOCK_ROWS) -> DataFrame:
-    """``rows`` numbered by their own bounds (reads ``rows`` twice: pass a table or a materialised frame)."""
-    return with_blocks(rows, time_bounds(rows, keys, time_col, min_rows), keys, time_col)
+        b = cells.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], *own)
+        j = rows.join(b, _match(keys), "left").drop(*[f"__bk{i}" for i in range(len(keys))])
+    else:                                                       # cells of the whole table: one row, a scalar subquery
+        j = rows.withColumn("__b_s", cells.select(F.struct(*own)).scalar()).select(*rows.columns, "__b_s.*")
+    j = _place(j.withColumn("__b_t", _micros(time_col)), "__b_t", "__b_cuts", "__b_at", CELLS)
+    wanted = F.greatest(F.lit(1), F.least(F.lit(CELLS), F.ceil(F.col("__b_n") / F.col("__b_aim")))).cast("int")
+    j = j.withColumn("__b_cell", F.coalesce(F.floor(F.col("__b_at") * wanted / CELLS).cast("int"), F.lit(0)))
+    first = F.ceil(F.col("__b_cell") * CELLS / wanted).cast("int")                  # the cell's first place among the cuts
+    lo = F.when(first > 0, F.get("__b_cuts", first - 1)).otherwise(F.col("__b_t0"))
+    part = F.lit(0.0) if tie is None else (tie.cast("double") - F.col("__b_tie0")) / F.col("__b_range")
+    part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(part, F.lit(0.0))))
+    return j.withColumn("__b_x", (F.col("__b_t") - lo).cast("double") + part)
+
+
+def time_bounds(rows: DataFrame, keys: list[str], time_col: str, min_rows: int = MIN_BLOCK_ROWS, tie: str | None = None) -> Bounds:
+    """Cuts of every key of ``rows``, which is read twice. ``tie`` is the number that orders rows of one time.
+
+    Both tables are materialised: approximate quantiles need not come out alike twice, and all parts of a scan have to
+    agree on the blocks.
+    """
+    n, t = F.count(F.lit(1)), _micros(time_col)
+    ties = F.lit(0.0) if tie is None else F.col(tie).cast("double")
+    timed = rows.filter(F.col(time_col).isNotNull())
+    cells = timed.groupBy(*keys).agg(
+        F.percentile_approx(t, _shares(CELLS), F.lit(2000)).alias("__b_cuts"), n.alias("__b_n"), F.min(t).alias("__b_t0"),
+        F.greatest(F.lit(float(min_rows)), F.sqrt(n.cast("double"))).alias("__b_aim"),
+        F.min(ties).alias("__b_tie0"), (F.max(ties) - F.min(ties) + 1.0).alias("__b_range"))
+    cells = cut_lineage(cells)
+    placed = _in_cells(timed.select(*keys, time_col, *([tie] if tie else [])), cells, keys, time_col, None if tie is None else F.col(tie))
+    large = placed.groupBy(*keys, "__b_cell").agg(n.alias("__b_m"), F.first("__b_aim").alias("__b_aim"),
+                                                F.percentile_approx("__b_x", _shares(PARTS), F.lit(5000)).alias("__b_inner"))
+    large = large.filter(F.col("__b_m") > 2 * F.col("__b_aim"))
+    parts = cut_lineage(large.select(*keys, "__b_cell", "__b_inner", F.least(F.lit(PARTS), F.ceil(F.col("__b_m") / F.col("__b_aim"))).cast("int").alias("__b_sub")))
+    return Bounds(cells, None if parts.isEmpty() else parts)
+
+
+def with_blocks(rows: DataFrame, bounds: Bounds, keys: list[str], time_col: str, tie: Column | None = None) -> DataFrame:
+    """``rows`` with ``__blk``, a number that never falls as (time, ``tie``) rises within a key; without ``tie`` rows of one
+    time share a block. Rows without a time come first (-1); rows of a key without bounds share block 0."""
+    j = _in_cells(rows, bounds.cells, keys, time_col, tie)
+    blk = F.col("__b_cell").cast("long") * PARTS
+    if bounds.parts is not None:
+        p = bounds.parts.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], F.col("__b_cell").alias("__b_pc"), "__b_inner", "__b_sub")
+        j = j.join(p, [*_match(keys), F.col("__b_cell") == F.col("__b_pc")], "left")
+        j = _place(j, "__b_x", "__b_inner", "__b_in", PARTS)
+        blk = blk + F.coalesce(F.floor(F.col("__b_in") * F.col("__b_sub") / PARTS), F.lit(0))
+    return j.select(*rows.columns, F.when(F.col("__b_t").isNull(), F.lit(-1)).otherwise(blk).cast("long").alias(BLOCK))
+
+
+def blocked(rows: DataFrame, keys: list[str], time_col: str, min_rows: int = MIN_BLOCK_ROWS, tie: str | None = None) -> DataFrame:
+    """``rows`` numbered by their own bounds (reads ``rows`` three times: pass a table or a materialised frame)."""
+    return with_blocks(rows, time_bounds(rows, keys, time_col, min_rows, tie), keys, time_col, None if tie is None else F.col(tie))
 
 
 def blocked_scan(df: DataFrame, keys: list[str], order: list[str], *,

@@ -265,7 +265,7 @@ FROM (
 def streaks(spark, sf_dir, orders):
     """Runs of raw signals; they need nothing but the decisions, so ``orders`` may or may not carry a state."""
     s = orders.filter(F.col("strategy_name") != C.LONG_ONLY).withColumnRenamed("signal", "raw_signal")
-    s = with_blocks(s, X.tick_bounds(spark, sf_dir), ["symbol"], "time")
+    s = with_blocks(s, X.tick_bounds(spark, sf_dir), ["symbol"], "time", F.col("seq"))
     return SG.apply_streak(SG.run_positions(s, "raw_signal"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketframe import config as C
 from marketframe.operators.signals import class_to_signal
-from marketframe.operators.scan import blocked_scan, time_bounds, with_blocks
+from marketframe.operators.scan import Bounds, blocked_scan, time_bounds, with_blocks
 from marketframe.session import ensure_utc
 
 
@@ -95,10 +95,10 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
              .drop("slot"))
 
 
-def tick_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Time quantiles per symbol (two narrow columns of one scan): the block cuts of every per-symbol and
+def tick_bounds(spark: SparkSession, sf_dir: str) -> Bounds:
+    """Quantiles of (time, order) per symbol (three narrow columns, scanned twice): the block cuts of every per-symbol and
     per-portfolio scan."""
-    return time_bounds(ticks(spark, sf_dir).select("symbol", "timestamp"), ["symbol"], "timestamp")
+    return time_bounds(ticks(spark, sf_dir).select("symbol", "timestamp", "seq"), ["symbol"], "timestamp", tie="seq")
 
 
 # the fixture's five event types stand for the feed's five tickers, in this order
@@ -147,7 +147,7 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     symbol does not sit in a single task.
     """
     t = ticks(spark, sf_dir).select("seq", "timestamp", "symbol", "price").withColumn("one", F.lit(1))
-    t = with_blocks(t, tick_bounds(spark, sf_dir), ["symbol"], "timestamp")
+    t = with_blocks(t, tick_bounds(spark, sf_dir), ["symbol"], "timestamp", F.col("seq"))
     t = blocked_scan(t, ["symbol"], ["timestamp", "seq"], sums={"one": "running_n"})
     labels = F.create_map(F.lit("topic"), F.lit("price_ticks"), F.lit("symbol"), F.col("symbol"))
     # both metrics of a tick from one pass over the ticks

@@ -16,7 +16,7 @@ from marketframe.operators import ledger as LG
 from marketframe.operators import metrics as MT
 from marketframe.operators import risk as RK
 from marketframe.operators import signals as SG
-from marketframe.operators.asof import asof_join, asof_join_offsets, asof_lookup
+from marketframe.operators.asof import asof_lookup, asof_join, asof_join_offsets, asof_lookup
 from marketframe.operators.scan import BLOCK, blocked, blocked_scan, time_bounds, with_blocks
 from marketframe.sources import fixtures as X
 from marketframe.sources import messages as MS
@@ -106,6 +106,35 @@ def test_blocks_of_a_key_are_even_and_ordered(spark):
     per = d.groupBy(BLOCK).agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy(BLOCK).collect()
     assert len(per) >= 16 and all(a.hi < b.lo for a, b in zip(per, per[1:]))
     assert blocked(df.limit(0), ["k"], "t").count() == 0
+    assert blocked(df.limit(0), [], "t").count() == 0
+
+
+@pytest.mark.parametrize("spread", [1, 1_000_000])
+def test_no_block_exceeds_twice_the_aim_with_half_of_a_key_in_one_instant_or_second(spark, spread):
+    """200,000 rows of one key, half of them in one instant (then split by the tie) or one second: 400 blocks of 500."""
+    h = lambda m: F.pmod(F.xxhash64("id"), F.lit(m))
+    burst, month = F.lit(5_000_000_000) + h(spread), h(1_000_003) * 2_592_000
+    d = spark.range(200_000).select(F.lit("a").alias("k"), F.timestamp_micros(F.when(F.col("id") % 2 == 0, burst).otherwise(month)).alias("t"),
+                                    F.col("id").alias("seq"), F.lit(1).alias("one")).cache()
+    b = blocked(d, ["k"], "t", tie="seq").cache()
+    place = F.struct("t", "seq")
+    per = b.groupBy(BLOCK).agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")).orderBy(BLOCK).collect()
+    assert max(r.n for r in per) <= 1000 and len(per) >= 200
+    assert all(a.hi < b.lo for a, b in zip(per, per[1:]))
+    got = blocked_scan(b, ["k"], ["t", "seq"], sums={"one": "s"}).agg(F.min("s"), F.max("s"), F.count_distinct("s")).first()
+    assert tuple(got) == (1, 200_000, 200_000)
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_asof_inside_a_split_instant(spark, strict):
+    """Rights of one instant lie in many blocks: a left row of that time sees the last of them, or with ``strict`` none."""
+    at = pd.Timestamp("2024-01-02").to_pydatetime()
+    r = spark.range(1, 20_001).select(F.lit("a").alias("sym"), F.lit(at).cast("timestamp").alias("ts"), F.col("id").alias("seq"), F.col("id").cast("double").alias("px"))
+    early = spark.createDataFrame([("a", pd.Timestamp("2024-01-01").to_pydatetime(), 0, -1.0)], "sym string, ts timestamp, seq long, px double")
+    left = spark.createDataFrame([("a", at, 1), ("a", pd.Timestamp("2024-01-03").to_pydatetime(), 2), ("a", pd.Timestamp("2023-01-03").to_pydatetime(), 3)],
+                                 "sym string, t timestamp, id long")
+    got = {x.id: x.r and x.r.px for x in asof_lookup(left, {"r": r.unionByName(early)}, ["sym"], "t", "ts", "seq", strict=strict).collect()}
+    assert got == {1: -1.0 if strict else 20_000.0, 2: 20_000.0, 3: None}
 
 
 # ---------------------------------------------------------------- as-of
