@@ -194,8 +194,8 @@ def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 6, leaf: int =
     Vectors link if their labels are equal and not null and their cosine, in double precision, is at least
     ``cosine``. Null, empty and zero vectors, those with null or non-finite components, with null labels or null
     ids link with nothing. Vectors of different lengths are not compared. Equal vectors of a label are one entry
-    with a count, so a large group of copies is not expanded; repeated rows are copies. Leaves that cannot be split
-    (too alike) and exceed ``leaf`` are compared block by block. A null id has no component and is kept.
+    with a count, so a large group of copies is not expanded; repeated rows are copies.     Leaves that cannot be split
+    (too alike) and exceed ``leaf`` are compared block by block; a label that some tree leaves whole is compared once. A null id has no component and is kept.
     Other columns are ignored; an empty table gives an empty result.
     """
     ship_package(vectors.sparkSession)
@@ -221,7 +221,7 @@ def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 6, leaf: int =
     else:
         rows = checkpointed(rows)
 
-    found = checkpointed(_compare(rows, leaf, cosine))
+    found = checkpointed(_compare(_whole_once(rows), leaf, cosine))
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("near"))
     label = components(found.where("b is not null").select("a", "b"))
     per_entry = entries.select("key", "node", "m", "x").join(counts, "node", "left").join(label, "node", "left")
@@ -234,6 +234,13 @@ def linked(vectors: DataFrame, cosine: float = 0.93, trees: int = 6, leaf: int =
                       (F.col("vec_id").isNull() | (F.coalesce("component_id", "vec_id") == F.col("vec_id"))).alias("kept"))
 
 
+def _whole_once(rows: DataFrame) -> DataFrame:
+    """``rows`` without the trees that add nothing: where a tree leaves a label whole (its root, leaf 0, was not split), that one
+    leaf holds every pair of the label, so the first such tree stands for all."""
+    whole = rows.where("leaf = 0").groupBy("key").agg(F.min("tree").alias("only"))
+    return rows.join(whole, "key", "left").where(F.col("only").isNull() | (F.col("tree") == F.col("only"))).drop("only")
+
+
 def _compare(rows: DataFrame, leaf: int, cosine: float) -> DataFrame:
     """``(a, b, n)``: edges where ``b`` is set, else link counts of ``a``."""
     code = F.xxhash64("tree", "leaf")
