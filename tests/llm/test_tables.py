@@ -118,7 +118,7 @@ def test_a_label_that_no_tree_splits_is_compared_whole_and_once(spark):
     """Alike vectors, above a leaf's size but without a cut, beside a label that splits: every link of the first, counted once."""
     r = np.random.default_rng(5)
     base = r.normal(size=32)
-    rows = [(k, (base + r.normal(size=32) * 0.3).tolist(), 1) for k in range(300)]
+    rows = [(k, (base + r.normal(size=32) * 0.1).tolist(), 1) for k in range(300)]
     rows += [(300 + k, r.normal(size=32).tolist(), 2) for k in range(300)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
     got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.linked(df, leaf=64).where("vec_id < 300").collect()}
