@@ -63,14 +63,15 @@ def snapshot_times(rows: DataFrame, ticks: DataFrame, period_s: int = C.SNAPSHOT
             .select(*KEYS, F.timestamp_micros("t").alias("time")))
 
 
-def snapshots(rows: DataFrame, ticks: DataFrame, period_s: int = C.SNAPSHOT_PERIOD_S) -> DataFrame:
+def snapshots(rows: DataFrame, ticks: DataFrame, period_s: int = C.SNAPSHOT_PERIOD_S, bounds: Bounds | None = None) -> DataFrame:
     """At every grid time the key's position, marked at the symbol's latest tick price (portfolio_ts rows); no
-    row while the symbol has no price yet. The spine grows with the time span, not with tick volume."""
+    row while the symbol has no price yet. The spine grows with the time span, not with tick volume.
+    ``bounds``: cuts per symbol; by default those of the ticks."""
     spine = snapshot_times(rows, ticks, period_s)
     pos = asof_join(spine, rows, KEYS, "time", "time", ["cash_balance", "quantity"], "seq")
     # a symbol's grid is looked up once, whatever the number of its portfolios
     grid = spine.select("symbol", "time").distinct()
-    marks = asof_join(grid, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_")
+    marks = asof_join(grid, ticks, ["symbol"], "time", "timestamp", ["price"], "seq", prefix="mark_", bounds=bounds)
     px = pos.join(marks, ["symbol", "time"])
     mv = F.col("quantity") * F.col("mark_price")
     return (px.filter(F.col("mark_price").isNotNull())

@@ -117,34 +117,38 @@ def ticks(spark, sf_dir):
     return X.ticks(spark, sf_dir).select("seq", "timestamp", "symbol", "price")
 
 
-def fills(spark, sf_dir, decisions=None):
+def fills(spark, sf_dir, decisions=None, bounds=None):
     """J1 + J2 in one scan: latest tick price at the decision and one second after it. Materialised: the recorded
     log and the checks both start here."""
     f = asof_join_offsets(X.decisions(spark, sf_dir) if decisions is None else decisions, ticks(spark, sf_dir), ["symbol"], "time", "timestamp", ["price"], "seq",
-                          "seq", {"decision_": 0.0, "fill_": 1.0}, bounds=X.tick_bounds(spark, sf_dir))
+                          "seq", {"decision_": 0.0, "fill_": 1.0}, bounds=bounds or X.tick_bounds(spark, sf_dir))
     return cut_lineage(f)
 
 
-def ledger(spark, sf_dir, filled=None):
-    """Ledger of the recorded log, materialised: portfolio rows, snapshots and checks read it."""
-    filled = fills(spark, sf_dir) if filled is None else filled
-    return cut_lineage(LG.ledger(X.recorded_executions(filled), X.tick_bounds(spark, sf_dir)))
+def ledger(spark, sf_dir, filled=None, bounds=None):
+    """Ledger of the recorded log, materialised: portfolio rows, snapshots and checks read it. A chain takes its
+    symbols' ``bounds`` once."""
+    bounds = bounds or X.tick_bounds(spark, sf_dir)
+    filled = fills(spark, sf_dir, bounds=bounds) if filled is None else filled
+    return cut_lineage(LG.ledger(X.recorded_executions(filled), bounds))
 
 
-def portfolio_rows(spark, sf_dir, filled=None):
-    return LG.with_seeds(ledger(spark, sf_dir, filled), X.seed_portfolios(spark), ticks(spark, sf_dir))
+def portfolio_rows(spark, sf_dir, filled=None, bounds=None):
+    return LG.with_seeds(ledger(spark, sf_dir, filled, bounds), X.seed_portfolios(spark), ticks(spark, sf_dir))
 
 
-def snapshots(spark, sf_dir, rows=None):
-    rows = portfolio_rows(spark, sf_dir) if rows is None else rows
-    return LG.snapshots(rows, ticks(spark, sf_dir))
+def snapshots(spark, sf_dir, rows=None, bounds=None):
+    bounds = bounds or X.tick_bounds(spark, sf_dir)
+    rows = portfolio_rows(spark, sf_dir, bounds=bounds) if rows is None else rows
+    return LG.snapshots(rows, ticks(spark, sf_dir), bounds=bounds)
 
 
 def state(spark, sf_dir):
     """Orders with the portfolio row and value series before them, materialised: risk, streak and sizing start here."""
-    filled = fills(spark, sf_dir)
-    rows = portfolio_rows(spark, sf_dir, filled)
-    return cut_lineage(RK.portfolio_state(filled, rows, cut_lineage(snapshots(spark, sf_dir, rows))))
+    bounds = X.tick_bounds(spark, sf_dir)
+    filled = fills(spark, sf_dir, bounds=bounds)
+    rows = portfolio_rows(spark, sf_dir, filled, bounds)
+    return cut_lineage(RK.portfolio_state(filled, rows, cut_lineage(snapshots(spark, sf_dir, rows, bounds))))
 
 
 def checked(spark, sf_dir):
@@ -224,7 +228,8 @@ SELECT l.time, l.seq, l.strategy_name, l.symbol, l.cash_balance, l.quantity, t.p
 FROM ledger l ASOF LEFT JOIN ticks t ON l.symbol = t.symbol AND l.time >= t.timestamp""", "ledger"),
           ["cash_balance", "quantity", "mark_price", "market_value", "portfolio_value"], "L2 J1")
 def mark_to_market_q(spark, sf_dir):
-    return LG.mark_to_market(ledger(spark, sf_dir), ticks(spark, sf_dir), X.tick_bounds(spark, sf_dir))
+    bounds = X.tick_bounds(spark, sf_dir)
+    return LG.mark_to_market(ledger(spark, sf_dir, bounds=bounds), ticks(spark, sf_dir), bounds)
 
 
 SNAP_COLS = ["time", "cash_balance", "symbol", "quantity", "market_value", "portfolio_value", "strategy_name"]
@@ -342,10 +347,11 @@ def recent_trades_q(spark, sf_dir):
     decisions = X.decisions(spark, sf_dir)
     newest = cut_lineage(decisions.orderBy(F.desc("time"), "strategy_name", "symbol", F.desc("seq")).limit(R.RECENT_TRADES))
     keys = F.broadcast(newest.select(*RK.KEYS).distinct())                        # at most RECENT_TRADES rows
-    filled = fills(spark, sf_dir, decisions.join(keys, RK.KEYS, "left_semi"))
-    rows = cut_lineage(portfolio_rows(spark, sf_dir, filled).join(keys, RK.KEYS, "left_semi"))
+    bounds = X.tick_bounds(spark, sf_dir)
+    filled = fills(spark, sf_dir, decisions.join(keys, RK.KEYS, "left_semi"), bounds)
+    rows = cut_lineage(portfolio_rows(spark, sf_dir, filled, bounds).join(keys, RK.KEYS, "left_semi"))
     orders = filled.join(F.broadcast(newest.select("seq")), "seq", "left_semi")
-    state = RK.state_of_few(orders, rows, snapshots(spark, sf_dir, rows))
+    state = RK.state_of_few(orders, rows, snapshots(spark, sf_dir, rows, bounds))
     return R.recent_trades(RK.execution_log(RK.risk_checks(state)))
 
 
