@@ -5,8 +5,8 @@
 * E9: VectorAssembler + StandardScaler(withMean, withStd) inside the saved pipeline (MLlib divides by
   the sample std; the modelled scaler by the population std — a constant factor per feature);
 * E10: balanced class weights as ``weightCol`` (window aggregates, no join);
-* E11 logistic regression, E12 random forest grown and stored in batches of trees (``BatchedForest``), E13 gradient boosting as three binary GBTs (one vs
-  rest, probabilities normalised), E14 RBF-kernel SVM re-aimed as random Fourier features + logistic
+* E11 logistic regression, E12 random forest grown and stored in batches of trees (``BatchedForest``), E13 gradient boosting on
+  the joint softmax loss (``SoftmaxBoosting``), E14 RBF-kernel SVM re-aimed as random Fourier features + logistic
   regression, E15 the sequence model re-aimed as a multilayer perceptron;
 * E16 metrics through MulticlassClassificationEvaluator, E18 a ``model_runs`` row, S24 save/load,
   E19 scoring: probability → class (argmax) and confidence (max).
@@ -14,17 +14,19 @@
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import uuid
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
+from pyspark.ml.classification import (LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketframe import config as C
 from marketframe.operators import windows as W
@@ -33,6 +35,7 @@ from marketframe.operators.labels import enough_rows, with_class_weight
 from marketframe.schemas import FEATURE_COLUMNS
 from marketframe.session import cut_lineage, scratch_path
 
+CLASSES = [C.SELL, C.HOLD, C.BUY]           # 0, 1, 2: the places in a probability array
 EXCLUDED = ["price", "future_return", "label", "minute", "symbol", "split", "weight"]
 
 
@@ -87,7 +90,7 @@ def rff_transformer(train: DataFrame, features: list[str], n_components: int = 1
 
 def make_pipeline(kind: str, features: list[str], train: DataFrame | None = None, *, seed: int = 42,
                   max_iter: int | None = None, rff_components: int = 100, train_rows: int | None = None) -> Pipeline:
-    """A Pipeline for one of: logistic_regression, svm_rbf, mlp (random_forest: BatchedForest, gbt: GBTOneVsRest)."""
+    """A Pipeline for one of: logistic_regression, svm_rbf, mlp (random_forest: BatchedForest, gbt: SoftmaxBoosting)."""
     if kind == "logistic_regression":
         # the modelled penalty (C = 1) is on the sum of losses, MLlib's on their mean
         clf = LogisticRegression(maxIter=max_iter or 500, family="multinomial", weightCol="weight",
@@ -160,44 +163,83 @@ class BatchedForest:
         return out
 
 
-class GBTOneVsRest:
-    """Three binary gradient-boosted tree models (class c vs rest); class probabilities are the
-    three positive-class probabilities normalised to sum 1. Trees of depth 3, step .1 and no class weights, as the
-    modelled booster. Saved as one pipeline per class."""
+class SoftmaxBoosting:
+    """Three-class gradient boosting on the joint softmax loss, trees of depth 3, step .1 and no class weights, as the
+    modelled booster. Scores start at the log class shares; every round fits one MLlib regression tree a class to the Newton
+    step (residual / h, weighted by h = p(1 - p)), all three from the same probabilities.
 
-    def __init__(self, features: list[str], max_iter: int = 100, seed: int = 42, models=None):
-        self.features, self.max_iter, self.seed = features, max_iter, seed
-        self.models = models or {}
+    Only nodes come back from a tree (at most 15), so a fitted model is bounded by its rounds; scoring is one generated
+    expression over the feature columns. Saved as a table of one row a tree.
+    """
 
-    def fit(self, train: DataFrame) -> "GBTOneVsRest":
-        for c in (C.SELL, C.HOLD, C.BUY):
-            d = train.withColumn("bin_label", (F.col("label") == c).cast("double"))
-            gbt = (GBTClassifier(labelCol="bin_label", maxIter=self.max_iter, seed=self.seed, maxDepth=3, stepSize=0.1,
-                                 predictionCol=f"pred_{c}")
-                   .setProbabilityCol(f"prob_{c}").setRawPredictionCol(f"raw_{c}"))
-            stages = [VectorAssembler(inputCols=self.features, outputCol="features"), gbt]
-            self.models[c] = Pipeline(stages=stages).fit(d)
+    def __init__(self, features: list[str], max_iter: int = 100, seed: int = 42, step: float = 0.1, max_depth: int = 3):
+        self.features, self.max_iter, self.seed, self.step, self.max_depth = features, max_iter, seed, step, max_depth
+        self.start: list[float] = []                            # log share of each class
+        self.rounds: list[list] = []                            # per round one tree a class
+
+    def _nodes(self, node):
+        """A tree as nested [feature, threshold, left, right], leaves as numbers."""
+        if node.getClass().getSimpleName() == "LeafNode":
+            return node.prediction()
+        split = node.split()
+        return [self.features[split.featureIndex()], split.threshold(), self._nodes(node.leftChild()), self._nodes(node.rightChild())]
+
+    def _value(self, tree) -> Column:
+        if not isinstance(tree, list):
+            return F.lit(float(tree))
+        name, threshold, left, right = tree
+        return F.when(F.col(name) <= F.lit(threshold), self._value(left)).otherwise(self._value(right))
+
+    def _step(self, trees: list, c: int) -> Column:
+        return F.lit(self.step * (len(CLASSES) - 1) / len(CLASSES)) * self._value(trees[c])
+
+    def fit(self, train: DataFrame) -> "SoftmaxBoosting":
+        n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}          # one row a class
+        self.start = [math.log((n.get(c, 0) + 1.0) / (sum(n.values()) + len(CLASSES))) for c in CLASSES]
+        scores = [f"score_{c}" for c in CLASSES]
+        rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(train.select(*self.features, "label"))
+        rows = cut_lineage(rows.select("*", *[F.lit(x).alias(s) for s, x in zip(scores, self.start, strict=True)]))
+        for k in range(self.max_iter):
+            p, trees = softmax(scores), []
+            for c in CLASSES:
+                h = F.greatest(p[c] * (1.0 - p[c]), F.lit(1e-4))
+                aim = rows.select("features", ((F.col("label") == c).cast("double") - p[c]).alias("residual"), h.alias("h"))
+                tree = DecisionTreeRegressor(labelCol="aim", weightCol="h", maxDepth=self.max_depth, seed=self.seed + k) \
+                    .fit(aim.select("features", "h", (F.col("residual") / F.col("h")).alias("aim")))
+                trees.append(self._nodes(tree._java_obj.rootNode()))
+            self.rounds.append(trees)
+            rows = rows.select(*self.features, "label", "features",
+                               *[(F.col(s) + self._step(trees, c)).alias(s) for c, s in zip(CLASSES, scores, strict=True)])
+            rows = cut_lineage(rows)
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for c, m in self.models.items():
-            out = m.transform(out).drop("features")
-        pos = [vector_to_array(F.col(f"prob_{c}"))[1] for c in (C.SELL, C.HOLD, C.BUY)]
-        total = pos[0] + pos[1] + pos[2]
-        probs = F.array(*[p / total for p in pos])
-        out = out.withColumn("probability_array", probs)
-        return out.withColumn("prediction", (F.array_position("probability_array", F.array_max("probability_array"))
-                                             - 1).cast("double"))
+    def transform(self, df: DataFrame, rounds: int | None = None) -> DataFrame:
+        """``df`` with ``probability_array`` and ``prediction`` after the first ``rounds`` rounds (default all)."""
+        scores = [f"__score_{c}" for c in CLASSES]
+        sums = [sum((self._step(trees, c) for trees in self.rounds[:rounds]), F.lit(self.start[c])).alias(s) for c, s in zip(CLASSES, scores, strict=True)]
+        out = df.select("*", *sums).withColumn("probability_array", F.array(*softmax(scores))).drop(*scores)
+        return out.withColumn("prediction", (F.array_position("probability_array", F.array_max("probability_array")) - 1).cast("double"))
 
     def save(self, path: str) -> None:
-        for c, m in self.models.items():
-            m.write().overwrite().save(os.path.join(path, f"class_{c}"))
+        """One row a tree (JSON nodes), round -1 holds the starting scores."""
+        trees = [(k, c, json.dumps(t)) for k, ts in enumerate([self.start, *self.rounds], -1) for c, t in enumerate(ts)]
+        SparkSession.active().createDataFrame(trees, "round int, class int, nodes string").coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
-    def load(cls, path: str, features: list[str]) -> "GBTOneVsRest":
-        return cls(features, models={c: PipelineModel.load(os.path.join(path, f"class_{c}"))
-                                     for c in (C.SELL, C.HOLD, C.BUY)})
+    def load(cls, path: str, features: list[str]) -> "SoftmaxBoosting":
+        trees = SparkSession.active().read.parquet(path).orderBy("round", "class").collect()   # three rows a round
+        out, parts = cls(features), [json.loads(r["nodes"]) for r in trees]
+        out.start, *out.rounds = [parts[i:i + len(CLASSES)] for i in range(0, len(parts), len(CLASSES))]
+        out.max_iter = len(out.rounds)
+        return out
+
+
+def softmax(scores: list[str]) -> list[Column]:
+    """Class probabilities of score columns, shifted by the largest so that none overflows."""
+    top = F.greatest(*scores)
+    parts = [F.exp(F.col(s) - top) for s in scores]
+    total = sum(parts[1:], parts[0])
+    return [x / total for x in parts]
 
 
 def probabilities(scored: DataFrame) -> DataFrame:
@@ -266,5 +308,5 @@ def train(labelled: DataFrame, kind: str, *, min_rows: int = C.MIN_TRAIN_ROWS, n
         path = kw.pop("path", None) or scratch_path(labelled.sparkSession, f"forest-{uuid.uuid4().hex}")
         return BatchedForest(feats, path, **kw).fit(tr), data
     if kind == "gbt":
-        return GBTOneVsRest(feats, max_iter=kw.get("max_iter") or 100).fit(tr), data
+        return SoftmaxBoosting(feats, max_iter=kw.get("max_iter") or 100).fit(tr), data
     return make_pipeline(kind, feats, tr, train_rows=n, **kw).fit(tr), data

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -43,22 +44,33 @@ def test_logistic_regression_fit_save_load_score(spark, tmpdir_path):
     assert spark.read.parquet(log).count() == 2
 
 
-def test_forest_svm_mlp_and_gbt(spark, tmpdir_path):
+def test_forest_svm_and_mlp(spark, tmpdir_path):
     lab = _labelled(spark)
     for kind, kw in [("random_forest", {"num_trees": 5, "max_depth": 6}), ("svm_rbf", {"max_iter": 20, "rff_components": 16}),
                      ("mlp", {"max_iter": 20})]:
         model, data = ML.train(lab, kind, **kw)
         m = ML.evaluate(model, data)
         assert 0.0 <= m["test_accuracy"] <= 1.0, kind
-    gbt, data = ML.train(lab, "gbt", max_iter=3)
+
+
+def test_softmax_boosting_lowers_the_loss_each_round_and_comes_back_from_its_table(spark, tmpdir_path):
+    gbt, data = ML.train(_labelled(spark), "gbt", max_iter=4)
+    train = data.filter(F.col("split") == "train").cache()
+    hit = F.get("probability_array", F.col("label").cast("int"))
+    losses = [gbt.transform(train, k).agg(F.avg(-F.log(hit))).first()[0] for k in range(5)]
+    assert all(b < a for a, b in zip(losses, losses[1:])), losses
+    # before the first round the probabilities are the (smoothed) class shares
+    n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    assert losses[0] == pytest.approx(-sum(n.get(c, 0) * gbt.start[c] for c in ML.CLASSES) / sum(n.values()))
     scored = ML.probabilities(gbt.transform(data))
-    s = scored.select(F.aggregate("probability_array", F.lit(0.0), lambda a, x: a + x).alias("s"))
-    assert s.filter(F.abs(F.col("s") - 1.0) > 1e-9).count() == 0
+    assert scored.filter(F.abs(F.aggregate("probability_array", F.lit(0.0), lambda a, x: a + x) - 1.0) > 1e-9).count() == 0
     gbt.save(os.path.join(tmpdir_path, "gbt"))
-    back = ML.GBTOneVsRest.load(os.path.join(tmpdir_path, "gbt"), gbt.features)
+    back = ML.SoftmaxBoosting.load(os.path.join(tmpdir_path, "gbt"), gbt.features)
+    assert back.rounds == gbt.rounds and back.start == gbt.start
     assert back.transform(data).select("prediction").exceptAll(gbt.transform(data).select("prediction")).count() == 0
 
 
+
 def test_min_rows_gate(spark):
     lab = _labelled(spark)
     model, data = ML.train(lab, "logistic_regression", min_rows=10 ** 9)
