@@ -29,14 +29,20 @@ BLOCK = "__blk"
 MIN_BLOCK_ROWS = 500
 CELLS = 64          # first level: cells of a key
 PARTS = 512         # second level: parts of a large cell
+BROADCAST_CELLS = 16_000    # keys whose cuts are broadcast, about 0.6 KB each
+BROADCAST_PARTS = 2_000     # large cells whose cuts are broadcast, about 4 KB each
+SPREAD = 4096
 
 
 @dataclass(frozen=True)
 class Bounds:
-    """Cuts of every key (``cells``) and of every large cell (``parts``; None where there is none)."""
+    """Cuts of every key (``cells``) and of every large cell (``parts``; None where there is none). Those of more rows than
+    ``light_cells`` and ``light_parts`` are few enough to be broadcast."""
 
     cells: DataFrame
     parts: DataFrame | None
+    light_cells: int = 0
+    light_parts: int = 0
 
 
 def _micros(time_col: str) -> Column:
@@ -58,17 +64,42 @@ def _place(rows: DataFrame, value: str, cuts: str, out: str, n: int) -> DataFram
     return rows
 
 
+def _spread(time_col: str, tie: Column | None) -> Column:
+    """A number that only rows of one time and tie have in common, which share a block anyway."""
+    return F.xxhash64(F.col(time_col), F.lit(0) if tie is None else tie)
+
+
 def _match(keys: list[str]) -> list[Column]:
     return [F.col(k).eqNullSafe(F.col(f"__bk{i}")) for i, k in enumerate(keys)]
 
 
-def _in_cells(rows: DataFrame, cells: DataFrame, keys: list[str], time_col: str, tie: Column | None) -> DataFrame:
+def _light(cuts: DataFrame, size: str, most: int) -> int:
+    """The ``size`` that at most ``most`` rows of ``cuts`` exceed: 0 where all are to be broadcast, -1 where there are none."""
+    top = cuts.select(size).orderBy(F.desc(size)).limit(most + 1).agg(F.count(size).alias("n"), F.min(size).alias("least")).first()
+    return -1 if not top["n"] else top["least"] if top["n"] > most else 0
+
+
+def _meet(rows: DataFrame, cuts: DataFrame, on: list[Column], size: str, light: int, spread: Column) -> DataFrame:
+    """``rows`` with the columns of their row of ``cuts``, NULL without one. Rows are never brought together by a key of many
+    rows: its cuts are broadcast. Keys of at most ``light`` rows meet theirs in a shuffle, to which the other rows come
+    dealt out by ``spread``."""
+    j = rows.join(F.broadcast(cuts.filter(F.col(size) > light) if light else cuts), on, "left")
+    if not light:
+        return j
+    met = F.when(F.col(size).isNotNull(), F.pmod(spread, F.lit(SPREAD)) + 1).otherwise(F.lit(0))
+    j = j.select("*", met.alias("__b_met")).withColumnsRenamed({c: f"__h{c}" for c in cuts.columns})
+    rest = cuts.filter(F.col(size) <= light).withColumn("__b_zero", F.least(F.col(size), F.lit(0)))     # no literal, so it stays a key
+    j = j.join(rest, [*on, F.col("__b_met") == F.col("__b_zero")], "left")
+    return j.select(*rows.columns, *[F.coalesce(F.col(f"__h{c}"), F.col(c)).alias(c) for c in cuts.columns])
+
+
+def _in_cells(rows: DataFrame, cells: DataFrame, light: int, keys: list[str], time_col: str, tie: Column | None) -> DataFrame:
     """``rows`` with ``__b_cell`` and ``__b_x``, a number that rises with (time, tie) inside a cell: microseconds from the cell's
     first cut, and the tie as a fraction of its range, which is exact where a cell starts with a crowded instant."""
     own = ["__b_cuts", "__b_n", "__b_aim", "__b_t0", "__b_tie0", "__b_range"]
     if keys:
         b = cells.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], *own)
-        j = rows.join(b, _match(keys), "left").drop(*[f"__bk{i}" for i in range(len(keys))])
+        j = _meet(rows, b, _match(keys), "__b_n", light, _spread(time_col, tie)).drop(*[f"__bk{i}" for i in range(len(keys))])
     else:                                                       # cells of the whole table: one row, a scalar subquery
         j = rows.withColumn("__b_s", cells.select(F.struct(*own)).scalar()).select(*rows.columns, "__b_s.*")
     j = _place(j.withColumn("__b_t", _micros(time_col)), "__b_t", "__b_cuts", "__b_at", CELLS)
@@ -95,22 +126,25 @@ def time_bounds(rows: DataFrame, keys: list[str], time_col: str, min_rows: int =
         F.greatest(F.lit(float(min_rows)), F.sqrt(n.cast("double"))).alias("__b_aim"),
         F.min(ties).alias("__b_tie0"), (F.max(ties) - F.min(ties) + 1.0).alias("__b_range"))
     cells = cut_lineage(cells)
-    placed = _in_cells(timed.select(*keys, time_col, *([tie] if tie else [])), cells, keys, time_col, None if tie is None else F.col(tie))
+    light = max(0, _light(cells, "__b_n", BROADCAST_CELLS))
+    placed = _in_cells(timed.select(*keys, time_col, *([tie] if tie else [])), cells, light, keys, time_col, None if tie is None else F.col(tie))
     large = placed.groupBy(*keys, "__b_cell").agg(n.alias("__b_m"), F.first("__b_aim").alias("__b_aim"),
                                                 F.percentile_approx("__b_x", _shares(PARTS), F.lit(5000)).alias("__b_inner"))
     large = large.filter(F.col("__b_m") > 2 * F.col("__b_aim"))
-    parts = cut_lineage(large.select(*keys, "__b_cell", "__b_inner", F.least(F.lit(PARTS), F.ceil(F.col("__b_m") / F.col("__b_aim"))).cast("int").alias("__b_sub")))
-    return Bounds(cells, None if parts.isEmpty() else parts)
+    sub = F.least(F.lit(PARTS), F.ceil(F.col("__b_m") / F.col("__b_aim"))).cast("int")
+    parts = cut_lineage(large.select(*keys, "__b_cell", "__b_inner", sub.alias("__b_sub"), "__b_m"))
+    light_parts = _light(parts, "__b_m", BROADCAST_PARTS)
+    return Bounds(cells, None if light_parts < 0 else parts, light, max(0, light_parts))
 
 
 def with_blocks(rows: DataFrame, bounds: Bounds, keys: list[str], time_col: str, tie: Column | None = None) -> DataFrame:
     """``rows`` with ``__blk``, a number that never falls as (time, ``tie``) rises within a key; without ``tie`` rows of one
     time share a block. Rows without a time come first (-1); rows of a key without bounds share block 0."""
-    j = _in_cells(rows, bounds.cells, keys, time_col, tie)
+    j = _in_cells(rows, bounds.cells, bounds.light_cells, keys, time_col, tie)
     blk = F.col("__b_cell").cast("long") * PARTS
     if bounds.parts is not None:
-        p = bounds.parts.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], F.col("__b_cell").alias("__b_pc"), "__b_inner", "__b_sub")
-        j = j.join(p, [*_match(keys), F.col("__b_cell") == F.col("__b_pc")], "left")
+        p = bounds.parts.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)], F.col("__b_cell").alias("__b_pc"), "__b_inner", "__b_sub", "__b_m")
+        j = _meet(j, p, [*_match(keys), F.col("__b_cell") == F.col("__b_pc")], "__b_m", bounds.light_parts, _spread(time_col, tie))
         j = _place(j, "__b_x", "__b_inner", "__b_in", PARTS)
         blk = blk + F.coalesce(F.floor(F.col("__b_in") * F.col("__b_sub") / PARTS), F.lit(0))
     return j.select(*rows.columns, F.when(F.col("__b_t").isNull(), F.lit(-1)).otherwise(blk).cast("long").alias(BLOCK))

@@ -1,5 +1,6 @@
 """Bars, blocked scans, as-of joins, signals, ledger, messages, diagnostics, metrics and sinks."""
 
+import dataclasses
 import os
 import random
 
@@ -15,6 +16,7 @@ from marketframe.operators import diagnostics as DG
 from marketframe.operators import ledger as LG
 from marketframe.operators import metrics as MT
 from marketframe.operators import risk as RK
+from marketframe.operators import scan
 from marketframe.operators import signals as SG
 from marketframe.operators.asof import asof_lookup, asof_join, asof_join_offsets, asof_lookup
 from marketframe.operators.scan import BLOCK, blocked, blocked_scan, time_bounds, with_blocks
@@ -125,6 +127,52 @@ def test_no_block_exceeds_twice_the_aim_with_half_of_a_key_in_one_instant_or_sec
     assert tuple(got) == (1, 200_000, 200_000)
 
 
+@pytest.fixture()
+def no_small_tables(spark):
+    """Spark takes no table for small, as with large inputs, where it can't tell that a table of cuts is."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _rows_a_task(df, key):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id(), key).count().filter(f"{key} = 'hot'").collect()]
+
+
+def _hot_and_many(spark):
+    """20,000 rows of one key, half of them in one instant, 400 rows of one without a name, and 100 keys of 200 rows."""
+    n, i = 40_400, F.col("id")
+    key = F.when(i < 20_000, F.lit("hot")).when(i >= 40_000, F.lit(None).cast("string")).otherwise(F.concat(F.lit("k"), (i % 100).cast("string")))
+    second = F.when((i < 20_000) & (i % 2 == 0), F.lit(5_000)).otherwise(F.pmod(F.xxhash64(i), F.lit(2_592_000)))
+    return spark.range(n, numPartitions=8).repartition(8).select(key.alias("k"), F.timestamp_seconds(second).alias("t"), i.alias("seq")).cache()
+
+
+def test_rows_of_a_hot_key_stay_apart_when_they_meet_their_cuts(spark, no_small_tables):
+    d = _hot_and_many(spark).filter("k = 'hot'")
+    b = time_bounds(d, ["k"], "t", tie="seq")
+    assert b.parts is not None
+    per = _rows_a_task(with_blocks(d, b, ["k"], "t", F.col("seq")), "k")
+    assert len(per) == 8 and max(per) < 4_000 and sum(per) == 20_000
+
+
+def test_cuts_of_more_keys_than_are_broadcast_give_the_same_blocks(spark, no_small_tables, monkeypatch):
+    d = _hot_and_many(spark)
+    b = time_bounds(d, ["k"], "t", min_rows=10, tie="seq")
+    sizes = sorted((r["__b_n"] for r in b.cells.collect()), reverse=True)
+    assert sizes[:3] == [20_000, 400, 200] and b.light_cells == 0 and b.parts.count() > 3
+    want = with_blocks(d, b, ["k"], "t", F.col("seq")).cache()
+    monkeypatch.setattr(scan, "BROADCAST_CELLS", 2)
+    monkeypatch.setattr(scan, "BROADCAST_PARTS", 3)
+    few = time_bounds(d, ["k"], "t", min_rows=10, tie="seq")
+    assert few.light_cells == 200 and few.light_parts > 0 and few.parts.filter(F.col("__b_m") > few.light_parts).count() <= 3
+    got = with_blocks(d, dataclasses.replace(few, cells=b.cells, parts=b.parts), ["k"], "t", F.col("seq")).cache()
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    per = _rows_a_task(with_blocks(d, dataclasses.replace(few, cells=b.cells, parts=None), ["k"], "t", F.col("seq")), "k")
+    assert len(per) >= 4 and max(per) < 10_000
+    got = blocked_scan(got.withColumn("one", F.lit(1)), ["k"], ["t", "seq"], sums={"one": "s"}).groupBy("k").agg(F.count_distinct("s").alias("n"), F.max("s").alias("s"))
+    assert {r["k"]: r["n"] for r in got.filter("n = s").collect()} == {r["k"]: r["count"] for r in d.groupBy("k").count().collect()}
+
+
 @pytest.mark.parametrize("strict", [False, True])
 def test_asof_inside_a_split_instant(spark, strict):
     """Rights of one instant lie in many blocks: a left row of that time sees the last of them, or with ``strict`` none."""
