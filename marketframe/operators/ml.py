@@ -18,22 +18,24 @@ import json
 import math
 import os
 import uuid
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketframe import config as C
+from marketframe.operators import trees as T
 from marketframe.operators import windows as W
 from marketframe.operators.evaluation import weighted_metrics
 from marketframe.operators.labels import enough_rows, with_class_weight
 from marketframe.schemas import FEATURE_COLUMNS
-from marketframe.session import cut_lineage, scratch_path
+from marketframe.session import cut_lineage, scratch_path, ship_package
 
 CLASSES = [C.SELL, C.HOLD, C.BUY]           # 0, 1, 2: the places in a probability array
 EXCLUDED = ["price", "future_return", "label", "minute", "symbol", "split", "weight"]
@@ -165,59 +167,93 @@ class BatchedForest:
 
 class SoftmaxBoosting:
     """Three-class gradient boosting on the joint softmax loss, trees of depth 3, step .1 and no class weights, as the
-    modelled booster. Scores start at the log class shares; every round fits one MLlib regression tree a class to the Newton
+    modelled booster. Scores start at the log class shares; every round fits one regression tree a class to the Newton
     step (residual / h, weighted by h = p(1 - p)), all three from the same probabilities.
 
-    Only nodes come back from a tree (at most 15), so a fitted model is bounded by its rounds; scoring is one generated
-    expression over the feature columns. Saved as a table of one row a tree.
+    Features are binned once, into at most ``bins`` (256, a byte) between quantiles of all rows. The three trees of a round grow
+    together and every level is one pass: tasks send sums a (class, feature, node, bin), at most 55,296 at 18 features and
+    depth 3, and the driver chooses the splits from their totals. Scores are written every ``keep`` rounds; a pass adds the
+    rounds since then.
+
+    A tree has at most 15 nodes, so a fitted model is bounded by its rounds. Saved as a table of one row a tree.
     """
 
-    def __init__(self, features: list[str], max_iter: int = 100, seed: int = 42, step: float = 0.1, max_depth: int = 3):
-        self.features, self.max_iter, self.seed, self.step, self.max_depth = features, max_iter, seed, step, max_depth
+    def __init__(self, features: list[str], max_iter: int = 100, step: float = 0.1, max_depth: int = 3, bins: int = 256, keep: int = 10):
+        self.features, self.max_iter, self.max_depth, self.bins, self.keep = features, max_iter, max_depth, bins, keep
+        self.rate = step * (len(CLASSES) - 1) / len(CLASSES)
         self.start: list[float] = []                            # log share of each class
         self.rounds: list[list] = []                            # per round one tree a class
 
-    def _nodes(self, node):
-        """A tree as nested [feature, threshold, left, right], leaves as numbers."""
-        if node.getClass().getSimpleName() == "LeafNode":
-            return node.prediction()
-        split = node.split()
-        return [self.features[split.featureIndex()], split.threshold(), self._nodes(node.leftChild()), self._nodes(node.rightChild())]
-
-    def _value(self, tree) -> Column:
-        if not isinstance(tree, list):
-            return F.lit(float(tree))
-        name, threshold, left, right = tree
-        return F.when(F.col(name) <= F.lit(threshold), self._value(left)).otherwise(self._value(right))
-
-    def _step(self, trees: list, c: int) -> Column:
-        return F.lit(self.step * (len(CLASSES) - 1) / len(CLASSES)) * self._value(trees[c])
+    def _cuts(self, train: DataFrame) -> list[list[float]]:
+        """The thresholds of each feature: between all its values if they are few, else between 1,025 quantiles."""
+        at = F.array(*[F.lit(k / 1024) for k in range(1025)])
+        row = train.agg(*[F.approx_count_distinct(c).alias(f"__n_{c}") for c in self.features],
+                        *[F.percentile_approx(c, at).alias(c) for c in self.features]).first()
+        few = [c for c in self.features if row[f"__n_{c}"] <= 2 * self.bins]                      # some 2 * bins values at most
+        seen = row.asDict() | (train.agg(*[F.collect_set(c).alias(c) for c in few]).first().asDict() if few else {})
+        return [T.cut_points(*np.unique(np.array(seen[c], dtype=float), return_counts=True), self.bins) for c in self.features]
+
+    def _sums(self, rows: DataFrame, done: list[list], routes: list, nodes: int) -> np.ndarray:
+        """Residuals and weights summed a (class, feature, open node, bin)."""
+        width = len(self.features)
+        run = partial(T.histograms, width=width, bins=self.bins, rounds=done, rate=self.rate, routes=routes, nodes=nodes)
+        got = rows.mapInArrow(run, "cell long, g double, h double").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+        out = np.zeros((2, len(CLASSES) * width * nodes * self.bins))
+        out[:, got["cell"].to_numpy()] = got["g"].to_numpy(), got["h"].to_numpy()
+        return out.reshape(2, len(CLASSES), width, nodes, self.bins)
+
+    def _round(self, rows: DataFrame, done: list[list]) -> list:
+        """One tree a class, over bins. Until its level is done, an open node is its number in place of a leaf."""
+        def route(tree):
+            return [*tree[:2], *map(route, tree[2:])] if isinstance(tree, list) else tree if isinstance(tree, int) else -1
+
+        roots = [[0] for _ in CLASSES]
+        nodes = [[(root, 0)] for root in roots]
+        for level in range(self.max_depth):
+            sums = self._sums(rows, done, [route(root[0]) for root in roots], max(map(len, nodes)))
+            for c, here in enumerate(nodes):
+                nodes[c] = []
+                for k, (parent, place) in enumerate(here):
+                    g, h = sums[:, c, :, k]
+                    parent[place] = split = T.best_split(g, h) or float(g[0].sum() / h[0].sum())
+                    if isinstance(split, list) and level + 1 < self.max_depth:
+                        for side in (2, 3):
+                            split[side] = len(nodes[c])
+                            nodes[c].append((split, side))
+            if not any(nodes):
+                break
+        return [root[0] for root in roots]
 
     def fit(self, train: DataFrame) -> "SoftmaxBoosting":
+        ship_package(train.sparkSession)
         n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}          # one row a class
         self.start = [math.log((n.get(c, 0) + 1.0) / (sum(n.values()) + len(CLASSES))) for c in CLASSES]
-        scores = [f"score_{c}" for c in CLASSES]
-        rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(train.select(*self.features, "label"))
-        rows = cut_lineage(rows.select("*", *[F.lit(x).alias(s) for s, x in zip(scores, self.start, strict=True)]))
-        for k in range(self.max_iter):
-            p, trees = softmax(scores), []
-            for c in CLASSES:
-                h = F.greatest(p[c] * (1.0 - p[c]), F.lit(1e-4))
-                aim = rows.select("features", ((F.col("label") == c).cast("double") - p[c]).alias("residual"), h.alias("h"))
-                tree = DecisionTreeRegressor(labelCol="aim", weightCol="h", maxDepth=self.max_depth, seed=self.seed + k) \
-                    .fit(aim.select("features", "h", (F.col("residual") / F.col("h")).alias("aim")))
-                trees.append(self._nodes(tree._java_obj.rootNode()))
-            self.rounds.append(trees)
-            rows = rows.select(*self.features, "label", "features",
-                               *[(F.col(s) + self._step(trees, c)).alias(s) for c, s in zip(CLASSES, scores, strict=True)])
-            rows = cut_lineage(rows)
+        train = train.select(*[F.col(c).cast("double").alias(c) for c in self.features], F.col("label").cast("int"))
+        cuts, width = self._cuts(train), len(self.features)
+        rows = train.mapInArrow(partial(T.to_bins, cuts=cuts), "bins binary, label int")
+        rows = rows.select("*", *[F.lit(x).alias(f"score_{c}") for c, x in zip(CLASSES, self.start, strict=True)])
+        rows = cut_lineage(rows.hint("rebalance"))              # every pass reads it: no task has much more than another
+
+        def named(tree):
+            return [self.features[tree[0]], cuts[tree[0]][tree[1]], *map(named, tree[2:])] if isinstance(tree, list) else tree
+        done: list[list] = []                                   # rounds that the written scores do not hold
+        for _ in range(self.max_iter):
+            if len(done) == self.keep:
+                rows = cut_lineage(rows.mapInArrow(partial(T.with_scores, width=width, rounds=done, rate=self.rate), rows.schema))
+                done = []
+            done.append(self._round(rows, done))
+            self.rounds.append([named(tree) for tree in done[-1]])
         return self
 
     def transform(self, df: DataFrame, rounds: int | None = None) -> DataFrame:
         """``df`` with ``probability_array`` and ``prediction`` after the first ``rounds`` rounds (default all)."""
-        scores = [f"__score_{c}" for c in CLASSES]
-        sums = [sum((self._step(trees, c) for trees in self.rounds[:rounds]), F.lit(self.start[c])).alias(s) for c, s in zip(CLASSES, scores, strict=True)]
-        out = df.select("*", *sums).withColumn("probability_array", F.array(*softmax(scores))).drop(*scores)
+        ship_package(df.sparkSession)
+        run = partial(T.probabilities, start=self.start, rounds=self.rounds[:rounds], rate=self.rate)
+
+        @F.arrow_udf("array<double>")
+        def scored(x: pa.Array) -> pa.Array:
+            return run(x)
+        out = df.withColumn("probability_array", scored(F.struct(*[F.col(c).cast("double").alias(c) for c in self.features])))
         return out.withColumn("prediction", (F.array_position("probability_array", F.array_max("probability_array")) - 1).cast("double"))
 
     def save(self, path: str) -> None:
@@ -234,14 +270,6 @@ class SoftmaxBoosting:
         return out
 
 
-def softmax(scores: list[str]) -> list[Column]:
-    """Class probabilities of score columns, shifted by the largest so that none overflows."""
-    top = F.greatest(*scores)
-    parts = [F.exp(F.col(s) - top) for s in scores]
-    total = sum(parts[1:], parts[0])
-    return [x / total for x in parts]
-
-
 def probabilities(scored: DataFrame) -> DataFrame:
     """Probability vector → array, class = argmax, confidence = max, signal (L3)."""
     p = F.col("probability_array") if "probability_array" in scored.columns else vector_to_array("probability")
