@@ -193,11 +193,16 @@ class SoftmaxBoosting:
         seen = row.asDict() | (train.agg(*[F.collect_set(c).alias(c) for c in few]).first().asDict() if few else {})
         return [T.cut_points(*np.unique(np.array(seen[c], dtype=float), return_counts=True), self.bins) for c in self.features]
 
+    def _tasks(self, df: DataFrame, n: int) -> int:
+        """How many tasks share a pass: one a core, none under 8,192 rows (each sends its cells), none above 262,144."""
+        return max(min(df.sparkSession.sparkContext.defaultParallelism, -(-n // 8192)), -(-n // 262144))
+
     def _sums(self, rows: DataFrame, done: list[list], routes: list, nodes: int) -> np.ndarray:
         """Residuals and weights summed a (class, feature, open node, bin)."""
         width = len(self.features)
         run = partial(T.histograms, width=width, bins=self.bins, rounds=done, rate=self.rate, routes=routes, nodes=nodes)
-        got = rows.mapInArrow(run, "cell long, g double, h double").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+        cells = rows.mapInArrow(run, "cell long, g double, h double").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        got = cells.coalesce(rows.sparkSession.sparkContext.defaultParallelism).toArrow()       # the cells are few, whatever the rows
         out = np.zeros((2, len(CLASSES) * width * nodes * self.bins))
         out[:, got["cell"].to_numpy()] = got["g"].to_numpy(), got["h"].to_numpy()
         return out.reshape(2, len(CLASSES), width, nodes, self.bins)
@@ -232,7 +237,7 @@ class SoftmaxBoosting:
         cuts, width = self._cuts(train), len(self.features)
         rows = train.mapInArrow(partial(T.to_bins, cuts=cuts), "bins binary, label int")
         rows = rows.select("*", *[F.lit(x).alias(f"score_{c}") for c, x in zip(CLASSES, self.start, strict=True)])
-        rows = cut_lineage(rows.hint("rebalance"))              # every pass reads it: no task has much more than another
+        rows = cut_lineage(rows.repartition(self._tasks(train, sum(n.values()))))
 
         def named(tree):
             return [self.features[tree[0]], cuts[tree[0]][tree[1]], *map(named, tree[2:])] if isinstance(tree, list) else tree

@@ -205,3 +205,9 @@ def test_thresholds_lie_between_values():
     assert many == pytest.approx([125 * k - 0.5 for k in range(1, 8)], abs=1)
     heavy = T.cut_points(np.arange(100.0), np.array([1] * 50 + [10 ** 6] + [1] * 49), 8)
     assert 0 < len(heavy) <= 7 and {49.5, 50.5} & set(heavy)
+
+
+def test_tasks_of_a_pass_follow_the_rows_not_the_partitions(spark):
+    rows = _boosting_rows(spark, 50).repartition(60)
+    tasks = ML.SoftmaxBoosting(["x", "y"])._tasks
+    assert [tasks(rows, n) for n in (1, 8192, 8193, 10 ** 6, 10 ** 9)] == [1, 1, 2, 8, 3815]
